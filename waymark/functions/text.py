@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,8 +43,11 @@ def locale_parts(locale: Column) -> dict[str, Column]:
     return {"country": F.substring(locale, 1, 2), "language": F.substring(locale, 4, 5)}
 
 
-def contains_any(column: Column, texts: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [column.contains(t) for t in texts])
+def contains_any(column: Column, texts: Sequence[str]) -> Column:
+    """One pattern for several texts, so that a derived column is evaluated once."""
+    if len(texts) == 1:
+        return column.contains(texts[0])
+    return column.rlike("|".join(re.escape(t) for t in texts))
 
 
 def external_email(email: Column, internal: str, keep_null: bool = True) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -10,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from waymark.functions.text import contains_any
+
 
 @dataclass(frozen=True)
 class Test:
@@ -69,12 +70,6 @@ def any_of(label: str, *cases: Sequence[Test] | Test) -> Rule:
     return Rule(label, tuple((c,) if isinstance(c, Test) else tuple(c) for c in cases))
 
 
-def _contains(column: Column, texts: Sequence[str]) -> Column:
-    if len(texts) == 1:
-        return column.contains(texts[0])
-    return column.rlike("|".join(re.escape(t) for t in texts))
-
-
 def _test(test: Test) -> Column:
     column = F.col(test.name)
     if test.op == "in":
@@ -82,11 +77,11 @@ def _test(test: Test) -> Column:
     if test.op == "like":
         return reduce(lambda a, b: a | b, [column.like(p) for p in test.values])
     if test.op == "has":
-        return _contains(column, test.values)
+        return contains_any(column, test.values)
     if test.op == "not_has_known":
-        return ~_contains(column, test.values)
+        return ~contains_any(column, test.values)
     if test.op == "not_has":
-        return column.isNull() | ~_contains(column, test.values)
+        return column.isNull() | ~contains_any(column, test.values)
     if test.op == "null":
         return column.isNull()
     if test.op == "present":

@@ -47,6 +47,8 @@ def member_base(
         ~F.col("campaign_name").startswith(excluded_prefix)
         & ~F.col("campaign_name").contains(excluded_text)
         & ~F.col("campaign_type").isin(*NOT_MEMBER_TYPES)
+    ).select(
+        F.col("id").alias("campaign_id"), "campaign_name", "campaign_type", "campaign_function", "campaign_team"
     )
     joined = (
         members.join(wanted, "campaign_id")

@@ -155,7 +155,7 @@ STANDINS: dict[str, StandIn] = {
             "'u' || CAST(CAST(floor(c_custkey / 2) AS BIGINT) AS STRING) || '@mail.example.org' AS email",
             "CASE WHEN c_nationkey % 10 = 9 THEN TRUE WHEN c_nationkey % 10 <> 8 THEN FALSE END AS is_deleted",
             "CAST(DATE '2023-12-01' + CAST(c_custkey % 60 AS INT) AS TIMESTAMP) AS created_at",
-            "CASE WHEN c_custkey % 3 = 0 THEN 'C' || CAST(CAST(floor(c_custkey / 3) AS BIGINT) AS STRING) END"
+            "CASE WHEN c_custkey % 3 = 0 THEN 'C' || CAST(CAST(floor(c_custkey / 3) AS BIGINT) * 2 AS STRING) END"
             " AS converted_contact_id",
             "c_name AS name",
             "c_mktsegment AS company",
@@ -353,6 +353,8 @@ STANDINS: dict[str, StandIn] = {
         "lineitem",
         (
             "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS id",
+            "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) || '-'"
+            " || CAST(l_suppkey AS STRING) AS row_id",
             "l_partkey AS campaign_id",
             "CASE WHEN l_linenumber % 2 = 0 THEN 'L' || CAST(l_suppkey AS STRING) END AS lead_id",
             "CASE WHEN l_linenumber % 3 <> 0 THEN 'C' || CAST(l_suppkey AS STRING) END AS contact_id",
