@@ -262,7 +262,8 @@ def inquiry_fact(spark, sf):
 
 # Visits of the dashboard: visitors are lead-mapped per domain.
 VISITOR_LEADS = """vleads AS (SELECT DISTINCT user_id AS visitor_id, 'L' || (user_id + k % 2) AS lead_or_contact_id,
-    CASE WHEN k % 2 = 0 THEN 'www.example.com' ELSE 'developer.example.com' END AS domain FROM ev WHERE event_type = 'click' AND k < 50)"""
+    CASE WHEN k % 2 = 0 THEN 'www.example.com' ELSE 'developer.example.com' END AS domain FROM ev
+  WHERE event_type = 'click' AND ts >= TIMESTAMP '2024-01-28 00:00:00')"""
 VISITS = f"""{VISITOR_LEADS}, visits AS (
   SELECT p.page_visit_id, p.visitor_id, p.session_id, p.visit_start_time, p.domain, p.url, v.lead_or_contact_id
   FROM page_views p LEFT JOIN vleads v ON v.visitor_id = p.visitor_id AND v.domain = p.domain
@@ -291,7 +292,8 @@ typed AS (SELECT v.*, t.campaign_member_id, t.inquiry_date_time, t.campaign_type
 
 
 def _visitor_leads(spark, sf):
-    clicks = rows(spark, sf, "all_events").filter("event_type = 'click' AND k < 50")
+    # Only the latest clicks name a lead, so many visitors have none.
+    clicks = rows(spark, sf, "all_events").filter("event_type = 'click' AND ts >= TIMESTAMP '2024-01-28 00:00:00'")
     return clicks.selectExpr(
         "user_id AS anonymous_id",
         "'L' || CAST(user_id + k % 2 AS STRING) AS lead_or_contact_id",

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from waymark.functions import times
 from waymark.plans import rulesets, signup, web
-from waymark.queries.identity import SIGNUPS
 from waymark.queries.registry import query, r6, rules_sql
 from waymark.queries.standins import rows, with_
+from waymark.sources.sinks import stage
 
 QUARTER = dt.date(2024, 1, 1)
 SINCE = dt.date(2024, 1, 3)
@@ -112,7 +112,9 @@ SIGNUP_COLUMNS = ["org_id", "created_at", "anonymous_id", "cloud_at", "utm_mediu
 
 def _lookback(spark, sf):
     # Ten days instead of thirty, so that older pages exist and are left out.
-    return signup.lookback_pages(_touch(spark, sf).select(*SIGNUP_COLUMNS), rows(spark, sf, "site_pages"), days=10)
+    # The signup touches are their own table, as they are read several times.
+    touched = stage(_touch(spark, sf).select(*SIGNUP_COLUMNS), "signup_touch")
+    return signup.lookback_pages(touched, rows(spark, sf, "site_pages"), days=10)
 
 
 @query(
@@ -252,10 +254,10 @@ def channel_rules_v3(spark, sf):
 LINEAR = """touches AS (
   SELECT DISTINCT user_id AS org_id, CAST(ts AS DATE) AS created_at, 'd' || k % 6 AS channel_detail, 'c' || k % 3 AS channel,
     'a' || k % 2 AS channel_aggregate, '30d_web' AS attr_source, utm_source AS channel_source, utm_medium AS channel_medium,
-    utm_campaign AS channel_campaign, session_id, ts AS touched_at FROM all_events WHERE event_type IN ('view', 'click') AND k % 9 > 6
+    utm_campaign AS channel_campaign, session_id, ts AS touched_at FROM all_events WHERE event_type IN ('view', 'click')
   UNION ALL
   SELECT user_id, CAST(ts AS DATE), 'd' || k % 6, 'c' || k % 3, 'a' || k % 2, 'signup_last_touch', utm_source, utm_medium, utm_campaign,
-    'Null_session_id', CAST(CAST(ts AS DATE) AS TIMESTAMP) FROM all_events WHERE event_type = 'signup' AND k % 9 > 6),
+    'Null_session_id', CAST(CAST(ts AS DATE) AS TIMESTAMP) FROM all_events WHERE event_type = 'signup'),
 linear AS (SELECT *, count(*) OVER (PARTITION BY org_id) AS num_channel, 1.0 / count(*) OVER (PARTITION BY org_id) AS linear_credit FROM touches)"""
 
 
@@ -274,10 +276,8 @@ def _linear(spark, sf):
         "session_id",
         "ts AS touched_at",
     )
-    # Touches near the signup belong to the last touch, further ones to the web touches.
-    far = touches.filter("k % 9 > 6")
-    last = far.filter("event_type = 'signup'").withColumn("created_at", F.col("created_at").cast("timestamp"))
-    web_touches = far.filter("event_type IN ('view', 'click')").withColumn("created_at", F.col("created_at").cast("timestamp"))
+    last = touches.filter("event_type = 'signup'").withColumn("created_at", F.col("created_at").cast("timestamp"))
+    web_touches = touches.filter("event_type IN ('view', 'click')").withColumn("created_at", F.col("created_at").cast("timestamp"))
     return signup.linear_touches(web_touches, last)
 
 
@@ -399,18 +399,17 @@ def unattributed_touches(spark, sf):
 
 @query(
     "leads_with_web_visit",
-    with_("all_events", "users", "memberships", "leads", then=SIGNUPS)
+    with_("all_events", "orgs", "users", "leads")
     + """SELECT DISTINCT l.id AS lead_or_contact_id FROM all_events w JOIN leads l ON l.id = 'L' || w.user_id
-JOIN (SELECT u.email, m.created_at FROM memberships m JOIN users u ON u.id = m.user_id) s ON s.email = l.email
-WHERE w.event_type = 'error' AND w.utm_medium IS NOT NULL AND w.ts < TIMESTAMP '2024-01-12' AND date_sub('minute', w.ts, s.created_at) <= 360""",
+JOIN (SELECT u.email, o.created_at FROM orgs o JOIN users u ON u.id = o.id) s ON s.email = l.email
+WHERE w.event_type = 'error' AND w.utm_medium IS NOT NULL AND date_sub('minute', w.ts, s.created_at) <= 360""",
 )
 def leads_with_web_visit(spark, sf):
-    visits = rows(spark, sf, "all_events").filter("event_type = 'error' AND ts < TIMESTAMP '2024-01-12'").selectExpr(
+    visits = rows(spark, sf, "all_events").filter("event_type = 'error'").selectExpr(
         "'L' || CAST(user_id AS STRING) AS lead_or_contact_id", "ts AS visit_time", "utm_medium AS medium"
     )
-    users = rows(spark, sf, "users").select(F.col("id").alias("user_id"), "email")
-    signups = rows(spark, sf, "memberships").join(users, "user_id").select("email", F.col("created_at").alias("signed_up_at"))
-    return signup.leads_with_web_visit(visits, rows(spark, sf, "leads"), signups)
+    signups = rows(spark, sf, "orgs").join(rows(spark, sf, "users").select("id", "email"), "id")
+    return signup.leads_with_web_visit(visits, rows(spark, sf, "leads"), signups.withColumnRenamed("created_at", "signed_up_at"))
 
 
 @query(

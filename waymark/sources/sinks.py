@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waymark.session import shared_folder
+
 
 def stamp(df: DataFrame, run_date: dt.date) -> DataFrame:
     """Add the run date as ``extract_date``."""
@@ -17,6 +20,18 @@ def full_refresh(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    For results that several later steps read: they are computed once, survive the loss
+    of executors, and later joins are planned with their true size.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/waymark/{uuid.uuid4().hex}/{name}"
+    full_refresh(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def replace_days(df: DataFrame, path: str, day: str = "extract_date") -> None:
     """Overwrite only the ``day`` partitions present in ``df``; other days stay as they are."""
     (
