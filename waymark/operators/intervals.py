@@ -19,6 +19,7 @@ def interval_join(
     after: int,
     matches: Callable[[Column, Column], Column],
     how: str = "inner",
+    row_id: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join rows with equal ``keys`` whose times satisfy ``matches(left_at, right_at)``.
 
@@ -26,7 +27,8 @@ def interval_join(
     after the left time; ``matches`` then decides exactly. Time is cut into buckets of
     that width: a left row has one bucket, a right row is copied to the buckets its
     window touches (two or three), and the bucket is part of the shuffle key. Put
-    the smaller table on the right. Other column names must not clash.
+    the smaller table on the right. Other column names must not clash. ``row_id`` names
+    columns that tell left rows without a key apart.
     """
     width = before + after
     second = F.unix_seconds(F.col(right_at))
@@ -36,7 +38,7 @@ def interval_join(
         unmatched = unmatched | F.col(k).isNull()
     lefts = left.withColumn(
         "__bucket",
-        F.when(unmatched, F.xxhash64(*left.columns)).otherwise(F.floor(F.unix_seconds(F.col(left_at)) / width)),
+        F.when(unmatched, F.xxhash64(*(row_id or left.columns))).otherwise(F.floor(F.unix_seconds(F.col(left_at)) / width)),
     )
     # One second of slack on each side covers fractions cut off by whole seconds.
     rights = right.select(

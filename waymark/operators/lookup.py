@@ -4,26 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 SALTS = 64
 
 
-def _null_safe(a: Sequence[Column], b: Sequence[Column]) -> Column:
-    on = F.lit(True)
-    for x, y in zip(a, b, strict=True):
-        on = on & (x == y)
-    return on
-
-
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,
     keys: Sequence[str],
     how: str = "left",
     *,
+    row_id: Sequence[str] | None = None,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -33,7 +27,8 @@ def lookup_join(
     count. There are at most ``rows / hot_rows`` of them, so that list is safe to
     broadcast. Rows of hot keys, and rows with a null key (which can never match), are
     spread over ``salts`` sub-keys; only the hot entries of ``table`` are repeated. All
-    other keys are joined once, untouched.
+    other keys are joined once, untouched. ``row_id`` names columns that tell rows of one
+    key apart (all columns if not given).
     """
     names = [f"__h{i}" for i in range(len(keys))]
     hot = (
@@ -53,7 +48,7 @@ def lookup_join(
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts)).cast("int")
+    spread = F.pmod(F.xxhash64(*(row_id or rows.columns)), F.lit(salts)).cast("int")
     salted = mark(rows).withColumn(
         "__salt", F.when(F.col("__hot") | any_null, spread).otherwise(F.lit(0))
     )

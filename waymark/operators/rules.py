@@ -1,19 +1,17 @@
-"""Ordered first-match rules as data, compiled to one CASE expression."""
+"""Ordered first-match rules as data, written out as one CASE expression."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from dataclasses import dataclass, field
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from waymark.functions.text import contains_any
-
 
 @dataclass(frozen=True)
-class Test:
+class Check:
     """One test on one field.
 
     ``op`` is one of ``in``, ``like`` (any pattern), ``has`` (contains any text),
@@ -28,77 +26,83 @@ class Test:
 
 @dataclass(frozen=True)
 class Rule:
-    """``label`` applies when, in any of ``cases``, all tests hold.
-
-    With ``label_from`` the label is read from that field.
-    """
+    """``label`` applies when, in any of ``cases``, all tests hold."""
 
     label: str
-    cases: tuple[tuple[Test, ...], ...]
-    label_from: str | None = field(default=None)
+    cases: tuple[tuple[Check, ...], ...]
 
 
-def is_in(name: str, *values: str) -> Test:
-    return Test(name, "in", values)
+def is_in(name: str, *values: str) -> Check:
+    return Check(name, "in", values)
 
 
-def like(name: str, *patterns: str) -> Test:
-    return Test(name, "like", patterns)
+def like(name: str, *patterns: str) -> Check:
+    return Check(name, "like", patterns)
 
 
-def has(name: str, *texts: str) -> Test:
-    return Test(name, "has", texts)
+def has(name: str, *texts: str) -> Check:
+    return Check(name, "has", texts)
 
 
-def lacks(name: str, *texts: str, known: bool = False) -> Test:
-    return Test(name, "not_has_known" if known else "not_has", texts)
+def lacks(name: str, *texts: str, known: bool = False) -> Check:
+    return Check(name, "not_has_known" if known else "not_has", texts)
 
 
-def is_null(name: str) -> Test:
-    return Test(name, "null")
+def is_null(name: str) -> Check:
+    return Check(name, "null")
 
 
-def present(name: str) -> Test:
-    return Test(name, "present")
+def present(name: str) -> Check:
+    return Check(name, "present")
 
 
-def rule(label: str, *tests: Test) -> Rule:
+def rule(label: str, *tests: Check) -> Rule:
     return Rule(label, (tests,))
 
 
-def any_of(label: str, *cases: Sequence[Test] | Test) -> Rule:
-    return Rule(label, tuple((c,) if isinstance(c, Test) else tuple(c) for c in cases))
+def any_of(label: str, *cases: Sequence[Check] | Check) -> Rule:
+    return Rule(label, tuple((c,) if isinstance(c, Check) else tuple(c) for c in cases))
+
+
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _contains(column: str, texts: Sequence[str]) -> str:
+    """One pattern for a list of texts keeps a long rule set small enough to compile."""
+    if len(texts) == 1:
+        return f"contains({column}, {_text(texts[0])})"
+    return f"{column} RLIKE {_text('|'.join(re.escape(t) for t in texts))}"
 
 
-def _test(test: Test) -> Column:
-    column = F.col(test.name)
+def _holds(test: Check) -> str:
+    column = f"`{test.name}`"
     if test.op == "in":
-        return column.isin(*test.values) if len(test.values) > 1 else column == test.values[0]
+        return f"{column} IN ({', '.join(_text(v) for v in test.values)})"
     if test.op == "like":
-        return reduce(lambda a, b: a | b, [column.like(p) for p in test.values])
+        return "(" + " OR ".join(f"{column} LIKE {_text(v)}" for v in test.values) + ")"
     if test.op == "has":
-        return contains_any(column, test.values)
+        return _contains(column, test.values)
     if test.op == "not_has_known":
-        return ~contains_any(column, test.values)
+        return f"NOT {_contains(column, test.values)}"
     if test.op == "not_has":
-        return column.isNull() | ~contains_any(column, test.values)
+        return f"({column} IS NULL OR NOT {_contains(column, test.values)})"
     if test.op == "null":
-        return column.isNull()
+        return f"{column} IS NULL"
     if test.op == "present":
-        return column.isNotNull()
+        return f"{column} IS NOT NULL"
     raise ValueError(test.op)
 
 
-def condition(rule: Rule) -> Column:
-    return reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [_test(t) for t in case]) for case in rule.cases])
+def condition(rule: Rule) -> str:
+    return " OR ".join("(" + " AND ".join(_holds(t) for t in case) + ")" for case in rule.cases)
 
 
-def first_match(rules: Sequence[Rule], default: Column | str | None) -> Column:
+def first_match(rules: Sequence[Rule], default: str) -> Column:
     """The label of the first rule that holds, else ``default``.
 
     A rule whose tests are unknown (null) does not hold: CASE moves on to the next one.
     """
-    chain = F
-    for r in rules:
-        chain = chain.when(condition(r), F.col(r.label_from) if r.label_from else F.lit(r.label))
-    return chain.otherwise(default if isinstance(default, Column) else F.lit(default))
+    whens = " ".join(f"WHEN {condition(r)} THEN {_text(r.label)}" for r in rules)
+    return F.expr(f"CASE {whens} ELSE {_text(default)} END")

@@ -13,6 +13,7 @@ from waymark.operators import asof_neighbours, first_match
 from waymark.plans import rulesets
 from waymark.plans.rulesets import DEFAULT, Vocabulary
 from waymark.plans.web import channel_detail, roll_up
+from waymark.sources.sinks import Stage, unstaged
 
 PROSPECTING_DAYS = "PG Prospecting Days"
 
@@ -255,10 +256,15 @@ def tactic_channels(df: DataFrame, v: Vocabulary = DEFAULT) -> DataFrame:
 
 
 def campaign_attribution(
-    touches: DataFrame, campaigns: DataFrame, excluded: DataFrame, touchpoints: DataFrame, v: Vocabulary = DEFAULT
+    touches: DataFrame,
+    campaigns: DataFrame,
+    excluded: DataFrame,
+    touchpoints: DataFrame,
+    v: Vocabulary = DEFAULT,
+    stage: Stage = unstaged,
 ) -> DataFrame:
-    """From touch set to final channel."""
-    bucketed = bucket_touches(touches, campaigns, excluded, v)
+    """From touch set to final channel. Matching reads the bucketed touches twice; ``stage`` them."""
+    bucketed = stage(bucket_touches(touches, campaigns, excluded, v), "bucketed")
     matched = match_web_visit(bucketed, web_visits(touchpoints))
     return tactic_channels(group_tactics(backfill_organic(matched), v), v)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from waymark.functions import times
 from waymark.operators import full_merge, interval_join, lookup_join
 from waymark.plans.rulesets import DEFAULT, Vocabulary
-from waymark.sources.sinks import stamp
+from waymark.sources.sinks import Stage, stamp, unstaged
 
 # Placeholders that let missing keys meet in the merge, and windows in days.
 NO_KEY = "Null "
@@ -27,7 +27,7 @@ def pages_with_leads(pages: DataFrame, lead_map: DataFrame, by_source: bool = Tr
         columns["domain"] = "source"
     known = lead_map.select(*[F.col(src).alias(name) for name, src in columns.items()]).distinct()
     keys = ["visitor_id", "domain"] if by_source else ["visitor_id"]
-    return lookup_join(pages, known, keys).withColumn("visit_month", times.month(F.col("visit_start_time")))
+    return lookup_join(pages, known, keys, row_id=["page_visit_id"]).withColumn("visit_month", times.month(F.col("visit_start_time")))
 
 
 def _around_visits(visits: DataFrame, inquiries: DataFrame, at: str, how: str) -> DataFrame:
@@ -38,7 +38,16 @@ def _around_visits(visits: DataFrame, inquiries: DataFrame, at: str, how: str) -
         return times.whole_units("DAY", visit, inquiry).between(-VISIT_DAYS, VISIT_DAYS)
 
     return interval_join(
-        visits, inquiries, ["lead_or_contact_id"], "visit_start_time", at, before=reach, after=reach, matches=near, how=how
+        visits,
+        inquiries,
+        ["lead_or_contact_id"],
+        "visit_start_time",
+        at,
+        before=reach,
+        after=reach,
+        matches=near,
+        how=how,
+        row_id=["page_visit_id"],
     )
 
 
@@ -94,16 +103,18 @@ def web_dashboard(
     domains: Sequence[str],
     by_source: bool = True,
     vocabulary: Vocabulary = DEFAULT,
+    stage: Stage = unstaged,
 ) -> DataFrame:
     """Page visits with their leads, inquiries and funnel stages, one row per visit, lead and member.
 
     ``funnel`` and ``inquiries`` are two views on inquiries that need not agree; a visit
-    appears with those of both.
+    appears with those of both. The visits are read four times: pass
+    :func:`waymark.sources.sinks.stage` to compute them once.
     """
     start = times.previous_quarter_start(run_date)
     since = F.lit(start).cast("timestamp")
     scanned = pages.filter(times.rolling_window("visit_start_time", run_date) & F.col("domain").isin(*domains))
-    visits = pages_with_leads(scanned, lead_map, by_source)
+    visits = stage(pages_with_leads(scanned, lead_map, by_source), "visits")
     leads = visits.select("lead_or_contact_id")
     in_funnel = funnel.filter(F.col("inquiry_date_time") >= since).distinct().join(leads, "lead_or_contact_id", "left_semi")
     asked = (
@@ -183,38 +194,32 @@ def monthly_kpis(
         joined, signed, ["lead_or_contact_id"], "visit_start_time", "signed_at", before=0, after=day, matches=within_a_day, how="left"
     )
     downloads = F.col("campaign_type").isin(vocabulary.platform_download, vocabulary.community_download)
-    # One row per (month, domain, client) and per (month, domain, lead) first: no expansion
-    # of the joined rows for the four distinct counts.
-    keyed = joined.select(
-        times.month(F.col("visit_start_time")).alias("visit_month"),
-        F.element_at(label, F.col("hostname")).alias("domain"),
-        "ga_client_id",
-        F.when(F.col("is_new_visitor") == "New", 1).otherwise(0).alias("is_new"),
-        "num_pageviews",
-        F.when(F.col("asked_at").isNotNull() & (F.col("tactic") != vocabulary.cloud_signup), F.col("lead_or_contact_id")).alias("converted"),
-        F.when(downloads, 1).otherwise(0).alias("downloaded"),
-        "signup_lead",
-    )
     groups = ["visit_month", "domain"]
-    clients = (
-        keyed.groupBy(*groups, "ga_client_id")
-        .agg(F.sum("is_new").alias("new"), F.sum("num_pageviews").alias("views"), F.max("downloaded").alias("downloaded"))
-        .groupBy(*groups)
-        .agg(
-            F.count("ga_client_id").alias("num_uv"),
-            F.sum("new").alias("new"),
-            F.sum("views").alias("views"),
-            F.sum(F.when(F.col("ga_client_id").isNotNull(), F.col("downloaded")).otherwise(0)).alias("cp_cc_inquiry"),
+    entities = ["ga_client_id", "converted", "signup_lead"]
+    # Reduced to one row per combination of the counted ids first, so that the distinct
+    # counts expand few rows and the joins run once.
+    reduced = (
+        joined.select(
+            times.month(F.col("visit_start_time")).alias("visit_month"),
+            F.element_at(label, F.col("hostname")).alias("domain"),
+            "ga_client_id",
+            F.when(F.col("asked_at").isNotNull() & (F.col("tactic") != vocabulary.cloud_signup), F.col("lead_or_contact_id")).alias("converted"),
+            "signup_lead",
+            F.when(F.col("is_new_visitor") == "New", 1).otherwise(0).alias("is_new"),
+            "num_pageviews",
+            downloads.alias("downloaded"),
         )
+        .groupBy(*groups, *entities)
+        .agg(F.sum("is_new").alias("new"), F.sum("num_pageviews").alias("views"), F.max("downloaded").alias("downloaded"))
     )
-
-    def distinct_of(column: str, name: str) -> DataFrame:
-        return keyed.select(*groups, column).dropna(subset=[column]).distinct().groupBy(*groups).agg(F.count(column).alias(name))
-
-    full = clients.join(distinct_of("converted", "num_converted_leads"), groups, "left").join(
-        distinct_of("signup_lead", "signup"), groups, "left"
+    full = reduced.groupBy(*groups).agg(
+        F.count_distinct("ga_client_id").alias("num_uv"),
+        F.sum("new").alias("new"),
+        F.sum("views").alias("views"),
+        F.count_distinct("converted").alias("num_converted_leads"),
+        F.count_distinct(F.when(F.col("downloaded"), F.col("ga_client_id"))).alias("cp_cc_inquiry"),
+        F.count_distinct("signup_lead").alias("signup"),
     )
-    full = full.fillna(0, ["num_converted_leads", "signup"])
 
     def per_visitor(column: str):
         return F.try_divide(F.col(column), F.col("num_uv"))

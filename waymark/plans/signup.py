@@ -49,9 +49,17 @@ def cohort_touches(touches: DataFrame, key: str, cohort: DataFrame, cohort_key:
 
 
 def _nearest(cohort: DataFrame, touches: DataFrame, key: str, hours_off: int | None, out: str, payload: list[str]) -> DataFrame:
-    """Struct ``out``: the touch nearest to ``created_at``, within ``hours_off`` whole hours if given."""
+    """Per org a struct ``out``: the touch nearest to ``created_at``, within ``hours_off`` whole hours if given."""
+    people = cohort.select("org_id", "created_at", F.col("first_user_id").alias("user_id"), "email").dropna(subset=[key])
     found = asof_neighbours(
-        cohort, touches, [key], F.col("created_at"), F.col("timestamp"), payload, by_month, right_order=payload
+        people.select("org_id", "created_at", key),
+        touches,
+        [key],
+        F.col("created_at"),
+        F.col("timestamp"),
+        payload,
+        by_month,
+        right_order=payload,
     )
 
     def usable(touch: str) -> Column:
@@ -65,7 +73,7 @@ def _nearest(cohort: DataFrame, touches: DataFrame, key: str, hours_off: int | N
 
     prev_ok, next_ok = F.coalesce(usable("prev"), F.lit(False)), F.coalesce(usable("next"), F.lit(False))
     nearer = F.when(prev_ok & (~next_ok | (micros("prev") <= micros("next"))), F.col("prev")).when(next_ok, F.col("next"))
-    return found.withColumn(out, nearer).drop("prev", "next", "earliest")
+    return found.select("org_id", nearer.alias(out))
 
 
 def signup_touch(
@@ -89,10 +97,13 @@ def signup_touch(
         return df.filter(any_present(*TOUCH_FIELDS)) if eligible_first else df
 
     fields = [*TOUCH_FIELDS, "anonymous_id"]
-    people = cohort.withColumn("user_id", F.col("first_user_id"))
-    found = _nearest(people, eligible(identifies), "email", hours_off, "i", [*fields, "ga_cid", "session_id"])
-    found = _nearest(found, eligible(socials), "user_id", None, "s", fields)
-    found = _nearest(found, eligible(cloud_pages), "user_id", hours_off, "c", fields)
+    found = cohort
+    for source in (
+        _nearest(cohort, eligible(identifies), "email", hours_off, "i", [*fields, "ga_cid", "session_id"]),
+        _nearest(cohort, eligible(socials), "user_id", None, "s", fields),
+        _nearest(cohort, eligible(cloud_pages), "user_id", hours_off, "c", fields),
+    ):
+        found = found.join(source, "org_id", "left")
 
     def pick(field: str) -> Column:
         return F.coalesce(*[F.col(s).getField(field) for s in ("i", "s", "c")])

@@ -86,7 +86,7 @@ def tag_columns(pages: DataFrame) -> DataFrame:
 def channel_detail(
     df: DataFrame,
     rules: Sequence,
-    default: str | None,
+    default: str,
     fields: Mapping[str, str],
     out: str = "channel_detail",
 ) -> DataFrame:
@@ -145,7 +145,7 @@ def new_or_returned(pages: DataFrame, visitors: DataFrame, unit: str = "month")
     seen, now = F.date_trunc(unit, "first_visit_time"), F.date_trunc(unit, "visit_start_time")
     flag = F.when(now == seen, F.lit("New")).when(now > seen, F.lit("Returned")).otherwise(F.lit("None"))
     return (
-        lookup_join(pages, first, ["visitor_id"])
+        lookup_join(pages, first, ["visitor_id"], row_id=["page_visit_id"])
         .withColumn("flg_new_vs_returned", flag)
         .drop("first_visit_time")
     )
@@ -294,7 +294,7 @@ def cta_pages(
 def cta_flags(pages: DataFrame, cta: DataFrame) -> DataFrame:
     """Mark thank-you pages and call-to-action pages."""
     listed = cta.select("url_cleaned", F.lit(True).alias("flg_page_cta"))
-    joined = lookup_join(pages, listed, ["url_cleaned"])
+    joined = lookup_join(pages, listed, ["url_cleaned"], row_id=["page_visit_id"])
     return joined.withColumns(
         {
             "flg_page_thank_you": F.coalesce(F.col("url_cleaned").contains(THANK_YOU), F.lit(False)),

@@ -10,8 +10,7 @@ from waymark.operators.sequence import days_and_blocks
 from waymark.plans import assist, credits, identity
 from waymark.queries.identity import ACCOUNTS, PLACED, SNAPSHOTS, accounts, snapshots
 from waymark.queries.registry import query, r6
-from waymark.queries.standins import rows, with_
-from waymark.sources.tables import read_table
+from waymark.queries.standins import rows, table, with_
 
 SINCE = dt.date(2024, 1, 3)
 
@@ -174,8 +173,8 @@ FROM orders JOIN customer ON c_custkey = o_custkey
 WHERE o_orderdate >= TIMESTAMP '1996-08-31 23:00:00' AND c_nationkey <> 1""",
 )
 def global_order(spark, sf):
-    customers = read_table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    signups = read_table(spark, sf, "orders").join(customers, "o_custkey").selectExpr(
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    signups = table(spark, sf, "orders").join(customers, "o_custkey").selectExpr(
         "o_orderkey AS org_id", "o_orderdate AS first_org_signup_at", "o_custkey AS assist_owner", "c_nationkey AS is_csdr"
     )
     cutoff = F.expr("timestamp '1996-08-31 16:00:00 America/Los_Angeles'")
@@ -192,7 +191,7 @@ FROM (SELECT *, CASE WHEN o_orderstatus = 'F' THEN row_number() OVER (PARTITION
 JOIN customer ON c_custkey = o_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
 )
 def quarter_flag(spark, sf):
-    orders = read_table(spark, sf, "orders")
+    orders = table(spark, sf, "orders")
     assists = orders.selectExpr(
         "o_orderkey AS org_id",
         "o_orderdate AS first_org_signup_at",
@@ -204,9 +203,9 @@ def quarter_flag(spark, sf):
         assists, F.lit("1990-01-01").cast("timestamp"), chunk=days_and_blocks("first_org_signup_at", "org_id")
     )
     regions = (
-        orders.join(read_table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(read_table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(read_table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        orders.join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .selectExpr("o_orderkey AS org_id", "r_name AS region")
     )
     out = assist.finish_report(assists, order, regions, dt.date(1998, 10, 5), {5: "Override", 50: "Override"})
@@ -229,11 +228,11 @@ reached AS (SELECT org_id, credit_expiration_date, min(CASE WHEN abs(running_tot
 
 
 def _burned(spark, sf):
-    orders = read_table(spark, sf, "orders")
+    orders = table(spark, sf, "orders")
     grants = orders.filter("o_orderpriority = '1-URGENT'").selectExpr(
         "o_custkey AS org_id", "DATE '1999-06-30' + CAST(o_custkey % 400 AS INT) AS credit_expiration_date"
     )
-    billing = read_table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+    billing = table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
         "o_custkey AS org_id",
         "CAST(l_shipdate AS DATE) AS date",
         "-l_extendedprice / 1000 AS bill_amount_usd",
@@ -266,7 +265,7 @@ FROM reached r JOIN (SELECT c_custkey, c_acctbal, c_nationkey, CASE c_mktsegment
 WHERE date_reach_200 IS NOT NULL AND c_nationkey < 20 AND c_acctbal < 9000""",
 )
 def payment_flag(spark, sf):
-    customer = read_table(spark, sf, "customer")
+    customer = table(spark, sf, "customer")
     orgs = customer.selectExpr(
         "c_custkey AS id",
         "c_custkey AS billing_customer_id",

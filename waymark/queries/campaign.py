@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from waymark.operators import quality
 from waymark.plans import campaign, paid_media, rulesets
 from waymark.queries.registry import query, r6, rules_sql
-from waymark.queries.standins import rows, with_
-from waymark.sources.tables import read_table
+from waymark.queries.standins import rows, table, with_
+from waymark.sources.sinks import stage
 
 PARENT = 7
 SINCE = dt.date(2024, 1, 3)
@@ -29,7 +29,7 @@ def _excluded(spark, sf):
 
 
 def _bridge(spark, sf):
-    filled = read_table(spark, sf, "orders").filter("o_orderstatus = 'F'")
+    filled = table(spark, sf, "orders").filter("o_orderstatus = 'F'")
     return filled.selectExpr("'L' || CAST(o_custkey AS STRING) AS lead_id").distinct()
 
 
@@ -77,13 +77,13 @@ TOUCHES = f"""{ATTRIBUTED}, {LEAD_TOUCHES}, {ROLES}, touches AS (
 
 
 def _roles(spark, sf):
-    held = read_table(spark, sf, "supplier").filter("s_acctbal > 2000")
+    held = table(spark, sf, "supplier").filter("s_acctbal > 2000")
     return held.selectExpr("'C' || CAST(s_suppkey AS STRING) AS contact_id", "'OS' || CAST(s_nationkey AS STRING) AS opportunity_id").distinct()
 
 
 def _lead_touches(spark, sf):
     described = rows(spark, sf, "campaigns").select(F.col("id").alias("campaign_id"), "campaign_name", "campaign_team", "campaign_type")
-    orders = read_table(spark, sf, "orders").withColumn("campaign_id", F.expr("o_custkey % 50"))
+    orders = table(spark, sf, "orders").withColumn("campaign_id", F.expr("o_custkey % 50"))
     return orders.join(described, "campaign_id").selectExpr(
         "campaign_id",
         "'Q' || CAST(o_orderkey AS STRING) AS inquiry_id",
@@ -160,7 +160,7 @@ visits AS (SELECT * EXCLUDE (channel, sfdc_campaign_type), CASE WHEN channel = '
 
 
 def _touchpoints(spark, sf):
-    return read_table(spark, sf, "orders").selectExpr(
+    return table(spark, sf, "orders").selectExpr(
         "o_orderdate + INTERVAL 20 HOURS - make_dt_interval(CAST(o_orderkey % 2 AS INT)) AS visit_time",
         "'L' || CAST(o_custkey AS STRING) AS lead_id",
         "CASE o_orderkey % 6 WHEN 0 THEN 'type.community' WHEN 1 THEN 'tm.campaigns.w' ELSE 'w' || CAST(o_orderkey % 6 AS STRING) END AS campaign_name",
@@ -191,7 +191,8 @@ filled AS (SELECT * EXCLUDE (channel), CASE WHEN channel <> 'Organic' THEN chann
 
 def _filled(spark, sf):
     visits = campaign.web_visits(_touchpoints(spark, sf))
-    return campaign.backfill_organic(campaign.match_web_visit(_bucketed(spark, sf), visits))
+    bucketed = stage(_bucketed(spark, sf), "bucketed")
+    return campaign.backfill_organic(campaign.match_web_visit(bucketed, visits))
 
 
 FILLED_COLUMNS = [
@@ -244,7 +245,7 @@ def tactic_group(spark, sf):
 )
 def channel_rules_v2(spark, sf):
     out = campaign.campaign_attribution(
-        _touches(spark, sf), rows(spark, sf, "campaigns"), _excluded(spark, sf), _touchpoints(spark, sf), VOCABULARY
+        _touches(spark, sf), rows(spark, sf, "campaigns"), _excluded(spark, sf), _touchpoints(spark, sf), VOCABULARY, stage
     )
     return out.select(
         "inquiry_id",
@@ -366,7 +367,7 @@ LEFT JOIN (SELECT DISTINCT r_regionkey, r_name AS name FROM region) n ON n.r_reg
 LEFT JOIN region r ON r.r_regionkey = s.targeting""",
 )
 def paid_performance(spark, sf):
-    region = read_table(spark, sf, "region")
+    region = table(spark, sf, "region")
     contents = region.selectExpr("r_regionkey AS content_code", "r_name AS content_name", "r_name AS content_type")
     targetings = region.selectExpr("r_regionkey AS targeting_code", "r_name AS targeting_name")
     out = paid_media.paid_performance(
@@ -398,6 +399,6 @@ def drilldown(spark, sf):
 AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'A')""",
 )
 def version_diff(spark, sf):
-    now = read_table(spark, sf, "orders").filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_orderstatus")
-    before = read_table(spark, sf, "lineitem").filter("l_returnflag = 'A'").select(F.col("l_orderkey").alias("o_orderkey"))
+    now = table(spark, sf, "orders").filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_orderstatus")
+    before = table(spark, sf, "lineitem").filter("l_returnflag = 'A'").select(F.col("l_orderkey").alias("o_orderkey"))
     return quality.missing_keys(now, before, "o_orderkey")

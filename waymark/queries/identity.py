@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from waymark.plans import identity
 from waymark.queries.registry import query
-from waymark.queries.standins import K, ev, rows, with_
-from waymark.sources.tables import read_table
+from waymark.queries.standins import ev, K, rows, table, with_
 
 RUN_DATE = dt.date(2024, 1, 16)
 
@@ -39,9 +38,9 @@ JOIN ranked r ON r.rnk = 1 AND r.ga_cid = 'g' || CAST(c.c_nationkey * 3 AS VARCH
 )
 def identity_bridge_rank(spark, sf):
     # Sessions are the embedding rows (a repeated column); both bridges go through the nation.
-    sessions = read_table(spark, sf, "embeddings").selectExpr("'g' || CAST(vec_id % 60 AS STRING) AS client_id", "embedding AS hits")
-    nation = read_table(spark, sf, "nation").selectExpr("'g' || CAST(n_nationkey * 3 AS STRING) AS ga_client_id", "n_nationkey AS bridge_id")
-    lead_bridge = read_table(spark, sf, "customer").selectExpr("'L' || CAST(c_custkey AS STRING) AS lead_id", "c_nationkey AS bridge_id")
+    sessions = table(spark, sf, "embeddings").selectExpr("'g' || CAST(vec_id % 60 AS STRING) AS client_id", "embedding AS hits")
+    nation = table(spark, sf, "nation").selectExpr("'g' || CAST(n_nationkey * 3 AS STRING) AS ga_client_id", "n_nationkey AS bridge_id")
+    lead_bridge = table(spark, sf, "customer").selectExpr("'L' || CAST(c_custkey AS STRING) AS lead_id", "c_nationkey AS bridge_id")
     return identity.lead_to_client(rows(spark, sf, "leads"), sessions, rows(spark, sf, "identifies"), nation, lead_bridge)
 
 
@@ -51,7 +50,7 @@ def identity_bridge_rank(spark, sf):
 FROM (SELECT label, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings) GROUP BY label""",
 )
 def unnest_scan(spark, sf):
-    flat = identity.unnest(read_table(spark, sf, "embeddings"), "embedding", ["label"], "x")
+    flat = identity.unnest(table(spark, sf, "embeddings"), "embedding", ["label"], "x")
     return flat.groupBy("label").agg(F.count("x").alias("n"), F.round(F.sum(F.col("x").cast("double")), 3).alias("total"))
 
 
@@ -89,7 +88,7 @@ ACCOUNTS = """accounts AS (SELECT n_nationkey AS id, CASE WHEN n_nationkey % 4 <
 
 
 def accounts(spark, sf):
-    joined = read_table(spark, sf, "nation").join(read_table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    joined = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return joined.selectExpr(
         "n_nationkey AS id", "CASE WHEN n_nationkey % 4 <> 0 THEN n_name END AS area", "r_name AS region", "n_name || '/' || r_name AS subregion"
     )
@@ -124,7 +123,7 @@ merges AS (SELECT g.id AS deleted_lead_id, g.email AS deleted_email, h.lead_id A
 
 
 def _merges(spark, sf):
-    customer = read_table(spark, sf, "customer")
+    customer = table(spark, sf, "customer")
     day = "CAST(DATE '2024-01-01' + CAST(c_nationkey AS INT) AS TIMESTAMP)"
     leads = customer.selectExpr(
         "c_name AS name",
@@ -157,7 +156,7 @@ def merged_leads(spark, sf):
 FROM (SELECT o_custkey AS org_id, 'u' || o_custkey || '@old.example.org' AS email FROM orders) s LEFT JOIN merges m ON s.email = m.deleted_email""",
 )
 def merged_identity(spark, sf):
-    signups = read_table(spark, sf, "orders").selectExpr(
+    signups = table(spark, sf, "orders").selectExpr(
         "o_custkey AS org_id", "'u' || CAST(o_custkey AS STRING) || '@old.example.org' AS email"
     )
     return identity.apply_merges(signups, _merges(spark, sf))
@@ -170,9 +169,9 @@ def merged_identity(spark, sf):
 LEFT JOIN customer ON c_custkey = o_custkey WHERE rn = 1""",
 )
 def first_child_per_parent(spark, sf):
-    orders = read_table(spark, sf, "orders")
+    orders = table(spark, sf, "orders")
     memberships = orders.selectExpr("o_custkey AS org_id", "o_orderkey AS user_id", "o_orderdate AS created_at")
-    users = orders.join(read_table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left").selectExpr(
+    users = orders.join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left").selectExpr(
         "o_orderkey AS id", "c_name AS email", "o_orderdate AS created_at"
     )
     return identity.first_user_per_org(users, memberships).select("org_id", "user_id", "email", "joined_at")
@@ -267,7 +266,7 @@ FROM orders LEFT JOIN (VALUES ('1-URGENT', 'Ann'), ('2-HIGH', 'Bo'), ('5-LOW', '
   ON o_orderpriority = sdr_name""",
 )
 def static_lookup(spark, sf):
-    orders = read_table(spark, sf, "orders").selectExpr("o_orderkey", "o_orderpriority AS user_name")
+    orders = table(spark, sf, "orders").selectExpr("o_orderkey", "o_orderpriority AS user_name")
     managers = spark.createDataFrame([("1-URGENT", "Ann"), ("2-HIGH", "Bo"), ("5-LOW", "Cy")], "sdr_name string, manager_name string")
     return identity.with_manager(orders, managers)
 
@@ -327,10 +326,10 @@ LEFT JOIN (SELECT DISTINCT n_name AS country, r_name AS theater FROM supplier JO
            JOIN region ON n_regionkey = r_regionkey) ON country = country_name""",
 )
 def geo_enrich(spark, sf):
-    nation, region = read_table(spark, sf, "nation"), read_table(spark, sf, "region")
-    customers = read_table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+    customers = table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     touchpoints = (
-        read_table(spark, sf, "supplier")
+        table(spark, sf, "supplier")
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .selectExpr("n_name AS country", "r_name AS theater")
@@ -345,7 +344,7 @@ def geo_enrich(spark, sf):
 FROM customer WHERE c_nationkey % 5 = 4 OR lower(c_mktsegment) || '@' || lower(c_name) NOT LIKE 'machinery@%'""",
 )
 def exclude_pattern(spark, sf):
-    people = read_table(spark, sf, "customer").selectExpr(
+    people = table(spark, sf, "customer").selectExpr(
         "c_custkey", "CASE WHEN c_nationkey % 5 <> 4 THEN lower(c_mktsegment) || '@' || lower(c_name) END AS email"
     )
     with_null = identity.without_internal(people, "machinery@%")

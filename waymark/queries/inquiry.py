@@ -10,9 +10,8 @@ from waymark.functions import times
 from waymark.plans import dashboard, identity, inquiry
 from waymark.queries.identity import PEOPLE, SIGNUPS
 from waymark.queries.registry import query, r6
-from waymark.queries.standins import rows, with_
-from waymark.sources.sinks import stamp
-from waymark.sources.tables import read_table
+from waymark.queries.standins import rows, table, with_
+from waymark.sources.sinks import stage, stamp
 
 DAY = dt.date(2024, 1, 16)
 RUN_DATE = dt.date(2024, 2, 15)
@@ -25,7 +24,7 @@ DOMAINS = ("www.example.com", "developer.example.com")
 WHERE o_orderdate >= TIMESTAMP '1997-10-01' AND o_orderdate < TIMESTAMP '1998-02-13'""",
 )
 def rolling_scan(spark, sf):
-    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     return orders.filter(times.rolling_window("o_orderdate", dt.date(1998, 2, 14)))
 
 
@@ -58,7 +57,7 @@ def member_base(spark, sf):
 
 
 def _member_base(spark, sf):
-    nation = read_table(spark, sf, "nation").join(read_table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    nation = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return inquiry.member_base(
         rows(spark, sf, "members"),
         rows(spark, sf, "campaigns"),
@@ -90,7 +89,7 @@ GROUP BY ALL""",
 def member_buckets(spark, sf):
     # The full key of the given rows as member id, so that hardly any row is a repeat.
     numbered = rows(spark, sf, "members").withColumn("id", F.col("row_id")).drop("row_id")
-    nation = read_table(spark, sf, "nation").join(read_table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    nation = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     base = inquiry.member_base(
         numbered,
         rows(spark, sf, "campaigns"),
@@ -307,7 +306,7 @@ def _pages(spark, sf):
 
 def _dashboard(spark, sf):
     return dashboard.web_dashboard(
-        _pages(spark, sf), _visitor_leads(spark, sf), rows(spark, sf, "funnel"), rows(spark, sf, "typed_inquiries"), RUN_DATE, domains=DOMAINS
+        _pages(spark, sf), _visitor_leads(spark, sf), rows(spark, sf, "funnel"), rows(spark, sf, "typed_inquiries"), RUN_DATE, domains=DOMAINS, stage=stage
     )
 
 
@@ -452,7 +451,7 @@ def monthly_kpis(spark, sf):
         "CASE WHEN length(page_visit_id) % 2 = 0 THEN 'New' ELSE 'Returning' END AS is_new_visitor",
         "length(url) AS num_pageviews",
     )
-    customers = read_table(spark, sf, "orders").filter("o_orderstatus = 'F'").select("o_custkey").distinct()
+    customers = table(spark, sf, "orders").filter("o_orderstatus = 'F'").select("o_custkey").distinct()
     clients = customers.selectExpr(
         "'g' || CAST(o_custkey AS STRING) AS ga_client_id", "'L' || CAST(o_custkey AS STRING) AS lead_or_contact_id"
     )
@@ -472,4 +471,4 @@ def monthly_kpis(spark, sf):
 
 @query("run_date_stamp", "SELECT o_orderkey, TIMESTAMP '2024-01-16 00:00:00' AS extract_date FROM orders")
 def run_date_stamp(spark, sf):
-    return stamp(read_table(spark, sf, "orders").select("o_orderkey"), DAY)
+    return stamp(table(spark, sf, "orders").select("o_orderkey"), DAY)

@@ -6,18 +6,17 @@ from pyspark.sql import functions as F
 
 from waymark.operators import quality
 from waymark.queries.registry import query, r6
-from waymark.queries.standins import rows, with_
-from waymark.sources.tables import read_table
+from waymark.queries.standins import rows, table, with_
 
 
 @query("grain_check", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
 def grain_check(spark, sf):
-    return quality.duplicate_keys(read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+    return quality.duplicate_keys(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query("row_vs_distinct", "SELECT count(*) AS n_rows, count(DISTINCT o_custkey) AS n_keys FROM orders")
 def row_vs_distinct(spark, sf):
-    return quality.rows_and_keys(read_table(spark, sf, "orders"), ["o_custkey"])
+    return quality.rows_and_keys(table(spark, sf, "orders"), ["o_custkey"])
 
 
 @query(
@@ -27,10 +26,10 @@ UNION ALL SELECT 'orders', count(*) FROM orders
 UNION ALL SELECT 'with lines', count(*) FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
 )
 def stage_counts(spark, sf):
-    orders, lines = read_table(spark, sf, "orders"), read_table(spark, sf, "lineitem")
+    orders, lines = table(spark, sf, "orders"), table(spark, sf, "lineitem")
     return quality.stage_counts(
         {
-            "pages": read_table(spark, sf, "events").filter("event_type = 'view'"),
+            "pages": table(spark, sf, "events").filter("event_type = 'view'"),
             "orders": orders,
             "with lines": orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")),
         }
@@ -43,8 +42,8 @@ def stage_counts(spark, sf):
 UNION ALL SELECT DISTINCT o_custkey, 'left' FROM orders WHERE o_orderstatus = 'F' AND o_custkey NOT IN (SELECT c_custkey FROM customer)""",
 )
 def reconcile_both(spark, sf):
-    customers = read_table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
-    ordering = read_table(spark, sf, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("id"))
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
+    ordering = table(spark, sf, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("id"))
     return quality.reconcile(customers, ordering, "id")
 
 
@@ -56,8 +55,8 @@ UNION ALL SELECT c_nationkey, 'left' FROM (SELECT DISTINCT c_nationkey FROM cust
 WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)""",
 )
 def reconcile_suppliers(spark, sf):
-    suppliers = read_table(spark, sf, "supplier").filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("id"))
-    customers = read_table(spark, sf, "customer").filter("c_acctbal > 9900").select(F.col("c_nationkey").alias("id"))
+    suppliers = table(spark, sf, "supplier").filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("id"))
+    customers = table(spark, sf, "customer").filter("c_acctbal > 9900").select(F.col("c_nationkey").alias("id"))
     return quality.reconcile(suppliers, customers, "id")
 
 
@@ -91,7 +90,7 @@ def not_in_with_nulls(spark, sf):
     "SELECT l_partkey, count(DISTINCT l_suppkey) AS n_parents FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) > 1",
 )
 def one_to_many(spark, sf):
-    return quality.several_parents(read_table(spark, sf, "lineitem"), "l_partkey", "l_suppkey")
+    return quality.several_parents(table(spark, sf, "lineitem"), "l_partkey", "l_suppkey")
 
 
 @query(
@@ -101,7 +100,7 @@ def one_to_many(spark, sf):
   WHERE o_orderdate >= TIMESTAMP '1998-03-01' AND o_orderdate < TIMESTAMP '1998-04-01' GROUP BY 1)""",
 )
 def avg_per_parent(spark, sf):
-    month = read_table(spark, sf, "orders").filter(
+    month = table(spark, sf, "orders").filter(
         "o_orderdate >= TIMESTAMP '1998-03-01 00:00:00' AND o_orderdate < TIMESTAMP '1998-04-01 00:00:00'"
     )
     out = quality.average_children(month, "o_custkey", "o_orderkey")
@@ -114,7 +113,7 @@ def avg_per_parent(spark, sf):
   substr(c_name, 10, 4) AS part, lower(c_mktsegment) LIKE 'm_chin%' AS wild, split(c_name, '#')[-1] AS tail FROM customer""",
 )
 def string_funcs(spark, sf):
-    return read_table(spark, sf, "customer").select(
+    return table(spark, sf, "customer").select(
         "c_custkey",
         F.lower("c_name").alias("low"),
         F.concat("c_name", F.lit(", "), "c_mktsegment").alias("joined"),
@@ -132,7 +131,7 @@ def string_funcs(spark, sf):
   CAST(date_sub('hour', TIMESTAMP '1998-01-01 12:30:00', o_orderdate) AS BIGINT) AS hours FROM orders""",
 )
 def cast_funcs(spark, sf):
-    return read_table(spark, sf, "orders").selectExpr(
+    return table(spark, sf, "orders").selectExpr(
         "o_orderkey",
         "CAST(o_orderkey AS STRING) AS as_text",
         "TRY_CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS as_number",
@@ -148,7 +147,7 @@ def cast_funcs(spark, sf):
   count(DISTINCT CASE WHEN o_orderpriority = '1-URGENT' AND o_totalprice > 400000 THEN o_custkey END) AS urgent_large FROM orders""",
 )
 def match_coverage(spark, sf):
-    flags = read_table(spark, sf, "orders").groupBy("o_custkey").agg(
+    flags = table(spark, sf, "orders").groupBy("o_custkey").agg(
         F.max(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).alias("filled"),
         F.max(F.when((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 400000), 1).otherwise(0)).alias("urgent_large"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.operators.rules import Rule, Test
+from waymark.operators.rules import Rule, Check
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -34,7 +34,7 @@ def _literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _holds(test: Test, fields: Mapping[str, str]) -> str:
+def _holds(test: Check, fields: Mapping[str, str]) -> str:
     f = fields[test.name]
     values = [_literal(v) for v in test.values]
     contains = " OR ".join(f"strpos({f}, {v}) > 0" for v in values)

@@ -9,9 +9,10 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from waymark.queries.registry import query
+from waymark.queries.standins import table
 from waymark.session import shared_folder
 from waymark.sources import sinks
-from waymark.sources.tables import read_delimited, read_evolved, read_table
+from waymark.sources.tables import read_delimited, read_evolved
 
 
 def _folder(spark, name: str) -> str:
@@ -21,7 +22,7 @@ def _folder(spark, name: str) -> str:
 @query("external_csv", "SELECT DISTINCT s_name AS sdr_name, 'manager ' || s_nationkey AS manager_name FROM supplier")
 def external_csv(spark, sf):
     path = _folder(spark, "managers")
-    listed = read_table(spark, sf, "supplier").selectExpr("s_name AS sdr_name", "'manager ' || CAST(s_nationkey AS STRING) AS manager_name")
+    listed = table(spark, sf, "supplier").selectExpr("s_name AS sdr_name", "'manager ' || CAST(s_nationkey AS STRING) AS manager_name")
     listed.write.mode("overwrite").option("header", True).csv(path)
     return read_delimited(spark, path, "sdr_name STRING, manager_name STRING")
 
@@ -29,7 +30,7 @@ def external_csv(spark, sf):
 @query("full_refresh", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'")
 def full_refresh(spark, sf):
     path = _folder(spark, "orders")
-    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     sinks.full_refresh(orders.select("o_orderkey", "o_custkey"), path)
     sinks.full_refresh(orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey"), path)
     return spark.read.parquet(path)
@@ -42,7 +43,7 @@ FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-16' OR event_type = 'view'""
 )
 def partition_replace(spark, sf):
     path = _folder(spark, "days")
-    events = read_table(spark, sf, "events").select("event_id", "event_type", F.to_date("ts").alias("extract_date"))
+    events = table(spark, sf, "events").select("event_id", "event_type", F.to_date("ts").alias("extract_date"))
     sinks.replace_days(events.withColumn("run", F.lit(1)), path)
     again = events.filter((F.col("extract_date") == F.lit(dt.date(2024, 1, 16))) & (F.col("event_type") == "view"))
     sinks.replace_days(again.withColumn("run", F.lit(2)), path)
@@ -55,7 +56,7 @@ def partition_replace(spark, sf):
 )
 def schema_evolution(spark, sf):
     path = _folder(spark, "evolving")
-    events = read_table(spark, sf, "events").select("event_id", "event_type", "user_id", F.to_date("ts").alias("extract_date"))
+    events = table(spark, sf, "events").select("event_id", "event_type", "user_id", F.to_date("ts").alias("extract_date"))
     later = F.col("extract_date") >= F.lit(dt.date(2024, 1, 16))
     sinks.replace_days(events.filter(~later).drop("user_id"), path)
     sinks.replace_days(events.filter(later), path)
@@ -68,5 +69,5 @@ def schema_evolution(spark, sf):
 )
 def dynamic_filters(spark, sf):
     slots = [F.col("o_orderstatus") == "F", F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.col("o_totalprice") > 100000]
-    orders = read_table(spark, sf, "orders")
+    orders = table(spark, sf, "orders")
     return orders.filter(reduce(lambda a, b: a & b, slots)).select("o_orderkey", "o_orderstatus", "o_orderpriority")

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waymark.sources.tables import read_table
 
@@ -376,14 +377,24 @@ STANDINS: dict[str, StandIn] = {
 }
 
 
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table. Its schema is looked up once; the tables are read-only."""
+    found = read_table(spark, folder, name, _SCHEMAS.get((folder, name)))
+    _SCHEMAS.setdefault((folder, name), found.schema)
+    return found
+
+
 def ev(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "events").selectExpr("*", K)
+    return table(spark, folder, "events").selectExpr("*", K)
 
 
 def rows(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A stand-in as a DataFrame."""
     s = STANDINS[name]
-    df = ev(spark, folder) if s.base == "ev" else read_table(spark, folder, s.base)
+    df = ev(spark, folder) if s.base == "ev" else table(spark, folder, s.base)
     if s.where:
         df = df.filter(s.where)
     if s.group_by:

@@ -10,8 +10,7 @@ from waymark.functions import marketing, text, times
 from waymark.operators import asof_neighbours
 from waymark.plans import rulesets, web
 from waymark.queries.registry import query, rules_sql
-from waymark.queries.standins import rows, with_
-from waymark.sources.tables import read_table
+from waymark.queries.standins import rows, table, with_
 
 RUN_DATE = dt.date(2024, 1, 16)
 
@@ -148,7 +147,7 @@ SECTIONS = ", ".join(_section(i) for i in (1, 2, 3))
 SELECT page_id, url, url_cleaned, split_part(url, '?', 1) AS url_no_query, {SECTIONS} FROM cleaned""",
 )
 def url_clean_sections(spark, sf):
-    pages = read_table(spark, sf, "pages").select("page_id", "url")
+    pages = table(spark, sf, "pages").select("page_id", "url")
     return web.url_columns(pages).withColumn("url_no_query", text.url_without_query(F.col("url")))
 
 
@@ -341,7 +340,7 @@ def page_visit_fact(spark, sf):
   'top' AS location FROM events WHERE event_type = 'click'""",
 )
 def click_engagement(spark, sf):
-    clicks = read_table(spark, sf, "events").filter("event_type = 'click'")
+    clicks = table(spark, sf, "events").filter("event_type = 'click'")
     raw = clicks.selectExpr(
         "CAST(user_id AS STRING) || '-s' AS s_id",
         "user_id AS anonymous_id",
@@ -365,7 +364,7 @@ def click_engagement(spark, sf):
   props AS variation_name, ts AS timestamp FROM events WHERE event_type = 'view'""",
 )
 def experiment_exposure(spark, sf):
-    raw = read_table(spark, sf, "events").filter("event_type = 'view'").selectExpr(
+    raw = table(spark, sf, "events").filter("event_type = 'view'").selectExpr(
         "event_id AS experiment_id",
         "event_type AS experiment_name",
         "user_id AS anonymous_id",
@@ -432,7 +431,7 @@ def cta_flags(spark, sf):
   substr(lang || '-' || upper(source), 4, 5) AS language FROM documents""",
 )
 def locale_split(spark, sf):
-    docs = read_table(spark, sf, "documents").selectExpr("doc_id", "lang || '-' || upper(source) AS context_locale")
+    docs = table(spark, sf, "documents").selectExpr("doc_id", "lang || '-' || upper(source) AS context_locale")
     return docs.withColumns(text.locale_parts(F.col("context_locale")))
 
 

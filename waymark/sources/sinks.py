@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 from waymark.session import shared_folder
 
 
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
 def stamp(df: DataFrame, run_date: dt.date) -> DataFrame:
     """Add the run date as ``extract_date``."""
     return df.withColumn("extract_date", F.lit(run_date).cast("timestamp"))
@@ -20,6 +24,11 @@ def full_refresh(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def unstaged(df: DataFrame, name: str) -> DataFrame:
+    """Leave an intermediate table as part of the plan."""
+    return df
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 

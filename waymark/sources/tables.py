@@ -8,22 +8,27 @@ from pyspark.sql import types as T
 from waymark.session import use_utc
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A Parquet table; wall-clock timestamps are read as UTC instants."""
-    use_utc(spark)
-    path = f"{folder}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if not any(isinstance(f.dataType, T.TimestampNTZType) for f in df.schema.fields):
-        return df
-    # Declared as instants in the read schema, not cast afterwards: a cast column would
-    # keep time filters from reaching the scan.
-    declared = T.StructType(
+def instants(schema: T.StructType) -> T.StructType:
+    """The schema with wall-clock timestamps declared as instants."""
+    return T.StructType(
         [
             T.StructField(f.name, T.TimestampType() if isinstance(f.dataType, T.TimestampNTZType) else f.dataType)
-            for f in df.schema.fields
+            for f in schema.fields
         ]
     )
-    return spark.read.schema(declared).parquet(path)
+
+
+def read_table(spark: SparkSession, folder: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+    """A Parquet table; wall-clock timestamps are read as UTC instants.
+
+    They are declared in the read schema, not cast afterwards: a cast column would keep
+    time filters from reaching the scan. With ``schema`` no file is opened to plan.
+    """
+    use_utc(spark)
+    path = f"{folder}/{name}.parquet"
+    if schema is None:
+        schema = instants(spark.read.parquet(path).schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: str) -> DataFrame:
