@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.text import contains_any
+from waymark.operators.lookup import broadcast_if_small
 
 # Referrers that count as organic search.
 SEARCH_REFERRERS = ["www.google", "www.bing", "duckduckgo.com", "baidu.com"]
@@ -32,7 +33,7 @@ def canonical_values(df: DataFrame, column: str, spellings: DataFrame) -> DataFr
     """
     known = spellings.select(F.col("raw").alias("__raw"), F.col("canonical").alias("__canonical"))
     return (
-        df.join(known, F.col(column) == F.col("__raw"), "left")
+        df.join(broadcast_if_small(known), F.col(column) == F.col("__raw"), "left")
         .withColumn(column, F.coalesce("__canonical", F.lower(F.col(column))))
         .drop("__raw", "__canonical")
     )

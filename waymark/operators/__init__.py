@@ -4,13 +4,14 @@ from waymark.operators.asof import asof_neighbours
 from waymark.operators.counts import conditional_distinct_counts
 from waymark.operators.firsts import keep_first, keep_first_ties
 from waymark.operators.intervals import interval_join
-from waymark.operators.lookup import lookup_join
+from waymark.operators.lookup import broadcast_if_small, lookup_join
 from waymark.operators.merge import full_merge
 from waymark.operators.rules import first_match
 from waymark.operators.sequence import sequence
 
 __all__ = [
     "asof_neighbours",
+    "broadcast_if_small",
     "conditional_distinct_counts",
     "first_match",
     "full_merge",

@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waymark.operators.lookup import HOT_ROWS, SALTS, lookup_join
+
 
 def interval_join(
     left: DataFrame,
@@ -20,36 +22,35 @@ def interval_join(
     matches: Callable[[Column, Column], Column],
     how: str = "inner",
     row_id: Sequence[str] | None = None,
+    hot_from: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join rows with equal ``keys`` whose times satisfy ``matches(left_at, right_at)``.
 
     ``before`` and ``after`` bound, in seconds, how far the right time may lie before or
     after the left time; ``matches`` then decides exactly. Time is cut into buckets of
-    that width: a left row has one bucket, a right row is copied to the buckets its
-    window touches (two or three), and the bucket is part of the shuffle key. Put
-    the smaller table on the right. Other column names must not clash. ``row_id`` names
-    columns that tell left rows without a key apart.
+    that width: a left row has one bucket, a right row is copied to the two or three
+    buckets its window touches, and the bucket is part of the join key, so rows of a key
+    meet only their neighbours in time. A bucket of a key that is still too large is split
+    further by :func:`lookup_join`. Put the smaller table on the right. Other column names
+    must not clash.
     """
     width = before + after
     second = F.unix_seconds(F.col(right_at))
-    # A left row with a null key never matches; a hash in place of its bucket spreads such rows.
-    unmatched = F.lit(False)
-    for k in keys:
-        unmatched = unmatched | F.col(k).isNull()
-    lefts = left.withColumn(
-        "__bucket",
-        F.when(unmatched, F.xxhash64(*(row_id or left.columns))).otherwise(F.floor(F.unix_seconds(F.col(left_at)) / width)),
-    )
+    bucket = F.floor(F.unix_seconds(F.col(left_at)) / width)
     # One second of slack on each side covers fractions cut off by whole seconds.
-    rights = right.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        *[c for c in right.columns if c not in keys],
-        F.explode(
-            F.sequence(F.floor((second - after - 1) / width), F.floor((second + before + 1) / width))
-        ).alias("__slot"),
+    slots = F.sequence(F.floor((second - after - 1) / width), F.floor((second + before + 1) / width))
+    rights = right.withColumn("__bucket", F.explode(slots))
+    joined = lookup_join(
+        left.withColumn("__bucket", bucket),
+        rights,
+        [*keys, "__bucket"],
+        how,
+        matches=matches(F.col(left_at), F.col(right_at)),
+        row_id=row_id or left.columns,
+        hot_from=None if hot_from is None else hot_from.withColumn("__bucket", bucket),
+        hot_rows=hot_rows,
+        salts=salts,
     )
-    on = (F.col("__bucket") == F.col("__slot")) & matches(F.col(left_at), F.col(right_at))
-    for i, k in enumerate(keys):
-        on = on & (F.col(k) == F.col(f"__k{i}"))
-    joined = lefts.join(rights, on, how)
-    return joined.drop("__bucket", "__slot", *[f"__k{i}" for i in range(len(keys))])
+    return joined.drop("__bucket")

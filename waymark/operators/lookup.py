@@ -1,14 +1,23 @@
-"""Join a large table to a keyed table when a few keys may own most of the large one."""
+"""Joins of a large table to a keyed one when a few keys may own most of the large one."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 SALTS = 64
+SMALL_ROWS = 100_000
+
+
+def broadcast_if_small(table: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Mark a list-like table for broadcast after counting that it has at most ``max_rows`` rows.
+
+    A larger one is returned as it is, and joined by shuffling.
+    """
+    return F.broadcast(table) if table.limit(max_rows + 1).count() <= max_rows else table
 
 
 def lookup_join(
@@ -17,41 +26,51 @@ def lookup_join(
     keys: Sequence[str],
     how: str = "left",
     *,
+    matches: Column | None = None,
     row_id: Sequence[str] | None = None,
+    hot_from: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
-    """``rows`` (left) joined to ``table`` on ``keys``; ``how`` is ``left`` or ``inner``.
+    """``rows`` (left) joined to ``table`` on ``keys`` and ``matches``; ``how`` is ``left`` or ``inner``.
 
     Keys with more than ``hot_rows`` rows are found by one column-pruned, map-side combined
     count. There are at most ``rows / hot_rows`` of them, so that list is safe to
     broadcast. Rows of hot keys, and rows with a null key (which can never match), are
     spread over ``salts`` sub-keys; only the hot entries of ``table`` are repeated. All
     other keys are joined once, untouched. ``row_id`` names columns that tell rows of one
-    key apart (all columns if not given).
+    key apart (all columns if not given). The count reads ``hot_from``, by default
+    ``rows``: where those come from other joins, give an earlier table with the same keys.
     """
-    names = [f"__h{i}" for i in range(len(keys))]
+    hot_keys = [f"__h{i}" for i in range(len(keys))]
+    table_keys = [f"__t{i}" for i in range(len(keys))]
     hot = (
-        rows.dropna(subset=list(keys))
-        .groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)])
-        .count()
-        .filter(F.col("count") > hot_rows)
-        .select(*names, F.lit(True).alias("__hot"))
+        (rows if hot_from is None else hot_from)
+        .dropna(subset=list(keys))
+        .groupBy(*[F.col(k).alias(h) for k, h in zip(keys, hot_keys, strict=True)])
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .filter(F.col("__n") > hot_rows)
+        .select(*hot_keys, F.lit(True).alias("__hot"))
     )
 
-    def mark(df: DataFrame) -> DataFrame:
+    def equal(left: Sequence[str], right: Sequence[str]) -> Column:
         on = F.lit(True)
-        for k, n in zip(keys, names, strict=True):
-            on = on & (F.col(k) == F.col(n))
-        return df.join(F.broadcast(hot), on, "left").drop(*names)
+        for a, b in zip(left, right, strict=True):
+            on = on & (F.col(a) == F.col(b))
+        return on
+
+    def mark(df: DataFrame, names: Sequence[str]) -> DataFrame:
+        return df.join(F.broadcast(hot), equal(names, hot_keys), "left").drop(*hot_keys)
 
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
     spread = F.pmod(F.xxhash64(*(row_id or rows.columns)), F.lit(salts)).cast("int")
-    salted = mark(rows).withColumn(
-        "__salt", F.when(F.col("__hot") | any_null, spread).otherwise(F.lit(0))
-    )
+    salted = mark(rows, keys).withColumn("__salt", F.when(F.col("__hot") | any_null, spread).otherwise(F.lit(0)))
     copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = mark(table).withColumn("__salt", F.explode(copies)).drop("__hot")
-    return salted.drop("__hot").join(repeated, [*keys, "__salt"], how).drop("__salt")
+    renamed = table.withColumnsRenamed(dict(zip(keys, table_keys, strict=True)))
+    repeated = mark(renamed, table_keys).withColumn("__slot", F.explode(copies)).drop("__hot")
+    on = equal([*keys, "__salt"], [*table_keys, "__slot"])
+    if matches is not None:
+        on = on & matches
+    return salted.drop("__hot").join(repeated, on, how).drop("__salt", "__slot", *table_keys)

@@ -90,9 +90,13 @@ def sequence(
     return numbered.select(*df.columns, *out)
 
 
+def hour_of(time: Column) -> Column:
+    return F.date_trunc("hour", time)
+
+
 def hours(ts: str) -> list[Column]:
     """Chunk a time-ordered group by hour."""
-    return [F.date_trunc("hour", F.col(ts))]
+    return [hour_of(F.col(ts))]
 
 
 def days_and_blocks(day: str, unique_id: str, block: int = 1_000_000) -> list[Column]:

@@ -9,7 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.text import external_email
-from waymark.operators import asof_neighbours, keep_first, keep_first_ties, sequence
+from waymark.operators import (
+    asof_neighbours,
+    broadcast_if_small,
+    keep_first,
+    keep_first_ties,
+    lookup_join,
+    sequence,
+)
 from waymark.operators.sequence import hours
 from waymark.sources.sinks import stamp
 
@@ -231,38 +238,39 @@ def as_of_day(activities: DataFrame, snapshots: DataFrame, user: str, at: str) -
 def with_manager(df: DataFrame, managers: DataFrame, name: str = "user_name") -> DataFrame:
     """Manager from a fixed list of names instead of the snapshot."""
     listed = managers.select(F.col("sdr_name").alias(name), "manager_name")
-    return df.join(listed, name, "left")
-
-
-def _by_day(column: Column) -> Column:
-    return F.date_trunc("month", column)
+    return df.join(broadcast_if_small(listed), name, "left")
 
 
 def country_of_visit(visits: DataFrame, ip_history: DataFrame, fallback: bool = True) -> DataFrame:
     """Country of the visiting address from its latest snapshot dated on or before the visit day.
 
     With ``fallback``, a visit without such a country takes the address's earliest
-    snapshot. Days are compared, so a snapshot later on the visit day counts.
+    snapshot. Days are compared, so a snapshot later on the visit day counts. All visits
+    of an address on one day share their answer: it is looked up once per address and
+    day, against one snapshot per address and day, and then joined to the visits.
     """
+    fields = ["execution_ts", "country", "country_name"]
+    day = F.to_date("visit_start_time").alias("__day")
+    days = visits.select("context_ip", day).dropna().distinct()
+    snapshot = F.struct(*fields)
+    daily = ip_history.groupBy(F.col("ip").alias("context_ip"), F.to_date("execution_ts").alias("__at")).agg(
+        F.max(snapshot).alias("__last"), F.min(snapshot).alias("__first")
+    )
     found = asof_neighbours(
-        visits,
-        ip_history.withColumnRenamed("ip", "context_ip"),
-        ["context_ip"],
-        F.to_date("visit_start_time"),
-        F.to_date("execution_ts"),
-        ["country", "country_name", "execution_ts"],
-        _by_day,
-        right_order=["execution_ts"],
+        days, daily, ["context_ip"], F.col("__day"), F.col("__at"), ["__last", "__first"], lambda c: F.date_trunc("month", c)
     )
+    latest, first = F.col("prev").getField("__last"), F.col("earliest").getField("__first")
+    answers = found.select("context_ip", "__day", latest.alias("__latest"), first.alias("__earliest"))
+    joined = lookup_join(visits.select("*", day), answers, ["context_ip", "__day"])
 
     def pick(field: str) -> Column:
-        latest = F.col("prev").getField(field)
+        known = F.col("__latest").getField(field)
         if not fallback:
-            return latest
-        missing = F.col("prev").getField("country").isNull()
-        return F.coalesce(latest, F.when(missing, F.col("earliest").getField(field)))
+            return known
+        missing = F.col("__latest").getField("country").isNull()
+        return F.coalesce(known, F.when(missing, F.col("__earliest").getField(field)))
 
-    return found.select(
+    return joined.select(
         *visits.columns,
         pick("country").alias("country"),
         pick("country_name").alias("country_name"),
@@ -273,7 +281,7 @@ def country_of_visit(visits: DataFrame, ip_history: DataFrame, fallback: bool =
 def with_theater(df: DataFrame, touchpoints: DataFrame, country: str = "country_name") -> DataFrame:
     """Sales theatre of a country."""
     known = touchpoints.select(F.col("country").alias(country), "theater").distinct()
-    return df.join(known, country, "left")
+    return df.join(broadcast_if_small(known), country, "left")
 
 
 def without_internal(df: DataFrame, pattern: str, keep_null: bool = True, email: str = "email") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions import times
 from waymark.functions.text import distinct_list
-from waymark.operators import interval_join, keep_first
+from waymark.operators import interval_join, keep_first, lookup_join
 from waymark.sources.sinks import stamp
 
 # Buckets of campaign functions and teams, and theatres by geography.
@@ -186,7 +186,6 @@ def inquiry_fact(
         .join(channels, "campaign_member_id", "left")
         .join(lead_scores(leads, parity), "lead_or_contact_id", "left")
         .join(inquiry_sessions(day, lead_map, identifies, minutes), "campaign_member_id", "left")
-        .join(lead_orgs, "lead_or_contact_id", "left")
-        .join(stages, "org_id", "left")
     )
-    return stamp(fact, run_date)
+    with_org = lookup_join(fact, lead_orgs, ["lead_or_contact_id"], row_id=["campaign_member_id"], hot_from=day)
+    return stamp(with_org.join(stages, "org_id", "left"), run_date)

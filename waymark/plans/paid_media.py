@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.operators import conditional_distinct_counts
+from waymark.operators import broadcast_if_small, conditional_distinct_counts, full_merge, lookup_join
 from waymark.plans.rulesets import DEFAULT, Vocabulary
 
 # Channel names of the spend table, score bands and personas.
@@ -158,13 +158,25 @@ def paid_performance(
     contents: DataFrame,
     targetings: DataFrame,
 ) -> DataFrame:
-    """Daily spend with credit, funnel, signups and names; channels match in any case."""
+    """Daily spend with credit, funnel, signups and names; channels match in any case.
+
+    The three aggregates share their keys and are merged first, so the spend rows are
+    shuffled once, with keys of very many rows spread.
+    """
     keys = ["__type", "__channel", "day", "adgroup"]
-    out = spend.withColumns({"__type": F.lower("channel_type"), "__channel": F.lower("channel")})
-    out = out.join(_keyed(credit, "mapping_channel_type", "mapping_channel", "inquiry_date", "web_campaign_name"), keys, "left")
-    out = out.join(_keyed(inbound, "mapping_channel_type", "mapping_channel", "inquiry_date", "utm_campaign"), keys, "left")
-    out = out.join(_keyed(signups, "mapping_channel_type", "source", "sign_up_date", "utm_campaign"), keys, "left")
+    results = _keyed(credit, "mapping_channel_type", "mapping_channel", "inquiry_date", "web_campaign_name")
+    for other in (
+        _keyed(inbound, "mapping_channel_type", "mapping_channel", "inquiry_date", "utm_campaign"),
+        _keyed(signups, "mapping_channel_type", "source", "sign_up_date", "utm_campaign"),
+    ):
+        results = full_merge(results, other, keys)
     named = contents.select(F.col("content_code").alias("content"), "content_name", "content_type").distinct()
     targeted = targetings.select(F.col("targeting_code").alias("targeting"), "targeting_name").distinct()
-    out = out.join(named, "content", "left").join(targeted, "targeting", "left")
-    return out.withColumn("quarter", F.date_trunc("quarter", "day").cast("date")).drop("__type", "__channel")
+    spent = spend.withColumns({"__type": F.lower("channel_type"), "__channel": F.lower("channel")})
+    return (
+        lookup_join(spent, results, keys)
+        .join(broadcast_if_small(named), "content", "left")
+        .join(broadcast_if_small(targeted), "targeting", "left")
+        .withColumn("quarter", F.date_trunc("quarter", "day").cast("date"))
+        .drop("__type", "__channel")
+    )

@@ -11,7 +11,7 @@ from waymark.functions import times
 from waymark.functions.marketing import any_present
 from waymark.functions.text import contains_any
 from waymark.operators import asof_neighbours, full_merge, interval_join, keep_first, lookup_join, sequence
-from waymark.operators.sequence import hours
+from waymark.operators.sequence import hour_of, hours
 from waymark.plans import rulesets
 from waymark.plans.identity import first_user_per_org
 from waymark.plans.web import channel_detail, roll_up
@@ -22,10 +22,6 @@ TOUCH_FIELDS = ["utm_campaign", "utm_medium", "utm_source", "referrer"]
 NO_TOUCH = "No Referral"
 
 
-def by_month(column: Column) -> Column:
-    return F.date_trunc("month", column)
-
-
 def org_cohort(orgs: DataFrame, users: DataFrame, memberships: DataFrame, quarter: dt.date) -> DataFrame:
     """Product-led customer orgs created in one quarter, with their first user."""
     end = dt.date(quarter.year + (quarter.month > 9), (quarter.month + 2) % 12 + 1, 1)
@@ -58,7 +54,7 @@ def _nearest(cohort: DataFrame, touches: DataFrame, key: str, hours_off: int | N
         F.col("created_at"),
         F.col("timestamp"),
         payload,
-        by_month,
+        hour_of,
         right_order=payload,
     )
 
@@ -195,7 +191,7 @@ def last_touch(conversions: DataFrame, touches: DataFrame, key: str, days: int,
         F.col("converted_at"),
         F.col("touched_at"),
         payload,
-        lambda c: F.date_trunc("day", c),
+        hour_of,
         right_order=[payload[0]],
         equal_is_before=False,
     )

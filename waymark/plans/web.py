@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import marketing, text, times
-from waymark.operators import first_match, interval_join, lookup_join, sequence
+from waymark.operators import broadcast_if_small, first_match, interval_join, lookup_join, sequence
 from waymark.operators.sequence import hours
 from waymark.plans import rulesets
 from waymark.sources.sinks import stamp
@@ -120,7 +120,7 @@ def roll_up(df: DataFrame, mapping: DataFrame | None = None, parity: bool = Fals
     unmapped = F.when(F.col("channel_detail").isNotNull(), F.lit("channel_detail") if parity else F.col("channel_detail"))
     renamed = mapping.withColumnsRenamed({"detail": "__detail", "channel": "__channel", "channel_aggregate": "__aggregate"})
     return (
-        df.join(renamed, F.col("channel_detail") == F.col("__detail"), "left")
+        df.join(broadcast_if_small(renamed), F.col("channel_detail") == F.col("__detail"), "left")
         .withColumns(
             {
                 "channel": F.coalesce("__channel", unmapped),

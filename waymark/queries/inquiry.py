@@ -395,7 +395,7 @@ SELECT r.page_visit_id, r.lead_or_contact_id, r.campaign_member_id, o.org_id, m.
 FROM merged r LEFT JOIN lead_orgs o ON o.lead_or_contact_id = r.lead_or_contact_id LEFT JOIN milestones m ON m.org_id = o.org_id""",
 )
 def dashboard_milestones(spark, sf):
-    out = dashboard.dashboard_milestones(_dashboard(spark, sf), _lead_orgs(spark, sf), rows(spark, sf, "milestones"))
+    out = dashboard.dashboard_milestones(stage(_dashboard(spark, sf), "report"), _lead_orgs(spark, sf), rows(spark, sf, "milestones"))
     return out.select(
         "page_visit_id",
         "lead_or_contact_id",
@@ -463,7 +463,7 @@ def monthly_kpis(spark, sf):
         rows(spark, sf, "memberships"),
     ).selectExpr("'L' || CAST(org_id AS STRING) AS lead_or_contact_id", "joined_at AS created_at")
     out = dashboard.monthly_kpis(
-        sessions, clients, asked, firsts, rows(spark, sf, "leads"), HOSTS, "%9@mail%", since=dt.date(2024, 1, 3)
+        sessions, clients, asked, firsts, rows(spark, sf, "leads"), HOSTS, "%9@mail%", since=dt.date(2024, 1, 3), stage=stage
     )
     rates = [c for c, t in out.dtypes if t == "double"]
     return out.withColumns({c: r6(c) for c in rates})
