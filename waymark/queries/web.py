@@ -12,6 +12,7 @@ from waymark.operators.sequence import hour_of
 from waymark.plans import rulesets, web
 from waymark.queries.registry import query, rules_sql
 from waymark.queries.standins import rows, table, with_
+from waymark.sources.sinks import stage
 
 RUN_DATE = dt.date(2024, 1, 16)
 
@@ -409,9 +410,15 @@ cta AS (
 listed AS (SELECT url_cleaned FROM cta WHERE url_cleaned IS NOT NULL AND url_cleaned NOT LIKE '%/thank-you%')"""
 
 
+def _cleaned(spark, sf):
+    # Both jobs read the written page table, and read it several times.
+    pages = web.url_columns(rows(spark, sf, "page_views"))
+    return stage(pages.select("page_visit_id", "visitor_id", "session_id", "context_ip", "visit_start_time", "url_cleaned"), "pages")
+
+
 @query("cta_pages", with_("page_views", then=CTA) + "SELECT url_cleaned FROM listed")
 def cta_pages(spark, sf):
-    return web.cta_pages(web.url_columns(rows(spark, sf, "page_views")))
+    return web.cta_pages(_cleaned(spark, sf))
 
 
 @query(
@@ -421,7 +428,7 @@ def cta_pages(spark, sf):
   url_cleaned IN (SELECT url_cleaned FROM listed) AS flg_page_cta FROM cleaned""",
 )
 def cta_flags(spark, sf):
-    pages = web.url_columns(rows(spark, sf, "page_views"))
+    pages = _cleaned(spark, sf)
     flagged = web.cta_flags(pages, web.cta_pages(pages))
     return flagged.select("page_visit_id", "url_cleaned", "flg_page_thank_you", "flg_page_cta")
 
