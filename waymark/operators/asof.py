@@ -3,7 +3,8 @@
 Both sides are cut into time chunks per key. A summary per (key, chunk) carries the last
 right row of earlier chunks and the first right row of later chunks, so the sort that
 finds neighbours runs per (key, chunk). No pair of rows is ever formed, and a key with a
-large share of the rows is spread over its chunks.
+large share of the rows is spread over its chunks. Both inputs are read twice, once for
+the summary: stage an expensive one first.
 """
 
 from __future__ import annotations

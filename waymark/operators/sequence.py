@@ -6,7 +6,8 @@ hours). A small summary per chunk gives, for every chunk, how many rows come bef
 and what its neighbours hold; that summary row is unioned in front of the chunk's own
 rows, and the only wide window is over ``keys + chunk``. The summary is pre-aggregated
 map-side and has one row per chunk, so the window over ``keys`` on it is bounded by the
-number of chunks, not by the number of rows.
+number of chunks, not by the number of rows. The input is read twice, once for the
+summary: stage an expensive one first.
 """
 
 from __future__ import annotations

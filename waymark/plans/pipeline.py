@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from waymark.plans import dashboard, web
 from waymark.plans.identity import lead_to_visitor
 from waymark.plans.rulesets import DEFAULT, Vocabulary
+from waymark.sources.sinks import Stage, unstaged
 
 
 def build_web(
@@ -23,16 +24,24 @@ def build_web(
     domains: Sequence[str],
     lead_source: str,
     vocabulary: Vocabulary = DEFAULT,
+    stage: Stage = unstaged,
 ) -> dict[str, DataFrame]:
-    """All tables of the build as lazy DataFrames, keyed by name.
+    """The tables of the build in their order, keyed by name.
 
-    Write each with :func:`waymark.sources.sinks.full_refresh` in this order and read it
-    back for the next, or use them directly as one plan.
+    With :func:`waymark.sources.sinks.stage` each table is written before the next reads
+    it, as a daily run does; without, all are one lazy plan.
     """
-    visitors = web.visitor_dimension(web.harmonise(logs))
-    fact = web.page_visit_fact(logs, visitors, run_date, vocabulary=vocabulary)
-    lead_map = lead_to_visitor(leads, identifies, run_date, lead_source)
+    visitors = stage(web.visitor_dimension(web.harmonise(logs)), "dim_visitor")
+    fact = stage(web.page_visit_fact(logs, visitors, run_date, vocabulary=vocabulary), "fct_page_visit")
+    lead_map = stage(lead_to_visitor(leads, identifies, run_date, lead_source), "lookup_lead_visitor")
     report = dashboard.web_dashboard(
-        fact.drop("extract_date"), lead_map, funnel, inquiries, run_date, domains=domains, vocabulary=vocabulary
+        fact.drop("extract_date"),
+        lead_map,
+        funnel,
+        inquiries,
+        run_date,
+        domains=domains,
+        vocabulary=vocabulary,
+        stage=stage,
     )
     return {"dim_visitor": visitors, "fct_page_visit": fact, "lookup_lead_visitor": lead_map, "rpt_web_dashboard": report}

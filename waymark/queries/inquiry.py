@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from waymark.functions import times
 from waymark.plans import dashboard, identity, inquiry
+from waymark.plans.pipeline import build_web
 from waymark.queries.identity import PEOPLE, SIGNUPS
 from waymark.queries.registry import query, r6
 from waymark.queries.standins import rows, table, with_
+from waymark.queries.web import page_logs
 from waymark.sources.sinks import stage, stamp
 
 DAY = dt.date(2024, 1, 16)
@@ -182,7 +184,7 @@ def inquiry_sessions(spark, sf):
 
 PIPELINE = """pipeline AS (SELECT DISTINCT 'M' || event_id AS campaign_member_id,
     coalesce(CASE WHEN k % 2 = 0 THEN 'L' || user_id END, 'L' || user_id) AS lead_or_contact_id, 'O' || k AS opportunity_id, value AS pg,
-    CASE WHEN value > 10 THEN 'Yes' ELSE 'No' END AS pg_attributed_inquiry FROM ev)"""
+    CASE WHEN value - 10 > 0 THEN 'Yes' ELSE 'No' END AS pg_attributed_inquiry FROM ev)"""
 
 
 def _pipeline(spark, sf):
@@ -192,7 +194,7 @@ def _pipeline(spark, sf):
         "'L' || CAST(user_id AS STRING) AS contact_id",
         "'O' || CAST(k AS STRING) AS opportunity_id",
         "value AS pg_new_arr_amount_credit",
-        "value AS opp_new_arr",
+        "value - 10 AS opp_new_arr",
     )
 
 
@@ -259,6 +261,20 @@ def inquiry_fact(spark, sf):
     )
 
 
+@query(
+    "pipeline_credit",
+    with_("inquiries", then=f"{MEMBER_LINKS}, {PIPELINE}")
+    + """SELECT i.campaign_member_id, i.lead_or_contact_id, l.opportunity_id, round(p.pg, 6) AS pg, p.pg_attributed_inquiry
+FROM inquiries i JOIN links l USING (campaign_member_id)
+LEFT JOIN pipeline p ON p.campaign_member_id = i.campaign_member_id AND p.lead_or_contact_id = i.lead_or_contact_id
+  AND p.opportunity_id = l.opportunity_id""",
+)
+def pipeline_credit(spark, sf):
+    links = _members(spark, sf).select(F.col("id").alias("campaign_member_id"), "opportunity_id")
+    asked = rows(spark, sf, "inquiries").select("campaign_member_id", "lead_or_contact_id").join(links, "campaign_member_id")
+    return inquiry.with_pipeline(asked, _pipeline(spark, sf)).withColumn("pg", r6("pg"))
+
+
 # Visits of the dashboard: visitors are lead-mapped per domain.
 VISITOR_LEADS = """vleads AS (SELECT DISTINCT user_id AS visitor_id, 'L' || (user_id + k % 2) AS lead_or_contact_id,
     CASE WHEN k % 2 = 0 THEN 'www.example.com' ELSE 'developer.example.com' END AS domain FROM ev
@@ -344,6 +360,18 @@ def funnel_flags(spark, sf):
     )
 
 
+@query(
+    "inquiry_type_flags",
+    with_("page_views", "funnel", "typed_inquiries", then=STAGED)
+    + "SELECT page_visit_id, lead_or_contact_id, campaign_member_id, campaign_type, flg_cloud_signup, flg_cp_download FROM typed",
+)
+def inquiry_type_flags(spark, sf):
+    out = dashboard.inquiry_type_flags(pages_with_leads(spark, sf), rows(spark, sf, "typed_inquiries"))
+    return out.select(
+        "page_visit_id", "lead_or_contact_id", "campaign_member_id", "campaign_type", "flg_cloud_signup", "flg_cp_download"
+    )
+
+
 MERGED = """, s AS (SELECT * REPLACE (coalesce(session_id, 'Null ') AS session_id, coalesce(lead_or_contact_id, 'Null') AS lead_or_contact_id) FROM staged),
 t AS (SELECT * REPLACE (coalesce(session_id, 'Null ') AS session_id) FROM typed),
 merged AS (
@@ -410,6 +438,41 @@ def dashboard_milestones(spark, sf):
     )
 
 
+# The same report from the whole build: page logs, e-mail lead map, inquiries.
+BUILD = STAGED.replace(
+    VISITS,
+    f"""pv2 AS (SELECT * REPLACE (CASE WHEN domain <> 'docs.example.com' THEN session_id END AS session_id) FROM page_views),
+vleads AS (SELECT DISTINCT CAST(substr(anonymous_id, 2) AS BIGINT) AS visitor_id, lead_or_contact_id, 'www.example.com' AS domain FROM lead_map),
+visits AS (SELECT p.page_visit_id, p.visitor_id, p.session_id, p.visit_start_time, p.domain, p.url, v.lead_or_contact_id
+  FROM pv2 p LEFT JOIN vleads v ON v.visitor_id = p.visitor_id AND v.domain = p.domain
+  WHERE p.visit_start_time >= TIMESTAMP '2023-10-01' AND p.visit_start_time < TIMESTAMP '2024-02-14'
+    AND p.domain IN ('www.example.com', 'docs.example.com'))""",
+)
+
+
+@query(
+    "web_build",
+    with_("page_views", "leads", "identifies", "funnel", "typed_inquiries", then=f"{LEAD_MAP}, {BUILD}")
+    + MERGED
+    + "SELECT * FROM merged",
+)
+def web_build(spark, sf):
+    # Visitors are numbers in the page logs, so the identifies name them the same way.
+    identifies = rows(spark, sf, "identifies").withColumn("anonymous_id", F.expr("CAST(substr(anonymous_id, 2) AS BIGINT)"))
+    tables = build_web(
+        page_logs(spark, sf),
+        rows(spark, sf, "leads"),
+        identifies,
+        rows(spark, sf, "funnel"),
+        rows(spark, sf, "typed_inquiries"),
+        RUN_DATE,
+        domains=("www.example.com", "docs.example.com"),
+        lead_source="www.example.com",
+        stage=stage,
+    )
+    return tables["rpt_web_dashboard"].select(*MERGED_COLUMNS)
+
+
 HOSTS = {"www.example.com": "site", "docs.example.com": "docs", "developer.example.com": "developer"}
 
 

@@ -256,7 +256,7 @@ def channel_rollup(spark, sf):
     return ours.select("event_id", "channel_detail", "channel", "channel_aggregate", "published_channel")
 
 
-def _logs(spark, sf):
+def page_logs(spark, sf):
     pages = rows(spark, sf, "page_views")
     names = {c: c for c in pages.columns if c not in ("domain", "context_ip")}
     no_session = {k: v for k, v in names.items() if k != "session_id"}
@@ -277,7 +277,7 @@ SELECT DISTINCT page_visit_id, domain, visitor_id, CASE WHEN domain <> 'docs.exa
   visit_start_time, url, utm_campaign FROM logs""",
 )
 def source_union_dedupe(spark, sf):
-    logs = _logs(spark, sf)
+    logs = page_logs(spark, sf)
     twice = [*logs, logs[0]]
     harmonised = web.harmonise(twice).withColumn("loaded_at", F.rand())
     columns = ["page_visit_id", "domain", "visitor_id", "session_id", "visit_start_time", "url", "utm_campaign", "loaded_at"]
@@ -309,7 +309,7 @@ SELECT page_visit_id, domain, d.visitor_id, session_id, visit_start_time, visit_
 FROM detailed d LEFT JOIN first f ON d.visitor_id = f.visitor_id""",
 )
 def page_visit_fact(spark, sf):
-    logs = _logs(spark, sf)
+    logs = page_logs(spark, sf)
     fact = web.page_visit_fact(logs, web.visitor_dimension(web.harmonise(logs)), RUN_DATE, unit="week")
     return fact.select(
         "page_visit_id",
