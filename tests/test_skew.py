@@ -29,9 +29,10 @@ def largest_share(df, *keys):
     return df.groupBy(*keys).count().agg(F.max("count")).collect()[0][0]
 
 
-def test_sequence_equals_plain_window(log):
+@pytest.mark.parametrize("hot_rows", [10, 100, 1_000_000])
+def test_sequence_equals_plain_window(log, hot_rows):
     out = sequence(
-        log, ["key"], ["at", "id"], hours("at"), rank="rank", reverse_rank="back", total="n", lead={"next": "at", "nv": "value"}, lag={"prev": "value"}
+        log, ["key"], ["at", "id"], hours("at"), rank="rank", reverse_rank="back", total="n", lead={"next": "at", "nv": "value"}, lag={"prev": "value"}, hot_rows=hot_rows
     )
     w = Window.partitionBy("key").orderBy("at", "id")
     back = Window.partitionBy("key").orderBy(F.desc("at"), F.desc("id"))
@@ -59,17 +60,27 @@ def test_sequence_splits_the_hot_key(log):
     split = largest_share(log.withColumn("h", F.date_trunc("hour", "at")), "key", "h")
     assert split * 20 < hot
     plan = sequence(log, ["key"], ["at", "id"], hours("at"), rank="rank")._jdf.queryExecution().executedPlan().toString()
-    # Rows are exchanged by key and chunk; only the chunk summary is exchanged by key alone.
+    # Rows are exchanged by key and chunk; by key alone only the count and the chunk summary.
     wide = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert any("__chunk0" in line for line in wide)
+    assert "__chunk0" in wide[0]
 
 
+@pytest.mark.parametrize("hot_rows", [10, 100, 1_000_000])
 @pytest.mark.parametrize("equal_is_before", [True, False])
-def test_asof_equals_brute_force(log, equal_is_before):
+def test_asof_equals_brute_force(log, equal_is_before, hot_rows):
     left = log.filter("id % 3 = 0").select("id", "key", "at")
     right = log.filter("id % 3 = 1").select("key", "at", "value")
     found = asof_neighbours(
-        left, right, ["key"], F.col("at"), F.col("at"), ["value"], hour_of, right_order=["value"], equal_is_before=equal_is_before
+        left,
+        right,
+        ["key"],
+        F.col("at"),
+        F.col("at"),
+        ["value"],
+        hour_of,
+        right_order=["value"],
+        equal_is_before=equal_is_before,
+        hot_rows=hot_rows,
     )
     r = right.select(F.col("key").alias("k"), F.col("at").alias("rat"), F.col("value").alias("v"))
     before = F.col("rat") <= F.col("at") if equal_is_before else F.col("rat") < F.col("at")

@@ -1,10 +1,10 @@
 """As-of neighbours: for each left row the nearest right row before and after it in time.
 
-Both sides are cut into time chunks per key. A summary per (key, chunk) carries the last
-right row of earlier chunks and the first right row of later chunks, so the sort that
-finds neighbours runs per (key, chunk). No pair of rows is ever formed, and a key with a
-large share of the rows is spread over its chunks. Both inputs are read twice, once for
-the summary: stage an expensive one first.
+Both sides are sorted together per key, and the last right row seen is kept while walking
+up, the next one while walking down. No pair of rows is ever formed. A key with more than
+``hot_rows`` rows is cut into time chunks and sorted per chunk; a summary of the hot keys
+carries the last right row of earlier chunks and the first one of later chunks. Both
+inputs are read once more to count their keys: stage an expensive one first.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymark.operators.hot import HOT_ROWS, MARK, hot_keys, mark_hot
+
 
 def asof_neighbours(
     left: DataFrame,
@@ -26,6 +28,7 @@ def asof_neighbours(
     *,
     right_order: Sequence[str] = (),
     equal_is_before: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Return ``left`` plus structs ``prev``, ``next`` and ``earliest`` of right ``payload``.
 
@@ -38,16 +41,21 @@ def asof_neighbours(
     keys = list(keys)
     hit = F.struct(right_at.alias("at"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(right_order)], *payload)
     l_side, r_side = (1, 0) if equal_is_before else (0, 1)
-    rights = right.dropna(subset=keys).select(
-        *keys, right_at.alias("__at"), F.lit(r_side).alias("__side"), hit.alias("__hit")
-    )
-    rights = rights.filter("__at is not null").withColumn("__chunk", chunk(F.col("__at")))
     lefts = left.select("*", left_at.alias("__at"), F.lit(l_side).alias("__side"))
-    lefts = lefts.withColumn("__chunk", chunk(F.col("__at")))
+    rights = (
+        right.dropna(subset=keys)
+        .select(*keys, right_at.alias("__at"), F.lit(r_side).alias("__side"), hit.alias("__hit"))
+        .filter("__at IS NOT NULL")
+    )
+    hot = hot_keys(lefts.select(*keys).unionByName(rights.select(*keys)), keys, hot_rows)
+    cut = F.when(F.col(MARK), chunk(F.col("__at")))
+    lefts = mark_hot(lefts, hot, keys).withColumn("__chunk", cut)
+    rights = mark_hot(rights, hot, keys).withColumn("__chunk", cut)
 
     spine = (
-        rights.select(*keys, "__chunk", "__hit")
-        .unionByName(lefts.select(*keys, "__chunk"), allowMissingColumns=True)
+        rights.filter(MARK)
+        .select(*keys, "__chunk", "__hit")
+        .unionByName(lefts.filter(MARK).select(*keys, "__chunk"), allowMissingColumns=True)
         .groupBy(*keys, "__chunk")
         .agg(F.min("__hit").alias("__head"), F.max("__hit").alias("__tail"))
     )
@@ -63,8 +71,9 @@ def asof_neighbours(
     )
 
     rows = (
-        lefts.withColumn("__kind", F.lit("left"))
-        .unionByName(rights.withColumn("__kind", F.lit("right")), allowMissingColumns=True)
+        lefts.drop(MARK)
+        .withColumn("__kind", F.lit("left"))
+        .unionByName(rights.drop(MARK).withColumn("__kind", F.lit("right")), allowMissingColumns=True)
         .unionByName(carry.withColumn("__kind", F.lit("carry")), allowMissingColumns=True)
     )
     is_carry = F.col("__kind") == "carry"
@@ -73,15 +82,13 @@ def asof_neighbours(
     up = cell.orderBy(is_carry.desc(), F.col("__at").asc(), F.col("__side").asc(), F.col("__hit").asc())
     down = cell.orderBy(is_carry.desc(), F.col("__at").desc(), F.col("__side").desc(), F.col("__hit").desc())
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    before = F.coalesce(F.col("__seen"), F.col("__hit"))
-    after = F.coalesce(F.col("__coming"), F.col("__hit"))
     found = rows.select(
         *left.columns,
         "__kind",
         "__at",
-        F.last(before, ignorenulls=True).over(up.rowsBetween(*so_far)).alias("prev"),
-        F.last(after, ignorenulls=True).over(down.rowsBetween(*so_far)).alias("next"),
-        F.first("__earliest").over(up.rowsBetween(*so_far)).alias("earliest"),
+        F.last(F.coalesce("__seen", "__hit"), ignorenulls=True).over(up.rowsBetween(*so_far)).alias("prev"),
+        F.last(F.coalesce("__coming", "__hit"), ignorenulls=True).over(down.rowsBetween(*so_far)).alias("next"),
+        F.min(F.coalesce("__earliest", "__hit")).over(cell).alias("earliest"),
     )
     # A left row without a time has no neighbours.
     timed = [F.when(F.col("__at").isNotNull(), F.col(c)).alias(c) for c in ("prev", "next", "earliest")]

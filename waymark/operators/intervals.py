@@ -7,7 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.operators.lookup import HOT_ROWS, SALTS, lookup_join
+from waymark.operators.hot import HOT_ROWS
+from waymark.operators.lookup import SALTS, lookup_join
 
 
 def interval_join(

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
+from waymark.operators.hot import HOT_ROWS, MARK, hot_keys, mark_hot
+
 SALTS = 64
 SMALL_ROWS = 100_000
 
@@ -34,24 +35,14 @@ def lookup_join(
 ) -> DataFrame:
     """``rows`` (left) joined to ``table`` on ``keys`` and ``matches``; ``how`` is ``left`` or ``inner``.
 
-    Keys with more than ``hot_rows`` rows are found by one column-pruned, map-side combined
-    count. There are at most ``rows / hot_rows`` of them, so that list is safe to
-    broadcast. Rows of hot keys, and rows with a null key (which can never match), are
+    Rows of keys with more than ``hot_rows`` rows, and rows with a null key (which can never match), are
     spread over ``salts`` sub-keys; only the hot entries of ``table`` are repeated. All
     other keys are joined once, untouched. ``row_id`` names columns that tell rows of one
     key apart (all columns if not given). The count reads ``hot_from``, by default
     ``rows``: where those come from other joins, give an earlier table with the same keys.
     """
-    hot_keys = [f"__h{i}" for i in range(len(keys))]
     table_keys = [f"__t{i}" for i in range(len(keys))]
-    hot = (
-        (rows if hot_from is None else hot_from)
-        .dropna(subset=list(keys))
-        .groupBy(*[F.col(k).alias(h) for k, h in zip(keys, hot_keys, strict=True)])
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") > hot_rows)
-        .select(*hot_keys, F.lit(True).alias("__hot"))
-    )
+    hot = hot_keys((rows if hot_from is None else hot_from).dropna(subset=list(keys)), keys, hot_rows)
 
     def equal(left: Sequence[str], right: Sequence[str]) -> Column:
         on = F.lit(True)
@@ -59,18 +50,15 @@ def lookup_join(
             on = on & (F.col(a) == F.col(b))
         return on
 
-    def mark(df: DataFrame, names: Sequence[str]) -> DataFrame:
-        return df.join(F.broadcast(hot), equal(names, hot_keys), "left").drop(*hot_keys)
-
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
     spread = F.pmod(F.xxhash64(*(row_id or rows.columns)), F.lit(salts)).cast("int")
-    salted = mark(rows, keys).withColumn("__salt", F.when(F.col("__hot") | any_null, spread).otherwise(F.lit(0)))
-    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted = mark_hot(rows, hot, keys).withColumn("__salt", F.when(F.col(MARK) | any_null, spread).otherwise(F.lit(0)))
+    copies = F.when(F.col(MARK), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     renamed = table.withColumnsRenamed(dict(zip(keys, table_keys, strict=True)))
-    repeated = mark(renamed, table_keys).withColumn("__slot", F.explode(copies)).drop("__hot")
+    repeated = mark_hot(renamed, hot, table_keys).withColumn("__slot", F.explode(copies)).drop(MARK)
     on = equal([*keys, "__salt"], [*table_keys, "__slot"])
     if matches is not None:
         on = on & matches
-    return salted.drop("__hot").join(repeated, on, how).drop("__salt", "__slot", *table_keys)
+    return salted.drop(MARK).join(repeated, on, how).drop("__salt", "__slot", *table_keys)

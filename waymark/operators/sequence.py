@@ -1,13 +1,13 @@
-"""Position, neighbours and size of a group without ever gathering the group in one task.
+"""Position, neighbours and size of a group, also of one too large for a task.
 
 A plain window over ``keys`` sorts a whole group in one task, which fails once a single
-visitor owns a large share of the log. Here each group is cut into chunks (for example
-hours). A small summary per chunk gives, for every chunk, how many rows come before it
-and what its neighbours hold; that summary row is unioned in front of the chunk's own
-rows, and the only wide window is over ``keys + chunk``. The summary is pre-aggregated
-map-side and has one row per chunk, so the window over ``keys`` on it is bounded by the
-number of chunks, not by the number of rows. The input is read twice, once for the
-summary: stage an expensive one first.
+visitor owns a large share of the log. Ordinary groups are sorted that way here; a group
+with more than ``hot_rows`` rows is cut into time chunks, and the window is over
+``keys + chunk``. A summary of the hot groups, pre-aggregated map-side to one row per
+chunk, tells how many rows come before each chunk and what its neighbours hold; that row
+is unioned in front of the chunk's own rows. The only window over ``keys`` alone runs on
+the summary, so it is bounded by the number of chunks. The input is read once more to
+count its keys, and its hot part a third time: stage an expensive one first.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymark.operators.hot import HOT_ROWS, MARK, hot_keys, mark_hot
+
 
 def sequence(
     df: DataFrame,
@@ -29,24 +31,31 @@ def sequence(
     total: str | None = None,
     lead: Mapping[str, str] | None = None,
     lag: Mapping[str, str] | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add rank, reverse rank, group size, and next / previous values per group.
 
     ``order`` must be a strict total order inside a group (end it with a unique id).
     ``chunk`` lists columns that never decrease along ``order``. ``keys`` may be empty,
-    which numbers the whole table. ``lead`` / ``lag`` map an output name to its source.
+    which numbers the whole table, always by chunks. ``lead`` / ``lag`` map an output name
+    to its source.
     """
     lead = dict(lead or {})
     lag = dict(lag or {})
     chunks = [f"__chunk{i}" for i in range(len(chunk))]
-    rows = df.select("*", *[c.alias(name) for c, name in zip(chunk, chunks, strict=True)])
+    marked = mark_hot(df, hot_keys(df, keys, hot_rows), keys) if keys else df.withColumn(MARK, F.lit(True))
+    rows = marked.select("*", *[F.when(F.col(MARK), c).alias(name) for c, name in zip(chunk, chunks, strict=True)])
 
     first = F.struct(*order, *[F.col(c).alias(f"__v{i}") for i, c in enumerate(lead.values())])
     last = F.struct(*order, *[F.col(c).alias(f"__v{i}") for i, c in enumerate(lag.values())])
-    summary = rows.groupBy(*keys, *chunks).agg(
-        F.count(F.lit(1)).alias("__n"),
-        *([F.min(first).alias("__head")] if lead else []),
-        *([F.max(last).alias("__tail")] if lag else []),
+    summary = (
+        rows.filter(MARK)
+        .groupBy(*keys, *chunks)
+        .agg(
+            F.count(F.lit(1)).alias("__n"),
+            *([F.min(first).alias("__head")] if lead else []),
+            *([F.max(last).alias("__tail")] if lag else []),
+        )
     )
     by_chunk = Window.partitionBy(*keys).orderBy(*chunks)
     earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
@@ -54,23 +63,29 @@ def sequence(
         *keys,
         *chunks,
         F.lit(0).alias("__row"),
-        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"),
+        F.sum("__n").over(earlier).alias("__before"),
         F.sum("__n").over(Window.partitionBy(*keys)).alias("__total"),
         *([F.lead("__head").over(by_chunk).alias("__next")] if lead else []),
         *([F.lag("__tail").over(by_chunk).alias("__prev")] if lag else []),
     )
 
-    inside = Window.partitionBy(*keys, *chunks).orderBy("__row", *order)
+    cell = Window.partitionBy(*keys, *chunks)
+    inside = cell.orderBy("__row", *order)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = rows.withColumn("__row", F.lit(1)).unionByName(carry, allowMissingColumns=True)
-    # The carry row is position 0 of its chunk.
+    numbered = rows.drop(MARK).withColumn("__row", F.lit(1)).unionByName(carry, allowMissingColumns=True)
+
+    def carried(column: str) -> Column:
+        return F.first(column).over(so_far)
+
+    sized = reverse_rank or total
     numbered = numbered.select(
         "*",
-        (F.row_number().over(inside) - 1).alias("__pos"),
-        F.first("__before").over(so_far).alias("__offset"),
-        F.first("__total").over(so_far).alias("__size"),
-        *([F.first("__next").over(so_far).alias("__after_chunk")] if lead else []),
-        *([F.first("__prev").over(so_far).alias("__before_chunk")] if lag else []),
+        # The carry row of a chunk has __row 0, so this counts data rows only.
+        F.sum("__row").over(so_far).alias("__pos"),
+        F.coalesce(carried("__before"), F.lit(0)).alias("__offset"),
+        *([F.coalesce(carried("__total"), F.sum("__row").over(cell)).alias("__size")] if sized else []),
+        *([carried("__next").alias("__after_chunk")] if lead else []),
+        *([carried("__prev").alias("__before_chunk")] if lag else []),
         *([F.lead("__row").over(inside).isNull().alias("__ends_chunk")] if lead else []),
         *[F.lead(src).over(inside).alias(f"__lead{i}") for i, src in enumerate(lead.values())],
         *[F.lag(src).over(inside).alias(f"__lag{i}") for i, src in enumerate(lag.values())],
