@@ -48,9 +48,7 @@ def rolling_window(ts: str, run_date: dt.date) -> Column:
     """
     start = previous_quarter_start(run_date)
     end = run_date - dt.timedelta(days=1)
-    return (F.col(ts) >= F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp")) & (
-        F.col(ts) < F.lit(dt.datetime.combine(end, dt.time())).cast("timestamp")
-    )
+    return (F.col(ts) >= F.lit(start).cast("timestamp")) & (F.col(ts) < F.lit(end).cast("timestamp"))
 
 
 def on_day(ts: str, day: dt.date) -> Column:

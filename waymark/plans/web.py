@@ -139,13 +139,15 @@ def url_columns(pages: DataFrame, home: str = "/homepage") -> DataFrame:
     )
 
 
-def new_or_returned(pages: DataFrame, visitors: DataFrame, unit: str = "month") -> DataFrame:
+def new_or_returned(
+    pages: DataFrame, visitors: DataFrame, unit: str = "month", hot_from: DataFrame | None = None
+) -> DataFrame:
     """New in the period of the first visit, Returned later, None when unknown."""
     first = visitors.select("visitor_id", "first_visit_time")
     seen, now = F.date_trunc(unit, "first_visit_time"), F.date_trunc(unit, "visit_start_time")
     flag = F.when(now == seen, F.lit("New")).when(now > seen, F.lit("Returned")).otherwise(F.lit("None"))
     return (
-        lookup_join(pages, first, ["visitor_id"], row_id=["page_visit_id"])
+        lookup_join(pages, first, ["visitor_id"], row_id=["page_visit_id"], hot_from=hot_from)
         .withColumn("flg_new_vs_returned", flag)
         .drop("first_visit_time")
     )
@@ -171,14 +173,14 @@ def page_visit_fact(
     unit: str = "month",
 ) -> DataFrame:
     """The page-visit fact. ``derived`` classifies on the derived medium, as the later form does."""
-    pages = harmonise(logs)
-    pages = sequence_pages(pages, ["domain", "visitor_id", "session_id"])
+    logged = harmonise(logs)
+    pages = sequence_pages(logged, ["domain", "visitor_id", "session_id"])
     for column, table in (spellings or {}).items():
         pages = marketing.canonical_values(pages, column, table)
     pages = url_columns(tag_columns(pages))
     rules = rulesets.web_channel_rules(vocabulary, "direct" if derived else "(direct)")
     pages = channel_detail(pages, rules, rulesets.WEB_DEFAULT, DERIVED_FIELDS if derived else TAG_FIELDS)
-    pages = new_or_returned(roll_up(pages, mapping), visitors, unit)
+    pages = new_or_returned(roll_up(pages, mapping), visitors, unit, hot_from=logged)
     return stamp(pages.withColumns(edge_flags()), run_date)
 
 
