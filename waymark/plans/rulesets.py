@@ -118,9 +118,13 @@ WEB_DEFAULT = "No Referral"
 
 
 def _listed(name: str, value: str, *, closing: bool = True) -> tuple:
-    """``value`` alone, or inside a list kept as text such as ``["sem","sem"]`` or ``sem,sem``."""
-    after = f"%,{value}%" if closing else f"%,{value}"
-    return is_in(name, value), like(name, f'%"{value}"%', after, f"%{value},%")
+    """``value`` alone, or inside a list kept as text such as ``["sem","sem"]`` or ``sem,sem``.
+
+    With ``closing`` text may follow the value after a comma.
+    """
+    if closing:
+        return is_in(name, value), has(name, f'"{value}"', f",{value}", f"{value},")
+    return is_in(name, value), has(name, f'"{value}"', f"{value},"), like(name, f"%,{value}")
 
 
 def _and(left: tuple, right: tuple) -> list[tuple]:
