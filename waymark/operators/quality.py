@@ -36,7 +36,7 @@ def missing_keys(left: DataFrame, right: DataFrame, key: str, *, strict_null: bo
     ``strict_null`` follows SQL ``NOT IN``: rows with a null key never qualify, and one
     null key in ``right`` leaves no row at all.
     """
-    found = left.join(right.select(key).dropna(), key, "left_anti")
+    found = left.join(right.select(key).dropna().distinct(), key, "left_anti")
     if not strict_null:
         return found
     # One uncorrelated subquery value each. An empty right side lets every row through.

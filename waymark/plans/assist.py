@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import times
-from waymark.operators import interval_join, keep_first, sequence
+from waymark.operators import interval_join, keep_first, lookup_join, sequence
 from waymark.operators.sequence import hours
 from waymark.plans.identity import as_of_day
 
@@ -181,7 +181,9 @@ def earliest_assist(signups: DataFrame, promos: DataFrame, activities: DataFrame
 def all_assists(signups: DataFrame, promos: DataFrame, pairs: DataFrame, null_safe: bool = False) -> DataFrame:
     """As :func:`earliest_assist`, but one row per org, lead and qualifying activity."""
     acts = pairs.select(*ACTIVITY, "lead_or_contact_id")
-    joined = signups.join(promos, "org_id", "left").join(acts, ["org_id", "lead_or_contact_id"], "left")
+    joined = lookup_join(signups, promos, ["org_id"], row_id=["lead_or_contact_id"]).join(
+        acts, ["org_id", "lead_or_contact_id"], "left"
+    )
     return (
         joined.withColumns(_resolve(null_safe))
         .select(

@@ -37,6 +37,7 @@ def attributed_members(
         .select(F.col("converted_contact_id").alias("contact_id"), F.col("id").alias("lead_id"))
         .join(bridge, "lead_id", "left_semi")
         .select("contact_id")
+        .distinct()
     )
     own = kept.filter("lead_id is not null").join(bridge, "lead_id", "left_semi")
     through = kept.filter("lead_id is null").join(converted, "contact_id", "left_semi")

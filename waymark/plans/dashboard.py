@@ -115,7 +115,8 @@ def web_dashboard(
     since = F.lit(start).cast("timestamp")
     scanned = pages.filter(times.rolling_window("visit_start_time", run_date) & F.col("domain").isin(*domains))
     visits = stage(pages_with_leads(scanned, lead_map, by_source), "visits")
-    leads = visits.select("lead_or_contact_id")
+    # Distinct before the semi joins: one lead may have very many visits.
+    leads = visits.select("lead_or_contact_id").dropna().distinct()
     in_funnel = funnel.filter(F.col("inquiry_date_time") >= since).distinct().join(leads, "lead_or_contact_id", "left_semi")
     asked = (
         inquiries.filter(F.col("inquiry_date_time") >= since - F.expr("INTERVAL 7 DAYS"))

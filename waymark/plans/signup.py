@@ -40,7 +40,7 @@ def org_cohort(orgs: DataFrame, users: DataFrame, memberships: DataFrame, quarte
 
 def cohort_touches(touches: DataFrame, key: str, cohort: DataFrame, cohort_key: str, since: dt.date) -> DataFrame:
     """Touches of cohort members after a date."""
-    members = cohort.select(F.col(cohort_key).alias(key))
+    members = cohort.select(F.col(cohort_key).alias(key)).distinct()
     return touches.filter(F.col("timestamp") >= F.lit(since).cast("timestamp")).join(members, key, "left_semi").distinct()
 
 
@@ -148,7 +148,7 @@ def lookback_pages(signups: DataFrame, pages: DataFrame, days: int = 30) -> Data
     created, page_at = F.col("created_at"), F.col("page_at")
     by_cloud = F.coalesce(times.whole_units("DAY", F.col("cloud_at"), created) <= days, F.lit(False))
     recent = interval_join(
-        views.join(signups.select("anonymous_id"), "anonymous_id", "left_semi"),
+        views.join(signups.select("anonymous_id").distinct(), "anonymous_id", "left_semi"),
         signups.filter(~by_cloud),
         ["anonymous_id"],
         "page_at",
@@ -160,7 +160,7 @@ def lookback_pages(signups: DataFrame, pages: DataFrame, days: int = 30) -> Data
     any_age = lookup_join(views, signups.filter(by_cloud), ["anonymous_id"], "inner").filter(page_at < created)
     names = [*signups.columns, "page_at", "url", "page_session_id"]
     matched = recent.select(*names).unionByName(any_age.select(*names))
-    bare = signups.filter(by_cloud).join(any_age.select("org_id"), "org_id", "left_anti")
+    bare = signups.filter(by_cloud).join(any_age.select("org_id").distinct(), "org_id", "left_anti")
     every = matched.unionByName(bare, allowMissingColumns=True)
     return every.withColumns(
         {
@@ -325,7 +325,7 @@ def credit_on_activation(touches: DataFrame, funnel: DataFrame) -> DataFrame:
     )
     # A full join with a skewed side, in two parts: touches with their org, orgs without touches.
     with_org = lookup_join(touches, stages, ["org_id"])
-    without = stages.join(touches.select("org_id"), "org_id", "left_anti")
+    without = stages.join(touches.select("org_id").distinct(), "org_id", "left_anti")
     every = with_org.unionByName(without, allowMissingColumns=True)
     credit = F.coalesce("linear_credit", F.lit(1.0))
     return every.withColumns(
@@ -367,7 +367,8 @@ def channel_mix(attribution: DataFrame, cohort: DataFrame) -> DataFrame:
 def unattributed_touches(touches: DataFrame, attribution: DataFrame, since: dt.date, fields: list[str]) -> DataFrame:
     """Touches that do carry tags, of leads that ended up without a referral."""
     lost = attribution.filter((F.col("channel_aggregate") == NO_TOUCH) & (F.col("signed_up_at") >= F.lit(since).cast("timestamp")))
-    return touches.filter(any_present(*fields)).join(lost.select("lead_or_contact_id"), "lead_or_contact_id", "left_semi")
+    leads = lost.select("lead_or_contact_id").distinct()
+    return touches.filter(any_present(*fields)).join(leads, "lead_or_contact_id", "left_semi")
 
 
 def leads_with_web_visit(visits: DataFrame, people: DataFrame, signups: DataFrame, minutes: int = 360) -> DataFrame:
