@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import bpe, counts, token_files
-from waymark.llm.frames import documents, stage
+from waymark.llm import bpe, counts, exact_dedup, language, mixing, secrets, token_files, url_filter
+from waymark.llm.frames import documents, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -23,11 +23,41 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(documents(spark, folder))
 
 
+@query
+def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.digest_rows(documents(spark, folder))
+
+
+ORACLE_SQL["op2_exact_dedup"] = exact_dedup.SQL
+
+
+@query
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.digest_rows(documents(spark, folder))
+
+
 @query
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.token_counts(documents(spark, folder))
 
 
+@query
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, folder).select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest_rows(documents(spark, folder))
+
+
+@query
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
 @query
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.digests(stage(token_files.segments(documents(spark, folder)), "token_files"))
