@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.frames import own_names
+from waymark.llm.frames import own_names, stage
 
 #: A chunk ends at the first sentence end after 1023 characters, or after 4096 characters.
 CHUNK = r"(?s).{1023,4095}?[.!?\n]|.{1,4096}"
@@ -56,12 +56,13 @@ def exact_dedup(docs: DataFrame, digests: Sequence[Digest] = DIGESTS) -> DataFra
     digest = verified_digest(docs, digests)
     rows = docs.withColumn("__recipe", F.transform(chunks(F.col("text")), lambda c: digest(c)))
     # One row per group of copies: counts are combined before the shuffle, single texts left out.
-    groups = (
+    # As a written table, its size is known, and adaptive execution may split a large group in the join.
+    groups = stage(
         rows.groupBy(F.col("__recipe").alias("__same"))
         .agg(F.max("doc_id").alias("__largest"), F.count("*").alias("__n"))
-        .filter("__n > 1")
+        .filter("__n > 1"),
+        "groups",
     )
-    # Nothing above this join needs its partitioning, so adaptive execution may split a large group.
     joined = rows.join(groups, F.col("__recipe") == F.col("__same"), "left")
     keep = F.when(F.col("__n").isNull(), F.col("doc_id")).otherwise(F.col("__largest"))
     return joined.select(

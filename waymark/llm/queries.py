@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import bpe, counts, exact_dedup, language, mixing, secrets, token_files, url_filter
+from waymark.llm import bpe, counts, exact_dedup, language, mixing, near_dedup, secrets, token_files, url_filter
 from waymark.llm.frames import documents, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,11 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+@query
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, folder), words=2)
+
+
 @query
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.digests(stage(token_files.segments(documents(spark, folder)), "token_files"))
