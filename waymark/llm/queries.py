@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import bpe, counts, exact_dedup, language, mixing, near_dedup, secrets, token_files, url_filter
+from waymark.llm import bpe, counts, embedding_dedup, exact_dedup, language, mixing, near_dedup, secrets, token_files, url_filter
 from waymark.llm.frames import documents, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,8 @@ def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.digests(stage(token_files.segments(documents(spark, folder)), "token_files"))
+
+
+@query
+def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
