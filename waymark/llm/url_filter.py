@@ -20,10 +20,10 @@ RULES: tuple[tuple[str, str], ...] = (
     ("allow", "com/fr/"),
     ("block", "com/de/"),
 )
-#: The labelled urls the model learns from (1: block), as host and path; invented.
-LABELLED: tuple[tuple[str, int], ...] = (
+#: Names the labelled urls are made of (1: block), as host and path; invented.
+NAMES: tuple[tuple[str, int], ...] = (
     ("cheap-pills.example/buy/now", 1),
-    ("www.cheap-meds.example/en/12?ref=x", 1),
+    ("cheap-meds.example/en/12?ref=x", 1),
     ("pills-online.example/offer", 1),
     ("spam-farm.example/en/3", 1),
     ("spam-links.example/links/99", 1),
@@ -48,41 +48,46 @@ LABELLED: tuple[tuple[str, int], ...] = (
     ("casino-slots.example/en/61", 1),
     ("win-prizes.example/en/22", 1),
     ("ads-server.example/track/7", 1),
-    ("m.ads-clicks.example/en/15", 1),
-    ("www.spam-mail.example/es/31", 1),
+    ("ads-clicks.example/en/15", 1),
+    ("spam-mail.example/es/31", 1),
     ("library.example/books/12", 0),
     ("example.example/en/4", 0),
     ("new-books.example/en/41.html", 0),
-    ("m.old-town.example/es/9?page=2", 0),
+    ("old-town.example/es/9?page=2", 0),
     ("green-tea.example/fr/128", 0),
-    ("blog.open-data.example/en/7#top", 0),
-    ("www.lake-house.example/de/66", 0),
+    ("open-data.example/en/7#top", 0),
+    ("lake-house.example/de/66", 0),
     ("two-rivers.example/en/3/", 0),
     ("photo-club.example/en/5000", 0),
-    ("www.museum.example/en/collection", 0),
-    ("blog.garden.example/en/roses.html", 0),
-    ("m.weather.example/fr/paris", 0),
+    ("museum.example/en/collection", 0),
+    ("garden.example/en/roses.html", 0),
+    ("weather.example/fr/paris", 0),
     ("news.example/de/politik/77", 0),
     ("university.example/courses/physics", 0),
     ("docs.tools.example/guide/install", 0),
     ("recipes.example/es/sopa", 0),
-    ("www.railway.example/timetable", 0),
-    ("blog.history.example/en/853/", 0),
+    ("railway.example/timetable", 0),
+    ("history.example/en/853/", 0),
     ("science.example/articles/1234", 0),
-    ("m.sport.example/fr/football", 0),
-    ("www.city.example/de/rathaus", 0),
+    ("sport.example/fr/football", 0),
+    ("city.example/de/rathaus", 0),
     ("forum.cycling.example/thread/55", 0),
     ("archive.example/1998/index.html", 0),
-    ("www.school.example/en/445", 0),
+    ("school.example/en/445", 0),
     ("health.example/es/consejos", 0),
-    ("blog.travel.example/en/971?page=2", 0),
+    ("travel.example/en/971?page=2", 0),
     ("maps.example/en/471", 0),
-    ("www.theatre.example/programme", 0),
+    ("theatre.example/programme", 0),
+)
+ENDS, FRONTS = (".example.com", ".example.net", ".example.org"), ("", "www.", "m.", "blog.")
+#: The small labelled table: every name under every ending and front, so that neither tells anything.
+LABELLED = tuple(
+    (front + name.replace(".example", end, 1), y) for name, y in NAMES for end in ENDS for front in FRONTS
 )
 GRAMS, DIMENSIONS = (3, 4), 1 << 14
-EPOCHS, RATE, DECAY = 600, 2.0, 5e-4
+EPOCHS, RATE, DECAY = 300, 4.0, 5e-4
 #: Paths say less than hosts; a clean url blocked costs more than a bad one let through.
-PATH_SHARE, ALLOW_COST = 0.4, 2.0
+PATH_SHARE, ALLOW_COST = 0.25, 1.8
 OWN = ["host", "path", "rule", "verdict", "block_score"]
 
 
