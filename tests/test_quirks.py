@@ -293,15 +293,17 @@ def test_asof_country_with_fallback(spark):
 
 TOUCHED = (
     "org_id long, created_at timestamp, channel_detail string, channel string, channel_aggregate string, channel_source string,"
-    " channel_medium string, channel_campaign string, session_id string, touched_at timestamp"
+    " channel_medium string, channel_campaign string, session_id string, ga_client_id string, url string, hostname string,"
+    " delta_signup_touch_hour int"
 )
 
 
 def test_linear_credit(spark):
-    web_touches = spark.createDataFrame(
-        [(1, ts("2024-01-10"), "d", "c", "a", "s", "m", "k", f"s{i}", ts(f"2024-01-0{i}")) for i in (1, 2)], TOUCHED
-    )
-    last = spark.createDataFrame([(1, ts("2024-01-10"), "d", "c", "a", "s", "m", "k", None, None)], TOUCHED)
+    base = (1, ts("2024-01-10"), "d", "c", "a", "s", "m", "k")
+    # One page seen twice in a session is one touch; a view six hours before the signup is none.
+    seen = [("s1", "g", "u", "h", 40), ("s1", "g", "u", "h", 39), ("s2", "g", "u", "h", 7), ("s3", "g", "u", "h", 6)]
+    web_touches = spark.createDataFrame([base + s for s in seen], TOUCHED)
+    last = spark.createDataFrame([base + (None, None, None, None, None)], TOUCHED)
     touches = signup.linear_touches(web_touches, last)
     funnel = spark.createDataFrame(
         [(1, ts("2024-01-10"), ts("2024-01-17"), ts("2024-01-25")), (2, ts("2024-01-10"), None, ts("2024-01-24"))],
@@ -315,6 +317,61 @@ def test_linear_credit(spark):
     assert (second["linear_credit"], second["channel"], second["linear_credit_oa"], second["linear_credit_pao"]) == (1.0, "No Referral", None, 1.0)
 
 
+def test_reconcile_takes_the_credit(spark):
+    base = (1, ts("2024-01-10"), "d", "c", "a", "s", "m", "k")
+    web_touches = spark.createDataFrame([base + ("s1", "g", "u", "h", 40), base + ("s2", "g", "u", "h", 9)], TOUCHED)
+    funnel = spark.createDataFrame(
+        [(1, ts("2024-01-10"), None, None)], "org_id long, signed_up_at timestamp, usage_at timestamp, product_active_at timestamp"
+    )
+    ours = signup.credit_on_activation(signup.linear_touches(web_touches, web_touches.limit(0)), funnel)
+    theirs = spark.createDataFrame(
+        [(1, "g", "s1", "u", "h", "e"), (2, "g", "s9", "u", "h", "f")],
+        "org_id long, ga_client_id string, session_id string, url string, hostname string, channel_detail string",
+    )
+    rows = {r["session_id"]: r for r in signup.reconcile_attributions(ours, theirs).collect()}
+    assert {k: (r["channel_detail_lt"], r["channel_detail_ga"], r["linear_credit"]) for k, r in rows.items()} == {
+        "s1": ("d", "e", 0.5),
+        "s2": ("d", None, 0.5),
+        "s9": (None, "f", None),
+    }
+
+
+def test_first_user_has_a_user_row(spark):
+    users = spark.createDataFrame([(2, "b@x", ts("2024-01-01"))], "id long, email string, created_at timestamp")
+    memberships = spark.createDataFrame(
+        [(9, 1, ts("2024-01-01")), (9, 2, ts("2024-01-02"))], "org_id long, user_id long, created_at timestamp"
+    )
+    assert one(identity.first_user_per_org(users, memberships))["user_id"] == 2
+
+
+def test_an_event_loaded_twice_is_a_bounce(spark):
+    rows = spark.createDataFrame(
+        [("a", "v", "s", ts("2024-01-01 10:00"), "https://www.example.com/a", None, None, None, None, None)],
+        "page_visit_id string, visitor_id string, session_id string, visit_start_time timestamp, url string, referrer string,"
+        " utm_source string, utm_medium string, utm_campaign string, user_id string",
+    )
+    log = web.PageLog(rows, {c: c for c in rows.columns}, "www.example.com")
+    fact = one(web.page_visit_fact([log, log], web.visitor_dimension(rows), dt.date(2024, 1, 2)))
+    assert (fact["is_bounce"], fact["rank_from_end"]) == ("True", 1)
+
+
+def test_two_grants_share_a_total_unless_told_apart(spark):
+    grants = spark.createDataFrame(
+        [(1, dt.date(2024, 1, 2)), (1, dt.date(2024, 2, 1))], "org_id long, credit_expiration_date date"
+    )
+    billing = spark.createDataFrame(
+        [(1, dt.date(2024, 1, d), -60.0, "PromoCredit", "PAYG") for d in (1, 2, 3)],
+        "org_id long, date date, bill_amount_usd double, metric_type string, commercial_model string",
+    )
+
+    def totals(**how):
+        rows = credits.burn_down(grants, billing, **how).collect()
+        return sorted((r["date"].day, r["credit_expiration_date"].month, r["running_total"]) for r in rows)
+
+    assert totals() == [(1, 1, -60.0), (1, 2, -120.0), (2, 1, -180.0), (2, 2, -240.0), (3, 2, -300.0)]
+    assert totals(per_grant=True) == [(1, 1, -60.0), (1, 2, -60.0), (2, 1, -120.0), (2, 2, -120.0), (3, 2, -180.0)]
+
+
 def test_bounce_and_edges(spark):
     pages = spark.createDataFrame(
         [("a", "v", "one", ts("2024-01-01 10:00"))] + [(f"b{i}", "v", "three", ts(f"2024-01-01 1{i}:00")) for i in range(3)],

@@ -39,7 +39,13 @@ def asof_neighbours(
     decrease with time.
     """
     keys = list(keys)
-    hit = F.struct(right_at.alias("at"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(right_order)], *payload)
+    # Ties are broken by the fields in their order; one that is payload too is held once.
+    held = [F.col(c) if c in payload else F.col(c).alias(f"o{i}") for i, c in enumerate(right_order)]
+    hit = F.struct(right_at.alias("at"), *held, *[c for c in payload if c not in right_order])
+    keyless = F.lit(False)
+    for k in keys:
+        keyless = keyless | F.col(k).isNull()
+    bare, left = left.filter(keyless), left.filter(~keyless)
     l_side, r_side = (1, 0) if equal_is_before else (0, 1)
     lefts = left.select("*", left_at.alias("__at"), F.lit(l_side).alias("__side"))
     rights = (
@@ -92,4 +98,7 @@ def asof_neighbours(
     )
     # A left row without a time has no neighbours.
     timed = [F.when(F.col("__at").isNotNull(), F.col(c)).alias(c) for c in ("prev", "next", "earliest")]
-    return found.filter("__kind = 'left'").select(*left.columns, *timed)
+    out = found.filter("__kind = 'left'").select(*left.columns, *timed)
+    # A left row with a missing key can match nothing and goes round the sort.
+    nothing = [F.lit(None).cast(out.schema[c].dataType).alias(c) for c in ("prev", "next", "earliest")]
+    return out.unionByName(bare.select("*", *nothing))

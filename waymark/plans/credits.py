@@ -11,18 +11,19 @@ THRESHOLDS = (100, 200, 300, 400)
 COMMERCIAL_MODELS = ("PAYG", "Commit")
 
 
-def burn_down(grants: DataFrame, billing: DataFrame) -> DataFrame:
+def burn_down(grants: DataFrame, billing: DataFrame, per_grant: bool = False) -> DataFrame:
     """Daily promo spend per granted org with its running total.
 
-    Spend is summed per org and day before the window, so the window holds at most one
-    row per day of an org.
+    The total runs over all days of an org, so a day that two grants cover counts twice;
+    ``per_grant`` keeps a total for each expiry date instead. Spend is summed per org and day before the window, so the window holds at most one
+    row per day and grant of an org.
     """
     spent = billing.filter((F.col("metric_type") == "PromoCredit") & F.col("commercial_model").isin(*COMMERCIAL_MODELS))
     daily = spent.groupBy("org_id", "date").agg(F.sum("bill_amount_usd").alias("bill_amount_usd"))
     granted = grants.select("org_id", "credit_expiration_date").distinct()
-    running = Window.partitionBy("org_id", "credit_expiration_date").orderBy("date").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    whole = ["org_id", "credit_expiration_date"] if per_grant else ["org_id"]
+    order = ["date"] if per_grant else ["date", "credit_expiration_date"]
+    running = Window.partitionBy(*whole).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         daily.join(granted, "org_id")
         .filter(F.col("credit_expiration_date") >= F.col("date"))

@@ -173,8 +173,12 @@ def signup_users(users: DataFrame, memberships: DataFrame) -> DataFrame:
 
 
 def first_user_per_org(users: DataFrame, memberships: DataFrame) -> DataFrame:
-    """The user who joined each org first; the membership is cut down before users are joined."""
-    first = keep_first(memberships, ["org_id"], ["created_at", "user_id"])
+    """The user who joined each org first, among members that have a user row.
+
+    Only ids are matched before the first membership is kept; users are joined to that.
+    """
+    known = memberships.join(users.select(F.col("id").alias("user_id")).distinct(), "user_id", "left_semi")
+    first = keep_first(known.select("org_id", "user_id", "created_at"), ["org_id"], ["created_at", "user_id"])
     return signup_users(users, first)
 
 
@@ -201,7 +205,9 @@ def org_to_person_product_led(
     signups = signup_users(outside, memberships).withColumn("signed_up_at", F.coalesce("user_created_at", "joined_at"))
     joined = signups.join(led, "org_id").join(people.withColumnRenamed("id", "lead_or_contact_id"), "email", "left")
     order = ["signed_up_at", "lead_create_ts", "user_id", "lead_or_contact_id", "origin"]
-    placed = sequence(joined, ["org_id"], order, hours("signed_up_at"), rank="rnk_is_first_signup")
+    # The order must tell all rows of an org apart.
+    strict = [*order, "email", "joined_at"]
+    placed = sequence(joined.distinct(), ["org_id"], strict, hours("signed_up_at"), rank="rnk_is_first_signup")
     return keep_first(placed, ["org_id", "user_id", "email", "lead_or_contact_id"], order).select(
         "org_id",
         "lead_or_contact_id",

@@ -132,11 +132,19 @@ def with_pipeline(inquiries: DataFrame, pipeline: DataFrame) -> DataFrame:
     return inquiries.join(credit, ["campaign_member_id", "lead_or_contact_id", "opportunity_id"], "left")
 
 
-def inquiry_sessions(inquiries: DataFrame, lead_map: DataFrame, identifies: DataFrame, minutes: int = 1440) -> DataFrame:
-    """Visitors and sessions seen within ``minutes`` of each inquiry, as ordered distinct lists."""
+def inquiry_sessions(inquiries: DataFrame, lead_map: DataFrame, identifies: DataFrame, minutes: int = 1440, day: dt.date | None = None) -> DataFrame:
+    """Visitors and sessions seen within ``minutes`` of each inquiry, as ordered distinct lists.
+
+    With ``day`` only that day's identifies are read, as the daily run does: one just past
+    midnight is not matched, however near it is.
+    """
+    if day is not None:
+        identifies = identifies.filter(times.on_day("timestamp", day))
     asked = inquiries.select("campaign_member_id", "lead_or_contact_id", "inquiry_created_ts")
     known = asked.join(lead_map.select("lead_or_contact_id", "anonymous_id").distinct(), "lead_or_contact_id")
+    visitors = known.select("anonymous_id").distinct()
     seen = identifies.select("anonymous_id", "session_id", F.col("timestamp").alias("seen_at")).distinct()
+    seen = seen.join(visitors, "anonymous_id", "left_semi")
     # A whole-minute distance of n admits up to just under n + 1 minutes.
     reach = (minutes + 1) * 60
     pairs = interval_join(
@@ -177,15 +185,18 @@ def inquiry_fact(
     ``first_throughput_at``, ``email_verified_at`` and ``product_active_at``.
     """
     day = inquiries_of_day(inquiries, members, run_date)
-    channels = latest_channel(attribution).withColumnRenamed("inquiry_id", "campaign_member_id").drop("action")
+    ids = day.select(F.col("campaign_member_id").alias("inquiry_id")).distinct()
+    # Ranked and made distinct for the day's inquiries only.
+    channels = latest_channel(attribution.join(ids, "inquiry_id", "left_semi"))
+    channels = channels.withColumnRenamed("inquiry_id", "campaign_member_id").drop("action")
     stages = milestones.select(
         "org_id", F.col("first_throughput_at").alias("oa_status"), "email_verified_at", "product_active_at"
     )
     fact = (
-        with_pipeline(day, pipeline)
+        with_pipeline(day, pipeline.join(ids, "inquiry_id", "left_semi"))
         .join(channels, "campaign_member_id", "left")
         .join(lead_scores(leads, parity), "lead_or_contact_id", "left")
-        .join(inquiry_sessions(day, lead_map, identifies, minutes), "campaign_member_id", "left")
+        .join(inquiry_sessions(day, lead_map, identifies, minutes, run_date), "campaign_member_id", "left")
     )
     with_org = lookup_join(fact, lead_orgs, ["lead_or_contact_id"], row_id=["campaign_member_id"], hot_from=day)
     return stamp(with_org.join(stages, "org_id", "left"), run_date)

@@ -32,7 +32,7 @@ def build_web(
     it, as a daily run does; without, all are one lazy plan.
     """
     visitors = stage(web.visitor_dimension(web.harmonise(logs)), "dim_visitor")
-    fact = stage(web.page_visit_fact(logs, visitors, run_date, vocabulary=vocabulary), "fct_page_visit")
+    fact = stage(web.page_visit_fact(logs, visitors, run_date, vocabulary=vocabulary, stage=stage), "fct_page_visit")
     lead_map = stage(lead_to_visitor(leads, identifies, run_date, lead_source), "lookup_lead_visitor")
     report = dashboard.web_dashboard(
         fact.drop("extract_date"),

@@ -20,8 +20,12 @@ class Vocabulary:
     """A company's own names, with invented defaults."""
 
     own_site_label: str = "Own website"
-    own_sources: tuple[str, ...] = ("webiste", "app.example.com", "drift")
-    own_sites: tuple[str, ...] = ("docs.example.com", "developer.example.com", "example.com")
+    own_source: str = "webiste"
+    product_site: str = "app.example.com"
+    chat: str = "drift"
+    docs_site: str = "docs.example.com"
+    developer_site: str = "developer.example.com"
+    main_site: str = "example.com"
     project_site: str = "/project.example.org/"
     project_site_label: str = "Organic Search - Project Website"
     nurture_campaigns: tuple[str, ...] = ("transform-your-business", "reduce-your-tco")
@@ -37,6 +41,20 @@ class Vocabulary:
     devx_campaign_names: tuple[str, ...] = ("WP Tuning Your Deployment", "WP Monitoring Your Deployment")
     excluded_name_prefix: str = "FCI"
 
+    @property
+    def own_sources(self) -> tuple[str, ...]:
+        """Sources that mean the company's own website."""
+        return (self.own_source, self.product_site, self.chat)
+
+    @property
+    def own_sites(self) -> tuple[str, ...]:
+        return (self.docs_site, self.developer_site, self.main_site)
+
+    @property
+    def no_touch_sources(self) -> tuple[str, ...]:
+        """Sources of a signup that say nothing; the documentation sites do count as a touch."""
+        return (self.main_site, self.product_site, self.chat)
+
 
 DEFAULT = Vocabulary()
 
@@ -369,7 +387,7 @@ def tactic_channel_rules(v: Vocabulary = DEFAULT) -> list[Rule]:
         rule("Nurture - Global Campaigns", has("campaign", *v.vertical_campaigns)),
         rule("Email", has("utm_medium", "email")),
         rule("Partner Referral", is_in("utm_source", *CLOUD_PROVIDERS)),
-        rule(v.own_site_label, is_in("utm_source", *v.own_sources[:2])),
+        rule(v.own_site_label, is_in("utm_source", v.own_source, v.product_site)),
         *_devx(v, "utm_campaign"),
         *[rule(c, is_in("web_channel", c)) for c in (*WEB_CHANNELS_KEPT, v.own_site_label)],
         *_devx(v, "web_channel_campaign"),
@@ -377,7 +395,7 @@ def tactic_channel_rules(v: Vocabulary = DEFAULT) -> list[Rule]:
         rule("Partner Referral", is_in("web_channel", "Partner referral")),
         rule("Email", other, is_in("web_channel_medium", "email")),
         rule("Other Referral", other, is_in("web_channel_medium", "referral")),
-        rule(v.own_site_label, other, is_in("web_channel_source", v.own_sources[0])),
+        rule(v.own_site_label, other, is_in("web_channel_source", v.own_source)),
         rule("No Referral", is_null("web_channel_source")),
     ]
 

@@ -15,6 +15,7 @@ from waymark.operators.sequence import hour_of, hours
 from waymark.plans import rulesets
 from waymark.plans.identity import first_user_per_org
 from waymark.plans.web import channel_detail, roll_up
+from waymark.sources.sinks import Stage, unstaged
 
 # Sources that are the company's own pages or say nothing.
 UNKNOWN_FIELDS = ("unknown", "(unknown)", "webchat")
@@ -47,9 +48,11 @@ def cohort_touches(touches: DataFrame, key: str, cohort: DataFrame, cohort_key:
 def _nearest(cohort: DataFrame, touches: DataFrame, key: str, hours_off: int | None, out: str, payload: list[str]) -> DataFrame:
     """Per org a struct ``out``: the touch nearest to ``created_at``, within ``hours_off`` whole hours if given."""
     people = cohort.select("org_id", "created_at", F.col("first_user_id").alias("user_id"), "email").dropna(subset=[key])
+    # The logs hold everyone's touches: only the cohort's are sorted, and only the columns picked later.
+    theirs = touches.select(key, "timestamp", *payload).join(people.select(key).distinct(), key, "left_semi")
     found = asof_neighbours(
         people.select("org_id", "created_at", key),
-        touches,
+        theirs,
         [key],
         F.col("created_at"),
         F.col("timestamp"),
@@ -157,10 +160,14 @@ def lookback_pages(signups: DataFrame, pages: DataFrame, days: int = 30) -> Data
         after=(days + 1) * 86400,
         matches=lambda page, signup: (page < signup) & (times.whole_units("DAY", page, signup) <= days),
     )
-    any_age = lookup_join(views, signups.filter(by_cloud), ["anonymous_id"], "inner").filter(page_at < created)
+    clouded = signups.filter(by_cloud)
+    seen = views.join(clouded.select("anonymous_id").distinct(), "anonymous_id", "left_semi")
+    any_age = lookup_join(seen, clouded, ["anonymous_id"], "inner").filter(page_at < created)
     names = [*signups.columns, "page_at", "url", "page_session_id"]
     matched = recent.select(*names).unionByName(any_age.select(*names))
-    bare = signups.filter(by_cloud).join(any_age.select("org_id").distinct(), "org_id", "left_anti")
+    first_seen = seen.groupBy("anonymous_id").agg(F.min("page_at").alias("first_page_at"))
+    earliest = clouded.select("org_id", "anonymous_id", "created_at").join(first_seen, "anonymous_id").filter("first_page_at < created_at")
+    bare = clouded.join(earliest.select("org_id").distinct(), "org_id", "left_anti")
     every = matched.unionByName(bare, allowMissingColumns=True)
     return every.withColumns(
         {
@@ -184,9 +191,11 @@ def last_touch(conversions: DataFrame, touches: DataFrame, key: str, days: int,
 
     An as-of lookup: linear in both tables, with no pair of conversion and touch formed.
     """
+    # A touch at any time can be the last one of nobody but a converting key.
+    theirs = touches.join(conversions.select(key).distinct(), key, "left_semi")
     found = asof_neighbours(
         conversions,
-        touches,
+        theirs,
         [key],
         F.col("converted_at"),
         F.col("touched_at"),
@@ -210,12 +219,12 @@ def _known(column: str, nothing: tuple[str, ...]) -> Column:
 
 
 def web_touch(last_pages: DataFrame, v: rulesets.Vocabulary = rulesets.DEFAULT) -> DataFrame:
-    """Tags of the last web touch; a source that is an own site counts as none."""
+    """Tags of the last web touch; the main site, the product and the chat count as none."""
     return last_pages.select(
         "org_id",
         F.col("created_at").alias("seg_created_at"),
         F.col("utm_medium").alias("seg_medium"),
-        _known("utm_source", v.own_sites + v.own_sources[1:]).alias("seg_source"),
+        _known("utm_source", v.no_touch_sources).alias("seg_source"),
         F.col("utm_campaign").alias("seg_campaign"),
         "referrer",
         "anonymous_id",
@@ -223,8 +232,8 @@ def web_touch(last_pages: DataFrame, v: rulesets.Vocabulary = rulesets.DEFAULT)
 
 
 def inquiry_touch(inquiries: DataFrame, v: rulesets.Vocabulary = rulesets.DEFAULT) -> DataFrame:
-    """Tags of the signup inquiry, own sites and unknown values as none."""
-    nothing = v.own_sites + v.own_sources[1:] + UNKNOWN_FIELDS
+    """Tags of the signup inquiry; own and unknown values count as none."""
+    nothing = v.no_touch_sources + UNKNOWN_FIELDS
     return inquiries.select(
         "org_id",
         F.col("created_at").alias("inquiry_org_created_at"),
@@ -283,37 +292,44 @@ def last_touch_report(blended: DataFrame, mapping: DataFrame | None = None, v: r
 CHANNEL_COLUMNS = ["channel_detail", "channel", "channel_aggregate"]
 
 
-def linear_touches(web_touches: DataFrame, last_touches: DataFrame) -> DataFrame:
-    """Web touches of the last 30 days and the last touch, each with an equal share of one credit.
+LINEAR_FIELDS = ["channel_source", "channel_medium", "channel_campaign", "session_id", "ga_client_id", "url", "hostname"]
+NULL_FIELDS = ("session_id", "ga_client_id", "url", "hostname")
 
-    The number of touches comes from :func:`sequence`, so an org with very many touches is
-    not gathered in one task.
+
+def linear_touches(web_touches: DataFrame, last_touches: DataFrame, hours_before: int = 6) -> DataFrame:
+    """Web touches before the signup and the last touch, each with an equal share of one credit.
+
+    Only web touches more than ``hours_before`` whole hours before the signup
+    (``delta_signup_touch_hour``) take part; later ones are the last touch's. A touch is a
+    client, session and page with its channel, however often it was seen. The number of
+    touches comes from :func:`sequence`, so an org with very many touches is not gathered
+    in one task.
     """
     shared = ["org_id", "created_at", *CHANNEL_COLUMNS]
-    web = web_touches.select(
-        *shared, F.lit("30d_web").alias("attr_source"), "channel_source", "channel_medium", "channel_campaign", "session_id", "touched_at"
-    ).distinct()
+    earlier = web_touches.filter(F.col("delta_signup_touch_hour") > hours_before)
+    web = earlier.select(*shared, F.lit("30d_web").alias("attr_source"), *LINEAR_FIELDS).distinct()
     last = last_touches.select(
         *shared,
         F.lit("signup_last_touch").alias("attr_source"),
         "channel_source",
         "channel_medium",
         "channel_campaign",
-        F.lit("Null_session_id").alias("session_id"),
-        F.col("created_at").alias("touched_at"),
+        *[F.lit(f"Null_{c}").alias(c) for c in NULL_FIELDS],
     )
-    every = web.unionByName(last)
-    counted = sequence(
-        every, ["org_id"], ["touched_at", "attr_source", "session_id"], hours("touched_at"), rank="__rank", total="num_channel"
-    ).drop("__rank")
+    # Touches have no order of their own; a hash cuts very large orgs into even parts.
+    every = web.unionByName(last).withColumn("__part", F.xxhash64("attr_source", *CHANNEL_COLUMNS, *LINEAR_FIELDS))
+    parts = [F.shiftright("__part", 48)]
+    counted = sequence(every, ["org_id"], ["__part"], parts, rank="__rank", total="num_channel").drop("__rank", "__part")
     return counted.withColumn("linear_credit", F.lit(1.0) / F.col("num_channel"))
 
 
-def credit_on_activation(touches: DataFrame, funnel: DataFrame) -> DataFrame:
+def credit_on_activation(touches: DataFrame, funnel: DataFrame, *, stage: Stage = unstaged) -> DataFrame:
     """Linear credit of every signup, and the same credit only for orgs that became active.
 
-    A signup without touches has one row with full credit and no referral.
+    A signup without touches has one row with full credit and no referral. ``touches`` are
+    read three times: pass a ``stage`` where they come from a long plan.
     """
+    touches = stage(touches, "touches")
     signed = F.col("signed_up_at")
     stages = funnel.filter(signed.isNotNull()).select(
         "org_id",
@@ -344,21 +360,21 @@ RECONCILE_KEYS = ["org_id", "ga_client_id", "session_id", "url", "hostname"]
 
 def reconcile_attributions(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     """Two attributions side by side on five keys, the channel from the first that has one."""
-    other = theirs.select(*RECONCILE_KEYS, F.col("channel_detail").alias("channel_detail_ga")).distinct()
+    theirs = theirs.withColumnRenamed("channel_detail", "channel_detail_ga")
+    other = theirs.select(*RECONCILE_KEYS, "channel_detail_ga").distinct()
     other = other.withColumn("org_id_ga", F.col("org_id"))
     mine = ours.withColumnRenamed("channel_detail", "channel_detail_lt")
     merged = full_merge(mine, other, RECONCILE_KEYS)
     return merged.withColumn("channel_detail_grouped", F.coalesce("channel_detail_lt", "channel_detail_ga"))
 
 
-def channel_mix(attribution: DataFrame, cohort: DataFrame) -> DataFrame:
-    """Distinct cohort orgs per channel, most frequent first."""
-    members = cohort.select("org_id").distinct()
+def channel_mix(attribution: DataFrame, cohort: DataFrame | None = None) -> DataFrame:
+    """Distinct orgs, of the cohort if one is given, per channel, most frequent first."""
+    named = attribution.select("org_id", "channel_detail").distinct()
+    if cohort is not None:
+        named = named.join(cohort.select("org_id").distinct(), "org_id", "left_semi")
     return (
-        attribution.select("org_id", "channel_detail")
-        .distinct()
-        .join(members, "org_id")
-        .groupBy("channel_detail")
+        named.groupBy("channel_detail")
         .agg(F.count("org_id").alias("orgs"))
         .orderBy(F.col("orgs").desc(), F.col("channel_detail").asc_nulls_first())
     )

@@ -14,7 +14,7 @@ from waymark.functions import marketing, text, times
 from waymark.operators import broadcast_if_small, first_match, interval_join, lookup_join, sequence
 from waymark.operators.sequence import hours
 from waymark.plans import rulesets
-from waymark.sources.sinks import stamp
+from waymark.sources.sinks import Stage, stamp, unstaged
 
 LOAD_METADATA = ("loaded_at", "uuid_ts", "received_at", "sent_at", "context_ip")
 
@@ -171,9 +171,14 @@ def page_visit_fact(
     derived: bool = True,
     spellings: Mapping[str, DataFrame] | None = None,
     unit: str = "month",
+    stage: Stage = unstaged,
 ) -> DataFrame:
-    """The page-visit fact. ``derived`` classifies on the derived medium, as the later form does."""
-    logged = harmonise(logs)
+    """The page-visit fact. ``derived`` classifies on the derived medium, as the later form does.
+
+    An event that was loaded twice counts once. The united log is read several times (hot
+    keys are counted before rows are sorted), so pass a ``stage`` to unite it once.
+    """
+    logged = stage(deduplicate(harmonise(logs)), "page_log")
     pages = sequence_pages(logged, ["domain", "visitor_id", "session_id"])
     for column, table in (spellings or {}).items():
         pages = marketing.canonical_values(pages, column, table)

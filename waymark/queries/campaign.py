@@ -56,8 +56,8 @@ LEAD_TOUCHES = """lead_touches AS (SELECT p.p_partkey AS campaign_id, 'Q' || o_o
     c.campaign_name, c.campaign_team, o_orderdate AS interaction_time, CAST(o_orderdate AS DATE) AS interaction_date,
     'L' || o_custkey AS lead_id, CASE WHEN o_orderstatus = 'F' THEN 'O' || o_orderkey END AS opportunity_id, o_orderpriority AS action,
     c.campaign_type AS sfdc_campaign_type, 1 AS lead, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS opp
-  FROM orders JOIN part p ON p.p_partkey = o_custkey % 50 JOIN campaigns c ON c.id = p.p_partkey)"""
-ROLES = "roles AS (SELECT DISTINCT 'C' || s_suppkey AS contact_id, 'OS' || s_nationkey AS opportunity_id FROM supplier WHERE s_acctbal > 2000)"
+  FROM orders JOIN part p ON p.p_partkey = o_custkey JOIN campaigns c ON c.id = p.p_partkey)"""
+ROLES = "roles AS (SELECT DISTINCT 'C' || s_suppkey AS contact_id, 'OS' || s_nationkey AS opportunity_id FROM supplier)"
 TOUCHES = f"""{ATTRIBUTED}, {LEAD_TOUCHES}, {ROLES}, touches AS (
   SELECT t.campaign_id, t.inquiry_id, utm_campaign, utm_medium, utm_source, campaign_name, campaign_team, interaction_time, interaction_date,
     t.lead_id AS lead_or_contact_id, r.opportunity_id, action, sfdc_campaign_type, lead,
@@ -77,13 +77,13 @@ TOUCHES = f"""{ATTRIBUTED}, {LEAD_TOUCHES}, {ROLES}, touches AS (
 
 
 def _roles(spark, sf):
-    held = table(spark, sf, "supplier").filter("s_acctbal > 2000")
+    held = table(spark, sf, "supplier")
     return held.selectExpr("'C' || CAST(s_suppkey AS STRING) AS contact_id", "'OS' || CAST(s_nationkey AS STRING) AS opportunity_id").distinct()
 
 
 def _lead_touches(spark, sf):
     described = rows(spark, sf, "campaigns").select(F.col("id").alias("campaign_id"), "campaign_name", "campaign_team", "campaign_type")
-    orders = table(spark, sf, "orders").withColumn("campaign_id", F.expr("o_custkey % 50"))
+    orders = table(spark, sf, "orders").withColumn("campaign_id", F.col("o_custkey"))
     return orders.join(described, "campaign_id").selectExpr(
         "campaign_id",
         "'Q' || CAST(o_orderkey AS STRING) AS inquiry_id",

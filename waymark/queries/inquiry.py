@@ -34,7 +34,7 @@ def rolling_scan(spark, sf):
     "member_base",
     with_("members", "campaigns", "leads", "contacts")
     + """, joined AS (
-  SELECT m.id AS campaign_member_id, campaign_id, campaign_name, campaign_type, coalesce(lead_id, contact_id) AS lead_or_contact_id,
+  SELECT m.row_id AS campaign_member_id, campaign_id, campaign_name, campaign_type, coalesce(lead_id, contact_id) AS lead_or_contact_id,
     lead_id, contact_id, created_ts, m.country,
     CASE WHEN m.country = 'United States' THEN 'Americas' WHEN m.country LIKE '%Korea%' THEN 'APAC'
       WHEN t.theater IS NOT NULL THEN t.theater WHEN geo IN ('APAC', 'EMEA') THEN geo
@@ -44,24 +44,23 @@ def rolling_scan(spark, sf):
       WHEN campaign_team IN ('Growth - Digital', 'Field Marketing', 'Partner', 'Growth - Lifecycle', 'Global Campaigns') THEN campaign_team
       ELSE 'Other' END AS campaign_team,
     CASE WHEN priority_account THEN 1 ELSE 0 END AS priority_account_lead
-  FROM members m JOIN campaigns c ON m.campaign_id = c.id LEFT JOIN leads l ON m.lead_id = l.id
+  FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY created_ts) AS rn FROM members) m JOIN campaigns c ON m.campaign_id = c.id LEFT JOIN leads l ON m.lead_id = l.id
   LEFT JOIN contacts ct ON m.contact_id = ct.id
   LEFT JOIN (SELECT n_name AS country, r_name AS theater FROM nation JOIN region ON n_regionkey = r_regionkey) t ON m.country = t.country
-  WHERE coalesce(l.is_deleted, FALSE) = FALSE AND coalesce(ct.is_deleted, FALSE) = FALSE
+  WHERE rn = 1 AND coalesce(l.is_deleted, FALSE) = FALSE AND coalesce(ct.is_deleted, FALSE) = FALSE
     AND campaign_name NOT LIKE 'FCI%' AND campaign_name NOT LIKE '%Professional Active Users%'
     AND campaign_type <> 'Email Nurture' AND campaign_type <> 'Ungated Content')
-SELECT campaign_member_id, min(created_ts) AS created_ts, count(*) > 0 AS found FROM joined GROUP BY campaign_member_id""",
+SELECT * FROM joined""",
 )
 def member_base(spark, sf):
-    base = _member_base(spark, sf)
-    # Member ids repeat in the given rows with equal keys, so only what the first row fixes is compared.
-    return base.select("campaign_member_id", "created_ts", F.lit(True).alias("found"))
+    # The full key of the given rows as member id: ids repeat with equal keys.
+    return _member_base(spark, sf)
 
 
 def _member_base(spark, sf):
     nation = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return inquiry.member_base(
-        rows(spark, sf, "members"),
+        rows(spark, sf, "members").withColumn("id", F.col("row_id")).drop("row_id"),
         rows(spark, sf, "campaigns"),
         rows(spark, sf, "leads"),
         rows(spark, sf, "contacts"),
@@ -174,6 +173,9 @@ SESSION_LISTS = """session_lists AS (
   GROUP BY campaign_member_id)"""
 
 
+DAY_LISTS = SESSION_LISTS.replace("<= 1440)", "<= 1440 AND CAST(g.timestamp AS DATE) = DATE '2024-01-16')")
+
+
 @query(
     "inquiry_sessions",
     with_("inquiries", "leads", "identifies", then=f"{LEAD_MAP}, {SESSION_LISTS}") + "SELECT * FROM session_lists",
@@ -214,7 +216,7 @@ LEAD_ORGS = """lead_orgs AS (SELECT DISTINCT org_id, lead_or_contact_id FROM (
     "inquiry_fact",
     with_(
         "inquiries", "leads", "identifies", "memberships", "users", "milestones",
-        then=", ".join([LEAD_MAP, MEMBER_LINKS, CHANNELS, SESSION_LISTS, PIPELINE, LEAD_ORGS]),
+        then=", ".join([LEAD_MAP, MEMBER_LINKS, CHANNELS, DAY_LISTS, PIPELINE, LEAD_ORGS]),
     )
     + """SELECT i.campaign_member_id, i.lead_or_contact_id, i.inquiry_created_ts, i.campaign_type, k.opportunity_id, round(p.pg, 6) AS pg,
   c.channel, c.channel_detail, round(l.lsm_score, 6) AS lead_score, CASE WHEN l.id IS NULL THEN NULL WHEN l.first_routed_at IS NOT NULL THEN 'Yes' ELSE 'No' END AS lead_routed,
@@ -278,7 +280,7 @@ def pipeline_credit(spark, sf):
 # Visits of the dashboard: visitors are lead-mapped per domain.
 VISITOR_LEADS = """vleads AS (SELECT DISTINCT user_id AS visitor_id, 'L' || (user_id + k % 2) AS lead_or_contact_id,
     CASE WHEN k % 2 = 0 THEN 'www.example.com' ELSE 'developer.example.com' END AS domain FROM ev
-  WHERE event_type = 'click' AND ts >= TIMESTAMP '2024-01-28 00:00:00')"""
+  WHERE event_type = 'click')"""
 VISITS = f"""{VISITOR_LEADS}, visits AS (
   SELECT p.page_visit_id, p.visitor_id, p.session_id, p.visit_start_time, p.domain, p.url, v.lead_or_contact_id
   FROM page_views p LEFT JOIN vleads v ON v.visitor_id = p.visitor_id AND v.domain = p.domain
@@ -307,8 +309,8 @@ typed AS (SELECT v.*, t.campaign_member_id, t.inquiry_date_time, t.campaign_type
 
 
 def _visitor_leads(spark, sf):
-    # Only the latest clicks name a lead, so many visitors have none.
-    clicks = rows(spark, sf, "all_events").filter("event_type = 'click' AND ts >= TIMESTAMP '2024-01-28 00:00:00'")
+    # A click names a lead on one domain; on the other, and without clicks, a visitor has none.
+    clicks = rows(spark, sf, "all_events").filter("event_type = 'click'")
     return clicks.selectExpr(
         "user_id AS anonymous_id",
         "'L' || CAST(user_id + k % 2 AS STRING) AS lead_or_contact_id",

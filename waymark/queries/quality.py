@@ -49,15 +49,13 @@ def reconcile_both(spark, sf):
 
 @query(
     "reconcile_suppliers",
-    """SELECT s_nationkey AS id, 'right' AS missing_in FROM (SELECT DISTINCT s_nationkey FROM supplier WHERE s_acctbal > 5000)
-WHERE s_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900)
-UNION ALL SELECT c_nationkey, 'left' FROM (SELECT DISTINCT c_nationkey FROM customer WHERE c_acctbal > 9900)
-WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)""",
+    """SELECT s_suppkey AS id, 'right' AS missing_in FROM supplier WHERE s_suppkey NOT IN (SELECT l_partkey FROM lineitem)
+UNION ALL SELECT DISTINCT l_partkey, 'left' FROM lineitem WHERE l_partkey NOT IN (SELECT s_suppkey FROM supplier)""",
 )
 def reconcile_suppliers(spark, sf):
-    suppliers = table(spark, sf, "supplier").filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("id"))
-    customers = table(spark, sf, "customer").filter("c_acctbal > 9900").select(F.col("c_nationkey").alias("id"))
-    return quality.reconcile(suppliers, customers, "id")
+    suppliers = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"))
+    parts = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("id"))
+    return quality.reconcile(suppliers, parts, "id")
 
 
 @query(

@@ -17,9 +17,8 @@ SINCE = dt.date(2024, 1, 3)
 
 COHORT = """cohort AS (
   SELECT o.id AS org_id, o.created_at, f.user_id AS first_user_id, f.email FROM orgs o
-  LEFT JOIN (SELECT m.org_id, m.user_id, u.email FROM (
-      SELECT *, row_number() OVER (PARTITION BY org_id ORDER BY created_at, user_id) AS rn FROM memberships) m
-    JOIN users u ON u.id = m.user_id WHERE rn = 1) f ON f.org_id = o.id
+  LEFT JOIN (SELECT m.org_id, m.user_id, u.email, row_number() OVER (PARTITION BY m.org_id ORDER BY m.created_at, m.user_id) AS rn
+    FROM memberships m JOIN users u ON u.id = m.user_id) f ON f.org_id = o.id AND f.rn = 1
   WHERE o.is_customer AND o.motion = 'Product-Led' AND o.created_at >= TIMESTAMP '2024-01-01' AND o.created_at < TIMESTAMP '2024-04-01')"""
 
 
@@ -180,11 +179,11 @@ FROM last_touch GROUP BY 1""",
 )
 def last_touch(spark, sf):
     found = _last_touch(spark, sf).withColumnRenamed("user_id", "org_id")
-    return signup.channel_mix(found, found.select("org_id"))
+    return signup.channel_mix(found)
 
 
 BLEND_SQL = {"medium": "combined_medium", "source": "combined_source", "campaign": "combined_campaign", "referrer": "referrer", "anonymous_id": "anonymous_id"}
-OWN = "'docs.example.com', 'developer.example.com', 'example.com', 'app.example.com', 'drift'"
+OWN = "'example.com', 'app.example.com', 'drift'"
 
 
 def _known(f: str, nothing: str) -> str:
@@ -255,19 +254,19 @@ def channel_rules_v3(spark, sf):
 LINEAR = """touches AS (
   SELECT DISTINCT user_id AS org_id, CAST(ts AS DATE) AS created_at, 'd' || k % 6 AS channel_detail, 'c' || k % 3 AS channel,
     'a' || k % 2 AS channel_aggregate, '30d_web' AS attr_source, utm_source AS channel_source, utm_medium AS channel_medium,
-    utm_campaign AS channel_campaign, session_id, ts AS touched_at FROM all_events WHERE event_type IN ('view', 'click')
+    utm_campaign AS channel_campaign, session_id, 'g' || user_id AS ga_client_id, 'u' || k % 4 AS url, 'h' || k % 2 AS hostname
+  FROM all_events WHERE event_type IN ('view', 'click') AND k // 10 > 6
   UNION ALL
   SELECT user_id, CAST(ts AS DATE), 'd' || k % 6, 'c' || k % 3, 'a' || k % 2, 'signup_last_touch', utm_source, utm_medium, utm_campaign,
-    'Null_session_id', CAST(CAST(ts AS DATE) AS TIMESTAMP) FROM all_events WHERE event_type = 'signup'),
+    'Null_session_id', 'Null_ga_client_id', 'Null_url', 'Null_hostname' FROM all_events WHERE event_type = 'signup'),
 linear AS (SELECT *, count(*) OVER (PARTITION BY org_id) AS num_channel, 1.0 / count(*) OVER (PARTITION BY org_id) AS linear_credit FROM touches)"""
 
 
 def _linear(spark, sf):
     touches = rows(spark, sf, "all_events").selectExpr(
         "event_type",
-        "k",
         "user_id AS org_id",
-        "CAST(ts AS DATE) AS created_at",
+        "CAST(CAST(ts AS DATE) AS TIMESTAMP) AS created_at",
         "'d' || CAST(k % 6 AS STRING) AS channel_detail",
         "'c' || CAST(k % 3 AS STRING) AS channel",
         "'a' || CAST(k % 2 AS STRING) AS channel_aggregate",
@@ -275,14 +274,15 @@ def _linear(spark, sf):
         "utm_medium AS channel_medium",
         "utm_campaign AS channel_campaign",
         "session_id",
-        "ts AS touched_at",
+        "'g' || CAST(user_id AS STRING) AS ga_client_id",
+        "'u' || CAST(k % 4 AS STRING) AS url",
+        "'h' || CAST(k % 2 AS STRING) AS hostname",
+        "CAST(floor(k / 10) AS INT) AS delta_signup_touch_hour",
     )
-    last = touches.filter("event_type = 'signup'").withColumn("created_at", F.col("created_at").cast("timestamp"))
-    web_touches = touches.filter("event_type IN ('view', 'click')").withColumn("created_at", F.col("created_at").cast("timestamp"))
-    return signup.linear_touches(web_touches, last)
+    return signup.linear_touches(touches.filter("event_type IN ('view', 'click')"), touches.filter("event_type = 'signup'"))
 
 
-LINEAR_COLUMNS = ["org_id", "channel_detail", "attr_source", "channel_source", "session_id", "touched_at", "num_channel"]
+LINEAR_COLUMNS = ["org_id", "channel_detail", "attr_source", *signup.LINEAR_FIELDS, "num_channel"]
 
 
 @query(
@@ -300,23 +300,26 @@ STAGES = """stages AS (SELECT org_id, signed_up_at,
   FROM (SELECT * FROM milestones UNION ALL SELECT -1 - event_id, ts, NULL, NULL, ts, NULL, NULL, NULL FROM all_events WHERE event_type = 'signup'))"""
 
 
+def _funnel(spark, sf):
+    # Signups without touches: one made from each signup event under an id no touch has.
+    bare = rows(spark, sf, "all_events").filter("event_type = 'signup'").selectExpr(
+        "-1 - event_id AS org_id", "ts AS signed_up_at", "ts AS usage_at", "CAST(NULL AS TIMESTAMP) AS product_active_at"
+    )
+    return rows(spark, sf, "milestones").select("org_id", "signed_up_at", "usage_at", "product_active_at").unionByName(bare)
+
+
 @query(
     "credit_on_activation",
     with_("all_events", "milestones", then=f"{LINEAR}, {STAGES}")
     + """SELECT coalesce(l.org_id, s.org_id) AS org_id, coalesce(s.signed_up_at, CAST(l.created_at AS TIMESTAMP)) AS created_at,
-  coalesce(channel_detail, 'No Referral') AS channel_detail, coalesce(channel, 'No Referral') AS channel, attr_source, session_id, touched_at,
+  coalesce(channel_detail, 'No Referral') AS channel_detail, coalesce(channel, 'No Referral') AS channel, attr_source, session_id, url, hostname,
   round(coalesce(linear_credit, 1), 6) AS linear_credit, onboarding_activated_7d, production_activation_14d,
   round(CASE WHEN onboarding_activated_7d IS NOT NULL THEN coalesce(linear_credit, 1) END, 6) AS linear_credit_oa,
   round(CASE WHEN production_activation_14d IS NOT NULL THEN coalesce(linear_credit, 1) END, 6) AS linear_credit_pao
 FROM linear l FULL JOIN stages s ON l.org_id = s.org_id""",
 )
 def credit_on_activation(spark, sf):
-    # Signups without touches: one made from each signup event under an id no touch has.
-    bare = rows(spark, sf, "all_events").filter("event_type = 'signup'").selectExpr(
-        "-1 - event_id AS org_id", "ts AS signed_up_at", "ts AS usage_at", "CAST(NULL AS TIMESTAMP) AS product_active_at"
-    )
-    funnel = rows(spark, sf, "milestones").select("org_id", "signed_up_at", "usage_at", "product_active_at").unionByName(bare)
-    out = signup.credit_on_activation(_linear(spark, sf), funnel)
+    out = signup.credit_on_activation(_linear(spark, sf), _funnel(spark, sf), stage=stage)
     return out.select(
         "org_id",
         "created_at",
@@ -324,7 +327,8 @@ def credit_on_activation(spark, sf):
         "channel",
         "attr_source",
         "session_id",
-        "touched_at",
+        "url",
+        "hostname",
         r6("linear_credit").alias("linear_credit"),
         "onboarding_activated_7d",
         "production_activation_14d",
@@ -335,30 +339,30 @@ def credit_on_activation(spark, sf):
 
 @query(
     "attribution_reconcile",
-    with_("all_events")
-    + """, ours AS (SELECT user_id AS org_id, 'g' || user_id AS ga_client_id, session_id, utm_campaign AS url, 'h' AS hostname, 'd' || k % 5 AS d
-    FROM all_events WHERE event_type = 'view'),
-theirs AS (SELECT DISTINCT user_id AS org_id, 'g' || user_id AS ga_client_id, session_id, utm_campaign AS url, 'h' AS hostname, 'e' || k % 4 AS e
+    with_("all_events", "milestones", then=f"{LINEAR}, {STAGES}")
+    + """, ours AS (SELECT coalesce(l.org_id, s.org_id) AS org_id, ga_client_id, session_id, url, hostname,
+    coalesce(channel_detail, 'No Referral') AS d, coalesce(linear_credit, 1) AS credit FROM linear l FULL JOIN stages s ON l.org_id = s.org_id),
+theirs AS (SELECT DISTINCT user_id AS org_id, 'g' || user_id AS ga_client_id, session_id, 'u' || k % 4 AS url, 'h' || k % 2 AS hostname, 'e' || k % 5 AS e
     FROM all_events WHERE event_type = 'click')
 SELECT coalesce(o.org_id, t.org_id) AS org_id, coalesce(o.session_id, t.session_id) AS session_id, coalesce(o.url, t.url) AS url,
-  d AS channel_detail_lt, e AS channel_detail_ga, t.org_id AS org_id_ga, coalesce(d, e) AS channel_detail_grouped
+  d AS channel_detail_lt, e AS channel_detail_ga, t.org_id AS org_id_ga, coalesce(d, e) AS channel_detail_grouped, round(credit, 6) AS linear_credit
 FROM ours o FULL JOIN theirs t ON o.org_id = t.org_id AND o.ga_client_id = t.ga_client_id AND o.session_id = t.session_id AND o.url = t.url
   AND o.hostname = t.hostname""",
 )
 def attribution_reconcile(spark, sf):
-    events = rows(spark, sf, "all_events").selectExpr(
-        "event_type",
-        "k",
+    # Ours is what the credit job gives; theirs is made from the clicks.
+    ours = signup.credit_on_activation(_linear(spark, sf), _funnel(spark, sf), stage=stage)
+    theirs = rows(spark, sf, "all_events").filter("event_type = 'click'").selectExpr(
         "user_id AS org_id",
         "'g' || CAST(user_id AS STRING) AS ga_client_id",
         "session_id",
-        "utm_campaign AS url",
-        "'h' AS hostname",
+        "'u' || CAST(k % 4 AS STRING) AS url",
+        "'h' || CAST(k % 2 AS STRING) AS hostname",
+        "'e' || CAST(k % 5 AS STRING) AS channel_detail",
     )
-    ours = events.filter("event_type = 'view'").withColumn("channel_detail", F.expr("'d' || CAST(k % 5 AS STRING)"))
-    theirs = events.filter("event_type = 'click'").withColumn("channel_detail", F.expr("'e' || CAST(k % 4 AS STRING)"))
-    merged = signup.reconcile_attributions(ours.drop("event_type", "k"), theirs)
-    return merged.drop("ga_client_id", "hostname")
+    merged = signup.reconcile_attributions(ours, theirs)
+    columns = ["org_id", "session_id", "url", "channel_detail_lt", "channel_detail_ga", "org_id_ga", "channel_detail_grouped"]
+    return merged.select(*columns, r6("linear_credit").alias("linear_credit"))
 
 
 @query(

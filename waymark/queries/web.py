@@ -309,8 +309,9 @@ SELECT page_visit_id, domain, d.visitor_id, session_id, visit_start_time, visit_
 FROM detailed d LEFT JOIN first f ON d.visitor_id = f.visitor_id""",
 )
 def page_visit_fact(spark, sf):
+    # The first log is loaded twice, which must not show.
     logs = page_logs(spark, sf)
-    fact = web.page_visit_fact(logs, web.visitor_dimension(web.harmonise(logs)), RUN_DATE, unit="week")
+    fact = web.page_visit_fact([*logs, logs[0]], web.visitor_dimension(web.harmonise(logs)), RUN_DATE, unit="week", stage=stage)
     return fact.select(
         "page_visit_id",
         "domain",
