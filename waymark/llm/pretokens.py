@@ -70,16 +70,19 @@ class Parts(Generic[V]):
             return []
         pieces = text.split(" ")
         known = list(map(self.words.get, pieces))
+        last = len(pieces)
         known[0] = None  # words are kept as they read after a blank, and this one has none
         result: list[V] = []
         done = 0
-        for at, value in enumerate(known):
-            if value is not None or at < done:
-                continue
+        while True:
+            try:
+                at = known.index(None, done)
+            except ValueError:
+                return result + known[done:] if result else known[done:]
             # A piece that begins or ends with white space, or is empty, is read with its neighbours.
-            start = at - 1 if at and not _opens(pieces[at]) else at
+            start = at - 1 if at > done and not _opens(pieces[at]) else at
             end = at + 1
-            while end < len(pieces) and not (_closed(pieces[end - 1]) and _opens(pieces[end])):
+            while end < last and not (_closed(pieces[end - 1]) and _opens(pieces[end])):
                 end += 1
             result += known[done:start]
             run = " ".join(pieces[start:end])
@@ -93,5 +96,3 @@ class Parts(Generic[V]):
             elif run:
                 result.append(self._run(run))
             done = end
-        result += known[done:]
-        return result

@@ -25,6 +25,7 @@ lost executor.
 
 from __future__ import annotations
 
+import array
 import functools
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from waymark.llm.counts import JSON_50K
+from waymark.llm.counts import JSON_50K, byte_letters
 from waymark.llm.frames import map_batches, strings, workers_import
 from waymark.llm.pretokens import Parts
 
@@ -58,13 +59,16 @@ class LibraryEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = dict(enumerate(byte_letters()))
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.parts = Parts(self._ids, b"".join)
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _ids(self, match: str) -> bytes:
+        # The match as the library's byte-level step writes it, for the library's model.
+        letters = match.encode().decode("latin-1").translate(self.letters)
+        return array.array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         # A special string is one token, and the text on either side is read by itself.
@@ -158,7 +162,7 @@ def _segment(shard: int, number: int, keys: list[int], ids: list[np.ndarray], wi
 def segments(docs: DataFrame, path: str | None = None, segment_ids: int = SEGMENT_IDS) -> DataFrame:
     """The table of segments for ``docs`` (doc_id, text), to be written as Parquet.
 
-    Ids are the tokenizers library's for the vocabulary file ``path``, without special
+    Ids are the tokenizers library's for the byte-level BPE file ``path``, without special
     tokens added, with id 0 at the end of each document. A null text counts as empty.
     Other columns are not carried.
     """
