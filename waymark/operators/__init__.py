@@ -1,4 +1,4 @@
-"""Relational building blocks the jobs share. All are lazy DataFrame transformations."""
+"""Relational building blocks the jobs share. All are lazy but ``broadcast_if_small``, which counts its table."""
 
 from waymark.operators.asof import asof_neighbours
 from waymark.operators.counts import conditional_distinct_counts

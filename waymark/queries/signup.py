@@ -73,12 +73,11 @@ kept AS (SELECT * FROM touched WHERE coalesce(utm_campaign, utm_medium, utm_sour
 CHAIN = ("orgs", "users", "memberships", "identifies", "socials", "cloud_pages")
 
 
-def _touch(spark, sf):
-    # 30 hours instead of two: the given events are sparse.
+def _touch(spark, sf, hours_off=30):
+    # 30 hours instead of two: the given events are sparse. The published limits are queries of their own.
     # The cohort is read four times.
-    return signup.signup_touch(
-        stage(_cohort(spark, sf), "cohort"), rows(spark, sf, "identifies"), rows(spark, sf, "socials"), rows(spark, sf, "cloud_pages"), hours_off=30
-    )
+    logs = [rows(spark, sf, name) for name in ("identifies", "socials", "cloud_pages")]
+    return signup.signup_touch(stage(_cohort(spark, sf), "cohort"), *logs, hours_off=hours_off)
 
 
 @query("cohort_touch_nearest", with_(*CHAIN, then=f"{NEAREST}, {TOUCHED}") + "SELECT * FROM kept")
@@ -86,6 +85,14 @@ def cohort_touch_nearest(spark, sf):
     return _touch(spark, sf)
 
 
+PUBLISHED = f"{NEAREST}, {TOUCHED}".replace("<= 30", "<= 2")
+
+
+@query("cohort_touch_within_2h", with_(*CHAIN, then=PUBLISHED) + "SELECT * FROM kept")
+def cohort_touch_within_2h(spark, sf):
+    return _touch(spark, sf, hours_off=2)
+
+
 @query(
     "touch_coverage",
     with_("all_events")
@@ -110,11 +117,11 @@ LOOKBACK = """lookback AS (SELECT k.org_id, k.created_at, k.anonymous_id, k.clou
 SIGNUP_COLUMNS = ["org_id", "created_at", "anonymous_id", "cloud_at", "utm_medium", "utm_source", "utm_campaign", "referrer"]
 
 
-def _lookback(spark, sf):
+def _lookback(spark, sf, hours_off=30, days=10):
     # Ten days instead of thirty, so that older pages exist and are left out.
     # The signup touches are their own table, as they are read several times.
-    touched = stage(_touch(spark, sf).select(*SIGNUP_COLUMNS), "signup_touch")
-    return signup.lookback_pages(touched, rows(spark, sf, "site_pages"), days=10)
+    touched = stage(_touch(spark, sf, hours_off).select(*SIGNUP_COLUMNS), "signup_touch")
+    return signup.lookback_pages(touched, rows(spark, sf, "site_pages"), days=days)
 
 
 @query(
@@ -138,6 +145,23 @@ def last_page_before_signup(spark, sf):
     return signup.last_page_before_signup(_lookback(spark, sf), hours_back=12)
 
 
+LOOKBACK_PUBLISHED = LOOKBACK.replace("<= 10", "<= 30")
+
+
+@query("lookback_published", with_(*CHAIN, "site_pages", then=f"{PUBLISHED}, {LOOKBACK_PUBLISHED}") + "SELECT * FROM lookback")
+def lookback_published(spark, sf):
+    return _lookback(spark, sf, hours_off=2, days=30)
+
+
+@query(
+    "last_page_within_6h",
+    with_(*CHAIN, "site_pages", then=f"{PUBLISHED}, {LOOKBACK_PUBLISHED}, {LAST_PAGE.replace('<= 12', '<= 6')}")
+    + "SELECT * EXCLUDE (rn) FROM last_page",
+)
+def last_page_within_6h(spark, sf):
+    return signup.last_page_before_signup(_lookback(spark, sf, hours_off=2, days=30))
+
+
 TAG_SQL = {"medium": "utm_medium", "source": "utm_source", "campaign": "utm_campaign"}
 LAST_TOUCH = """last_touch AS (
   SELECT c.event_id, c.user_id, c.ts AS converted_at, t.ts AS touched_at, t.event_id AS touch_id, lower(t.utm_medium) AS utm_medium,

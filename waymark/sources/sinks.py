@@ -42,9 +42,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def replace_days(df: DataFrame, path: str, day: str = "extract_date") -> None:
-    """Overwrite only the ``day`` partitions present in ``df``; other days stay as they are."""
+    """Overwrite only the ``day`` partitions present in ``df``; other days stay as they are.
+
+    Rows are rebalanced by day first: without that every task writes a small file for
+    each of its days, and adaptive execution still splits a large day over several tasks.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", F.col(day))
+        .write.mode("overwrite")
         .partitionBy(day)
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
