@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from waymark.llm.frames import map_batches, own_names, strings
+from waymark.llm.frames import hold, map_batches, own_names, strings
 from waymark.llm.pretokens import Parts
 
 MULTI_50K = "byte_bpe_multi_50k.tiktoken"
@@ -134,8 +134,11 @@ def codec(path: str) -> Codec:
         return Codec({base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)})
 
 
-def _path(path: str | None) -> str:
-    return path or public_tokenizers.path(MULTI_50K)
+def _held(path: str | None) -> Codec:
+    """This worker's codec; its memory is the only one held."""
+    path = path or public_tokenizers.path(MULTI_50K)
+    hold(("bpe", path), codec(path).parts.forget)
+    return codec(path)
 
 
 def _with(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
@@ -152,7 +155,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     schema = _with(docs, "ids", T.ArrayType(T.IntegerType()))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        coder = codec(_path(path))
+        coder = _held(path)
         found = [coder.encode(t) for t in strings(batch.column("text"))]
         ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
         ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int32)))
@@ -166,7 +169,7 @@ def decode(rows: DataFrame, path: str | None = None) -> DataFrame:
     rows = own_names(rows, ["decoded"])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        coder = codec(_path(path))
+        coder = _held(path)
         lists = [np.array([] if x is None else x.values.to_numpy(), dtype=np.int64) for x in batch.column("ids")]
         return pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array([coder.decode(x) for x in lists], pa.binary())], [*batch.schema.names, "decoded"]
@@ -182,7 +185,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        coder = codec(_path(path))
+        coder = _held(path)
         counts, digests, decoded = [], [], []
         for text in strings(batch.column("text")):
             ids = coder.encode(text)

@@ -15,7 +15,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from waymark.llm.frames import map_batches, strings
+from waymark.llm.frames import hold, map_batches, strings
 from waymark.llm.pretokens import Parts
 
 JSON_50K = "byte_bpe_50k.json"
@@ -105,7 +105,9 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        count = counter(path or public_tokenizers.path(JSON_50K)).count
+        own = counter(path or public_tokenizers.path(JSON_50K))
+        hold(own, own.parts.forget)
+        count = own.count
         texts = strings(batch.column("text"))
         tokens = [count(t) for t in texts]
         return pa.RecordBatch.from_arrays(

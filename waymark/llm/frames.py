@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from waymark.session import shared_folder
 from waymark.sources.sinks import stage
 
-__all__ = ["documents", "map_batches", "own_names", "shared_folder", "stage", "strings", "table", "workers_import"]
+__all__ = ["documents", "hold", "map_batches", "own_names", "shared_folder", "stage", "strings", "table", "workers_import"]
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -50,6 +50,20 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
     return df.mapInArrow(run, schema)
 
 
+_HELD: list[tuple[object, Callable[[], None]]] = []
+
+
+def hold(owner: object, forget: Callable[[], None]) -> None:
+    """One operator's memory at a time in a Python worker: taking it up drops the last one's.
+
+    Workers are used for one stage after another, and their memories must not add up.
+    """
+    if _HELD and _HELD[0][0] != owner:
+        _HELD.pop()[1]()
+    if not _HELD:
+        _HELD.append((owner, forget))
+
+
 def strings(column: pa.Array) -> list[str]:
     """Texts of an Arrow column; null is the empty text."""
     return [t or "" for t in column.to_pylist()]

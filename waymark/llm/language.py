@@ -20,7 +20,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.frames import map_batches, own_names, stage, strings
+from waymark.llm.frames import hold, map_batches, own_names, stage, strings
 
 PIECES = "piece_bpe_32k.model"
 UNKNOWN = "und"
@@ -310,6 +310,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = scorer(model)
+        hold(own, own.forget)
         texts = strings(batch.column("text"))
         found = []
         for at in range(0, len(texts), GROUP):

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from waymark.llm.frames import map_batches, own_names, strings
+from waymark.llm.frames import hold, map_batches, strings
 
 #: Fixed values of the query: kind, pattern, and the group and length that a match needs.
 KINDS = ("assign", "access", "hex", "crf")
@@ -415,7 +415,9 @@ def scan(docs: DataFrame) -> DataFrame:
     field = trained()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = scanner(field).scan(strings(batch.column("text")))
+        own = scanner(field)
+        hold(own, own.known.clear)
+        found = own.scan(strings(batch.column("text")))
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
         spans = [[{"start": s, "end": e, "kind": k} for s, e, k in doc] for doc in found]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(spans, kind)], ["doc_id", "spans"])
