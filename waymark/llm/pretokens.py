@@ -46,6 +46,10 @@ class Parts(Generic[V]):
         self.others: dict[str, V] = {}  # as they are
         self.most = {id(self.words): words, id(self.runs): runs, id(self.others): runs}
 
+    def forget(self) -> None:
+        for store in (self.words, self.runs, self.others):
+            store.clear()
+
     def _keep(self, store: dict[str, V], text: str, value: V) -> None:
         if len(text) <= LONGEST_KEPT:
             if len(store) >= self.most[id(store)]:
@@ -73,12 +77,17 @@ class Parts(Generic[V]):
         last = len(pieces)
         known[0] = None  # words are kept as they read after a blank, and this one has none
         result: list[V] = []
-        done = 0
+        done = seen = 0
         while True:
             try:
-                at = known.index(None, done)
+                at = known.index(None, seen)
             except ValueError:
                 return result + known[done:] if result else known[done:]
+            piece = pieces[at]
+            if at and piece.isalpha() and (at + 1 == last or _opens(pieces[at + 1])):
+                known[at] = self._match(" " + piece)  # letters alone are one match
+                seen = at + 1
+                continue
             # A piece that begins or ends with white space, or is empty, is read with its neighbours.
             start = at - 1 if at > done and not _opens(pieces[at]) else at
             end = at + 1
@@ -95,4 +104,4 @@ class Parts(Generic[V]):
                 result.append(value)
             elif run:
                 result.append(self._run(run))
-            done = end
+            done = seen = end

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from waymark.llm.counts import JSON_50K, byte_letters
-from waymark.llm.frames import map_batches, strings, workers_import
+from waymark.llm.frames import hold, map_batches, strings, workers_import
 from waymark.llm.pretokens import Parts
 
 END_ID = 0
@@ -171,6 +171,7 @@ def segments(docs: DataFrame, path: str | None = None, segment_ids: int = SEGMEN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         encode = encoder(path or public_tokenizers.path(JSON_50K))
+        hold(encode, encode.parts.forget)
         shard, number = TaskContext.get().partitionId(), 0
         keys: list[int] = []
         ids: list[np.ndarray] = []
