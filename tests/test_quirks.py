@@ -439,3 +439,17 @@ def test_first_signup_rank_per_org(spark):
     people = spark.createDataFrame([("L1", "e1", "lead", ts("2024-01-01"))], "id string, email string, origin string, lead_create_ts timestamp")
     out = identity.org_to_person_product_led(users, members, orgs, people, "%@service")
     assert {r["user_id"]: r["rnk_is_first_signup"] for r in out.collect()} == {1: 1, 2: 2, 3: 3}
+
+
+def test_a_fixed_list_names_the_managers(spark):
+    snapshots = spark.createDataFrame(
+        [(1, dt.date(2024, 1, 1), "Ann", assist.ROLES[0], 2), (2, dt.date(2024, 1, 1), "Boss", "VP", None)],
+        "id long, day date, name string, role string, manager_id long",
+    )
+    promos = spark.createDataFrame(
+        [(9, "p", "p1", "Claimed", 1, ts("2024-01-01 10:00"))],
+        "org_id long, promo_code string, promo_code_id string, status string, creator_id long, promo_created_at timestamp",
+    )
+    listed = spark.createDataFrame([("Ann", "Chief")], "sdr_name string, manager_name string")
+    assert one(assist.first_promo(promos, snapshots))["promo_manager"] == "Boss"
+    assert one(assist.first_promo(promos, snapshots, managers=listed))["promo_manager"] == "Chief"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from waymark.functions import times
 from waymark.operators import interval_join, keep_first, lookup_join, sequence
 from waymark.operators.sequence import hours
-from waymark.plans.identity import as_of_day
+from waymark.plans.identity import as_of_day, with_manager
 
 # Task subjects, roles and day limits.
 INBOUND_MAIL = "[Email] [In]"
@@ -32,6 +32,10 @@ def task_log(tasks: DataFrame, since: dt.date) -> DataFrame:
     return logged.select("subject", *columns).unionByName(captured.select(F.col("tool_type").alias("subject"), *columns))
 
 
+def _named(known: DataFrame, managers: DataFrame | None) -> DataFrame:
+    return known if managers is None else with_manager(known.drop("manager_name"), managers)
+
+
 def enrich_activities(
     tasks: DataFrame,
     snapshots: DataFrame,
@@ -41,14 +45,18 @@ def enrich_activities(
     cloud_owners: Collection = (),
     cloud_from: dt.date = dt.date.min,
     cloud_until: dt.date = dt.date.max,
+    managers: DataFrame | None = None,
 ) -> DataFrame:
     """Tasks of eligible roles with owner, manager, lead or contact, and geography.
 
+    ``managers`` (``sdr_name``, ``manager_name``) is a fixed list that names the managers
+    instead of the snapshot.
+
     The role is that of the owner on the day of the task; ``cloud_owners`` count as cloud
     representatives between two dates. ``who_id`` may name a lead, a contact, or a
     contact that came from a lead.
     """
-    known = as_of_day(tasks, snapshots, "owner_id", "activity_at")
+    known = _named(as_of_day(tasks, snapshots, "owner_id", "activity_at"), managers)
     day = F.to_date("activity_at")
     overridden = day.between(F.lit(cloud_from), F.lit(cloud_until)) & F.col("owner_id").isin(*cloud_owners)
     role = F.when(overridden, CLOUD_ROLE).otherwise(F.col("role")) if cloud_owners else F.col("role")
@@ -123,15 +131,23 @@ def first_activity(pairs: DataFrame) -> DataFrame:
 
 
 def first_promo(
-    promos: DataFrame, snapshots: DataFrame, excluded_ids: Sequence[str] = (), excluded_codes: Sequence[str] = ()
+    promos: DataFrame,
+    snapshots: DataFrame,
+    excluded_ids: Sequence[str] = (),
+    excluded_codes: Sequence[str] = (),
+    managers: DataFrame | None = None,
 ) -> DataFrame:
-    """The first claimed promo code per org that an eligible representative created."""
+    """The first claimed promo code per org that an eligible representative created.
+
+    ``managers`` as in :func:`enrich_activities`.
+    """
     claimed = promos.filter(F.col("status") == "Claimed")
     if excluded_ids:
         claimed = claimed.filter(~F.col("promo_code_id").isin(*excluded_ids))
     if excluded_codes:
         claimed = claimed.filter(~F.col("promo_code").isin(*excluded_codes))
-    owned = as_of_day(claimed, snapshots, "creator_id", "promo_created_at").filter(F.col("role").isin(*ROLES))
+    named = _named(as_of_day(claimed, snapshots, "creator_id", "promo_created_at"), managers)
+    owned = named.filter(F.col("role").isin(*ROLES))
     return keep_first(owned, ["org_id"], ["promo_created_at", "creator_id", "promo_code"]).select(
         "org_id",
         "promo_code",
