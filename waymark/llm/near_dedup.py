@@ -20,13 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.components import components
+from waymark.llm.components import components, joined, parts
 from waymark.llm.frames import map_batches, stage
 
 BANDS, ROWS = 24, 4
 BINS = BANDS * ROWS
 #: Words in a shingle; links need 100 * intersection >= PERCENT * union.
 WORDS, PERCENT = 5, 80
+#: Centres each unfinished bucket gets in a later round; pairs confirmed in one task, about.
+CENTRES, PAIRS_EACH = 2, 10_000
 #: Bytes of text hashed at a time.
 GROUP = 1 << 20
 _SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -232,44 +234,43 @@ def link_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
         "centres",
     )
     buckets = stage(rows.join(centres, F.col("key") == F.col("k")).drop("k"), "buckets")
-    pairs = stage(
-        buckets.filter(_sizes_allow("n", "cn", percent)).filter("rep <> centre").select("centre", "rep").distinct(), "pairs"
-    )
+    files = parts(buckets.count())
+    pairs = buckets.filter(_sizes_allow("n", "cn", percent)).filter("rep <> centre").select("centre", "rep").distinct()
+    pairs = stage(pairs.coalesce(files), "pairs")
     wanted = buckets.select(F.col("rep").alias("w")).distinct()
     sets = stage(_set_table(docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("w"), "left_semi"), words), "sets")
-    links = stage(_confirmed(pairs, sets, percent), "links")
-    found = components(links)
+    links = stage(_confirmed(pairs, sets, percent).coalesce(parts(pairs.count(), PAIRS_EACH)), "links")
+    found = stage(components(links).coalesce(files), "found")
     round_ = 0
     while True:
         round_ += 1
-        found = stage(found, "found")
         placed = buckets.select("key", "rep", "n").join(found, F.col("rep") == F.col("node"), "left")
         placed = stage(placed.select("key", "rep", "n", F.coalesce("component", "rep").alias("comp")), "placed")
-        # Buckets that are not one component yet get another centre, each its own.
-        order = F.xxhash64("rep", "key", F.lit(round_))
+        # Buckets that are not one component yet get other centres, each its own.
+        member = F.struct("rep", "n", "comp")
+        tried = [
+            F.min(F.struct(F.xxhash64("rep", "key", F.lit(CENTRES * round_ + k)).alias("o"), member.alias("m"))).alias(f"c{k}")
+            for k in range(CENTRES)
+        ]
+        centres = placed.groupBy(F.col("key").alias("k")).agg(*tried, F.min("comp").alias("low"), F.max("comp").alias("high"))
+        chosen = F.explode(F.array_distinct(F.array(*[F.col(f"c{k}.m") for k in range(CENTRES)]))).alias("c")
+        centres = centres.filter("low <> high").select("k", chosen)
         centres = stage(
-            placed.groupBy(F.col("key").alias("k"))
-            .agg(
-                F.min(F.struct(order.alias("o"), "rep", "n", "comp")).alias("c"),
-                F.min("comp").alias("low"),
-                F.max("comp").alias("high"),
-            )
-            .filter("low <> high")
-            .select("k", F.col("c.rep").alias("centre"), F.col("c.n").alias("cn"), F.col("c.comp").alias("cc")),
+            centres.select("k", F.col("c.rep").alias("centre"), F.col("c.n").alias("cn"), F.col("c.comp").alias("cc")).coalesce(files),
             "centres",
         )
         again = placed.join(centres, F.col("key") == F.col("k")).filter("comp <> cc")
         again = again.filter(_sizes_allow("n", "cn", percent))
         again = again.select(F.least("centre", "rep").alias("centre"), F.greatest("centre", "rep").alias("rep")).distinct()
-        fresh = stage(again.join(pairs, ["centre", "rep"], "left_anti"), "pairs")
-        if fresh.count() == 0:
+        fresh = stage(again.join(pairs, ["centre", "rep"], "left_anti").coalesce(files), "pairs")
+        count = fresh.count()
+        if count == 0:
             return table, found
-        more = stage(_confirmed(fresh, sets, percent), "links")
+        more = stage(_confirmed(fresh, sets, percent).coalesce(parts(count, PAIRS_EACH)), "links")
         if more.count() == 0:
             return table, found
         pairs = pairs.unionByName(fresh)
-        links = links.unionByName(more)
-        found = components(links)
+        found = stage(joined(found, more).coalesce(files), "found")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
