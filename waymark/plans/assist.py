@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Collection, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,9 +68,13 @@ def enrich_activities(
     )
     as_contact = contacts.select(F.col("id").alias("who_id"), F.col("id").alias("contact_id"))
     places = people.select(F.col("id").alias("who_id"), "theater", "region", "subregion")
-    joined = eligible
-    for side in (as_lead, from_lead, as_contact, places):
-        joined = joined.join(side, "who_id", "left")
+    # Everything known of a person is put together first, so the tasks are joined once, and a
+    # person with very many tasks, or a missing one, is spread over sub-keys.
+    sides = (as_lead, from_lead, as_contact, places)
+    persons = reduce(lambda a, b: a.unionByName(b), [side.select("who_id") for side in sides]).dropna().distinct()
+    for side in sides:
+        persons = persons.join(side, "who_id", "left")
+    joined = lookup_join(eligible, persons, ["who_id"], hot_from=tasks)
     return joined.select(
         "subject",
         F.coalesce("__lead", "__origin").alias("lead_id"),
