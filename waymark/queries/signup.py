@@ -260,21 +260,61 @@ def blend_sources(spark, sf):
     return _blended(spark, sf).select(*BLEND_COLUMNS)
 
 
-@query(
-    "channel_rules_v3",
-    with_("all_events", then=BLENDED)
-    + f"""SELECT org_id, channel_detail,
+REPORT = f"""SELECT org_id, channel_detail,
   CASE WHEN channel_detail = 'Paid Gmail' THEN 'Display' WHEN channel_detail = 'No Referral' THEN 'No Referral'
        WHEN channel_detail LIKE '%Referral' THEN 'Referral' ELSE channel_detail END AS channel,
   CASE WHEN channel_detail LIKE '%Paid%' OR channel_detail = 'Display' THEN 'Paid Media' WHEN channel_detail LIKE 'Nurture%' THEN 'Nurture'
        WHEN channel_detail IN ('Direct', 'Email', 'Other Referral', 'Own website', 'DevX Referral', 'Partner Referral') THEN 'Non Paid Web'
        ELSE channel_detail END AS channel_aggregate
-FROM (SELECT org_id, {rules_sql(rulesets.signup_channel_rules(), "No Referral", BLEND_SQL)} AS channel_detail FROM blended)""",
-)
+FROM (SELECT org_id, {rules_sql(rulesets.signup_channel_rules(), "No Referral", BLEND_SQL)} AS channel_detail FROM blended)"""
+
+
+@query("channel_rules_v3", with_("all_events", then=BLENDED) + REPORT)
 def channel_rules_v3(spark, sf):
     return signup.last_touch_report(_blended(spark, sf)).select("org_id", "channel_detail", "channel", "channel_aggregate")
 
 
+# The whole chain: cohort, touches, look-back, last page, blending with inquiry and session, report.
+CHAIN_BLEND = f"""web AS (SELECT org_id, created_at AS seg_created_at, utm_medium AS seg_medium, {_known("utm_source", OWN)} AS seg_source,
+    utm_campaign AS seg_campaign, referrer, anonymous_id FROM last_page),
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM all_events
+    WHERE event_type = 'signup') WHERE rn = 1),
+inq AS (SELECT user_id AS org_id, ts AS inquiry_org_created_at, ts AS inquiry_created_at,
+    {_known("utm_medium", OWN + ", 'unknown', '(unknown)', 'webchat'")} AS inquiry_medium,
+    {_known("utm_source", OWN + ", 'unknown', '(unknown)', 'webchat'")} AS inquiry_source, lower(utm_campaign) AS inquiry_campaign FROM firsts),
+ga AS (SELECT org_id, created_at AS ga_created_at, medium AS ga_medium, source AS ga_source, campaign AS ga_campaign FROM (
+    SELECT user_id AS org_id, ts AS created_at, utm_medium AS medium, utm_source AS source, utm_campaign AS campaign,
+      row_number() OVER (PARTITION BY user_id ORDER BY k * 60, CAST(event_id AS VARCHAR)) AS rn
+    FROM all_events WHERE event_type = 'view' AND k // 10 <= 6) WHERE rn = 1),
+{BLENDED[BLENDED.index("blended AS"):]}"""
+
+
+@query(
+    "signup_chain",
+    with_(*CHAIN, "site_pages", "all_events", then=f"{NEAREST}, {TOUCHED}, {LOOKBACK}, {LAST_PAGE}, {CHAIN_BLEND}") + REPORT,
+)
+def signup_chain(spark, sf):
+    pages = signup.last_page_before_signup(_lookback(spark, sf), hours_back=12)
+    events = rows(spark, sf, "all_events")
+    tags = ["utm_medium", "utm_source", "utm_campaign"]
+    first = events.filter("event_type = 'signup'").groupBy("user_id").agg(F.min(F.struct("ts", "event_id", *tags)).alias("f"))
+    asked = first.select(F.col("user_id").alias("org_id"), F.col("f.ts").alias("created_at"), *[F.col(f"f.{t}").alias(t) for t in tags])
+    sessions = events.filter("event_type = 'view'").selectExpr(
+        "user_id AS org_id",
+        "ts AS created_at",
+        "utm_medium AS medium",
+        "utm_source AS source",
+        "utm_campaign AS campaign",
+        "CAST(floor(k / 10) AS INT) AS delta_signup_session_hour",
+        "k * 60 AS delta_signup_session_second",
+        "user_id AS ga_client_id",
+        "CAST(event_id AS STRING) AS session_id",
+    )
+    inquiries = signup.inquiry_touch(asked.withColumn("inquiry_created_at", F.col("created_at")))
+    blended = signup.blend(inquiries, signup.web_touch(pages), signup.analytics_touch(sessions))
+    return signup.last_touch_report(blended).select("org_id", "channel_detail", "channel", "channel_aggregate")
+
+
 LINEAR = """touches AS (
   SELECT DISTINCT user_id AS org_id, CAST(ts AS DATE) AS created_at, 'd' || k % 6 AS channel_detail, 'c' || k % 3 AS channel,
     'a' || k % 2 AS channel_aggregate, '30d_web' AS attr_source, utm_source AS channel_source, utm_medium AS channel_medium,
