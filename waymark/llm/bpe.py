@@ -27,6 +27,8 @@ MULTI_50K = "byte_bpe_multi_50k.tiktoken"
 #: Ranks per word of the lower bitmap, as a power of two; Python's integers are the words.
 _BITS = 8
 _LOW = (1 << _BITS) - 1
+#: Single matches and runs of several that a worker remembers.
+KEPT = (400_000, 80_000)
 #: Ids handled at a time when digests are made.
 BLOCK = 1 << 18
 
@@ -119,7 +121,7 @@ class Codec:
             words[rank] = word
         self.spelling = Spelling(words)
         self.decimals = Spelling([b"%d," % i for i in range(len(words))])
-        self.parts = Parts(lambda m: np.array(merge(m.encode(), ranks), dtype="<u4").tobytes(), b"".join)
+        self.parts = Parts(lambda m: np.array(merge(m.encode(), ranks), dtype="<u4").tobytes(), b"".join, *KEPT)
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(self.parts.values(text)), dtype="<u4")

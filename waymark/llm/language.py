@@ -32,7 +32,7 @@ LONGEST_PIECE, LONGEST_WORD = 16, 40
 #: Shares of the pooled and of the even distribution in each language's.
 POOLED, EVEN = 0.05, 0.01
 #: Tokens whose score is remembered per Python worker, and tokens scored at a time.
-MEMORY, BLOCK = 500_000, 1 << 18
+MEMORY, BLOCK = 150_000, 1 << 15
 LETTERS = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x100000001B3)
 
@@ -295,7 +295,7 @@ def scorer(model: Model) -> Scorer:
 
 OWN = ["held_out", "lang_pred", "score"]
 #: Texts whose new tokens are scored together.
-GROUP = 200
+GROUP = 100
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -311,11 +311,12 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = scorer(model)
         hold(own, own.forget)
-        texts = strings(batch.column("text"))
         found = []
-        for at in range(0, len(texts), GROUP):
-            own.learn(texts[at : at + GROUP])
-            found += [own.predict(t) for t in texts[at : at + GROUP]]
+        # A group of texts at a time is taken out of the batch, so that it is not held twice.
+        for at in range(0, batch.num_rows, GROUP):
+            texts = strings(batch.column("text").slice(at, GROUP))
+            own.learn(texts)
+            found += [own.predict(t) for t in texts]
         return pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
             [*batch.schema.names, "lang_pred", "score"],
