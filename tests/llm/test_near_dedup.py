@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -62,6 +63,58 @@ def test_families_of_borderline_copies(spark):
     assert judged(spark, rows, 2) == plain(rows, 2)
 
 
+def test_pairs_within_a_template_family(spark):
+    """Thousands of texts of one template, none similar enough to another but for some pairs."""
+    r = random.Random(11)
+    template = [f"t{k}" for k in range(160)]
+
+    def changed(text, n, name):
+        text = list(text)
+        for k, place in enumerate(r.sample(range(160), n)):
+            text[place] = f"{name}x{k}"
+        return text
+
+    texts = [changed(template, 7, f"a{k}") for k in range(2000)]
+    pairs = [changed(texts[37 * k], 8, f"b{k}") for k in range(40)]
+    rows = list(enumerate([" ".join(t) for t in texts + pairs]))
+    r.shuffle(rows)
+    sets = sets_of(rows, 2)
+    # All pairs at once: one column for each shingle that several texts hold.
+    several = [g for g, n in Counter(itertools.chain(*sets.values())).items() if n > 1]
+    column = {g: k for k, g in enumerate(several)}
+    held = np.zeros((len(rows), len(several)), np.float32)
+    for k, grams in sets.items():
+        held[k, [column[g] for g in grams if g in column]] = 1
+    sizes, shared = np.array([len(sets[k]) for k in range(len(rows))]), held @ held.T
+    alike = np.triu(shared / (sizes[:, None] + sizes - shared), 1)
+    similar = np.argwhere(alike >= 0.8)
+    assert len(similar) >= 30 and np.median(alike[:2000, :2000][np.triu_indices(2000, 1)]) > 0.67
+    component = list(range(len(rows)))
+    for _ in similar:
+        for a, b in similar:
+            component[a] = component[b] = min(component[a], component[b])
+    got = judged(spark, rows, 2)
+    assert [got[k][1] for k in range(len(rows))] == component
+
+
+def test_no_similar_pair_is_missed_by_rare_shingles(spark, monkeypatch):
+    """The exact step alone gives every similar pair, with counters that tell little as well."""
+    monkeypatch.setattr(near_dedup, "COUNTER_BITS", 3)
+    r = np.random.default_rng(5)
+    base = r.integers(0, 2**63, 60, dtype=np.uint64) * np.uint64(2)
+    sets = []
+    for _ in range(300):
+        own = r.integers(0, 2**63, r.integers(0, 12), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        sets.append(np.unique(np.concatenate([r.choice(base, r.integers(1, 60), replace=False), own])))
+    table = spark.createDataFrame([(k, bytearray(s.tobytes())) for k, s in enumerate(sets)], "id long, members binary")
+    placed = spark.createDataFrame([(1, k, len(s), k) for k, s in enumerate(sets)], "key long, rep long, n long, comp long")
+    given = near_dedup._rest(placed, table, 80, 2)
+    got = {(x.a, x.b) for x in near_dedup._confirmed(given, table, 80).collect()}
+    whole = [frozenset(s.tolist()) for s in sets]
+    similar = {(i, j) for i, j in itertools.combinations(range(300), 2) if 100 * len(whole[i] & whole[j]) >= 80 * len(whole[i] | whole[j])}
+    assert len(similar) > 20 and got == similar
+
+
 def test_small_sets_and_one_large_group(spark):
     rows = [(k, "alpha beta gamma delta epsilon" + (" zeta" if k % 2 else "")) for k in range(400)]
     rows += [(1000 + k, "Alpha  BETA") for k in range(30)] + [(2000, "x"), (2001, "X"), (2002, None), (2003, " \n"), (2004, "")]

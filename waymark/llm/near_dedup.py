@@ -6,7 +6,8 @@ random probe sequence. Bands of bins give bucket keys. Equal sets are one class
 once. In a bucket only the pairs of one centre with the others are candidates, so a bucket
 of any size gives fewer pairs than it has members. Candidates are confirmed on the full
 sets. Buckets whose members are not yet one component are taken up again with other
-centres until a round finds no new link.
+centres until a round finds no new link. What is left of them is then joined exactly: of two
+similar sets the rarest shingles, as many as may be missing, have one in common.
 
 Bands of 4 of 96 bins find a pair of similarity 0.8 with probability 1 - 3e-6.
 """
@@ -29,6 +30,8 @@ BINS = BANDS * ROWS
 WORDS, PERCENT = 5, 80
 #: Centres each unfinished bucket gets in a later round; pairs confirmed in one task, about.
 CENTRES, PAIRS_EACH = 2, 10_000
+#: Counters, as a power of two, that say how common a shingle is.
+COUNTER_BITS = 18
 #: Bytes of text hashed at a time.
 GROUP = 1 << 20
 _SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -217,6 +220,70 @@ def _sizes_allow(n1: str, n2: str, percent: int):
     return F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
 
 
+def _slots(members: np.ndarray, bits: int) -> np.ndarray:
+    return (members >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _commonness(sets: DataFrame, bits: int) -> np.ndarray:
+    """How many sets hold a shingle of each counter; a table of one size, whatever the input."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        slots = _slots(np.frombuffer(b"".join(batch.column("members").to_pylist()), np.uint64), bits)
+        found, n = np.unique(slots, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], ["slot", "n"])
+
+    summed = map_batches(sets.select("members"), run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << bits, np.int64)
+    counts[summed["slot"].to_numpy()] = summed["n"].to_numpy()
+    return counts
+
+
+def _prefixes(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """rep, comp, size and the rarest shingles of (id, comp, members), as many as a similar set may lack and one more."""
+    bits = len(counts).bit_length() - 1
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sizes, rarest = [], []
+        for one in batch.column("members"):
+            members = np.frombuffer(one.as_py(), np.uint64)
+            order = np.lexsort((members, counts[_slots(members, bits)]))
+            sizes.append(len(members))
+            rarest.append(_longs(members[order[: len(members) + percent * len(members) // -100 + 1]]))
+        return pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("comp"), pa.array(sizes, pa.int64()), pa.array(rarest, pa.list_(pa.int64()))],
+            ["rep", "comp", "size", "rarest"],
+        )
+
+    return map_batches(sets.select("id", "comp", "members"), run, "rep long, comp long, size long, rarest array<long>")
+
+
+def _rest(placed: DataFrame, sets: DataFrame, percent: int, files: int) -> DataFrame:
+    """Every pair (centre, rep) that may be similar among the members of unfinished buckets, across components.
+
+    Shingles have one order, rare ones first. Two sets that share enough have their first
+    common shingle so early in both that enough follow it; pairs are those of such a shingle.
+    """
+    # The first round has compared both members of a bucket of two.
+    spread = placed.groupBy(F.col("key").alias("k")).agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m"))
+    unfinished = stage(spread.filter("low <> high AND m > 2").select("k").coalesce(files), "unfinished")
+    left = placed.join(unfinished, F.col("key") == F.col("k")).select("rep", "comp").distinct()
+    left = stage(sets.join(left, F.col("id") == F.col("rep")).select("id", "comp", "members").coalesce(files), "left")
+    held = stage(_prefixes(left, _commonness(left, COUNTER_BITS), percent), "prefixes")
+    rows = held.select("rep", "comp", "size", F.posexplode("rarest").alias("at", "shingle"))
+    # A shingle of one component alone links nothing.
+    common = rows.groupBy(F.col("shingle").alias("s")).agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    common = stage(common.filter("low <> high").select("s").coalesce(files), "common")
+    rows = stage(rows.join(common, F.col("shingle") == F.col("s")).drop("s").coalesce(files), "postings")
+    # The smaller set of a pair may lack fewer.
+    small = rows.filter((F.col("size") - F.col("at")) * (100 + percent) >= F.col("size") * (2 * percent))
+    large = rows.select(*[F.col(c).alias(f"{c}2") for c in rows.columns])
+    follow = F.least(F.col("size") - F.col("at"), F.col("size2") - F.col("at2"))
+    enough = follow * (100 + percent) >= (F.col("size") + F.col("size2")) * percent
+    ordered = F.expr("size < size2 OR size = size2 AND rep < rep2")
+    met = small.join(large, (F.col("shingle") == F.col("shingle2")) & (F.col("comp") != F.col("comp2")) & ordered & enough)
+    return met.select(F.least("rep", "rep2").alias("centre"), F.greatest("rep", "rep2").alias("rep")).distinct()
+
+
 def link_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """The sketch table, and (node, component) of the class representatives that are linked."""
     table = stage(sketch_table(docs, words), "sketches")
@@ -264,13 +331,17 @@ def link_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
         again = again.select(F.least("centre", "rep").alias("centre"), F.greatest("centre", "rep").alias("rep")).distinct()
         fresh = stage(again.join(pairs, ["centre", "rep"], "left_anti").coalesce(files), "pairs")
         count = fresh.count()
-        if count == 0:
-            return table, found
         more = stage(_confirmed(fresh, sets, percent).coalesce(parts(count, PAIRS_EACH)), "links")
-        if more.count() == 0:
-            return table, found
         pairs = pairs.unionByName(fresh)
+        if more.count() == 0:
+            break
+        found = stage(joined(found, more).coalesce(files), "found")
+    # Other members of unfinished buckets were no centres yet.
+    rest = stage(_rest(placed, sets, percent, files).join(pairs, ["centre", "rep"], "left_anti").coalesce(files), "pairs")
+    more = stage(_confirmed(rest, sets, percent).coalesce(parts(rest.count(), PAIRS_EACH)), "links")
+    if more.count():
         found = stage(joined(found, more).coalesce(files), "found")
+    return table, found
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
