@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from waymark.llm import embedding_dedup
 
@@ -82,6 +83,20 @@ def test_audit_measures_recall(spark):
     assert embedding_dedup.audit(index.nodes, blind, len(rows)) == 0.0
 
 
+def test_audit_sees_small_groups_beside_a_large_one(spark):
+    rows = made(3, [60] + [2] * 15, 100)
+    index = embedding_dedup.build(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    n = index.links.n
+    blind = index.links.withColumn("n", F.when(n > 10, n).otherwise(0))
+    assert index.recall >= 0.95 and embedding_dedup.audit(index.nodes, blind, len(rows)) < 0.9
+
+
+def test_a_recall_out_of_reach_is_reported(spark):
+    df = spark.createDataFrame(made(3, [20, 5], 100), "vec_id long, embedding array<float>")
+    with pytest.warns(UserWarning, match="are wanted"):
+        assert embedding_dedup.build(df, recall=1.5).recall <= 1
+
+
 def test_pruned_lists_keep_the_nearest():
     units = embedding_dedup.unit(np.random.default_rng(0).normal(size=(200, 8)))
     lists = embedding_dedup.robust_prune(units)
