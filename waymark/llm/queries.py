@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import bpe, counts, embedding_dedup, exact_dedup, language, mixing, near_dedup, secrets, token_files, url_filter
+from waymark.llm import bpe, chat, counts, embedding_dedup, exact_dedup, language, mixing, near_dedup, secrets, token_files, url_filter
 from waymark.llm.frames import documents, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,12 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query
+def op11_chat(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digest_rows(turns.unionByName(chat.awkward_turns(spark)))
+
+
+ORACLE_SQL["op11_chat"] = chat.checking_sql()
