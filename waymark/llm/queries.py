@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import bpe, chat, counts, embedding_dedup, exact_dedup, language, mixing, near_dedup, periodic, secrets, token_files, url_filter
+from waymark.llm import (
+    bpe,
+    chat,
+    counts,
+    embedding_dedup,
+    exact_dedup,
+    language,
+    mixing,
+    near_dedup,
+    periodic,
+    secrets,
+    spelling,
+    token_files,
+    url_filter,
+)
 from waymark.llm.frames import documents, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +96,11 @@ def op11_chat(spark: SparkSession, folder: str) -> DataFrame:
 ORACLE_SQL["op11_chat"] = chat.checking_sql()
 
 
+@query
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(documents(spark, folder), planted=True))
+
+
 @query
 def op13_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic.digest_rows(documents(spark, folder), planted=True)
