@@ -119,8 +119,8 @@ def test_variants_of_invented_words(spark, seed):
 
 
 def test_odd_texts(spark):
-    rows = [(1, None), (2, ""), (None, "Strange Straße strasse " * 30), (3, "x" * 100_000 + " STRANGE-strangé_stränge "), (3, "x" * 100_000)]
-    rows += [(i, "strang strange9strange ÀÉÎÕÜ÷àéîõü× " + "x" * 100_000) for i in range(4, 10)] * 2
+    rows = [(1, None), (2, ""), (None, "Strange Straße strasse " * 30), (3, "x" * 2_000 + " STRANGE-strangé_stränge "), (3, "x" * 2_000)]
+    rows += [(i, "strang strange9strange ÀÉÎÕÜ÷àéîõü× " + "x" * 2_000) for i in range(4, 10)] * 2
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"word": F.lit("own"), "n": F.lit(1)})
     for planted in (False, True):
         found = spelling.word_counts(docs, planted=planted)
