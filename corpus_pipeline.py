@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 from waymark.llm import bpe, exact_dedup, language, mixing, near_dedup
 from waymark.llm.frames import documents, stage
 
-#: Documents whose language is less certain than this go; of four languages, one in a tie has 0.25.
-MIN_SCORE = 0.4
-
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -26,36 +23,51 @@ def _carried(docs: DataFrame, *inputs: str) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without letters, or torn between languages, go."""
+    """Documents for which a language is predicted, however short; those without letters, null texts included, go.
+
+    Rows that repeat and null ids are judged each by their text; all columns stay.
+    """
     predicted = language.predict(_carried(docs, "text"), language.fit(docs))
-    kept = predicted.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE))
-    return kept.select("__row.*")
+    return predicted.filter(F.col("lang_pred") != language.UNKNOWN).select("__row.*")
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts: the one with the largest doc_id."""
+    """One document of each group of equal texts: the one with the largest doc_id.
+
+    Null texts are equal to empty ones. Rows that repeat id and text stay or go together;
+    of a group without any id all rows stay. All columns stay.
+    """
     return exact_dedup.exact_dedup(_carried(docs, "doc_id", "text")).filter("kept").select("__row.*")
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles at a similarity of 0.8 or more."""
+    """One document of each group linked by five-word shingles at a similarity of 0.8 or more.
+
+    Texts without words and rows without an id stay, and so does an id with one row that
+    stays. All columns stay.
+    """
     return near_dedup.drop_near_duplicates(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as its source's weight asks for, from none to three."""
+    """As many copies of each document as its source's weight asks for, from none to three.
+
+    A null source is a source, the last; a text without words has size 0 and is judged by
+    its source's rate. Copies are whole rows with all columns.
+    """
     copies = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
     rows = mixing.mix(_carried(docs, "doc_id", "text", "source"))
     return rows.withColumn("__copy", copies).select("__row.*")
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens and ids of every copy; ``exact`` says that the ids decode to the text."""
-    coded = bpe.decode(bpe.encode(docs))
-    text = F.coalesce("text", F.lit("")).cast("binary")
-    return coded.select(
-        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == text).alias("exact")
-    )
+    """doc_id, lang, source, n_tokens and ids of every copy; ``exact`` says that the ids decode to the text.
+
+    A null text counts as empty; null ids, languages and sources stay null; other columns
+    are not carried.
+    """
+    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), checked="exact")
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "exact")
 
 
 STAGES: list[tuple[str, Stage]] = [

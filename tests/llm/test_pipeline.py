@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from waymark.llm import bpe, language
@@ -36,8 +37,7 @@ def test_language(tables):
     scorer = language.Scorer(language.fit(tables[0]))
     want = set()
     for key, r in by_id(tables[0]).items():
-        lang, score = scorer.predict(r.text or "")
-        if lang != language.UNKNOWN and score >= corpus_pipeline.MIN_SCORE:
+        if scorer.predict(r.text or "")[0] != language.UNKNOWN:
             want.add(key)
     assert set(by_id(tables[1])) == want
 
@@ -92,3 +92,26 @@ def test_odd_rows_and_columns(spark, sf):
             df = stage(step(spark, df, sf), "odd")
             assert df.columns == docs.columns
         assert all(r.size in (9, 2) for r in df.collect())
+        coded = corpus_pipeline.tokenized(spark, docs if df.isEmpty() else df, sf)
+        assert coded.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "exact"]
+        assert all(r.exact for r in coded.collect())
+
+
+def test_tokens_of_odd_rows(spark, sf):
+    rows = [(1, None, None, None, 5), (None, "", "en", "s", 6), (3, "é 😀\x00 </s>", "en", "s", 7), (3, "é 😀\x00 </s>", "en", "s", 7)]
+    rows.append((4, "word " * 400_000 + "é" * 100_000, "en", "t", 8))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, ids long").withColumn("exact", F.lit("own"))
+    found = corpus_pipeline.tokenized(spark, docs, sf).collect()
+    assert sorted((r.doc_id or 0, r.lang, r.exact) for r in found if r.doc_id != 1) == [
+        (0, "en", True), (3, "en", True), (3, "en", True), (4, "en", True)
+    ]
+    assert [r.ids for r in found if r.doc_id in (1, None)] == [[], []]
+    assert corpus_pipeline.tokenized(spark, docs.limit(0), sf).collect() == []
+
+
+def test_short_clean_texts_stay(spark, sf):
+    docs = documents(spark, sf)
+    short = docs.limit(50).withColumn("text", F.regexp_extract("text", r"(\p{L}+)", 1)).withColumn("doc_id", F.col("doc_id") + 10**6)
+    short = short.filter("text <> ''")
+    kept = corpus_pipeline.known_language(spark, docs.unionByName(short), sf).filter("doc_id >= 1000000")
+    assert kept.count() == short.count()

@@ -2,7 +2,8 @@
 
 A pre-token's bytes form a linked list. For every merge rank that occurs there is a bucket
 with the list positions whose pair has it, and a two-level bitmap tells which buckets
-hold something: the lowest set bit of each level gives the lowest rank in constant time. A position whose pair has changed meanwhile is stale and skipped. The cost is nearly
+hold something: the first set bit of each level gives the lowest rank in constant time. A
+position whose pair has changed meanwhile is stale and skipped. The cost is nearly
 linear in the pre-token, also for one of many thousand bytes.
 """
 
@@ -12,6 +13,7 @@ import base64
 import functools
 import hashlib
 import heapq
+import struct
 from collections.abc import Mapping
 
 import numpy as np
@@ -27,69 +29,94 @@ MULTI_50K = "byte_bpe_multi_50k.tiktoken"
 #: Ranks per word of the lower bitmap, as a power of two; Python's integers are the words.
 _BITS = 8
 _LOW = (1 << _BITS) - 1
+_BIT = [1 << b for b in range(1 << 12)]
 #: Single matches and runs of several that a worker remembers.
 KEPT = (400_000, 80_000)
 #: Ids handled at a time when digests are made.
 BLOCK = 1 << 18
 
 
-def merge(piece: bytes, ranks: Mapping[bytes, int]) -> list[int]:
-    """Ids of one pre-token: the pair of lowest rank, leftmost first, merges until none is left."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
-    n = len(piece)
-    rank_of = ranks.get
-    end = list(range(1, n + 1))  # of the part that begins here; 0 for a part merged away
-    before = list(range(-1, n - 1))
-    buckets: dict[int, list[int]] = {}  # a heap of positions for each rank
-    words: dict[int, int] = {}  # which of 256 ranks have a bucket
-    top = 0  # which words are not empty
-    fresh = [(rank_of(piece[i : i + 2]), i) for i in range(n - 1)]
-    while True:
-        for rank, i in fresh:
-            if rank is None:
-                continue
-            bucket = buckets.get(rank)
-            if bucket:
-                heapq.heappush(bucket, i)
+class Merges:
+    """The merge table of a rank file, and the rank queue.
+
+    The queue counts ranks downward, ``top - rank``, so that the first rank is the highest
+    set bit, which Python's integers tell at once. Queue and bitmap are empty between
+    pre-tokens, so one of each serves all of them.
+    """
+
+    def __init__(self, ranks: Mapping[bytes, int]):
+        self.top = top = max(ranks.values())
+        self.ranks = ranks
+        self.byte = [ranks[bytes([b])] for b in range(256)]
+        #: For each id, the ids that may follow it and ``top`` less the rank, which is the id, of the two as one.
+        self.joined: list[dict[int, int]] = [{} for _ in range(top + 1)]
+        for word, rank in ranks.items():
+            for k in range(1, len(word)):
+                if word[:k] in ranks and word[k:] in ranks:
+                    self.joined[ranks[word[:k]]][ranks[word[k:]]] = top - rank
+        #: List positions whose pair has the rank: none, one, or a heap of several.
+        self.buckets: list[int | list[int] | None] = [None] * (top + 1)
+        #: Which of 256 ranks have a bucket.
+        self.words = [0] * ((top >> _BITS) + 1)
+
+    def merge(self, piece: bytes) -> list[int]:
+        """Ids of one pre-token: the pair of lowest rank, leftmost first, merges until none is left."""
+        whole = self.ranks.get(piece)
+        if whole is not None:
+            return [whole]
+        n, joined, buckets, words = len(piece), self.joined, self.buckets, self.words
+        part = [self.byte[b] for b in piece]  # id that begins here; -1 for one merged away, and at the end
+        part.append(-1)
+        after = list(range(1, n + 2))
+        before = list(range(-1, n + 1))
+        fresh = [(joined[part[i]].get(part[i + 1], -1), i) for i in range(n - 1)]
+        pair = [place for place, _ in fresh]  # the queue's place of the pair that begins here, -1 for none
+        pair += (-1, -1)
+        filled = 0  # which words are not empty
+        while True:
+            for place, i in fresh:
+                if place < 0:
+                    continue
+                bucket = buckets[place]
+                if bucket is None:
+                    buckets[place] = i
+                    high = place >> _BITS
+                    if not words[high]:
+                        filled |= _BIT[high]
+                    words[high] |= _BIT[place & _LOW]
+                elif type(bucket) is int:
+                    buckets[place] = [bucket, i] if bucket < i else [i, bucket]
+                else:
+                    heapq.heappush(bucket, i)
+            if not filled:
+                return [p for p in part if p >= 0]
+            high = filled.bit_length() - 1
+            word = words[high]
+            low = word.bit_length() - 1
+            place = high << _BITS | low
+            bucket = buckets[place]
+            if type(bucket) is list and len(bucket) > 1:
+                i = heapq.heappop(bucket)
+            else:
+                i = bucket if type(bucket) is int else bucket[0]
+                buckets[place] = None
+                words[high] = word = word ^ _BIT[low]
+                if not word:
+                    filled ^= _BIT[high]
+            if pair[i] != place:
+                fresh = ()
+                continue  # stale: merged away, or the pair has changed
+            rank = self.top - place
+            middle = after[i]
+            end, left = after[middle], before[i]
+            part[i], part[middle], pair[middle] = rank, -1, -1
+            after[i], before[end] = end, i
+            pair[i] = right = joined[rank].get(part[end], -1)
+            if left >= 0:
+                pair[left] = joined[part[left]].get(rank, -1)
+                fresh = ((right, i), (pair[left], left))
             else:
-                buckets[rank] = [i]
-                high = rank >> _BITS
-                words[high] = words.get(high, 0) | 1 << (rank & _LOW)
-                top |= 1 << high
-        if not top:
-            break
-        high = (top & -top).bit_length() - 1
-        word = words[high]
-        lowest = word & -word
-        rank = high << _BITS | lowest.bit_length() - 1
-        bucket = buckets[rank]
-        if len(bucket) > 1:
-            i = heapq.heappop(bucket)
-        else:
-            i = bucket.pop()
-            words[high] = word = word ^ lowest
-            if not word:
-                top ^= 1 << high
-        fresh = ()
-        middle = end[i]
-        if not middle or middle == n:
-            continue  # stale: merged away, or the last part by now
-        after = end[middle]
-        if rank_of(piece[i:after]) != rank:
-            continue  # stale: the pair has changed
-        end[i], end[middle] = after, 0
-        left = before[i]
-        fresh = [(rank_of(piece[left:after]), left)] if left >= 0 else []
-        if after < n:
-            before[after] = i
-            fresh.append((rank_of(piece[i : end[after]]), i))
-    ids, i = [], 0
-    while i < n:
-        ids.append(ranks[piece[i : end[i]]])
-        i = end[i]
-    return ids
+                fresh = ((right, i),)
 
 
 class Spelling:
@@ -111,17 +138,21 @@ class Spelling:
             yield self.write(ids[at : at + BLOCK])
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Codec:
     """Encoder and decoder of one rank file."""
 
     def __init__(self, ranks: Mapping[bytes, int]):
-        self.ranks = ranks
+        self.ranks, merge = ranks, Merges(ranks).merge
         words = [b""] * (max(ranks.values()) + 1)
         for word, rank in ranks.items():
             words[rank] = word
         self.spelling = Spelling(words)
         self.decimals = Spelling([b"%d," % i for i in range(len(words))])
-        self.parts = Parts(lambda m: np.array(merge(m.encode(), ranks), dtype="<u4").tobytes(), b"".join, *KEPT)
+        self.parts = Parts(lambda m: _packed(merge(m.encode())), b"".join, *KEPT)
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(self.parts.values(text)), dtype="<u4")
@@ -139,7 +170,7 @@ def codec(path: str) -> Codec:
 def _held(path: str | None) -> Codec:
     """This worker's codec; its memory is the only one held."""
     path = path or public_tokenizers.path(MULTI_50K)
-    hold(("bpe", path), codec(path).parts.forget)
+    hold(__name__, ("bpe", path), codec(path).parts.forget)
     return codec(path)
 
 
@@ -147,21 +178,28 @@ def _with(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*df.schema.fields, T.StructField(name, kind)])
 
 
-def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, checked: str | None = None) -> DataFrame:
     """``docs`` plus ``ids`` (array of int), the tokens of the whole text.
 
-    ``path`` is a rank file every worker can open. A null text counts as empty and has no
-    ids; own columns called ``ids`` are replaced; rows that repeat are encoded each.
+    ``path`` is a rank file every worker can open. ``checked`` names a boolean column to
+    add: whether the ids decode to the text's bytes. A null text counts as empty and has no
+    ids; own columns with the added names are replaced; rows that repeat are encoded each.
     """
-    docs = own_names(docs, ["ids"])
+    added = ["ids", *([checked] if checked else [])]
+    docs = own_names(docs, added)
     schema = _with(docs, "ids", T.ArrayType(T.IntegerType()))
+    if checked:
+        schema = schema.add(checked, T.BooleanType())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = _held(path)
-        found = [coder.encode(t) for t in strings(batch.column("text"))]
+        texts = strings(batch.column("text"))
+        found = [coder.encode(t) for t in texts]
         ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int32)))
-        return pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "ids"])
+        columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int32)))]
+        if checked:
+            columns.append(pa.array([coder.decode(x) == t.encode() for x, t in zip(found, texts, strict=True)]))
+        return pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *added])
 
     return map_batches(docs, run, schema)
 
@@ -183,7 +221,9 @@ def decode(rows: DataFrame, path: str | None = None) -> DataFrame:
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document's ids and decoded bytes.
 
-    The ids are digested in the task that makes them, in blocks, so they are not moved.
+    The ids are digested in the task that makes them, in blocks, so they are not moved. A
+    null text counts as empty; rows that repeat are digested each; a null doc_id stays
+    null; other columns are not carried.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from waymark.llm.frames import stage
 
 
-def parts(rows: int, each: int = 200_000) -> int:
+def parts(rows: int, each: int = 25_000) -> int:
     """Files for a table of ``rows`` rows: a small one is not dealt over all shuffle partitions."""
     return max(8, rows // each)
 

@@ -106,7 +106,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = counter(path or public_tokenizers.path(JSON_50K))
-        hold(own, own.parts.forget)
+        hold(__name__, own, own.parts.forget)
         count = own.count
         texts = strings(batch.column("text"))
         tokens = [count(t) for t in texts]

@@ -74,7 +74,10 @@ def exact_dedup(docs: DataFrame, digests: Sequence[Digest] = DIGESTS) -> DataFra
 
 
 def digest_rows(docs: DataFrame, digests: Sequence[Digest] = DIGESTS) -> DataFrame:
-    """doc_id, keep_id, group_size, kept and text_sha256 of every document, dropped ones too."""
+    """doc_id, keep_id, group_size, kept and text_sha256 of every document, dropped ones too.
+
+    Nulls and repeated rows are taken as in :func:`exact_dedup`; other columns are not carried.
+    """
     hashed = docs.select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
     return exact_dedup(hashed, digests).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 

@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 from waymark.session import shared_folder
 from waymark.sources.sinks import stage
 
-__all__ = ["documents", "hold", "map_batches", "own_names", "shared_folder", "stage", "strings", "table", "workers_import"]
+__all__ = ["documents", "hold", "map_batches", "own_names", "pieces", "release", "shared_folder", "stage", "strings", "table", "workers_import"]
 
+#: Bytes of an Arrow batch that an operator works on at a time, about.
+PIECE = 8 << 20
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -38,30 +40,47 @@ def workers_import(df: DataFrame) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
 
 
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts of about ``PIECE`` bytes, at least a row each, so that what is made of them stays small."""
+    if batch.num_rows:
+        step = max(1, batch.num_rows * PIECE // max(PIECE, batch.nbytes))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch; a task holds one batch (Spark bounds its rows and bytes)."""
+    """Apply ``fn`` to parts of each Arrow batch; a task holds one batch (Spark bounds its rows and bytes)."""
     workers_import(df)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        release(fn.__module__)
         for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
+            for piece in pieces(batch):
+                yield fn(piece)
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
 
-_HELD: list[tuple[object, Callable[[], None]]] = []
+_HELD: list[tuple[str, object, Callable[[], None]]] = []
 
 
-def hold(owner: object, forget: Callable[[], None]) -> None:
-    """One operator's memory at a time in a Python worker: taking it up drops the last one's.
+def release(operator: str) -> None:
+    """Drop what another operator's module left in this Python worker.
 
     Workers are used for one stage after another, and their memories must not add up.
     """
-    if _HELD and _HELD[0][0] != owner:
-        _HELD.pop()[1]()
+    if _HELD and _HELD[0][0] != operator:
+        _HELD.pop()[2]()
+        pa.default_memory_pool().release_unused()
+
+
+def hold(operator: str, owner: object, forget: Callable[[], None]) -> None:
+    """One memory at a time in a Python worker: taking it up drops the last one's."""
+    if _HELD and _HELD[0][1] != owner:
+        _HELD.pop()[2]()
     if not _HELD:
-        _HELD.append((owner, forget))
+        _HELD.append((operator, owner, forget))
 
 
 def strings(column: pa.Array) -> list[str]:

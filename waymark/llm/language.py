@@ -310,7 +310,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = scorer(model)
-        hold(own, own.forget)
+        hold(__name__, own, own.forget)
         found = []
         # A group of texts at a time is taken out of the batch, so that it is not held twice.
         for at in range(0, batch.num_rows, GROUP):

@@ -6,8 +6,8 @@ random probe sequence. Bands of bins give bucket keys. Equal sets are one class
 once. In a bucket only the pairs of one centre with the others are candidates, so a bucket
 of any size gives fewer pairs than it has members. Candidates are confirmed on the full
 sets. Buckets whose members are not yet one component are taken up again with other
-centres until a round finds no new link. What is left of them is then joined exactly: of two
-similar sets the rarest shingles, as many as may be missing, have one in common.
+centres, until a round finds no new link or after a few. What is left of them is then joined
+exactly: of two similar sets the rarest shingles, as many as may be missing, have one in common.
 
 Bands of 4 of 96 bins find a pair of similarity 0.8 with probability 1 - 3e-6.
 """
@@ -30,6 +30,8 @@ BINS = BANDS * ROWS
 WORDS, PERCENT = 5, 80
 #: Centres each unfinished bucket gets in a later round; pairs confirmed in one task, about.
 CENTRES, PAIRS_EACH = 2, 10_000
+#: Later rounds at most; what they leave is joined exactly, so more of them change no result.
+ROUNDS = 4
 #: Counters, as a power of two, that say how common a shingle is.
 COUNTER_BITS = 18
 #: Bytes of text hashed at a time.
@@ -285,7 +287,11 @@ def _rest(placed: DataFrame, sets: DataFrame, percent: int, files: int) -> DataF
 
 
 def link_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """The sketch table, and (node, component) of the class representatives that are linked."""
+    """The sketch table, and (node, component) of the class representatives that are linked.
+
+    Rows without words or doc_id are in the table and link with nothing; equal sets, and so
+    repeated rows, are one class; other columns are not carried.
+    """
     table = stage(sketch_table(docs, words), "sketches")
     known = table.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stage(known.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "classes")
@@ -308,11 +314,13 @@ def link_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     sets = stage(_set_table(docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("w"), "left_semi"), words), "sets")
     links = stage(_confirmed(pairs, sets, percent).coalesce(parts(pairs.count(), PAIRS_EACH)), "links")
     found = stage(components(links).coalesce(files), "found")
-    round_ = 0
-    while True:
-        round_ += 1
-        placed = buckets.select("key", "rep", "n").join(found, F.col("rep") == F.col("node"), "left")
-        placed = stage(placed.select("key", "rep", "n", F.coalesce("component", "rep").alias("comp")), "placed")
+
+    def place(found: DataFrame) -> DataFrame:
+        rows = buckets.select("key", "rep", "n").join(found, F.col("rep") == F.col("node"), "left")
+        return stage(rows.select("key", "rep", "n", F.coalesce("component", "rep").alias("comp")), "placed")
+
+    placed = place(found)
+    for round_ in range(1, ROUNDS + 1):
         # Buckets that are not one component yet get other centres, each its own.
         member = F.struct("rep", "n", "comp")
         tried = [
@@ -336,6 +344,7 @@ def link_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
         if more.count() == 0:
             break
         found = stage(joined(found, more).coalesce(files), "found")
+        placed = place(found)
     # Other members of unfinished buckets were no centres yet.
     rest = stage(_rest(placed, sets, percent, files).join(pairs, ["centre", "rep"], "left_anti").coalesce(files), "pairs")
     more = stage(_confirmed(rest, sets, percent).coalesce(parts(rest.count(), PAIRS_EACH)), "links")

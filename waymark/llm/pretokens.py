@@ -17,10 +17,12 @@ V = TypeVar("V")
 
 MATCHES = regex.compile(public_tokenizers.PATTERN).findall
 #: Single matches, and runs of several, kept per Python worker: about 200 MB with short
-#: words. A full memory starts afresh.
+#: words. Half of them are young; when those are full they become the old ones, and what
+#: is met again among the old is young again, so only parts not met for long are lost.
 WORDS, RUNS = 800_000, 150_000
 #: Longer parts are not kept, so that the memory is bounded in bytes too.
 LONGEST_KEPT = 64
+STOPS = frozenset(".,;:!?")
 WHITE = frozenset(c for c in map(chr, range(0x3001)) if regex.match(r"\s", c))
 
 
@@ -32,6 +34,32 @@ def _closed(piece: str) -> bool:
     return bool(piece) and piece[-1] not in WHITE
 
 
+class Memory(dict[str, V]):
+    """Values by text in two generations of bounded size; ``old`` is looked at by :meth:`find` alone."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.half = max(1, most // 2)
+        self.old: dict[str, V] = {}
+
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
+    def find(self, text: str) -> V | None:
+        value = self.get(text)
+        if value is None and (value := self.old.get(text)) is not None:
+            self.keep(text, value)
+        return value
+
+    def keep(self, text: str, value: V) -> None:
+        if len(text) <= LONGEST_KEPT:
+            if len(self) >= self.half:
+                self.old = dict(self)
+                self.clear()
+            self[text] = value
+
+
 class Parts(Generic[V]):
     """``values(text)``: the values of the parts of a text, in order.
 
@@ -41,40 +69,66 @@ class Parts(Generic[V]):
 
     def __init__(self, of_match: Callable[[str], V], join: Callable[[list[V]], V], words: int = WORDS, runs: int = RUNS):
         self.of_match, self.join = of_match, join
-        self.words: dict[str, V] = {}  # read after a blank, which is left out of the key
-        self.runs: dict[str, V] = {}  # likewise
-        self.others: dict[str, V] = {}  # as they are
-        self.most = {id(self.words): words, id(self.runs): runs, id(self.others): runs}
+        self.words: Memory[V] = Memory(words)  # read after a blank, which is left out of the key
+        self.runs: Memory[V] = Memory(runs)  # likewise
+        self.others: Memory[V] = Memory(runs)  # as they are
 
     def forget(self) -> None:
         for store in (self.words, self.runs, self.others):
-            store.clear()
-
-    def _keep(self, store: dict[str, V], text: str, value: V) -> None:
-        if len(text) <= LONGEST_KEPT:
-            if len(store) >= self.most[id(store)]:
-                store.clear()
-            store[text] = value
+            store.forget()
 
     def _match(self, match: str) -> V:
         after_blank = len(match) > 1 and match[0] == " " and match[1] not in WHITE
         store, key = (self.words, match[1:]) if after_blank else (self.others, match)
         value = store.get(key)
+        if value is None:
+            value = store.find(key)
         if value is None:
             value = self.of_match(match)
-            self._keep(store, key, value)
+            store.keep(key, value)
         return value
 
     def _run(self, text: str) -> V:
         found = MATCHES(text)
         return self._match(found[0]) if len(found) == 1 else self.join([self._match(m) for m in found])
 
+    def _letters(self, text: str, blank: str) -> V | None:
+        """Value of letters, with or without one stop after them, behind a blank or none; else nothing."""
+        if text.isalpha():
+            return self._match(blank + text)
+        if text[-1:] in STOPS and text[:-1].isalpha():
+            return self.join([self._match(blank + text[:-1]), self._match(text[-1])])
+        return None
+
+    def _plain(self, piece: str) -> V | None:
+        """Value of a piece after a blank that needs no pattern: letters are one match, a stop after them
+        another, and a line break between two visible characters a third."""
+        words = self.words
+        if piece.isalpha():
+            value = words.old.get(piece)
+            if value is None:
+                value = self.of_match(" " + piece)
+            words.keep(piece, value)
+            return value
+        if piece[-1:] in STOPS and (word := piece[:-1]).isalpha():
+            value = words.get(word)
+            if value is None:
+                return self.join([self._match(" " + word), self._match(piece[-1])])
+            value = self.join([value, self._match(piece[-1])])
+            words.keep(piece, value)
+            return value
+        first, line, second = piece.partition("\n")
+        if line and (one := self._letters(first, " ")) is not None and (two := self._letters(second, "")) is not None:
+            return self.join([one, self._match(line), two])
+        return None
+
     def values(self, text: str) -> list[V]:
         if not text:
             return []
         pieces = text.split(" ")
         known = list(map(self.words.get, pieces))
         last = len(pieces)
+        pieces.append(".")  # the end closes the last piece as a visible character does
         known[0] = None  # words are kept as they read after a blank, and this one has none
         result: list[V] = []
         done = seen = 0
@@ -83,9 +137,8 @@ class Parts(Generic[V]):
                 at = known.index(None, seen)
             except ValueError:
                 return result + known[done:] if result else known[done:]
-            piece = pieces[at]
-            if at and piece.isalpha() and (at + 1 == last or _opens(pieces[at + 1])):
-                known[at] = self._match(" " + piece)  # letters alone are one match
+            if at and _opens(pieces[at + 1]) and (value := self._plain(pieces[at])) is not None:
+                known[at] = value
                 seen = at + 1
                 continue
             # A piece that begins or ends with white space, or is empty, is read with its neighbours.
@@ -96,11 +149,11 @@ class Parts(Generic[V]):
             result += known[done:start]
             run = " ".join(pieces[start:end])
             if start:
-                value = self.runs.get(run)
+                value = self.runs.find(run)
                 if value is None:
                     value = self._run(" " + run)
                     if run not in self.words:
-                        self._keep(self.runs, run, value)
+                        self.runs.keep(run, value)
                 result.append(value)
             elif run:
                 result.append(self._run(run))

@@ -416,7 +416,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = scanner(field)
-        hold(own, own.known.clear)
+        hold(__name__, own, own.known.clear)
         found = own.scan(strings(batch.column("text")))
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
         spans = [[{"start": s, "end": e, "kind": k} for s, e, k in doc] for doc in found]

@@ -171,7 +171,7 @@ def segments(docs: DataFrame, path: str | None = None, segment_ids: int = SEGMEN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         encode = encoder(path or public_tokenizers.path(JSON_50K))
-        hold(encode, encode.parts.forget)
+        hold(__name__, encode, encode.parts.forget)
         shard, number = TaskContext.get().partitionId(), 0
         keys: list[int] = []
         ids: list[np.ndarray] = []
