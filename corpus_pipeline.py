@@ -37,7 +37,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Null texts are equal to empty ones. Rows that repeat id and text stay or go together;
     of a group without any id all rows stay. All columns stay.
     """
-    return exact_dedup.exact_dedup(_carried(docs, "doc_id", "text")).filter("kept").select("__row.*")
+    return exact_dedup.exact_dedup(_carried(docs, "doc_id"), text="__row.text").filter("kept").select("__row.*")
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +56,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     its source's rate. Copies are whole rows with all columns.
     """
     copies = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
-    rows = mixing.mix(_carried(docs, "doc_id", "text", "source"))
+    rows = mixing.mix(_carried(docs, "doc_id", "source"), text=F.col("__row.text"))
     return rows.withColumn("__copy", copies).select("__row.*")
 
 

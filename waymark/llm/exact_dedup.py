@@ -30,31 +30,32 @@ def chunks(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(CHUNK), F.lit(0))
 
 
-def verified_digest(docs: DataFrame, digests: Sequence[Digest] = DIGESTS) -> Digest:
+def verified_digest(docs: DataFrame, digests: Sequence[Digest] = DIGESTS, text: str = "text") -> Digest:
     """The first digest that tells all distinct chunks of ``docs`` apart.
 
     Equal chunks are combined before the shuffle, so a passage that many documents share
     is moved once for each task.
     """
     for digest in digests[:-1]:
-        distinct = docs.select(F.explode(chunks(F.col("text"))).alias("c")).select("c", digest(F.col("c")).alias("id"))
+        distinct = docs.select(F.explode(chunks(F.col(text))).alias("c")).select("c", digest(F.col("c")).alias("id"))
         shared = distinct.distinct().groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")
         if shared.count() == 0:
             return digest
     return digests[-1]
 
 
-def exact_dedup(docs: DataFrame, digests: Sequence[Digest] = DIGESTS) -> DataFrame:
+def exact_dedup(docs: DataFrame, digests: Sequence[Digest] = DIGESTS, text: str = "text") -> DataFrame:
     """``docs`` plus keep_id, group_size and kept: of equal texts the largest doc_id stays.
 
     Texts are equal when their characters are; null counts as empty. A null doc_id comes
     below all others; if a group has no other, all its rows stay. Rows that repeat the id
     as well as the text are one document: each counts in ``group_size`` and they stay or
-    go together. Own columns with the added names are replaced.
+    go together. Own columns with the added names are replaced. ``text`` may name a field
+    of a structure.
     """
     docs = own_names(docs, OWN)
-    digest = verified_digest(docs, digests)
-    rows = docs.withColumn("__recipe", F.transform(chunks(F.col("text")), lambda c: digest(c)))
+    digest = verified_digest(docs, digests, text)
+    rows = docs.withColumn("__recipe", F.transform(chunks(F.col(text)), lambda c: digest(c)))
     # One row per group of copies: counts are combined before the shuffle, single texts left out.
     # As a written table, its size is known, and adaptive execution may split a large group in the join.
     groups = stage(

@@ -149,7 +149,7 @@ def _cell_copies(start: Column) -> Column:
     return F.when(F.col("n") <= SLOT_ROWS, exact).otherwise(F.round(F.col("n") / UNIT * F.col("rate")).cast("long"))
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, text: Column | None = None) -> DataFrame:
     """``docs`` plus size, source_size, target, copies and taken.
 
     ``size`` counts the words of the text (null: 0). Sources in code point order, null
@@ -157,9 +157,11 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> Da
     stops at ``cap`` times its source's words. ``copies`` is 0 to ``cap``, and ``taken``
     is copies times size. A document without words is taken once and gives no words.
     Rows that repeat are mixed each. Own columns with the added names are replaced.
+    ``text`` says where the text is, if not in a column of that name.
     """
+    text = F.col("text") if text is None else text
     docs = own_names(docs, OWN)
-    sized = docs.withColumn("__key", _key(F.col("source"))).withColumn("size", words(F.col("text")))
+    sized = docs.withColumn("__key", _key(F.col("source"))).withColumn("size", words(text))
     cells = stage(sized.groupBy(F.col("__key").alias("key"), "size").agg(F.count("*").alias("n")), "cells")
     sources = stage(_targets(stage(_weighted(cells, weights), "sources"), cap), "targets")
     state = _balance(cells, sources, cap).select("key", "total", "target", "full", "scale", "lam")

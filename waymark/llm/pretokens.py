@@ -24,6 +24,8 @@ WORDS, RUNS = 800_000, 150_000
 LONGEST_KEPT = 64
 STOPS = frozenset(".,;:!?")
 WHITE = frozenset(c for c in map(chr, range(0x3001)) if regex.match(r"\s", c))
+#: What a piece begins with that does not close the one before.
+SHUT = WHITE | {""}
 
 
 def _opens(piece: str) -> bool:
@@ -101,20 +103,14 @@ class Parts(Generic[V]):
         return None
 
     def _plain(self, piece: str) -> V | None:
-        """Value of a piece after a blank that needs no pattern: letters are one match, a stop after them
-        another, and a line break between two visible characters a third."""
-        words = self.words
-        if piece.isalpha():
-            value = words.old.get(piece)
-            if value is None:
-                value = self.of_match(" " + piece)
-            words.keep(piece, value)
-            return value
-        if piece[-1:] in STOPS and (word := piece[:-1]).isalpha():
+        """Value of a piece after a blank that needs no pattern: a stop after letters is a match of its own,
+        and so is a line break between two visible characters."""
+        words, stop = self.words, piece[-1:]
+        if stop in STOPS and (word := piece[:-1]).isalpha():
             value = words.get(word)
             if value is None:
-                return self.join([self._match(" " + word), self._match(piece[-1])])
-            value = self.join([value, self._match(piece[-1])])
+                return self.join([self._match(" " + word), self._match(stop)])
+            value = self.join([value, self._match(stop)])
             words.keep(piece, value)
             return value
         first, line, second = piece.partition("\n")
@@ -125,8 +121,9 @@ class Parts(Generic[V]):
     def values(self, text: str) -> list[V]:
         if not text:
             return []
+        words = self.words
         pieces = text.split(" ")
-        known = list(map(self.words.get, pieces))
+        known = list(map(words.get, pieces))
         last = len(pieces)
         pieces.append(".")  # the end closes the last piece as a visible character does
         known[0] = None  # words are kept as they read after a blank, and this one has none
@@ -137,10 +134,19 @@ class Parts(Generic[V]):
                 at = known.index(None, seen)
             except ValueError:
                 return result + known[done:] if result else known[done:]
-            if at and _opens(pieces[at + 1]) and (value := self._plain(pieces[at])) is not None:
-                known[at] = value
-                seen = at + 1
-                continue
+            if at and pieces[at + 1][:1] not in SHUT:
+                piece = pieces[at]
+                if piece.isalpha():  # letters alone are one match
+                    value = words.find(piece)
+                    if value is None:
+                        value = self.of_match(" " + piece)
+                        words.keep(piece, value)
+                else:
+                    value = self._plain(piece)
+                if value is not None:
+                    known[at] = value
+                    seen = at + 1
+                    continue
             # A piece that begins or ends with white space, or is empty, is read with its neighbours.
             start = at - 1 if at > done and not _opens(pieces[at]) else at
             end = at + 1

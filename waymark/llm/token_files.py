@@ -70,7 +70,8 @@ class LibraryEncoder:
         letters = match.encode().decode("latin-1").translate(self.letters)
         return array.array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode(self, text: str) -> bytes:
+        """The ids, as little-endian unsigned 32-bit integers."""
         # A special string is one token, and the text on either side is read by itself.
         sections: list[str | bytes] = [text]
         for special, token in self.special.items():
@@ -81,7 +82,7 @@ class LibraryEncoder:
                     cut += [token, part] if k else [part]
             sections = cut
         ids = [v for s in sections for v in ([s] if isinstance(s, bytes) else self.parts.values(s))]
-        return np.frombuffer(b"".join(ids), "<u4")
+        return b"".join(ids)
 
 
 @functools.lru_cache(maxsize=2)
@@ -130,7 +131,7 @@ class PerfectHash:
         return found
 
 
-def _segment(shard: int, number: int, keys: list[int], ids: list[np.ndarray], width: int) -> pa.RecordBatch:
+def _segment(shard: int, number: int, keys: list[int], ids: list[bytes], width: int) -> pa.RecordBatch:
     ordered = np.array(keys, dtype=np.int64)
     distinct, first_rows = np.unique(ordered, return_index=True)
     index = PerfectHash.build(distinct)
@@ -138,7 +139,7 @@ def _segment(shard: int, number: int, keys: list[int], ids: list[np.ndarray], wi
     rows, marks = np.zeros(len(distinct), "<u4"), np.zeros(len(distinct), "<u4")
     rows[slots] = first_rows
     marks[slots] = _mix(distinct, MARK_SEED) >> np.uint64(32)
-    offsets = np.cumsum([0, *map(len, ids)]).astype("<u8")
+    offsets = (np.cumsum([0, *map(len, ids)]) // 4).astype("<u8")
     row = {
         "shard": shard,
         "segment": number,
@@ -147,7 +148,7 @@ def _segment(shard: int, number: int, keys: list[int], ids: list[np.ndarray], wi
         "n_docs": len(keys),
         "n_ids": int(offsets[-1]),
         "width": width,
-        "payload": np.concatenate(ids).astype(f"<u{width}").tobytes(),
+        "payload": np.frombuffer(b"".join(ids), "<u4").astype(f"<u{width}").tobytes(),
         "offsets": offsets.tobytes(),
         "keys": ordered.astype("<i8").tobytes(),
         "levels": index.levels.astype("<i8").tobytes(),
@@ -174,13 +175,13 @@ def segments(docs: DataFrame, path: str | None = None, segment_ids: int = SEGMEN
         hold(__name__, encode, encode.parts.forget)
         shard, number = TaskContext.get().partitionId(), 0
         keys: list[int] = []
-        ids: list[np.ndarray] = []
+        ids: list[bytes] = []
         held = 0
-        end = np.array([END_ID], "<u4")
+        end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for key, text in zip(batch.column("doc_id").to_pylist(), strings(batch.column("text")), strict=True):
-                found = np.concatenate([encode.encode(text), end])
-                if keys and held + len(found) > segment_ids:
+                found = encode.encode(text) + end
+                if keys and held + len(found) > 4 * segment_ids:
                     yield _segment(shard, number, keys, ids, encode.width)
                     keys, ids, held, number = [], [], 0, number + 1
                 keys.append(NULL_KEY if key is None else key)
@@ -269,11 +270,12 @@ def digests(files: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[tuple] = []
         for row, reader in _opened(batch):
+            written = memoryview(reader.payload.astype("<u4").tobytes())
+            offsets = reader.offsets.tolist()
             for key, i in reader.found(np.unique(reader.keys)):
-                ids = reader.ids(i)
-                crc = zlib.crc32(ids.astype("<u4").tobytes())
-                key = None if key == NULL_KEY else key
-                out.append((row["shard"], row["segment"], key, int(reader.offsets[i]), len(ids), crc))
+                start, end = offsets[i], offsets[i + 1]
+                crc = zlib.crc32(written[4 * start : 4 * end])
+                out.append((row["shard"], row["segment"], None if key == NULL_KEY else key, start, end - start, crc))
         types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
         names = ["shard", "segment", "doc_id", "offset", "n_tokens", "ids_crc32"]
         columns = zip(*out, strict=True) if out else [[] for _ in types]
