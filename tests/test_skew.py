@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from waymark.operators import asof_neighbours, interval_join, lookup_join, sequence
-from waymark.operators.sequence import hour_of, hours
+from waymark.operators import Span, asof_neighbours, interval_join, lookup_join, sequence, window_sums
+from waymark.operators.hot import CHUNK, cut_hot
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +32,7 @@ def largest_share(df, *keys):
 @pytest.mark.parametrize("hot_rows", [10, 100, 1_000_000])
 def test_sequence_equals_plain_window(log, hot_rows):
     out = sequence(
-        log, ["key"], ["at", "id"], hours("at"), rank="rank", reverse_rank="back", total="n", lead={"next": "at", "nv": "value"}, lag={"prev": "value"}, hot_rows=hot_rows
+        log, ["key"], ["at", "id"], rank="rank", reverse_rank="back", total="n", lead={"next": "at", "nv": "value"}, lag={"prev": "value"}, hot_rows=hot_rows
     )
     w = Window.partitionBy("key").orderBy("at", "id")
     back = Window.partitionBy("key").orderBy(F.desc("at"), F.desc("id"))
@@ -49,20 +49,67 @@ def test_sequence_equals_plain_window(log, hot_rows):
     assert rows_of(out, *columns) == rows_of(plain, *columns)
 
 
-def test_global_sequence(log):
-    out = sequence(log, [], ["at", "id"], hours("at"), rank="rank")
-    plain = log.withColumn("rank", F.row_number().over(Window.orderBy("at", "id")))
-    assert rows_of(out, "id", "rank") == rows_of(plain, "id", "rank")
+@pytest.mark.parametrize("hot_rows", [50, 1_000_000])
+def test_global_sequence(log, hot_rows):
+    out = sequence(log, [], ["at", "id"], rank="rank", lag={"prev": "value"}, hot_rows=hot_rows)
+    w = Window.orderBy("at", "id")
+    plain = log.select("*", F.row_number().over(w).alias("rank"), F.lag("value").over(w).alias("prev"))
+    assert rows_of(out, "id", "rank", "prev") == rows_of(plain, "id", "rank", "prev")
+
+
+# Dense ids, ids spread over all 64 bits, and one instant for all rows.
+@pytest.mark.parametrize("order", ["id", "xxhash64(id)", "CAST(id AS STRING)", "struct(timestamp'2024-01-01 00:00:00', xxhash64(id))"])
+@pytest.mark.parametrize("keys", [[], ["all"]])
+def test_ranges_are_even(spark, order, keys):
+    rows = spark.range(0, 20_000, numPartitions=4).selectExpr("id", "1 AS all", f"{order} AS o")
+    (cut,) = cut_hot([rows], keys, [F.col("o")], 1000)
+    sizes = [r["count"] for r in cut.groupBy(CHUNK).count().collect()]
+    # The summary has one row for each range.
+    assert len(sizes) == 20
+    assert max(sizes) < 2500
+    ends = cut.groupBy(CHUNK).agg(F.min("o").alias("low"), F.max("o").alias("high")).orderBy(CHUNK).collect()
+    assert all(a.high < b.low for a, b in zip(ends, ends[1:], strict=False))
+
+
+def test_ranges_cut_alike_in_every_reading(log):
+    (cut,) = cut_hot([log], ["key"], [F.col("at"), F.col("id")], 50)
+    again = cut.select("id", F.col(CHUNK).alias("c"))
+    assert cut.join(again, "id").filter(~F.col(CHUNK).eqNullSafe(F.col("c"))).count() == 0
 
 
 def test_sequence_splits_the_hot_key(log):
-    hot = largest_share(log, "key")
-    split = largest_share(log.withColumn("h", F.date_trunc("hour", "at")), "key", "h")
-    assert split * 20 < hot
-    plan = sequence(log, ["key"], ["at", "id"], hours("at"), rank="rank")._jdf.queryExecution().executedPlan().toString()
-    # Rows are exchanged by key and chunk; by key alone only the count and the chunk summary.
+    (cut,) = cut_hot([log], ["key"], [F.col("at"), F.col("id")], 100)
+    assert largest_share(cut, "key", CHUNK) < 300 < largest_share(log, "key") // 4
+    plan = sequence(log, ["key"], ["at", "id"], rank="rank")._jdf.queryExecution().executedPlan().toString()
+    # Rows are exchanged by key and range; by key alone only the count and the summary.
     wide = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert "__chunk0" in wide[0]
+    assert CHUNK in wide[0]
+
+
+@pytest.mark.parametrize("hot_rows", [10, 100, 1_000_000])
+@pytest.mark.parametrize("closed", [True, False])
+def test_window_sums_equal_a_join(log, closed, hot_rows):
+    points = log.filter("id % 3 = 0").select("id", "key", "at").unionByName(
+        log.filter("id % 300 = 0").selectExpr("id + 10000 AS id", "key", "CAST(NULL AS TIMESTAMP) AS at")
+    )
+    events = log.filter("id % 3 = 1").select("key", F.col("at").alias("then"), (F.col("id") % 5).alias("v"))
+    spans = {"near": Span(-600, 1500, closed), "later": Span(0, 3600, closed)}
+    sums = {"n": ("near", F.lit(1)), "v": ("near", F.col("v")), "m": ("later", F.lit(1))}
+    found = window_sums(points, events, ["key"], "at", "then", spans, sums, hot_rows=hot_rows)
+    e = events.select(F.col("key").alias("k"), "then", "v")
+    off = F.unix_micros("then") - F.unix_micros("at")
+
+    def inside(span):
+        low, high = span.low * 1_000_000, span.high * 1_000_000
+        return (off >= low) & (off <= high) if closed else (off > low) & (off < high)
+
+    pairs = points.join(e, F.col("key") == F.col("k"), "left")
+    plain = pairs.groupBy("id").agg(
+        F.count_if(inside(spans["near"])).alias("n"),
+        F.coalesce(F.sum(F.when(inside(spans["near"]), F.col("v"))), F.lit(0)).alias("v"),
+        F.count_if(inside(spans["later"])).alias("m"),
+    )
+    assert rows_of(found, "id", "n", "v", "m") == rows_of(plain, "id", "n", "v", "m")
 
 
 @pytest.mark.parametrize("hot_rows", [10, 100, 1_000_000])
@@ -77,7 +124,6 @@ def test_asof_equals_brute_force(log, equal_is_before, hot_rows):
         F.col("at"),
         F.col("at"),
         ["value"],
-        hour_of,
         right_order=["value"],
         equal_is_before=equal_is_before,
         hot_rows=hot_rows,

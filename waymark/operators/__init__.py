@@ -8,8 +8,10 @@ from waymark.operators.lookup import broadcast_if_small, lookup_join
 from waymark.operators.merge import full_merge
 from waymark.operators.rules import first_match
 from waymark.operators.sequence import sequence
+from waymark.operators.window_sums import Span, window_sums
 
 __all__ = [
+    "Span",
     "asof_neighbours",
     "broadcast_if_small",
     "conditional_distinct_counts",
@@ -20,4 +22,5 @@ __all__ = [
     "keep_first_ties",
     "lookup_join",
     "sequence",
+    "window_sums",
 ]

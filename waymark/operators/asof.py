@@ -2,19 +2,20 @@
 
 Both sides are sorted together per key, and the last right row seen is kept while walking
 up, the next one while walking down. No pair of rows is ever formed. A key with more than
-``hot_rows`` rows is cut into time chunks and sorted per chunk; a summary of the hot keys
-carries the last right row of earlier chunks and the first one of later chunks. Both
-inputs are read once more to count their keys: stage an expensive one first.
+``hot_rows`` rows is cut into even ranges of that order
+(:func:`waymark.operators.hot.cut_hot`), also within one instant; a summary of the hot keys
+carries the last right row of earlier ranges and the first one of later ranges. Both
+inputs are read several times: stage an expensive one first.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.operators.hot import HOT_ROWS, MARK, hot_keys, mark_hot
+from waymark.operators.hot import CHUNK, HOT_ROWS, MARK, cut_hot
 
 
 def asof_neighbours(
@@ -24,7 +25,6 @@ def asof_neighbours(
     left_at: Column,
     right_at: Column,
     payload: Sequence[str],
-    chunk: Callable[[Column], Column],
     *,
     right_order: Sequence[str] = (),
     equal_is_before: bool = True,
@@ -35,8 +35,7 @@ def asof_neighbours(
     ``prev`` is the last right row at or before ``left_at`` (strictly before when
     ``equal_is_before`` is false), ``next`` the first one after it (from the same instant
     on, in the strict case), ``earliest`` the first right row of the key.
-    ``right_order`` breaks ties between right rows at one instant. ``chunk`` must never
-    decrease with time.
+    ``right_order`` breaks ties between right rows at one instant.
     """
     keys = list(keys)
     # Ties are broken by the fields in their order; one that is payload too is held once.
@@ -53,24 +52,27 @@ def asof_neighbours(
         .select(*keys, right_at.alias("__at"), F.lit(r_side).alias("__side"), hit.alias("__hit"))
         .filter("__at IS NOT NULL")
     )
-    hot = hot_keys(lefts.select(*keys).unionByName(rights.select(*keys)), keys, hot_rows)
-    cut = F.when(F.col(MARK), chunk(F.col("__at")))
-    lefts = mark_hot(lefts, hot, keys).withColumn("__chunk", cut)
-    rights = mark_hot(rights, hot, keys).withColumn("__chunk", cut)
+    # Left rows at one instant have no order of their own; a hash lets them be cut apart.
+    tie = F.xxhash64(*[c for c, t in left.dtypes if not t.startswith(("map", "variant"))])
+    lefts = lefts.withColumns({"__hit": F.lit(None).cast(rights.schema["__hit"].dataType), "__tie": tie})
+    rights = rights.withColumn("__tie", F.lit(0).cast("bigint"))
+    along = [F.col("__at"), F.col("__side"), F.col("__hit"), F.col("__tie")]
+    lefts, rights = cut_hot([lefts, rights], keys, along, hot_rows)
+    lefts = lefts.drop("__hit")
 
     spine = (
         rights.filter(MARK)
-        .select(*keys, "__chunk", "__hit")
-        .unionByName(lefts.filter(MARK).select(*keys, "__chunk"), allowMissingColumns=True)
-        .groupBy(*keys, "__chunk")
+        .select(*keys, CHUNK, "__hit")
+        .unionByName(lefts.filter(MARK).select(*keys, CHUNK), allowMissingColumns=True)
+        .groupBy(*keys, CHUNK)
         .agg(F.min("__hit").alias("__head"), F.max("__hit").alias("__tail"))
     )
-    forward = Window.partitionBy(*keys).orderBy(F.col("__chunk").asc())
-    backward = Window.partitionBy(*keys).orderBy(F.col("__chunk").desc())
+    forward = Window.partitionBy(*keys).orderBy(F.col(CHUNK).asc())
+    backward = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc())
     to_before = (Window.unboundedPreceding, -1)
     carry = spine.select(
         *keys,
-        "__chunk",
+        CHUNK,
         F.last("__tail", ignorenulls=True).over(forward.rowsBetween(*to_before)).alias("__seen"),
         F.last("__head", ignorenulls=True).over(backward.rowsBetween(*to_before)).alias("__coming"),
         F.min("__head").over(Window.partitionBy(*keys)).alias("__earliest"),
@@ -83,10 +85,10 @@ def asof_neighbours(
         .unionByName(carry.withColumn("__kind", F.lit("carry")), allowMissingColumns=True)
     )
     is_carry = F.col("__kind") == "carry"
-    cell = Window.partitionBy(*keys, "__chunk")
+    cell = Window.partitionBy(*keys, CHUNK)
     # The carry row leads the chunk in both directions.
-    up = cell.orderBy(is_carry.desc(), F.col("__at").asc(), F.col("__side").asc(), F.col("__hit").asc())
-    down = cell.orderBy(is_carry.desc(), F.col("__at").desc(), F.col("__side").desc(), F.col("__hit").desc())
+    up = cell.orderBy(is_carry.desc(), *[c.asc() for c in along])
+    down = cell.orderBy(is_carry.desc(), *[c.desc() for c in along])
     so_far = (Window.unboundedPreceding, Window.currentRow)
     found = rows.select(
         *left.columns,

@@ -2,12 +2,12 @@
 
 A plain window over ``keys`` sorts a whole group in one task, which fails once a single
 visitor owns a large share of the log. Ordinary groups are sorted that way here; a group
-with more than ``hot_rows`` rows is cut into time chunks, and the window is over
-``keys + chunk``. A summary of the hot groups, pre-aggregated map-side to one row per
-chunk, tells how many rows come before each chunk and what its neighbours hold; that row
-is unioned in front of the chunk's own rows. The only window over ``keys`` alone runs on
-the summary, so it is bounded by the number of chunks. The input is read once more to
-count its keys, and its hot part a third time: stage an expensive one first.
+with more than ``hot_rows`` rows is cut into even ranges of its own order
+(:func:`waymark.operators.hot.cut_hot`), and the window is over ``keys + range``. A summary
+of the hot groups, pre-aggregated map-side to one row per range, tells how many rows come
+before each range and what its neighbours hold; that row is unioned in front of the
+range's own rows. The only window over ``keys`` alone runs on the summary, so it is bounded
+by the number of ranges. Stage an expensive input first: it is read several times.
 """
 
 from __future__ import annotations
@@ -17,14 +17,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.operators.hot import HOT_ROWS, MARK, hot_keys, mark_hot
+from waymark.operators.hot import CHUNK, HOT_ROWS, MARK, cut_hot
 
 
 def sequence(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    chunk: Sequence[Column],
     *,
     rank: str = "rank",
     reverse_rank: str | None = None,
@@ -36,32 +35,29 @@ def sequence(
     """Add rank, reverse rank, group size, and next / previous values per group.
 
     ``order`` must be a strict total order inside a group (end it with a unique id).
-    ``chunk`` lists columns that never decrease along ``order``. ``keys`` may be empty,
-    which numbers the whole table, always by chunks. ``lead`` / ``lag`` map an output name
-    to its source.
+    ``keys`` may be empty, which numbers the whole table, always by ranges. ``lead`` /
+    ``lag`` map an output name to its source.
     """
     lead = dict(lead or {})
     lag = dict(lag or {})
-    chunks = [f"__chunk{i}" for i in range(len(chunk))]
-    marked = mark_hot(df, hot_keys(df, keys, hot_rows), keys) if keys else df.withColumn(MARK, F.lit(True))
-    rows = marked.select("*", *[F.when(F.col(MARK), c).alias(name) for c, name in zip(chunk, chunks, strict=True)])
+    (rows,) = cut_hot([df], keys, [F.col(c) for c in order], hot_rows)
 
     first = F.struct(*order, *[F.col(c).alias(f"__v{i}") for i, c in enumerate(lead.values())])
     last = F.struct(*order, *[F.col(c).alias(f"__v{i}") for i, c in enumerate(lag.values())])
     summary = (
         rows.filter(MARK)
-        .groupBy(*keys, *chunks)
+        .groupBy(*keys, CHUNK)
         .agg(
             F.count(F.lit(1)).alias("__n"),
             *([F.min(first).alias("__head")] if lead else []),
             *([F.max(last).alias("__tail")] if lag else []),
         )
     )
-    by_chunk = Window.partitionBy(*keys).orderBy(*chunks)
+    by_chunk = Window.partitionBy(*keys).orderBy(CHUNK)
     earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
         *keys,
-        *chunks,
+        CHUNK,
         F.lit(0).alias("__row"),
         F.sum("__n").over(earlier).alias("__before"),
         F.sum("__n").over(Window.partitionBy(*keys)).alias("__total"),
@@ -69,7 +65,7 @@ def sequence(
         *([F.lag("__tail").over(by_chunk).alias("__prev")] if lag else []),
     )
 
-    cell = Window.partitionBy(*keys, *chunks)
+    cell = Window.partitionBy(*keys, CHUNK)
     inside = cell.orderBy("__row", *order)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = rows.drop(MARK).withColumn("__row", F.lit(1)).unionByName(carry, allowMissingColumns=True)
@@ -80,7 +76,7 @@ def sequence(
     sized = reverse_rank or total
     numbered = numbered.select(
         "*",
-        # The carry row of a chunk has __row 0, so this counts data rows only.
+        # The carry row of a range has __row 0, so this counts data rows only.
         F.sum("__row").over(so_far).alias("__pos"),
         F.coalesce(carried("__before"), F.lit(0)).alias("__offset"),
         *([F.coalesce(carried("__total"), F.sum("__row").over(cell)).alias("__size")] if sized else []),
@@ -104,17 +100,3 @@ def sequence(
         beyond = F.col("__before_chunk").getField(f"__v{i}")
         out.append(F.when(F.col("__pos") == 1, beyond).otherwise(F.col(f"__lag{i}")).alias(name))
     return numbered.select(*df.columns, *out)
-
-
-def hour_of(time: Column) -> Column:
-    return F.date_trunc("hour", time)
-
-
-def hours(ts: str) -> list[Column]:
-    """Chunk a time-ordered group by hour."""
-    return [hour_of(F.col(ts))]
-
-
-def days_and_blocks(day: str, unique_id: str, block: int = 1_000_000) -> list[Column]:
-    """Chunk rows ordered by (day, numeric id), where one day may hold very many rows."""
-    return [F.col(day), F.floor(F.col(unique_id) / block)]

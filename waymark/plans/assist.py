@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from waymark.functions import times
 from waymark.operators import interval_join, keep_first, lookup_join, sequence
-from waymark.operators.sequence import hours
 from waymark.plans.identity import as_of_day, with_manager
 
 # Task subjects, roles and day limits.
@@ -224,14 +223,13 @@ def signup_order(
     cutoff: Column,
     at: str = "first_org_signup_at",
     unique_id: str = "org_id",
-    chunk: Sequence[Column] | None = None,
 ) -> DataFrame:
     """Place of each assisted signup after a cut-off among all of them.
 
     A global order without a single sorting task: see :func:`waymark.operators.sequence`.
     """
     counted = assists.filter((F.col(at) >= cutoff) & F.col("assist_owner").isNotNull() & (F.col("is_csdr") != 1))
-    return sequence(counted, [], [at, unique_id], chunk or hours(at), rank="signup_rnk")
+    return sequence(counted, [], [at, unique_id], rank="signup_rnk")
 
 
 def finish_report(

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from waymark.functions import times
 from waymark.operators import asof_neighbours, first_match
-from waymark.operators.sequence import hour_of
 from waymark.plans import rulesets
 from waymark.plans.rulesets import DEFAULT, Vocabulary
 from waymark.plans.web import channel_detail, roll_up
@@ -190,7 +189,6 @@ def match_web_visit(touches: DataFrame, visits: DataFrame, minutes: int = 360) -
         F.col("interaction_time"),
         F.col("visit_time"),
         list(WEB_VISIT_FIELDS),
-        hour_of,
         right_order=list(WEB_VISIT_FIELDS),
         equal_is_before=False,
     )

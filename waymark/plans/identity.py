@@ -17,7 +17,6 @@ from waymark.operators import (
     lookup_join,
     sequence,
 )
-from waymark.operators.sequence import hours
 from waymark.sources.sinks import stamp
 
 
@@ -207,7 +206,7 @@ def org_to_person_product_led(
     order = ["signed_up_at", "lead_create_ts", "user_id", "lead_or_contact_id", "origin"]
     # The order must tell all rows of an org apart.
     strict = [*order, "email", "joined_at"]
-    placed = sequence(joined.distinct(), ["org_id"], strict, hours("signed_up_at"), rank="rnk_is_first_signup")
+    placed = sequence(joined.distinct(), ["org_id"], strict, rank="rnk_is_first_signup")
     return keep_first(placed, ["org_id", "user_id", "email", "lead_or_contact_id"], order).select(
         "org_id",
         "lead_or_contact_id",
@@ -263,7 +262,7 @@ def country_of_visit(visits: DataFrame, ip_history: DataFrame, fallback: bool =
         F.max(snapshot).alias("__last"), F.min(snapshot).alias("__first")
     )
     found = asof_neighbours(
-        days, daily, ["context_ip"], F.col("__day"), F.col("__at"), ["__last", "__first"], lambda c: F.date_trunc("month", c)
+        days, daily, ["context_ip"], F.col("__day"), F.col("__at"), ["__last", "__first"]
     )
     latest, first = F.col("prev").getField("__last"), F.col("earliest").getField("__first")
     answers = found.select("context_ip", "__day", latest.alias("__latest"), first.alias("__earliest"))

@@ -11,7 +11,6 @@ from waymark.functions import times
 from waymark.functions.marketing import any_present
 from waymark.functions.text import contains_any
 from waymark.operators import asof_neighbours, full_merge, interval_join, keep_first, lookup_join, sequence
-from waymark.operators.sequence import hour_of, hours
 from waymark.plans import rulesets
 from waymark.plans.identity import first_user_per_org
 from waymark.plans.web import channel_detail, roll_up
@@ -57,7 +56,6 @@ def _nearest(cohort: DataFrame, touches: DataFrame, key: str, hours_off: int | N
         F.col("created_at"),
         F.col("timestamp"),
         payload,
-        hour_of,
         right_order=payload,
     )
 
@@ -200,7 +198,6 @@ def last_touch(conversions: DataFrame, touches: DataFrame, key: str, days: int,
         F.col("converted_at"),
         F.col("touched_at"),
         payload,
-        hour_of,
         right_order=[payload[0]],
         equal_is_before=False,
     )
@@ -316,10 +313,9 @@ def linear_touches(web_touches: DataFrame, last_touches: DataFrame, hours_before
         "channel_campaign",
         *[F.lit(f"Null_{c}").alias(c) for c in NULL_FIELDS],
     )
-    # Touches have no order of their own; a hash cuts very large orgs into even parts.
+    # Touches have no order of their own; a hash gives them one.
     every = web.unionByName(last).withColumn("__part", F.xxhash64("attr_source", *CHANNEL_COLUMNS, *LINEAR_FIELDS))
-    parts = [F.shiftright("__part", 48)]
-    counted = sequence(every, ["org_id"], ["__part"], parts, rank="__rank", total="num_channel").drop("__rank", "__part")
+    counted = sequence(every, ["org_id"], ["__part"], rank="__rank", total="num_channel").drop("__rank", "__part")
     return counted.withColumn("linear_credit", F.lit(1.0) / F.col("num_channel"))
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from waymark.functions import marketing, text, times
 from waymark.operators import broadcast_if_small, first_match, interval_join, lookup_join, sequence
-from waymark.operators.sequence import hours
 from waymark.plans import rulesets
 from waymark.sources.sinks import Stage, stamp, unstaged
 
@@ -48,7 +47,6 @@ def sequence_pages(pages: DataFrame, keys: Sequence[str] = ("visitor_id", "sessi
         pages,
         keys,
         ["visit_start_time", "page_visit_id"],
-        hours("visit_start_time"),
         rank="rank_from_start",
         reverse_rank="rank_from_end",
         lead={"visit_end_time": "visit_start_time"},
@@ -287,7 +285,6 @@ def cta_pages(
         pages.select(*keys, "visit_start_time", "page_visit_id", "url_cleaned"),
         keys,
         ["visit_start_time", "page_visit_id"],
-        hours("visit_start_time"),
         lag={"previous_url": "url_cleaned"},
     )
     before_thanks = stepped.filter(F.col("url_cleaned").contains(THANK_YOU)).select(

@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from waymark.operators.sequence import days_and_blocks
 from waymark.plans import assist, credits, identity
 from waymark.queries.identity import ACCOUNTS, PLACED, SNAPSHOTS, accounts, snapshots
 from waymark.queries.registry import query, r6
@@ -178,7 +177,7 @@ def global_order(spark, sf):
         "o_orderkey AS org_id", "o_orderdate AS first_org_signup_at", "o_custkey AS assist_owner", "c_nationkey AS is_csdr"
     )
     cutoff = F.expr("timestamp '1996-08-31 16:00:00 America/Los_Angeles'")
-    ordered = assist.signup_order(signups, cutoff, chunk=days_and_blocks("first_org_signup_at", "org_id"))
+    ordered = assist.signup_order(signups, cutoff)
     return ordered.select("org_id", "first_org_signup_at", "signup_rnk")
 
 
@@ -199,9 +198,7 @@ def quarter_flag(spark, sf):
         "o_orderpriority AS assist_manager",
         "CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS is_csdr",
     )
-    order = assist.signup_order(
-        assists, F.lit("1990-01-01").cast("timestamp"), chunk=days_and_blocks("first_org_signup_at", "org_id")
-    )
+    order = assist.signup_order(assists, F.lit("1990-01-01").cast("timestamp"))
     regions = (
         orders.join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))

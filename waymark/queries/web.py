@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from waymark.functions import marketing, text, times
 from waymark.operators import asof_neighbours
-from waymark.operators.sequence import hour_of
 from waymark.plans import rulesets, web
 from waymark.queries.registry import query, rules_sql
 from waymark.queries.standins import rows, table, with_
@@ -473,6 +472,5 @@ def nearest_events(spark, sf):
         F.col("ts"),
         F.col("ts"),
         ["event_id"],
-        hour_of,
     )
     return found.select("event_id", F.col("prev.at").alias("previous_view"), F.col("next.at").alias("next_view"))
