@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import times
-from waymark.operators import full_merge, interval_join, lookup_join
+from waymark.operators import Span, full_merge, interval_join, lookup_join, window_sums
 from waymark.plans.rulesets import DEFAULT, Vocabulary
 from waymark.sources.sinks import Stage, stamp, unstaged
 
@@ -82,6 +82,33 @@ def funnel_flags(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.when(cond, 1).otherwise(0) for name, cond in flags.items()})
 
 
+def visit_flag_counts(visits: DataFrame, funnel: DataFrame) -> DataFrame:
+    """Visits with the number of their lead's inquiries behind each of the :func:`funnel_flags`.
+
+    No pair of visit and inquiry is formed, so a lead with very many of both is no burden.
+    Visits must differ in some column.
+    """
+    asked = F.col("inquiry_date_time")
+
+    def soon(stage_at: str, days: int) -> Column:
+        return F.coalesce(times.whole_units("DAY", asked, F.col(stage_at)) <= days, F.lit(False))
+
+    mql = soon("mql_date_time", 7)
+    sqm = mql & soon("sqm_date_time", 14)
+    sao = sqm & soon("sao_date_time", 60)
+    day = 86400
+    # Whole days are cut toward zero: 0 to n days are all times from under a day before to under n + 1 after.
+    spans = {"day": Span(-day, 2 * day, closed=False), "week": Span(-day, (VISIT_DAYS + 1) * day, closed=False)}
+    sums = {
+        "n_1d_inq": ("day", F.lit(1)),
+        "n_7d_inq": ("week", F.lit(1)),
+        "n_7d_mql": ("day", mql.cast("int")),
+        "n_14d_sqm": ("day", sqm.cast("int")),
+        "n_60d_sao": ("day", sao.cast("int")),
+    }
+    return window_sums(visits, funnel, ["lead_or_contact_id"], "visit_start_time", "inquiry_date_time", spans, sums)
+
+
 def inquiry_type_flags(visits: DataFrame, inquiries: DataFrame, v: Vocabulary = DEFAULT, how: str = "inner") -> DataFrame:
     """Visits with near inquiries, flagged as signup or download."""
     near = _around_visits(visits, inquiries, "inquiry_date_time", how)
@@ -173,11 +200,10 @@ def monthly_kpis(
     """Visitors, new share, views per visitor and 24-hour conversions per month and domain.
 
     ``domains`` maps a host name to its domain label; hosts outside it are not counted.
-    Like the published figures, sums are taken after the joins, so a session counts once
-    per matching inquiry and signup. The visits with their leads are read four times;
-    ``stage`` them.
+    Like the published figures, sums are taken as after joins, so a session counts once
+    per matching inquiry and signup; those are counted by :func:`window_sums`, no session
+    meets an inquiry. The visits are read several times; ``stage`` them.
     """
-    day = 86400
     label = F.create_map(*[F.lit(x) for pair in domains.items() for x in pair])
     wanted = sessions.filter((F.col("visit_start_time") >= F.lit(since).cast("timestamp")) & F.col("hostname").isin(*domains))
     visits = lookup_join(wanted, client_leads.select("ga_client_id", "lead_or_contact_id"), ["ga_client_id"])
@@ -186,47 +212,59 @@ def monthly_kpis(
         emails.select(F.col("id").alias("lead_or_contact_id"), "email").distinct(),
         ["lead_or_contact_id"],
     ).filter(F.col("email").isNull() | ~F.col("email").like(internal))
-    external = stage(external.drop("email"), "visits")
-
-    def within_a_day(visit, event):
-        return (event >= visit) & (event <= visit + F.expr("INTERVAL 24 HOURS"))
-
-    asked = inquiries.select("lead_or_contact_id", "tactic", "campaign_type", F.col("created_ts").alias("asked_at"))
-    signed = signups.select(
-        "lead_or_contact_id", F.col("created_at").alias("signed_at"), F.col("lead_or_contact_id").alias("signup_lead")
-    )
-    joined = external
-    for events, at in ((asked, "asked_at"), (signed, "signed_at")):
-        joined = interval_join(
-            joined,
-            events,
-            ["lead_or_contact_id"],
-            "visit_start_time",
-            at,
-            before=0,
-            after=day,
-            matches=within_a_day,
-            how="left",
-            hot_from=external,
-        )
-    downloads = F.col("campaign_type").isin(vocabulary.platform_download, vocabulary.community_download)
     groups = ["visit_month", "domain"]
-    entities = ["ga_client_id", "converted", "signup_lead"]
-    # Reduced to one row per combination of the counted ids first, so that the distinct
-    # counts expand few rows and the joins run once.
-    reduced = (
-        joined.select(
+    # Sessions of one client and lead at one instant have the same inquiries and signups.
+    instants = (
+        external.select(
             times.month(F.col("visit_start_time")).alias("visit_month"),
             F.element_at(label, F.col("hostname")).alias("domain"),
             "ga_client_id",
-            F.when(F.col("asked_at").isNotNull() & (F.col("tactic") != vocabulary.cloud_signup), F.col("lead_or_contact_id")).alias("converted"),
-            "signup_lead",
+            "lead_or_contact_id",
+            "visit_start_time",
             F.when(F.col("is_new_visitor") == "New", 1).otherwise(0).alias("is_new"),
             "num_pageviews",
-            downloads.alias("downloaded"),
         )
-        .groupBy(*groups, *entities)
-        .agg(F.sum("is_new").alias("new"), F.sum("num_pageviews").alias("views"), F.max("downloaded").alias("downloaded"))
+        .groupBy(*groups, "ga_client_id", "lead_or_contact_id", "visit_start_time")
+        .agg(F.sum("is_new").alias("new"), F.sum("num_pageviews").alias("views"))
+    )
+    downloads = F.col("campaign_type").isin(vocabulary.platform_download, vocabulary.community_download)
+    no, yes = F.lit(0), F.lit(1)
+    asked = inquiries.select(
+        "lead_or_contact_id",
+        F.col("created_ts").alias("happened_at"),
+        yes.alias("asked"),
+        F.when(F.col("tactic") != vocabulary.cloud_signup, 1).otherwise(0).alias("converted"),
+        F.when(downloads, 1).otherwise(0).alias("downloaded"),
+        no.alias("signed"),
+    )
+    signed = signups.select(
+        "lead_or_contact_id",
+        F.col("created_at").alias("happened_at"),
+        no.alias("asked"),
+        no.alias("converted"),
+        no.alias("downloaded"),
+        yes.alias("signed"),
+    )
+    names = ["asked", "converted", "downloaded", "signed"]
+    counted = window_sums(
+        stage(instants, "visits"),
+        asked.unionByName(signed),
+        ["lead_or_contact_id"],
+        "visit_start_time",
+        "happened_at",
+        {"day": Span(0, 86400)},
+        {name: ("day", F.col(name)) for name in names},
+    )
+    times_counted = F.greatest("asked", F.lit(1)) * F.greatest("signed", F.lit(1))
+    lead = F.col("lead_or_contact_id")
+    reduced = (
+        counted.groupBy(*groups, "ga_client_id", "lead_or_contact_id")
+        .agg(
+            F.sum(F.col("new") * times_counted).alias("new"),
+            F.sum(F.col("views") * times_counted).alias("views"),
+            *[(F.max(name) > 0).alias(name) for name in names[1:]],
+        )
+        .withColumns({"converted": F.when(F.col("converted"), lead), "signup_lead": F.when(F.col("signed"), lead)})
     )
     full = reduced.groupBy(*groups).agg(
         F.count_distinct("ga_client_id").alias("num_uv"),

@@ -17,7 +17,7 @@ from waymark.operators import (
     lookup_join,
     sequence,
 )
-from waymark.sources.sinks import stamp
+from waymark.sources.sinks import Stage, stage, stamp
 
 
 def lead_to_visitor(leads: DataFrame, identifies: DataFrame, run_date: dt.date, source: str) -> DataFrame:
@@ -153,6 +153,40 @@ def merged_leads(leads: DataFrame, history: DataFrame) -> DataFrame:
     )
 
 
+def last_survivors(merges: DataFrame, stage: Stage = stage) -> DataFrame:
+    """``merges`` with the lead that survived in the end, where a survivor was itself merged later.
+
+    A deleted lead counts with its last merge. Only later merges are followed, so chains
+    have an end even where records name each other in a circle. Steps are doubled each
+    round: a chain of n merges takes about log2(n) rounds, each written by ``stage``.
+    """
+    one = keep_first(merges, ["deleted_lead_id"], [F.desc("merged_at"), "master_lead_id", "master_email", "deleted_email"])
+    steps = one.select(
+        F.col("deleted_lead_id").alias("lead"), F.col("master_lead_id").alias("to"), F.col("merged_at").alias("at"), "master_email"
+    )
+    # A step goes on from a lead only if that lead was merged later than the step.
+    onward = steps.select(F.col("lead").alias("from"), F.col("at").alias("later"))
+    met = steps.join(onward, (F.col("to") == F.col("from")) & (F.col("at") < F.col("later")), "left")
+    reached = stage(met.select("lead", "to", "master_email", F.col("from").isNotNull().alias("open")), "merge_steps")
+    while not reached.filter("open").isEmpty():
+        further = reached.select(
+            F.col("lead").alias("from"), F.col("to").alias("to2"), F.col("master_email").alias("email2"), F.col("open").alias("open2")
+        )
+        joined = reached.join(further, F.col("open") & (F.col("to") == F.col("from")), "left")
+        goes_on = F.col("from").isNotNull()
+        reached = stage(
+            joined.select(
+                "lead",
+                F.when(goes_on, F.col("to2")).otherwise(F.col("to")).alias("to"),
+                F.when(goes_on, F.col("email2")).otherwise(F.col("master_email")).alias("master_email"),
+                F.coalesce("open2", F.lit(False)).alias("open"),
+            ),
+            "merge_steps",
+        )
+    ends = reached.select(F.col("lead").alias("deleted_lead_id"), F.col("to").alias("master_lead_id"), "master_email")
+    return one.drop("master_lead_id", "master_email").join(ends, "deleted_lead_id").select(*merges.columns)
+
+
 def apply_merges(signups: DataFrame, merges: DataFrame) -> DataFrame:
     """Signups with the e-mail of the surviving lead where theirs was merged away."""
     survivors = merges.select(F.col("deleted_email").alias("email"), "master_email", "master_lead_id")

@@ -84,6 +84,10 @@ def signup_leads(spark, sf):
     )
 
 
+def _pairs_sql(mail: int, call: int) -> str:
+    return PAIRS.replace("<= 6 AND", f"<= {mail} AND").replace("<= 3 AND", f"<= {call} AND")
+
+
 PAIRS = """pairs AS (SELECT s.org_id, s.lead_or_contact_id, s.signed_up_at, a.subject, a.activity_at, a.owner_id, a.user_name, a.manager_name, a.is_csdr
   FROM signup_leads s JOIN activities a ON coalesce(a.lead_id, a.contact_id) = s.lead_or_contact_id
   WHERE a.activity_at < s.signed_up_at AND (
@@ -108,6 +112,18 @@ def qualifying_activity(spark, sf):
     )
 
 
+@query(
+    "qualifying_activity_published",
+    with_("signup_leads", "activities", then=f"{_pairs_sql(30, 15)}, {FIRST_ACT}")
+    + "SELECT org_id, lead_or_contact_id, signed_up_at, activity_at, owner_id, user_name, subject FROM first_act",
+)
+def qualifying_activity_published(spark, sf):
+    pairs = assist.qualifying_pairs(rows(spark, sf, "signup_leads"), rows(spark, sf, "activities"))
+    return assist.first_activity(pairs).select(
+        "org_id", "lead_or_contact_id", "signed_up_at", "activity_at", "owner_id", "user_name", "subject"
+    )
+
+
 PROMO = """first_promo AS (SELECT org_id, promo_code, promo_created_at, creator_id AS promo_owner, name AS promo_user, manager AS promo_manager FROM (
   SELECT p.*, s.name, m.name AS manager, row_number() OVER (PARTITION BY p.org_id ORDER BY promo_created_at, creator_id) AS rn
   FROM promos p JOIN promo_snapshots s ON s.id = p.creator_id AND s.day = CAST(p.promo_created_at AS DATE)

@@ -475,6 +475,18 @@ def web_build(spark, sf):
     return tables["rpt_web_dashboard"].select(*MERGED_COLUMNS)
 
 
+@query(
+    "visit_flag_counts",
+    with_("page_views", "funnel", "typed_inquiries", then=STAGED)
+    + """SELECT page_visit_id, visitor_id, session_id, visit_start_time, domain, url, lead_or_contact_id,
+  CAST(date_trunc('month', visit_start_time) AS DATE) AS visit_month, sum(flg_1d_inq)::BIGINT AS n_1d_inq, sum(flg_7d_inq)::BIGINT AS n_7d_inq,
+  sum(flg_7d_mql)::BIGINT AS n_7d_mql, sum(flg_14d_sqm)::BIGINT AS n_14d_sqm, sum(num_60d_sqm)::BIGINT AS n_60d_sao FROM staged GROUP BY ALL""",
+)
+def visit_flag_counts(spark, sf):
+    visits = stage(pages_with_leads(spark, sf), "visits")
+    return dashboard.visit_flag_counts(visits, rows(spark, sf, "funnel"))
+
+
 HOSTS = {"www.example.com": "site", "docs.example.com": "docs", "developer.example.com": "developer"}
 
 
@@ -483,7 +495,7 @@ HOSTS = {"www.example.com": "site", "docs.example.com": "docs", "developer.examp
     with_("page_views", "inquiries", "memberships", "users", "leads", "contacts", then=f"{SIGNUPS}, {PEOPLE}")
     + """, firsts AS (SELECT DISTINCT m.org_id, 'L' || m.org_id AS lead_or_contact_id, m.created_at FROM (
     SELECT *, row_number() OVER (PARTITION BY org_id ORDER BY created_at, user_id) AS rn FROM memberships) m WHERE rn = 1),
-clients AS (SELECT DISTINCT 'g' || o_custkey AS ga_client_id, 'L' || o_custkey AS lead_or_contact_id FROM orders WHERE o_orderstatus = 'F'),
+clients AS (SELECT DISTINCT 'g' || o_custkey AS ga_client_id, 'L' || o_custkey AS lead_or_contact_id FROM orders),
 sessions AS (SELECT 'g' || visitor_id AS ga_client_id, visitor_id, visit_start_time, domain AS hostname,
     CASE WHEN length(page_visit_id) % 2 = 0 THEN 'New' ELSE 'Returning' END AS is_new_visitor, length(url) AS num_pageviews FROM page_views),
 joined AS (SELECT s.*, i.campaign_type, i.lead_or_contact_id AS asked, f.lead_or_contact_id AS signed
@@ -516,7 +528,7 @@ def monthly_kpis(spark, sf):
         "CASE WHEN length(page_visit_id) % 2 = 0 THEN 'New' ELSE 'Returning' END AS is_new_visitor",
         "length(url) AS num_pageviews",
     )
-    customers = table(spark, sf, "orders").filter("o_orderstatus = 'F'").select("o_custkey").distinct()
+    customers = table(spark, sf, "orders").select("o_custkey").distinct()
     clients = customers.selectExpr(
         "'g' || CAST(o_custkey AS STRING) AS ga_client_id", "'L' || CAST(o_custkey AS STRING) AS lead_or_contact_id"
     )

@@ -381,26 +381,33 @@ def experiment_exposure(spark, sf):
     return web.experiment_exposure(raw)
 
 
-@query(
-    "near_event_join",
-    with_("all_events")
-    + """SELECT f.event_id, f.user_id, f.ts, p.event_id AS page_visit_id
+def _abandoned_sql(minutes: int) -> str:
+    return with_("all_events") + f"""SELECT f.event_id, f.user_id, f.ts, p.event_id AS page_visit_id
 FROM (SELECT * FROM all_events WHERE event_type = 'error') f
 LEFT JOIN (SELECT * FROM all_events WHERE event_type = 'view') p
-  ON f.user_id = p.user_id AND f.session_id = p.session_id AND f.language_key = p.language_key
- AND f.ts >= p.ts - INTERVAL 240 MINUTE AND f.ts <= p.ts + INTERVAL 240 MINUTE""".replace(
-        "f.language_key = p.language_key", "f.k % 2 = p.k % 2"
-    ),
-)
-def near_event_join(spark, sf):
-    # Four hours instead of two minutes: the given events are sparse.
+  ON f.user_id = p.user_id AND f.session_id = p.session_id AND f.k % 2 = p.k % 2
+ AND f.ts >= p.ts - INTERVAL {minutes} MINUTE AND f.ts <= p.ts + INTERVAL {minutes} MINUTE"""
+
+
+def _abandoned(spark, sf, **limit):
     events = rows(spark, sf, "all_events").selectExpr("event_id", "user_id AS visitor_id", "session_id", "k % 2 AS url", "ts", "event_type")
     forms = events.filter("event_type = 'error'").drop("event_type").withColumnRenamed("ts", "timestamp")
     views = events.filter("event_type = 'view'").withColumnsRenamed({"ts": "visit_start_time", "event_id": "page_visit_id"})
-    out = web.abandoned_form_pages(forms, views.drop("event_type"), minutes=240)
+    out = web.abandoned_form_pages(forms, views.drop("event_type"), **limit)
     return out.select("event_id", F.col("visitor_id").alias("user_id"), F.col("timestamp").alias("ts"), "page_visit_id")
 
 
+@query("near_event_join", _abandoned_sql(240))
+def near_event_join(spark, sf):
+    # Four hours instead of two minutes: the given events are sparse.
+    return _abandoned(spark, sf, minutes=240)
+
+
+@query("abandoned_form_published", _abandoned_sql(2))
+def abandoned_form_published(spark, sf):
+    return _abandoned(spark, sf)
+
+
 CTA = f"""cleaned AS (SELECT *, {CLEAN} AS url_cleaned FROM page_views),
 prev AS (SELECT *, lag(url_cleaned) OVER (PARTITION BY visitor_id, session_id, context_ip
                                           ORDER BY visit_start_time, page_visit_id) AS previous_url FROM cleaned),
