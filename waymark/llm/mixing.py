@@ -27,6 +27,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 MILLI, UNIT = 1000, 1 << 30
 #: Documents of one source and size that are ranked together.
 SLOT_ROWS = 256
+#: A cell that holds more than one in so many of all rows is hot.
+HOT_PART = 1000
 #: Starts of the rounding that are tried for each source.
 STARTS = 32
 #: Sizes in a block of the running sums over a source.
@@ -194,14 +196,22 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, text:
             "target",
             F.col("rate").alias("__rate"),
             F.ceil(F.col("n") / SLOT_ROWS).alias("__slots"),
+            F.col("n").alias("__n"),
             ((F.col("start") + F.col("begin")) % UNIT).alias("__start"),
         ),
         "starts",
     )
 
     order = F.xxhash64("doc_id")
-    found = sized.join(starts, (F.col("__key") == F.col("__key2")) & (F.col("size") == F.col("__size2")))
-    found = found.withColumn("__slot", F.pmod(order, "__slots"))
+    cell = (F.col("__key") == F.col("__key2")) & (F.col("size") == F.col("__size2"))
+    # Fewer than HOT_PART cells have such a part of all rows, so they may be broadcast, and their
+    # rows are dealt by slot. All others are joined and ranked where their cell is: no text moves twice.
+    all_rows = cells.agg(F.sum("n").alias("n")).first()["n"] or 0
+    hot = stage(starts.filter(F.col("__n") * HOT_PART > all_rows), "hot")
+    dealt = sized.join(F.broadcast(hot), cell).withColumn("__slot", F.pmod(order, "__slots"))
+    dealt = dealt.repartition("__key", "size", "__slot")
+    others = sized.join(F.broadcast(hot.select("__key2", "__size2")), cell, "left_anti").join(starts, cell)
+    others = others.withColumn("__slot", F.pmod(order, "__slots"))
     # A cell with very many documents is ranked slot by slot, each with a start of its own.
     start = F.when(F.col("__slots") == 1, F.col("__start")).otherwise(
         F.pmod(F.xxhash64("__key", "size", "__slot"), F.lit(UNIT))
@@ -210,7 +220,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, text:
     rank = F.row_number().over(Window.partitionBy(*slot).orderBy(order, "doc_id")).cast("long")
     upto = start + F.col("__rank") * F.col("__rate")
     copies = F.floor(upto / UNIT) - F.floor((upto - F.col("__rate")) / UNIT)
-    ranked = found.repartition(*slot).withColumn("__rank", rank).withColumn("copies", copies)
-    return ranked.select(
+    parts = [df.withColumn("__rank", rank).withColumn("copies", copies) for df in (dealt, others)]
+    return parts[0].unionByName(parts[1]).select(
         *docs.columns, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
