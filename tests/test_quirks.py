@@ -1,12 +1,14 @@
 """Hand-made rows for the semantics that are easy to get wrong."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from waymark.functions import marketing, text, times
-from waymark.operators import quality
+from waymark.operators import quality, valid_at, validity_intervals
+from waymark.sources import sinks, versions
 from waymark.plans import assist, credits, dashboard, identity, inquiry, rulesets, signup, web
 
 
@@ -453,3 +455,58 @@ def test_a_fixed_list_names_the_managers(spark):
     listed = spark.createDataFrame([("Ann", "Chief")], "sdr_name string, manager_name string")
     assert one(assist.first_promo(promos, snapshots))["promo_manager"] == "Boss"
     assert one(assist.first_promo(promos, snapshots, managers=listed))["promo_manager"] == "Chief"
+
+
+def test_versions_read_only_buckets_that_differ(spark, tmp_path):
+    old = spark.range(1000).selectExpr("id", "CAST(id AS STRING) AS a", "CAST(NULL AS STRING) AS b")
+    new = old.withColumn("b", F.expr("CASE WHEN id = 7 THEN a END")).withColumn("a", F.expr("CASE WHEN id <> 7 THEN a END"))
+    for df, name in ((old, "old"), (new, "new"), (old, "same")):
+        versions.write_version(df, f"{tmp_path}/{name}", ["id"], buckets=16)
+    found = versions.changes(spark, f"{tmp_path}/old", f"{tmp_path}/new", ["id"])
+    assert [tuple(r) for r in found.collect()] == [(7, "changed", ["a", "b"])]
+    assert len(versions.differing_buckets(spark, f"{tmp_path}/old", f"{tmp_path}/new")) == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    (bucket,) = versions.differing_buckets(spark, f"{tmp_path}/old", f"{tmp_path}/new")
+    assert filters and all(re.search(rf"PartitionFilters: \[.*\(__bucket#\d+ = {bucket}\)\]", line) for line in filters)
+    assert versions.changes(spark, f"{tmp_path}/old", f"{tmp_path}/same", ["id"]).count() == 0
+
+
+def test_versions_of_repeated_and_new_columns(spark, tmp_path):
+    old = spark.createDataFrame([(1, "x"), (2, None), (3, "y")], "id long, a string")
+    new = spark.createDataFrame([(2, None, None), (3, "y", 5), (4, "z", None)], "id long, a string, c int")
+    versions.write_version(old, f"{tmp_path}/old", ["id"])
+    versions.write_version(new, f"{tmp_path}/new", ["id"])
+    found = versions.changes(spark, f"{tmp_path}/old", f"{tmp_path}/new", ["id"]).orderBy("id").collect()
+    assert [tuple(r) for r in found] == [(1, "removed", None), (3, "changed", ["c"]), (4, "added", None)]
+
+
+def test_counted_stage(spark):
+    counted = sinks.CountedStage()
+    kept = counted(spark.range(10).filter("id > 3"), "some")
+    counted(kept.filter("id > 100"), "none")
+    assert [tuple(r) for r in counted.counts(spark).collect()] == [("some", 6), ("none", 0)]
+
+
+@pytest.mark.parametrize("hot_rows", [2, 1_000_000])
+def test_validity_intervals(spark, hot_rows):
+    rows = [("k", 1, "a"), ("k", 2, "a"), ("k", 3, None), ("k", 4, None), ("k", 5, "a"), ("k", 5, "b"), ("k", 5, "b"), ("j", 9, None), ("j", None, "z")]
+    history = spark.createDataFrame(rows, "key string, at long, v string")
+    found = validity_intervals(history, ["key"], "at", ["v"], hot_rows=hot_rows)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [("k", "a", 1, 3), ("k", None, 3, 5), ("k", "b", 5, None), ("j", None, 9, None)], key=str
+    )
+    asked = spark.createDataFrame([("k", 0), ("k", 2), ("k", 4), ("k", 99), ("j", 9), ("none", 1)], "key string, t long")
+    held = {(r.key, r.t): r.v for r in valid_at(asked, found, ["key"], "t", ["v"], hot_rows=hot_rows).collect()}
+    assert held == {("k", 0): None, ("k", 2): "a", ("k", 4): None, ("k", 99): "b", ("j", 9): None, ("none", 1): None}
+
+
+def test_merges_in_a_circle_end(spark):
+    def at(day):
+        return dt.datetime(2024, 1, day)
+
+    rows = [("a", "ea", "b", "eb", at(1)), ("b", "eb", "c", "ec", at(2)), ("c", "ec", "a", "ea", at(3)), ("d", "ed", "a", "ea", at(1)), ("x", "ex", "y", "ey", at(5))]
+    merges = spark.createDataFrame(rows, "deleted_lead_id string, deleted_email string, master_lead_id string, master_email string, merged_at timestamp")
+    found = {r.deleted_lead_id: (r.master_lead_id, r.master_email) for r in identity.last_survivors(merges).collect()}
+    assert found == {"a": ("a", "ea"), "b": ("a", "ea"), "c": ("a", "ea"), "d": ("a", "ea"), "x": ("y", "ey")}
+    assert identity.last_survivors(merges.limit(0)).count() == 0

@@ -8,6 +8,7 @@ from waymark.operators.lookup import broadcast_if_small, lookup_join
 from waymark.operators.merge import full_merge
 from waymark.operators.rules import first_match
 from waymark.operators.sequence import sequence
+from waymark.operators.validity import valid_at, validity_intervals
 from waymark.operators.window_sums import Span, window_sums
 
 __all__ = [
@@ -22,5 +23,7 @@ __all__ = [
     "keep_first_ties",
     "lookup_join",
     "sequence",
+    "valid_at",
+    "validity_intervals",
     "window_sums",
 ]

@@ -43,8 +43,8 @@ def enrich_activities(
     contacts: DataFrame,
     people: DataFrame,
     cloud_owners: Collection = (),
-    cloud_from: dt.date = dt.date.min,
-    cloud_until: dt.date = dt.date.max,
+    cloud_from: dt.date = dt.date(1970, 1, 1),
+    cloud_until: dt.date = dt.date(9999, 12, 31),
     managers: DataFrame | None = None,
 ) -> DataFrame:
     """Tasks of eligible roles with owner, manager, lead or contact, and geography.
@@ -57,9 +57,10 @@ def enrich_activities(
     contact that came from a lead.
     """
     known = _named(as_of_day(tasks, snapshots, "owner_id", "activity_at"), managers)
-    day = F.to_date("activity_at")
-    overridden = day.between(F.lit(cloud_from), F.lit(cloud_until)) & F.col("owner_id").isin(*cloud_owners)
-    role = F.when(overridden, CLOUD_ROLE).otherwise(F.col("role")) if cloud_owners else F.col("role")
+    role = F.col("role")
+    if cloud_owners:
+        overridden = F.to_date("activity_at").between(F.lit(cloud_from), F.lit(cloud_until)) & F.col("owner_id").isin(*cloud_owners)
+        role = F.when(overridden, CLOUD_ROLE).otherwise(role)
     eligible = known.filter(F.col("role").isin(*ROLES)).withColumn("task_owner_role", role).drop("role")
     as_lead = leads.select(F.col("id").alias("who_id"), F.col("id").alias("__lead"))
     from_lead = leads.dropna(subset=["converted_contact_id"]).select(
@@ -92,6 +93,19 @@ def enrich_activities(
     )
 
 
+def org_signups(orgs: DataFrame, users: DataFrame, memberships: DataFrame) -> DataFrame:
+    """Customer orgs with every user who joined them; without a user's signup time the org's creation counts.
+
+    An org without users has one row, without user and e-mail.
+    """
+    joined = memberships.select("org_id", "user_id").join(
+        users.select(F.col("id").alias("user_id"), "email", F.col("created_at").alias("__signed_up")), "user_id"
+    )
+    led = orgs.filter("is_customer").select(F.col("id").alias("org_id"), F.col("created_at").alias("__created"))
+    signed = F.coalesce("__signed_up", "__created").alias("signed_up_at")
+    return led.join(joined, "org_id", "left").select("org_id", "user_id", "email", signed).distinct()
+
+
 def signup_leads(signups: DataFrame, people: DataFrame) -> DataFrame:
     """Signups with the leads of their (merged) e-mail created at most a day after; one per org and lead.
 

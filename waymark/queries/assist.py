@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from waymark.plans import assist, credits, identity
-from waymark.queries.identity import ACCOUNTS, PLACED, SNAPSHOTS, accounts, snapshots
+from waymark.queries.identity import ACCOUNTS, MERGES, PEOPLE, PLACED, SNAPSHOTS, accounts, merges, snapshots
 from waymark.queries.registry import query, r6
 from waymark.queries.standins import rows, table, with_
+from waymark.sources.sinks import stage
 
 SINCE = dt.date(2024, 1, 3)
 
@@ -181,6 +182,55 @@ def all_assists(spark, sf):
     return assist.all_assists(rows(spark, sf, "signup_leads"), _promos(spark, sf), _pairs(spark, sf))
 
 
+NAMED = "(VALUES ('user 1', 'Ann'), ('user 2', 'Bo'), ('user 4', 'Cy'), ('user 16', 'Di')) m(sdr_name, manager_name)"
+CHAIN_MERGES = MERGES.replace("@old.example.org", "@mail.example.org")
+ORG_SIGNUPS = """org_signups AS (SELECT DISTINCT o.id AS org_id, u.id AS user_id, u.email, coalesce(u.created_at, o.created_at) AS signed_up_at
+  FROM (SELECT * FROM orgs WHERE is_customer) o LEFT JOIN memberships m ON m.org_id = o.id AND EXISTS (SELECT 1 FROM users x WHERE x.id = m.user_id)
+  LEFT JOIN users u ON u.id = m.user_id)"""
+CHAIN = f"""{CHAIN_MERGES}, {ORG_SIGNUPS}, {PEOPLE}, {TASK_LOG}, {SNAPSHOTS},
+signup_leads AS (SELECT s.org_id, coalesce(g.master_lead_id, p.id) AS lead_or_contact_id, min(s.signed_up_at) AS signed_up_at
+  FROM org_signups s LEFT JOIN merges g ON g.deleted_email = s.email JOIN people p ON p.email = coalesce(g.master_email, s.email)
+  WHERE date_sub('day', p.lead_create_ts, s.signed_up_at) >= -1 GROUP BY 1, 2),
+activities AS (SELECT t.subject, coalesce(l2.id, l.id) AS lead_id, c.id AS contact_id, t.activity_at, t.owner_id, s.name AS user_name, m.manager_name,
+    CASE WHEN s.role = 'cSDR' THEN 1 ELSE 0 END AS is_csdr
+  FROM task_log t JOIN snaps s ON s.id = t.owner_id AND s.day = CAST(t.activity_at AS DATE) LEFT JOIN {NAMED} ON m.sdr_name = s.name
+  LEFT JOIN leads l ON l.converted_contact_id = t.who_id LEFT JOIN leads l2 ON l2.id = t.who_id LEFT JOIN contacts c ON c.id = t.who_id
+  WHERE s.role IN ('Inbound SDR', 'Outbound SDR', 'cSDR')),
+first_promo AS (SELECT org_id, promo_code, promo_created_at, creator_id AS promo_owner, name AS promo_user, manager_name AS promo_manager FROM (
+  SELECT p.*, s.name, m.manager_name, row_number() OVER (PARTITION BY p.org_id ORDER BY promo_created_at, creator_id) AS rn
+  FROM promos p JOIN promo_snapshots s ON s.id = p.creator_id AND s.day = CAST(p.promo_created_at AS DATE) LEFT JOIN {NAMED} ON m.sdr_name = s.name
+  WHERE status = 'Claimed' AND s.role IN ('Inbound SDR', 'Outbound SDR', 'cSDR')) WHERE rn = 1)"""
+CHAIN_TABLES = ("orgs", "users", "memberships", "leads", "contacts", "tasks", "promos", "promo_snapshots")
+
+
+@query("org_signups", with_("orgs", "users", "memberships", then=ORG_SIGNUPS) + "SELECT * FROM org_signups")
+def org_signups(spark, sf):
+    return assist.org_signups(rows(spark, sf, "orgs"), rows(spark, sf, "users"), rows(spark, sf, "memberships"))
+
+
+@query(
+    "assist_chain",
+    with_(*CHAIN_TABLES, then=f"{CHAIN}, {_pairs_sql(30, 15)}, {FIRST_ACT}")
+    + f"""SELECT s.org_id, s.lead_or_contact_id, s.signed_up_at AS first_org_signup_at, a.is_csdr, {_resolved(False)}
+FROM (SELECT *, row_number() OVER (PARTITION BY org_id ORDER BY signed_up_at, lead_or_contact_id) AS rn FROM signup_leads) s
+LEFT JOIN first_promo p ON p.org_id = s.org_id LEFT JOIN first_act a ON a.org_id = s.org_id WHERE s.rn = 1""",
+)
+def assist_chain(spark, sf):
+    """From tasks, orgs, users and promos as they are kept to the assist of each org."""
+    leads, contacts = rows(spark, sf, "leads"), rows(spark, sf, "contacts")
+    names = [("user 1", "Ann"), ("user 2", "Bo"), ("user 4", "Cy"), ("user 16", "Di")]
+    managers = spark.createDataFrame(names, "sdr_name string, manager_name string")
+    people = identity.unify_people(leads, contacts)
+    signups = org_signups(spark, sf).select("org_id", "email", "signed_up_at")
+    merged = identity.apply_merges(signups, merges(spark, sf, "@mail.example.org"))
+    signed = stage(assist.signup_leads(merged, people).select("org_id", "lead_or_contact_id", "signed_up_at"), "signup_leads")
+    placed = identity.unify_people(leads, contacts, accounts=accounts(spark, sf))
+    acts = assist.enrich_activities(_tasks(spark, sf), snapshots(spark, sf), leads, contacts, placed, managers=managers)
+    first = assist.first_activity(assist.qualifying_pairs(signed, stage(acts, "activities")))
+    promos = assist.first_promo(rows(spark, sf, "promos"), rows(spark, sf, "promo_snapshots"), managers=managers)
+    return assist.earliest_assist(signed, promos, first)
+
+
 @query(
     "global_order",
     """SELECT o_orderkey AS org_id, o_orderdate AS first_org_signup_at, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS signup_rnk

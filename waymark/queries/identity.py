@@ -122,14 +122,14 @@ merges AS (SELECT g.id AS deleted_lead_id, g.email AS deleted_email, h.lead_id A
   JOIN gone m ON h.lead_id = m.id WHERE g.is_deleted AND m.email <> g.email)"""
 
 
-def _merges(spark, sf):
+def merges(spark, sf, domain="@old.example.org"):
     customer = table(spark, sf, "customer")
     day = "CAST(DATE '2024-01-01' + CAST(c_nationkey AS INT) AS TIMESTAMP)"
     leads = customer.selectExpr(
         "c_name AS name",
         "c_mktsegment AS company",
         "'L' || CAST(c_custkey AS STRING) AS id",
-        "'u' || CAST(c_custkey AS STRING) || '@old.example.org' AS email",
+        f"'u' || CAST(c_custkey AS STRING) || '{domain}' AS email",
         "c_nationkey % 3 = 0 AS is_deleted",
         f"{day} AS last_modified_at",
     )
@@ -144,7 +144,7 @@ def _merges(spark, sf):
 
 @query("merged_leads", "WITH " + MERGES + " SELECT * FROM merges")
 def merged_leads(spark, sf):
-    return _merges(spark, sf)
+    return merges(spark, sf)
 
 
 @query(
@@ -159,7 +159,7 @@ def merged_identity(spark, sf):
     signups = table(spark, sf, "orders").selectExpr(
         "o_custkey AS org_id", "'u' || CAST(o_custkey AS STRING) || '@old.example.org' AS email"
     )
-    return identity.apply_merges(signups, _merges(spark, sf))
+    return identity.apply_merges(signups, merges(spark, sf))
 
 
 # Each customer is merged into the next, in runs of up to seven; the seventh was merged before, so a run ends there.

@@ -13,7 +13,7 @@ from waymark.queries.identity import PEOPLE, SIGNUPS
 from waymark.queries.registry import query, r6
 from waymark.queries.standins import rows, table, with_
 from waymark.queries.web import page_logs
-from waymark.sources.sinks import stage, stamp
+from waymark.sources.sinks import CountedStage, stage, stamp
 
 DAY = dt.date(2024, 1, 16)
 RUN_DATE = dt.date(2024, 2, 15)
@@ -452,16 +452,10 @@ visits AS (SELECT p.page_visit_id, p.visitor_id, p.session_id, p.visit_start_tim
 )
 
 
-@query(
-    "web_build",
-    with_("page_views", "leads", "identifies", "funnel", "typed_inquiries", then=f"{LEAD_MAP}, {BUILD}")
-    + MERGED
-    + "SELECT * FROM merged",
-)
-def web_build(spark, sf):
+def _build(spark, sf, kept):
     # Visitors are numbers in the page logs, so the identifies name them the same way.
     identifies = rows(spark, sf, "identifies").withColumn("anonymous_id", F.expr("CAST(substr(anonymous_id, 2) AS BIGINT)"))
-    tables = build_web(
+    return build_web(
         page_logs(spark, sf),
         rows(spark, sf, "leads"),
         identifies,
@@ -470,9 +464,29 @@ def web_build(spark, sf):
         RUN_DATE,
         domains=("www.example.com", "docs.example.com"),
         lead_source="www.example.com",
-        stage=stage,
+        stage=kept,
     )
-    return tables["rpt_web_dashboard"].select(*MERGED_COLUMNS)
+
+
+BUILD_TABLES = ("page_views", "leads", "identifies", "funnel", "typed_inquiries")
+
+
+@query("web_build", with_(*BUILD_TABLES, then=f"{LEAD_MAP}, {BUILD}") + MERGED + "SELECT * FROM merged")
+def web_build(spark, sf):
+    return _build(spark, sf, stage)["rpt_web_dashboard"].select(*MERGED_COLUMNS)
+
+
+@query(
+    "web_build_counts",
+    with_(*BUILD_TABLES, then=f"{LEAD_MAP}, {BUILD}")
+    + """SELECT 'dim_visitor' AS stage, count(*) AS n_rows FROM (SELECT DISTINCT visitor_id FROM pv2)
+UNION ALL SELECT 'page_log', count(*) FROM pv2 UNION ALL SELECT 'fct_page_visit', count(*) FROM pv2
+UNION ALL SELECT 'lookup_lead_visitor', count(*) FROM lead_map UNION ALL SELECT 'visits', count(*) FROM visits""",
+)
+def web_build_counts(spark, sf):
+    counted = CountedStage()
+    _build(spark, sf, counted)
+    return counted.counts(spark)
 
 
 @query(

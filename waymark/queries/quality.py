@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from waymark.operators import quality
+from waymark.operators import quality, valid_at, validity_intervals
 from waymark.queries.registry import query, r6
-from waymark.queries.standins import rows, table, with_
+from waymark.queries.standins import ev, K, rows, table, with_
+from waymark.session import shared_folder
+from waymark.sources import versions
 
 
 @query("grain_check", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
@@ -154,3 +158,57 @@ def match_coverage(spark, sf):
         F.sum("filled").alias("filled"),
         F.sum("urgent_large").alias("urgent_large"),
     )
+
+
+# The next day's orders: some are gone, some new, some have another price, status or both.
+NEXT_DAY = """SELECT o_orderkey + CASE WHEN o_orderkey % 89 = 0 THEN 1000000000 ELSE 0 END AS o_orderkey, o_custkey,
+  CASE WHEN o_orderkey % 50 = 1 THEN 'X' WHEN o_orderkey % 50 <> 2 THEN o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderkey % 100 IN (1, 7) THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM {orders}"""
+
+
+@query(
+    "version_changes",
+    f"WITH old AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders), new AS ({NEXT_DAY.format(orders='orders')})"
+    + """, side AS (SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey,
+    CASE WHEN o.o_orderkey IS NULL THEN 'added' WHEN n.o_orderkey IS NULL THEN 'removed' ELSE 'changed' END AS change,
+    CASE WHEN o.o_orderkey = n.o_orderkey THEN concat_ws(',', CASE WHEN o.o_orderstatus IS DISTINCT FROM n.o_orderstatus THEN 'o_orderstatus' END,
+      CASE WHEN o.o_totalprice IS DISTINCT FROM n.o_totalprice THEN 'o_totalprice' END) END AS changed_columns
+  FROM old o FULL JOIN new n ON o.o_orderkey = n.o_orderkey)
+SELECT * FROM side WHERE change <> 'changed' OR changed_columns <> ''""",
+)
+def version_changes(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    later = spark.sql(NEXT_DAY.format(orders="{orders}"), orders=orders)
+    folder = f"{shared_folder(spark)}/waymark/{uuid.uuid4().hex}"
+    versions.write_version(orders, f"{folder}/old", ["o_orderkey"])
+    versions.write_version(later, f"{folder}/new", ["o_orderkey"])
+    found = versions.changes(spark, f"{folder}/old", f"{folder}/new", ["o_orderkey"])
+    return found.withColumn("changed_columns", F.array_join("changed_columns", ","))
+
+
+STATES = f"""ev AS (SELECT *, {K} FROM events),
+snaps AS (SELECT user_id, ts, max(CASE WHEN k % 7 <> 6 THEN k % 3 END) AS state FROM ev WHERE event_type IN ('click', 'view') GROUP BY ALL),
+steps AS (SELECT *, lag(state) OVER w AS before, row_number() OVER w AS n FROM snaps WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+runs AS (SELECT user_id, state, ts AS valid_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS valid_until FROM steps
+  WHERE n = 1 OR state IS DISTINCT FROM before)"""
+
+
+def _states(spark, sf):
+    snaps = ev(spark, sf).filter("event_type IN ('click', 'view')").selectExpr("user_id", "ts", "CASE WHEN k % 7 <> 6 THEN k % 3 END AS state")
+    return validity_intervals(snaps, ["user_id"], "ts", ["state"])
+
+
+@query("validity_intervals", f"WITH {STATES} SELECT * FROM runs")
+def validity_of_states(spark, sf):
+    return _states(spark, sf)
+
+
+@query(
+    "valid_at",
+    f"WITH {STATES}"
+    + """ SELECT e.event_id, e.user_id, e.ts, s.state FROM (SELECT * FROM ev WHERE event_type = 'signup') e
+ASOF LEFT JOIN snaps s ON s.user_id = e.user_id AND s.ts <= e.ts""",
+)
+def state_at_signup(spark, sf):
+    signups = ev(spark, sf).filter("event_type = 'signup'").select("event_id", "user_id", "ts")
+    return valid_at(signups, _states(spark, sf), ["user_id"], "ts", ["state"])

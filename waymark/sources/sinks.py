@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.session import shared_folder
@@ -41,6 +41,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class CountedStage:
+    """:func:`stage` that counts rows while it writes them, so checking a build takes no scan of its own."""
+
+    def __init__(self) -> None:
+        self.seen: list[tuple[str, Observation]] = []
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        seen = Observation(f"{len(self.seen)} {name}")
+        self.seen.append((name, seen))
+        written = stage(df.observe(seen, F.count(F.lit(1)).alias("n_rows")), name)
+        return written
+
+    def counts(self, spark: SparkSession) -> DataFrame:
+        """stage and n_rows of every table written so far, in order of writing; known once they are written."""
+        rows = [(name, int(seen.get["n_rows"])) for name, seen in self.seen]
+        return spark.createDataFrame(rows, "stage string, n_rows long")
+
+
 def replace_days(df: DataFrame, path: str, day: str = "extract_date") -> None:
     """Overwrite only the ``day`` partitions present in ``df``; other days stay as they are.
 
