@@ -182,9 +182,13 @@ def web_visits(touchpoints: DataFrame) -> DataFrame:
 
 def match_web_visit(touches: DataFrame, visits: DataFrame, minutes: int = 360) -> DataFrame:
     """The latest web visit of the same person strictly before each touch, within ``minutes``."""
+    # The log holds everyone's visits: only those of touched people are sorted.
+    theirs = visits.withColumnRenamed("lead_id", "lead_or_contact_id").join(
+        touches.select("lead_or_contact_id").distinct(), "lead_or_contact_id", "left_semi"
+    )
     found = asof_neighbours(
         touches,
-        visits.withColumnRenamed("lead_id", "lead_or_contact_id"),
+        theirs,
         ["lead_or_contact_id"],
         F.col("interaction_time"),
         F.col("visit_time"),

@@ -44,9 +44,20 @@ def cohort_touches(touches: DataFrame, key: str, cohort: DataFrame, cohort_key:
     return touches.filter(F.col("timestamp") >= F.lit(since).cast("timestamp")).join(members, key, "left_semi").distinct()
 
 
+def _within(at: str, events: DataFrame, event_at: str, hours_before: int, hours_after: int) -> Column:
+    """Whether ``at`` lies so many hours around the time from the first to the last of ``events``."""
+    first, last = (events.agg(f(event_at)).scalar() for f in (F.min, F.max))
+    return (F.col(at) >= first - F.make_dt_interval(hours=F.lit(hours_before))) & (
+        F.col(at) <= last + F.make_dt_interval(hours=F.lit(hours_after))
+    )
+
+
 def _nearest(cohort: DataFrame, touches: DataFrame, key: str, hours_off: int | None, out: str, payload: list[str]) -> DataFrame:
     """Per org a struct ``out``: the touch nearest to ``created_at``, within ``hours_off`` whole hours if given."""
     people = cohort.select("org_id", "created_at", F.col("first_user_id").alias("user_id"), "email").dropna(subset=[key])
+    if hours_off is not None:
+        # A touch further from every signup than the limit is nobody's nearest; this reaches the scan.
+        touches = touches.filter(_within("timestamp", people, "created_at", hours_off + 1, hours_off + 1))
     # The logs hold everyone's touches: only the cohort's are sorted, and only the columns picked later.
     theirs = touches.select(key, "timestamp", *payload).join(people.select(key).distinct(), key, "left_semi")
     found = asof_neighbours(
@@ -189,8 +200,9 @@ def last_touch(conversions: DataFrame, touches: DataFrame, key: str, days: int,
 
     An as-of lookup: linear in both tables, with no pair of conversion and touch formed.
     """
-    # A touch at any time can be the last one of nobody but a converting key.
-    theirs = touches.join(conversions.select(key).distinct(), key, "left_semi")
+    # Only touches of converting keys can be the last one, and only so long before the first conversion.
+    recent_enough = touches.filter(_within("touched_at", conversions, "converted_at", (days + 1) * 24, 0))
+    theirs = recent_enough.join(conversions.select(key).distinct(), key, "left_semi")
     found = asof_neighbours(
         conversions,
         theirs,
