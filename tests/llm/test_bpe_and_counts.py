@@ -9,7 +9,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from waymark.llm import bpe, counts
-from waymark.llm.pretokens import Parts
+from waymark.llm.pretokens import MATCHES, Parts
 
 BITS = ["a", "b", " ", "  ", "\n", "\r\n", "\t", "é", "日本", "'s", "'ll", "1", "²", "!", "<|endoftext|>", "\x85", "\xa0"]
 BITS += ["\x1c", "　", "🙂", "the", " the", "_", "٣", "ing"]
@@ -89,3 +89,12 @@ def test_nulls_repeats_clashes_and_no_rows(spark):
     assert sorted(counted, key=str) == sorted([(1, 3, 2, True)] * 2 + [(None, 0, 0, False), (2, 0, 0, False)], key=str)
     none = docs.limit(0)
     assert bpe.round_trip(none).collect() == bpe.encode(none).collect() == counts.token_counts(none).collect() == []
+
+
+def test_marks_behind_letters_are_read_as_the_pattern_reads_them():
+    rng = random.Random(5)
+    signs = ["ab", "É", "7", "'s", "'", " ", "\n", "  ", *'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~', "—", "́"]
+    parts = Parts(lambda match: [match], lambda found: [m for f in found for m in f])
+    for _ in range(4000):
+        text = "".join(rng.choices(signs, k=rng.randint(1, 12)))
+        assert [m for found in parts.values(text) for m in found] == MATCHES(text), text

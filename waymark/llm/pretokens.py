@@ -22,7 +22,8 @@ MATCHES = regex.compile(public_tokenizers.PATTERN).findall
 WORDS, RUNS = 800_000, 150_000
 #: Longer parts are not kept, so that the memory is bounded in bytes too.
 LONGEST_KEPT = 64
-STOPS = frozenset(".,;:!?")
+#: Marks that are one match together behind letters, since no contraction begins with them.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 WHITE = frozenset(c for c in map(chr, range(0x3001)) if regex.match(r"\s", c))
 #: What a piece begins with that does not close the one before.
 SHUT = WHITE | {""}
@@ -95,22 +96,24 @@ class Parts(Generic[V]):
         return self._match(found[0]) if len(found) == 1 else self.join([self._match(m) for m in found])
 
     def _letters(self, text: str, blank: str) -> V | None:
-        """Value of letters, with or without one stop after them, behind a blank or none; else nothing."""
+        """Value of letters, with or without marks after them, behind a blank or none; else nothing."""
         if text.isalpha():
             return self._match(blank + text)
-        if text[-1:] in STOPS and text[:-1].isalpha():
-            return self.join([self._match(blank + text[:-1]), self._match(text[-1])])
+        word = text.rstrip(MARKS)
+        if word.isalpha():
+            return self.join([self._match(blank + word), self._match(text[len(word) :])])
         return None
 
     def _plain(self, piece: str) -> V | None:
-        """Value of a piece after a blank that needs no pattern: a stop after letters is a match of its own,
+        """Value of a piece after a blank that needs no pattern: marks after letters are a match of their own,
         and so is a line break between two visible characters."""
-        words, stop = self.words, piece[-1:]
-        if stop in STOPS and (word := piece[:-1]).isalpha():
+        words, word = self.words, piece.rstrip(MARKS)
+        if word.isalpha():
+            marks = self._match(piece[len(word) :])
             value = words.get(word)
             if value is None:
-                return self.join([self._match(" " + word), self._match(stop)])
-            value = self.join([value, self._match(stop)])
+                return self.join([self._match(" " + word), marks])
+            value = self.join([value, marks])
             words.keep(piece, value)
             return value
         first, line, second = piece.partition("\n")
@@ -136,13 +139,15 @@ class Parts(Generic[V]):
                 return result + known[done:] if result else known[done:]
             if at and pieces[at + 1][:1] not in SHUT:
                 piece = pieces[at]
-                if piece.isalpha():  # letters alone are one match
-                    value = words.find(piece)
-                    if value is None:
+                value = words.get(piece)  # met earlier in this text
+                if value is None and (value := words.old.get(piece)) is not None:
+                    words.keep(piece, value)
+                elif value is None:
+                    if piece.isalpha():  # letters alone are one match
                         value = self.of_match(" " + piece)
                         words.keep(piece, value)
-                else:
-                    value = self._plain(piece)
+                    else:
+                        value = self._plain(piece)
                 if value is not None:
                     known[at] = value
                     seen = at + 1

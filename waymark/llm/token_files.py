@@ -60,6 +60,7 @@ class LibraryEncoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = dict(enumerate(byte_letters()))
+        self.blank = self.letters[ord(" ")]
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
@@ -67,7 +68,10 @@ class LibraryEncoder:
 
     def _ids(self, match: str) -> bytes:
         # The match as the library's byte-level step writes it, for the library's model.
-        letters = match.encode().decode("latin-1").translate(self.letters)
+        if match.isascii() and match.isprintable():  # visible characters stand for themselves
+            letters = match.replace(" ", self.blank)
+        else:
+            letters = match.encode().decode("latin-1").translate(self.letters)
         return array.array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
     def encode(self, text: str) -> bytes:
