@@ -57,12 +57,16 @@ TOUCH_COLUMNS = [
     "utm_source",
     "campaign_name",
     "campaign_team",
+    "campaign_theater",
     "interaction_time",
     "interaction_date",
     "lead_or_contact_id",
+    "lead_created_date",
     "opportunity_id",
+    "account_id",
     "action",
     "sfdc_campaign_type",
+    "sfdc_campaign_function",
     "lead",
     "opp",
     "origin",
@@ -77,11 +81,14 @@ def touch_set(
     campaigns: DataFrame,
     attributed: DataFrame,
     excluded: DataFrame,
+    opportunities: DataFrame,
+    contacts: DataFrame,
 ) -> DataFrame:
     """Touches of leads without an opportunity, of leads with one, and of pure contacts.
 
     ``lead_touches`` already has the touch columns. A lead without an opportunity takes
-    those of the contact it became.
+    those of the contact it became. A pure contact counts only with a role in an existing
+    opportunity, whose account it takes; its creation date is null where the contact is unknown.
     """
     shared = [c for c in TOUCH_COLUMNS if c not in ("opportunity_id", "opp", "origin", "lead_or_contact_id")]
     roles = opportunity_roles.select("contact_id", F.col("opportunity_id").alias("__opportunity"))
@@ -102,13 +109,24 @@ def touch_set(
     with_opportunity = lead_touches.filter("opportunity_id is not null").select(
         *shared, F.col("lead_id").alias("lead_or_contact_id"), "opportunity_id", "opp", F.lit("lead").alias("origin")
     )
-    described = campaigns.select(F.col("id").alias("campaign_id"), "campaign_name", "campaign_team", F.col("campaign_type").alias("sfdc_campaign_type"))
+    described = campaigns.select(
+        F.col("id").alias("campaign_id"),
+        "campaign_name",
+        "campaign_team",
+        "campaign_theater",
+        F.col("campaign_type").alias("sfdc_campaign_type"),
+        F.col("campaign_function").alias("sfdc_campaign_function"),
+    )
+    existing = opportunities.select(F.col("id").alias("__opportunity"), "account_id")
+    known = contacts.select(F.col("id").alias("contact_id"), F.col("created_at").alias("lead_created_date"))
+    # Roles are small beside members: their opportunity and contact are looked up before the log is joined.
+    contact_roles = roles.join(existing, "__opportunity").join(known, "contact_id", "left")
     pure = (
         members.filter("contact_id is not null")
         .join(attributed.select("id"), "id", "left_anti")
         .join(excluded.select(F.col("id").alias("campaign_id")), "campaign_id", "left_anti")
         .join(described, "campaign_id")
-        .join(roles, "contact_id")
+        .join(contact_roles, "contact_id")
     )
     when = interaction_time(F.col("created_ts"), F.col("associated_ts"), F.col("sfdc_campaign_type"))
     contact_touches = pure.select(
@@ -119,12 +137,16 @@ def touch_set(
         "utm_source",
         "campaign_name",
         "campaign_team",
+        "campaign_theater",
         when.alias("interaction_time"),
         when.cast("date").alias("interaction_date"),
         F.col("contact_id").alias("lead_or_contact_id"),
+        "lead_created_date",
         F.col("__opportunity").alias("opportunity_id"),
+        "account_id",
         F.col("status").alias("action"),
         "sfdc_campaign_type",
+        "sfdc_campaign_function",
         F.lit(0).alias("lead"),
         F.lit(1).alias("opp"),
         F.lit("contact").alias("origin"),

@@ -48,7 +48,17 @@ def member_base(
         & ~F.col("campaign_name").contains(excluded_text)
         & ~F.col("campaign_type").isin(*NOT_MEMBER_TYPES)
     ).select(
-        F.col("id").alias("campaign_id"), "campaign_name", "campaign_type", "campaign_function", "campaign_team"
+        F.col("id").alias("campaign_id"),
+        "campaign_name",
+        "campaign_type",
+        "campaign_function",
+        "campaign_team",
+        F.col("start_date").alias("campaign_start_date"),
+        "campaign_theater",
+        "campaign_region",
+        "tactic",
+        "actual_cost",
+        "campaign_format",
     )
     joined = (
         members.join(wanted, "campaign_id")
@@ -73,20 +83,33 @@ def member_base(
         "campaign_id",
         "campaign_name",
         "campaign_type",
+        "campaign_start_date",
+        "campaign_theater",
+        "campaign_region",
+        "campaign_format",
+        "tactic",
+        "actual_cost",
         F.coalesce("lead_id", "contact_id").alias("lead_or_contact_id"),
         "lead_id",
         "contact_id",
         "created_ts",
+        "inquiry_date_time",
         "country",
+        "region_match",
         theater.alias("theater"),
         F.when(function.isin(*FUNCTIONS), function).otherwise("Other").alias("campaign_function"),
         F.when(team.isin(*STRATEGIC_TEAMS), "Strategic Events")
         .when(team.isin(*TEAMS), team)
         .otherwise("Other")
         .alias("campaign_team"),
+        F.col("focus_account").alias("focused_account_lead"),
         F.when(F.col("priority_account"), 1).otherwise(0).alias("priority_account_lead"),
+        "utm_medium",
+        "utm_campaign",
+        "utm_source",
     )
-    return keep_first(shaped, ["campaign_member_id"], ["created_ts", "campaign_id", "theater"])
+    order = ["created_ts", "campaign_id", "theater"]
+    return keep_first(shaped, ["campaign_member_id"], order + [c for c in shaped.columns if c not in order])
 
 
 def inquiries_of_day(inquiries: DataFrame, members: DataFrame, run_date: dt.date) -> DataFrame:

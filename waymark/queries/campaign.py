@@ -55,24 +55,28 @@ LEAD_TOUCHES = """lead_touches AS (SELECT p.p_partkey AS campaign_id, 'Q' || o_o
     CASE o_custkey % 3 WHEN 0 THEN 'azure' WHEN 1 THEN 'bing' END AS utm_source,
     c.campaign_name, c.campaign_team, o_orderdate AS interaction_time, CAST(o_orderdate AS DATE) AS interaction_date,
     'L' || o_custkey AS lead_id, CASE WHEN o_orderstatus = 'F' THEN 'O' || o_orderkey END AS opportunity_id, o_orderpriority AS action,
-    c.campaign_type AS sfdc_campaign_type, 1 AS lead, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS opp
+    c.campaign_type AS sfdc_campaign_type, 1 AS lead, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS opp, c.campaign_theater,
+    c.campaign_function AS sfdc_campaign_function, CAST(DATE '2023-12-01' + CAST(o_custkey % 60 AS INT) AS TIMESTAMP) AS lead_created_date,
+    CASE WHEN o_custkey % 4 <> 3 THEN 'A' || o_custkey % 4 END AS account_id
   FROM orders JOIN part p ON p.p_partkey = o_custkey JOIN campaigns c ON c.id = p.p_partkey)"""
 ROLES = "roles AS (SELECT DISTINCT 'C' || s_suppkey AS contact_id, 'OS' || s_nationkey AS opportunity_id FROM supplier)"
 TOUCHES = f"""{ATTRIBUTED}, {LEAD_TOUCHES}, {ROLES}, touches AS (
   SELECT t.campaign_id, t.inquiry_id, utm_campaign, utm_medium, utm_source, campaign_name, campaign_team, interaction_time, interaction_date,
     t.lead_id AS lead_or_contact_id, r.opportunity_id, action, sfdc_campaign_type, lead,
-    CASE WHEN r.opportunity_id IS NOT NULL THEN 1 ELSE 0 END AS opp, 'lead' AS origin
+    CASE WHEN r.opportunity_id IS NOT NULL THEN 1 ELSE 0 END AS opp, 'lead' AS origin, campaign_theater, sfdc_campaign_function, lead_created_date,
+    account_id
   FROM lead_touches t LEFT JOIN leads l ON l.id = t.lead_id LEFT JOIN roles r ON r.contact_id = l.converted_contact_id WHERE t.opportunity_id IS NULL
   UNION ALL
   SELECT campaign_id, inquiry_id, utm_campaign, utm_medium, utm_source, campaign_name, campaign_team, interaction_time, interaction_date,
-    lead_id, opportunity_id, action, sfdc_campaign_type, lead, opp, 'lead' FROM lead_touches WHERE opportunity_id IS NOT NULL
+    lead_id, opportunity_id, action, sfdc_campaign_type, lead, opp, 'lead', campaign_theater, sfdc_campaign_function, lead_created_date, account_id
+  FROM lead_touches WHERE opportunity_id IS NOT NULL
   UNION ALL
   SELECT DISTINCT campaign_id, m.id, utm_campaign, utm_medium, utm_source, campaign_name, campaign_team, t, CAST(t AS DATE),
-    m.contact_id, r.opportunity_id, status, campaign_type, 0, 1, 'contact'
-  FROM (SELECT m.*, campaign_name, campaign_team, campaign_type, date_trunc('minute',
+    m.contact_id, r.opportunity_id, status, campaign_type, 0, 1, 'contact', campaign_theater, campaign_function, ct.created_at, o.account_id
+  FROM (SELECT m.*, campaign_name, campaign_team, campaign_type, campaign_theater, campaign_function, date_trunc('minute',
       CASE WHEN abs(CAST(created_ts AS DATE) - CAST(associated_ts AS DATE)) > 1 OR campaign_type = 'PG Prospecting Days'
         THEN associated_ts ELSE created_ts END) AS t FROM members m JOIN campaigns c ON c.id = m.campaign_id) m
-  JOIN roles r ON r.contact_id = m.contact_id
+  JOIN roles r ON r.contact_id = m.contact_id JOIN opportunities o ON o.id = r.opportunity_id LEFT JOIN contacts ct ON ct.id = m.contact_id
   WHERE m.id NOT IN (SELECT id FROM attributed) AND campaign_id NOT IN (SELECT id FROM excluded))"""
 
 
@@ -82,7 +86,7 @@ def _roles(spark, sf):
 
 
 def _lead_touches(spark, sf):
-    described = rows(spark, sf, "campaigns").select(F.col("id").alias("campaign_id"), "campaign_name", "campaign_team", "campaign_type")
+    described = rows(spark, sf, "campaigns").select(F.col("id").alias("campaign_id"), "campaign_name", "campaign_team", "campaign_type", "campaign_theater", "campaign_function")
     orders = table(spark, sf, "orders").withColumn("campaign_id", F.col("o_custkey"))
     return orders.join(described, "campaign_id").selectExpr(
         "campaign_id",
@@ -100,6 +104,10 @@ def _lead_touches(spark, sf):
         "campaign_type AS sfdc_campaign_type",
         "1 AS lead",
         "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS opp",
+        "campaign_theater",
+        "campaign_function AS sfdc_campaign_function",
+        "CAST(DATE '2023-12-01' + CAST(o_custkey % 60 AS INT) AS TIMESTAMP) AS lead_created_date",
+        "CASE WHEN o_custkey % 4 <> 3 THEN 'A' || CAST(o_custkey % 4 AS STRING) END AS account_id",
     )
 
 
@@ -112,10 +120,12 @@ def _touches(spark, sf):
         rows(spark, sf, "campaigns"),
         _attributed(spark, sf),
         _excluded(spark, sf),
+        rows(spark, sf, "opportunities"),
+        rows(spark, sf, "contacts"),
     )
 
 
-@query("campaign_touchset", with_("members", "campaigns", "leads", then=TOUCHES) + "SELECT * FROM touches")
+@query("campaign_touchset", with_("members", "campaigns", "leads", "contacts", "opportunities", then=TOUCHES) + "SELECT * FROM touches")
 def campaign_touchset(spark, sf):
     return _touches(spark, sf)
 
@@ -142,7 +152,7 @@ def _bucketed(spark, sf):
     return campaign.bucket_touches(_touches(spark, sf), rows(spark, sf, "campaigns"), _excluded(spark, sf), VOCABULARY)
 
 
-@query("campaign_buckets", with_("members", "campaigns", "leads", then=BUCKETED) + "SELECT * FROM bucketed")
+@query("campaign_buckets", with_("members", "campaigns", "leads", "contacts", "opportunities", then=BUCKETED) + "SELECT * FROM bucketed")
 def campaign_buckets(spark, sf):
     return _bucketed(spark, sf)
 
@@ -210,7 +220,7 @@ FILLED_COLUMNS = [
 ]
 
 
-@query("organic_backfill", with_("members", "campaigns", "leads", then=MATCHED) + f"SELECT {', '.join(FILLED_COLUMNS)} FROM filled")
+@query("organic_backfill", with_("members", "campaigns", "leads", "contacts", "opportunities", then=MATCHED) + f"SELECT {', '.join(FILLED_COLUMNS)} FROM filled")
 def organic_backfill(spark, sf):
     return _filled(spark, sf).select(*FILLED_COLUMNS)
 
@@ -235,7 +245,7 @@ def tactic_group(spark, sf):
 
 @query(
     "channel_rules_v2",
-    with_("members", "campaigns", "leads", then=FINAL)
+    with_("members", "campaigns", "leads", "contacts", "opportunities", then=FINAL)
     + """SELECT inquiry_id, lead_or_contact_id, interaction_time, opportunity_id, tactic_grouping, tactic_team, channel_detail,
   CASE WHEN channel_detail = 'Paid Gmail' THEN 'Display' WHEN channel_detail = 'No Referral' THEN 'No Referral'
        WHEN channel_detail LIKE '%Referral' THEN 'Referral' ELSE channel_detail END AS channel,

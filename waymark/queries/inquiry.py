@@ -35,7 +35,8 @@ def rolling_scan(spark, sf):
     with_("members", "campaigns", "leads", "contacts")
     + """, joined AS (
   SELECT m.row_id AS campaign_member_id, campaign_id, campaign_name, campaign_type, coalesce(lead_id, contact_id) AS lead_or_contact_id,
-    lead_id, contact_id, created_ts, m.country,
+    lead_id, contact_id, created_ts, m.country, inquiry_date_time, region_match, focus_account AS focused_account_lead, utm_medium, utm_campaign,
+    utm_source, start_date AS campaign_start_date, campaign_theater, campaign_region, campaign_format, tactic, actual_cost,
     CASE WHEN m.country = 'United States' THEN 'Americas' WHEN m.country LIKE '%Korea%' THEN 'APAC'
       WHEN t.theater IS NOT NULL THEN t.theater WHEN geo IN ('APAC', 'EMEA') THEN geo
       WHEN geo IN ('North America', 'Latin America & Caribbean') THEN 'Americas' ELSE 'Other' END AS theater,

@@ -348,6 +348,10 @@ STANDINS: dict[str, StandIn] = {
             " WHEN 8 THEN 'Tech Talk' ELSE 'Other' END AS tactic",
             "CASE p_size % 6 WHEN 0 THEN 'Digital' WHEN 1 THEN 'Event' WHEN 2 THEN 'Field' WHEN 3 THEN 'Partner'"
             " ELSE 'Brand' END AS campaign_function",
+            "DATE '2023-01-01' + CAST(p_size AS INT) AS start_date",
+            "CASE p_size % 3 WHEN 0 THEN 'Americas' WHEN 1 THEN 'EMEA' END AS campaign_theater",
+            "'region ' || CAST(p_size % 7 AS STRING) AS campaign_region",
+            "p_retailprice AS actual_cost",
         ),
     ),
     "members": StandIn(
@@ -372,8 +376,16 @@ STANDINS: dict[str, StandIn] = {
             " WHEN 2 THEN 'Reduce-your-tco-x' WHEN 3 THEN 'ch.gmail.z' END AS utm_campaign",
             "CASE CAST(floor(l_extendedprice) AS INT) % 7 WHEN 0 THEN 'aws' WHEN 1 THEN 'webiste' WHEN 2 THEN 'google' END"
             " AS utm_source",
+            "CAST(CAST(l_shipdate AS DATE) + CAST(l_quantity AS INT) % 3 AS TIMESTAMP) AS inquiry_date_time",
+            "CASE WHEN l_linenumber % 4 <> 3 THEN 'match ' || CAST(l_linenumber AS STRING) END AS region_match",
+            "l_returnflag = 'R' AS focus_account",
         ),
     ),
+    "opportunities": StandIn(
+        "nation",
+        ("'OS' || CAST(n_nationkey AS STRING) AS id", "'A' || CAST(n_regionkey AS STRING) AS account_id"),
+        "n_nationkey % 5 <> 4",
+    ),
 }
 
 
