@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -388,21 +390,108 @@ def channel_mix(attribution: DataFrame, cohort: DataFrame | None = None) -> Data
     )
 
 
+def no_referral_leads(attribution: DataFrame, since: dt.date | None = None) -> DataFrame:
+    """Leads that ended up without a referral, of signups on or after ``since`` if given."""
+    lost = attribution.filter(F.col("channel_aggregate") == NO_TOUCH)
+    if since is not None:
+        lost = lost.filter(F.col("signed_up_at") >= F.lit(since).cast("timestamp"))
+    return lost.select("lead_or_contact_id").distinct()
+
+
 def unattributed_touches(touches: DataFrame, attribution: DataFrame, since: dt.date, fields: list[str]) -> DataFrame:
     """Touches that do carry tags, of leads that ended up without a referral."""
-    lost = attribution.filter((F.col("channel_aggregate") == NO_TOUCH) & (F.col("signed_up_at") >= F.lit(since).cast("timestamp")))
-    leads = lost.select("lead_or_contact_id").distinct()
+    leads = no_referral_leads(attribution, since)
     return touches.filter(any_present(*fields)).join(leads, "lead_or_contact_id", "left_semi")
 
 
-def leads_with_web_visit(visits: DataFrame, people: DataFrame, signups: DataFrame, minutes: int = 360) -> DataFrame:
-    """Leads with a tagged visit no more than ``minutes`` whole minutes before a signup of their e-mail.
+EVIDENCE_TAGS = ["utm_campaign", "utm_medium", "utm_source"]
+
+
+def no_referral_evidence(
+    logs: Mapping[str, DataFrame],
+    lead_map: DataFrame,
+    attribution: DataFrame,
+    since: dt.date,
+    tagged: Sequence[str] = ("page",),
+) -> DataFrame:
+    """What the visitors of leads without a referral left in the logs, one row per entry and lead.
+
+    ``logs`` are entries by name (anonymous_id, session_id, timestamp, tags; a missing column
+    is null), ``lead_map`` gives the leads and e-mails of a visitor. Of the logs in ``tagged``
+    only entries with a tag count. Entries without a visitor match nothing.
+    """
+    wanted = (
+        lead_map.join(no_referral_leads(attribution, since), "lead_or_contact_id", "left_semi")
+        .select("anonymous_id", "email", "lead_or_contact_id")
+        .dropna(subset=["anonymous_id"])
+        .distinct()
+    )
+    parts = []
+    for name, log in logs.items():
+        have = [F.col(c) if c in log.columns else F.lit(None).cast("string").alias(c) for c in ("session_id", *EVIDENCE_TAGS)]
+        part = log.select(F.lit(name).alias("log"), "anonymous_id", F.col("timestamp").alias("visit_time"), *have)
+        parts.append(part.filter(any_present(*EVIDENCE_TAGS)) if name in tagged else part)
+    return reduce(DataFrame.unionByName, parts).join(wanted, "anonymous_id")
+
+
+def no_referral_members(
+    members: DataFrame, campaigns: DataFrame, attribution: DataFrame, since: dt.date, prefix: str, but: Sequence[str] = ()
+) -> DataFrame:
+    """Tagged members of campaigns whose name starts with ``prefix``, of leads without a referral."""
+    named = campaigns.filter(F.col("campaign_name").startswith(prefix) & ~F.col("campaign_name").isin(*but))
+    theirs = members.filter(F.col("lead_id").isNotNull() & any_present(*EVIDENCE_TAGS))
+    lost = no_referral_leads(attribution, since).withColumnRenamed("lead_or_contact_id", "lead_id")
+    return theirs.join(lost, "lead_id", "left_semi").join(
+        named.select(F.col("id").alias("campaign_id"), "campaign_name"), "campaign_id"
+    )
+
+
+def _visits_of_lost(visits: DataFrame, attribution: DataFrame | None, since: dt.date | None) -> DataFrame:
+    """Tagged visits, after ``since`` and of leads without a referral where these are given."""
+    kept = visits.filter(F.col("medium").isNotNull())
+    if since is not None:
+        kept = kept.filter(F.col("visit_time") > F.lit(since).cast("timestamp"))
+    if attribution is not None:
+        kept = kept.join(no_referral_leads(attribution, since), "lead_or_contact_id", "left_semi")
+    return kept
+
+
+def web_visit_matches(
+    visits: DataFrame,
+    people: DataFrame,
+    signups: DataFrame,
+    minutes: int = 360,
+    attribution: DataFrame | None = None,
+    since: dt.date | None = None,
+) -> DataFrame:
+    """Each tagged visit with each signup of its lead's e-mail at most ``minutes`` whole minutes after it.
+
+    A visit after the signup counts too (``min_diff`` is negative). ``attribution`` keeps leads
+    without a referral, ``since`` later visits and signups only.
+    """
+    named = people.select(F.col("id").alias("lead_or_contact_id"), "email").dropna().distinct()
+    off = times.whole_units("MINUTE", F.col("visit_time"), F.col("signed_up_at"))
+    pairs = _visits_of_lost(visits, attribution, since).join(named, "lead_or_contact_id")
+    pairs = pairs.join(signups.select("org_id", "email", "signed_up_at"), "email")
+    return pairs.withColumn("min_diff", off).filter(F.col("min_diff") <= minutes)
+
+
+def leads_with_web_visit(
+    visits: DataFrame,
+    people: DataFrame,
+    signups: DataFrame,
+    minutes: int = 360,
+    attribution: DataFrame | None = None,
+    since: dt.date | None = None,
+) -> DataFrame:
+    """The leads of :func:`web_visit_matches`, without forming its rows.
 
-    A later visit counts too, so comparing with the earliest signup per e-mail decides it.
+    As a later visit counts too, comparing with the earliest signup per e-mail decides it.
     """
     earliest = signups.dropna(subset=["email"]).groupBy("email").agg(F.min("signed_up_at").alias("first_signed_up_at"))
     named = people.select(F.col("id").alias("lead_or_contact_id"), "email").join(earliest, "email")
     named = named.groupBy("lead_or_contact_id").agg(F.min("first_signed_up_at").alias("first_signed_up_at"))
-    seen = visits.filter(F.col("medium").isNotNull()).groupBy("lead_or_contact_id").agg(F.max("visit_time").alias("last_visit"))
+    kept = _visits_of_lost(visits, attribution, since)
+    seen = kept.groupBy("lead_or_contact_id").agg(F.max("visit_time").alias("last_visit"))
     off = times.whole_units("MINUTE", F.col("last_visit"), F.col("first_signed_up_at"))
     return seen.join(named, "lead_or_contact_id").filter(off <= minutes).select("lead_or_contact_id")

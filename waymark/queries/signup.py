@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from waymark.functions import times
-from waymark.plans import rulesets, signup, web
+from waymark.plans import identity, rulesets, signup, web
 from waymark.queries.registry import query, r6, rules_sql
 from waymark.queries.standins import rows, with_
 from waymark.sources.sinks import stage
@@ -481,6 +481,82 @@ def leads_with_web_visit(spark, sf):
     return signup.leads_with_web_visit(visits, rows(spark, sf, "leads"), signups.withColumnRenamed("created_at", "signed_up_at"))
 
 
+LOST = "lost AS (SELECT lead_or_contact_id FROM attribution WHERE channel_aggregate = 'No Referral' AND signed_up_at >= TIMESTAMP '2024-01-03')"
+FORM_IDS = (5, 6, 17, 20, 35)
+
+
+@query(
+    "no_referral_evidence",
+    with_("all_events", "identifies", "forms", "site_pages", "leads", then=f"{ATTRIBUTION}, {LOST}")
+    + """, logs AS (
+  SELECT 'identify' AS log, anonymous_id, session_id, timestamp AS visit_time, utm_campaign, utm_medium, utm_source FROM identifies
+  UNION ALL SELECT 'form', 'a' || visitor_id, session_id, timestamp, NULL, NULL, NULL FROM forms WHERE form_id IN (5, 6, 17, 20, 35)
+  UNION ALL SELECT 'page', anonymous_id, session_id, timestamp, utm_campaign, utm_medium, utm_source FROM site_pages
+    WHERE utm_campaign IS NOT NULL OR utm_medium IS NOT NULL OR utm_source IS NOT NULL),
+lead_map AS (SELECT DISTINCT i.anonymous_id, l.email, l.id AS lead_or_contact_id FROM leads l JOIN identifies i ON i.email = l.email)
+SELECT log, anonymous_id, email, lead_or_contact_id, session_id, visit_time, utm_campaign, utm_medium, utm_source
+FROM logs JOIN lead_map USING (anonymous_id) WHERE lead_or_contact_id IN (SELECT lead_or_contact_id FROM lost)""",
+)
+def no_referral_evidence(spark, sf):
+    identifies = rows(spark, sf, "identifies")
+    forms = rows(spark, sf, "forms").filter(F.col("form_id").isin(*FORM_IDS))
+    forms = forms.withColumn("anonymous_id", F.concat(F.lit("a"), F.col("visitor_id").cast("string")))
+    logs = {"identify": identifies, "form": forms, "page": rows(spark, sf, "site_pages")}
+    lead_map = identity.lead_to_visitor(rows(spark, sf, "leads"), identifies, SINCE, "www.example.com")
+    return signup.no_referral_evidence(logs, lead_map, _attribution(spark, sf), SINCE)
+
+
+@query(
+    "no_referral_members",
+    with_("all_events", "members", "campaigns", then=f"{ATTRIBUTION}, {LOST}")
+    + """SELECT m.id, campaign_id, campaign_name, lead_id, status, utm_campaign, utm_medium, utm_source
+FROM members m JOIN campaigns c ON c.id = m.campaign_id
+WHERE lead_id IN (SELECT lead_or_contact_id FROM lost) AND left(campaign_name, 1) = 's' AND campaign_name <> 'small ring'
+  AND (utm_campaign IS NOT NULL OR utm_medium IS NOT NULL OR utm_source IS NOT NULL)""",
+)
+def no_referral_members(spark, sf):
+    found = signup.no_referral_members(
+        rows(spark, sf, "members"), rows(spark, sf, "campaigns"), _attribution(spark, sf), SINCE, "s", ["small ring"]
+    )
+    return found.select("id", "campaign_id", "campaign_name", "lead_id", "status", *signup.EVIDENCE_TAGS)
+
+
+def _web_visits(spark, sf):
+    return rows(spark, sf, "all_events").filter("event_type = 'error'").selectExpr(
+        "event_id", "session_id", "'L' || CAST(user_id AS STRING) AS lead_or_contact_id", "ts AS visit_time", "utm_campaign AS campaign_name",
+        "utm_source AS source", "utm_medium AS medium",
+    )
+
+
+def _org_signups(spark, sf):
+    orgs = rows(spark, sf, "orgs").selectExpr("id AS org_id", "created_at AS signed_up_at")
+    return orgs.join(rows(spark, sf, "users").selectExpr("id AS org_id", "email"), "org_id")
+
+
+MATCHES = """matches AS (SELECT w.event_id, w.session_id, l.id AS lead_or_contact_id, w.ts AS visit_time, w.utm_campaign AS campaign_name,
+    w.utm_source AS source, w.utm_medium AS medium, s.org_id, s.email, s.signed_up_at, date_sub('minute', w.ts, s.signed_up_at) AS min_diff
+  FROM all_events w JOIN leads l ON l.id = 'L' || w.user_id
+  JOIN (SELECT o.id AS org_id, u.email, o.created_at AS signed_up_at FROM orgs o JOIN users u ON u.id = o.id) s ON s.email = l.email
+  WHERE w.event_type = 'error' AND w.utm_medium IS NOT NULL AND date_sub('minute', w.ts, s.signed_up_at) <= 360)"""
+
+
+@query("web_visit_matches", with_("all_events", "orgs", "users", "leads", then=MATCHES) + "SELECT * FROM matches")
+def web_visit_matches(spark, sf):
+    return signup.web_visit_matches(_web_visits(spark, sf), rows(spark, sf, "leads"), _org_signups(spark, sf))
+
+
+@query(
+    "no_referral_web_visits",
+    with_("all_events", "orgs", "users", "leads", then=f"{ATTRIBUTION}, {LOST}, {MATCHES}")
+    + """SELECT DISTINCT lead_or_contact_id FROM matches
+WHERE visit_time > TIMESTAMP '2024-01-03' AND lead_or_contact_id IN (SELECT lead_or_contact_id FROM lost)""",
+)
+def no_referral_web_visits(spark, sf):
+    return signup.leads_with_web_visit(
+        _web_visits(spark, sf), rows(spark, sf, "leads"), _org_signups(spark, sf), attribution=_attribution(spark, sf), since=SINCE
+    )
+
+
 @query(
     "signup_units",
     with_("orgs", "milestones")
