@@ -2,6 +2,7 @@
 
 from waymark.operators.asof import asof_neighbours
 from waymark.operators.counts import conditional_distinct_counts
+from waymark.operators.distinct_states import distinct_roll_up, distinct_states
 from waymark.operators.firsts import keep_first, keep_first_ties
 from waymark.operators.intervals import interval_join
 from waymark.operators.lookup import broadcast_if_small, lookup_join
@@ -16,6 +17,8 @@ __all__ = [
     "asof_neighbours",
     "broadcast_if_small",
     "conditional_distinct_counts",
+    "distinct_roll_up",
+    "distinct_states",
     "first_match",
     "full_merge",
     "interval_join",

@@ -8,8 +8,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.operators import broadcast_if_small, conditional_distinct_counts, full_merge, lookup_join
+from waymark.operators import broadcast_if_small, conditional_distinct_counts, distinct_states, full_merge, lookup_join
 from waymark.plans.rulesets import DEFAULT, Vocabulary
+from waymark.sources.sinks import Stage, unstaged
 
 # Channel names of the spend table, score bands and personas.
 CHANNEL_TYPES = {"Display": "display", "Paid Gmail": "gmail", "Paid Search": "sem", "Paid Social": "Paid Social"}
@@ -85,12 +86,8 @@ def funnel_conditions(v: Vocabulary = DEFAULT) -> dict[str, Column]:
 FUNNEL_KEYS = ["mapping_channel_type", "mapping_channel", "inquiry_date", "utm_campaign"]
 
 
-def inbound_funnel(funnel: DataFrame, since: dt.date, v: Vocabulary = DEFAULT) -> DataFrame:
-    """23 distinct counts per paid channel, campaign and inquiry day.
-
-    All but one count the same person id, so they come from two plain aggregations;
-    inquiries count another id and get their own.
-    """
+def funnel_rows(funnel: DataFrame, since: dt.date) -> DataFrame:
+    """Rows of the paid funnel from ``since`` on, with the channel names of spend."""
     detail, source = F.col("channel_detail"), F.lower("utm_source")
     channel = F
     for site in SOCIAL_SITES:
@@ -98,10 +95,24 @@ def inbound_funnel(funnel: DataFrame, since: dt.date, v: Vocabulary = DEFAULT) -
     channel = channel.when(detail.isin(*GOOGLE_CHANNELS), "google")
     for site in SEARCH_SITES:
         channel = channel.when((detail == "Paid Search") & source.contains(site), site)
-    kept = (
-        funnel.filter((F.col("channel_aggregate") == PAID) & (F.col("inquiry_date") >= F.lit(since)))
-        .withColumns({"mapping_channel_type": _mapped(detail, CHANNEL_TYPES, "other"), "mapping_channel": channel.otherwise("other")})
+    kept = funnel.filter((F.col("channel_aggregate") == PAID) & (F.col("inquiry_date") >= F.lit(since)))
+    return kept.withColumns(
+        {"mapping_channel_type": _mapped(detail, CHANNEL_TYPES, "other"), "mapping_channel": channel.otherwise("other")}
     )
+
+
+def funnel_states(funnel: DataFrame, since: dt.date, v: Vocabulary = DEFAULT, stage: Stage = unstaged) -> DataFrame:
+    """The people behind each count of the funnel as bitmaps, for :func:`distinct_roll_up` to any dimensions."""
+    return distinct_states(funnel_rows(funnel, since), FUNNEL_KEYS, "lead_or_contact_id", funnel_conditions(v), stage)
+
+
+def inbound_funnel(funnel: DataFrame, since: dt.date, v: Vocabulary = DEFAULT) -> DataFrame:
+    """23 distinct counts per paid channel, campaign and inquiry day.
+
+    All but one count the same person id, so they come from two plain aggregations;
+    inquiries count another id and get their own.
+    """
+    kept = funnel_rows(funnel, since)
     people = conditional_distinct_counts(kept, FUNNEL_KEYS, "lead_or_contact_id", funnel_conditions(v))
     inquiries = (
         kept.select(*FUNNEL_KEYS, "campaign_member_id")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.operators import quality
+from waymark.operators import distinct_roll_up, quality
 from waymark.plans import campaign, paid_media, rulesets
 from waymark.queries.registry import query, r6, rules_sql
 from waymark.queries.standins import rows, table, with_
@@ -403,6 +405,43 @@ def drilldown(spark, sf):
     )
 
 
+DRILL_LEVELS = (
+    (),
+    ("mapping_channel_type",),
+    ("mapping_channel_type", "mapping_channel"),
+    ("mapping_channel_type", "inquiry_date"),
+    ("mapping_channel_type", "mapping_channel", "inquiry_date", "utm_campaign"),
+)
+
+
+def _drill_sql() -> str:
+    """Each level counted again from the rows themselves."""
+    inbound = INBOUND.removeprefix("inbound AS (").removesuffix(" GROUP BY ALL)")
+    select, source = inbound.split("count(DISTINCT campaign_member_id) AS inquiries,")[0], inbound[inbound.index("FROM paid_funnel") :]
+    parts = []
+    for level in DRILL_LEVELS:
+        shown = [k if k in level else f"NULL AS {k}" for k in paid_media.FUNNEL_KEYS]
+        counts = [_people(n, c) for n, c in INBOUND_COUNTS.items()]
+        grouped = f" GROUP BY {', '.join(level)}" if level else ""
+        parts.append(f"SELECT {len(level)} AS dimensions, {', '.join(shown + counts)} FROM mapped{grouped}")
+    columns = "lead_or_contact_id, is_net_new_lead, is_sqm, is_mql, is_sql, score_at_create, persona, campaign_type"
+    return with_("paid_funnel", then=f"mapped AS ({select} {columns} {source})") + " UNION ALL ".join(parts)
+
+
+@query("funnel_drilldown", _drill_sql())
+def funnel_drilldown(spark, sf):
+    states = stage(paid_media.funnel_states(rows(spark, sf, "paid_funnel"), SINCE, stage=stage), "funnel_states")
+    levels = [
+        distinct_roll_up(states, level, list(INBOUND_COUNTS)).select(
+            F.lit(len(level)).alias("dimensions"),
+            *[F.col(k) if k in level else F.lit(None).cast(states.schema[k].dataType).alias(k) for k in paid_media.FUNNEL_KEYS],
+            *INBOUND_COUNTS,
+        )
+        for level in DRILL_LEVELS
+    ]
+    return reduce(DataFrame.unionByName, levels)
+
+
 @query(
     "version_diff",
     """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'
