@@ -1,10 +1,15 @@
 """Plans: no cartesian product, partial first-row limits, filters at the scan, narrow reads."""
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
 from waymark.operators import keep_first
+from waymark.plans import web
 from waymark.queries import QUERIES
+from waymark.queries.standins import rows
+from waymark.sources.layout import lay_out
 from waymark.sources.tables import read_table
 
 
@@ -73,3 +78,22 @@ def test_asof_snapshot_is_not_later_than_the_visit(spark, sf):
 def test_every_event_has_a_channel(spark, sf):
     for name in ("channel_rules_v1", "channel_rules_derived", "channel_rules_v3", "channel_rules_v2"):
         assert QUERIES[name](spark, sf).filter("channel_detail IS NULL").count() == 0
+
+
+def test_bucketed_pages_are_rolled_up_and_joined_without_a_shuffle(spark, sf, tmp_path):
+    pages = rows(spark, sf, "page_views")
+    pages = pages.withColumn("visitor_id", F.when(F.col("visitor_id") % 10 > 0, F.col("visitor_id")))
+    most = pages.groupBy("visitor_id").count().dropna().agg(F.max("count")).first()[0]
+    laid = lay_out(pages, "pages", ["visitor_id"], buckets=4, path=str(tmp_path / uuid.uuid4().hex), hot_rows=most - 1)
+    assert laid.hot.filter("visitor_id is not null").count() >= most
+    assert laid.cold.count() + laid.hot.count() == pages.count()
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        cold = plan_of(web.sessions_with_visitor(laid.cold))
+        plain = plan_of(web.sessions_with_visitor(pages))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "Exchange" not in cold and "Exchange" in plain
+    found = laid.apply(web.sessions_with_visitor)
+    assert sorted(map(str, found.collect())) == sorted(map(str, web.sessions_with_visitor(pages).select(*found.columns).collect()))

@@ -206,6 +206,14 @@ def session_rollup(pages: DataFrame) -> DataFrame:
     )
 
 
+def sessions_with_visitor(pages: DataFrame) -> DataFrame:
+    """Sessions with the first and latest visit of their visitor.
+
+    Both roll-ups and their join work visitor by visitor: on pages bucketed by visitor nothing is shuffled.
+    """
+    return session_rollup(pages).join(visitor_dimension(pages.dropna(subset=["visitor_id"])), "visitor_id", "left")
+
+
 def session_conversions(sessions: DataFrame, forms: DataFrame, signup_forms: Sequence[int], download_forms: Sequence[int]) -> DataFrame:
     """Sessions with their form counts, zero where there are none."""
     counts = forms.groupBy("session_id", "visitor_id").agg(

@@ -11,6 +11,7 @@ from waymark.operators import asof_neighbours
 from waymark.plans import rulesets, web
 from waymark.queries.registry import query, rules_sql
 from waymark.queries.standins import rows, table, with_
+from waymark.sources.layout import lay_out
 from waymark.sources.sinks import stage
 
 RUN_DATE = dt.date(2024, 1, 16)
@@ -96,6 +97,17 @@ def session_rollup(spark, sf):
     return web.session_rollup(rows(spark, sf, "page_views"))
 
 
+@query(
+    "sessions_with_visitor",
+    with_("page_views", then=f"sessions AS ({SESSIONS})")
+    + """SELECT s.*, first_visit_time, most_recent_visit_time FROM sessions s LEFT JOIN (SELECT visitor_id, min(visit_start_time) AS first_visit_time,
+  max(visit_start_time) AS most_recent_visit_time FROM page_views GROUP BY visitor_id) v ON v.visitor_id = s.visitor_id""",
+)
+def sessions_with_visitor(spark, sf):
+    pages = rows(spark, sf, "page_views")
+    return lay_out(pages, "page_views", ["visitor_id"], buckets=8, sort=["visit_start_time"]).apply(web.sessions_with_visitor)
+
+
 @query(
     "session_conversions",
     with_("page_views", "forms", then=f"sessions AS ({SESSIONS})")
