@@ -115,6 +115,18 @@ def test_no_similar_pair_is_missed_by_rare_shingles(spark, monkeypatch):
     assert len(similar) > 20 and got == similar
 
 
+def test_a_later_round_repeats_no_pair_of_the_first_centre(spark):
+    """A bucket of two gives none, and any other fewer rows than centres times members."""
+    sizes = [2] * 5 + [3] * 4 + [40, 80]
+    rows = [(key, 100 * key + k, 10, 100 * key, 100 * key + k) for key, m in enumerate(sizes) for k in range(m)]
+    placed = spark.createDataFrame(rows, "key long, rep long, n long, star long, comp long")
+    made = Counter(r.rep // 100 for r in near_dedup._again(placed, 1, 80, 2).collect())
+    pairs = near_dedup._again(placed, 1, 80, 2).distinct().collect()
+    assert all(r.centre % 100 and r.rep % 100 for r in pairs)
+    for key, m in enumerate(sizes):
+        assert (made[key] > 0) == (m > 2) and made[key] <= near_dedup.CENTRES * (m - 2)
+
+
 def test_small_sets_and_one_large_group(spark):
     rows = [(k, "alpha beta gamma delta epsilon" + (" zeta" if k % 2 else "")) for k in range(400)]
     rows += [(1000 + k, "Alpha  BETA") for k in range(30)] + [(2000, "x"), (2001, "X"), (2002, None), (2003, " \n"), (2004, "")]

@@ -6,7 +6,7 @@ random probe sequence. Bands of bins give bucket keys. Equal sets are one class
 once. In a bucket only the pairs of one centre with the others are candidates, so a bucket
 of any size gives fewer pairs than it has members. Candidates are confirmed on the full
 sets. Buckets whose members are not yet one component are taken up again with other
-centres, until a round finds no new link or after a few. What is left of them is then joined
+centres, until a round finds few new links or after a few. What is left of them is then joined
 exactly: of two similar sets the rarest shingles, as many as may be missing, have one in common.
 
 Bands of 4 of 96 bins find a pair of similarity 0.8 with probability 1 - 3e-6.
@@ -30,8 +30,8 @@ BINS = BANDS * ROWS
 WORDS, PERCENT = 5, 80
 #: Centres each unfinished bucket gets in a later round; pairs confirmed in one task, about.
 CENTRES, PAIRS_EACH = 2, 10_000
-#: Later rounds at most; what they leave is joined exactly, so more of them change no result.
-ROUNDS = 4
+#: Later rounds at most, and pairs a link may cost; what they leave is joined exactly, so more of them change no result.
+ROUNDS, PAIRS_A_LINK = 4, 1000
 #: Counters, as a power of two, that say how common a shingle is.
 COUNTER_BITS = 18
 #: Bytes of text hashed at a time.
@@ -286,6 +286,29 @@ def _rest(placed: DataFrame, sets: DataFrame, percent: int, files: int) -> DataF
     return met.select(F.least("rep", "rep2").alias("centre"), F.greatest("rep", "rep2").alias("rep")).distinct()
 
 
+def _again(placed: DataFrame, round_: int, percent: int, files: int) -> DataFrame:
+    """Pairs (centre, rep) of other centres, each its own, for buckets that are not one component yet.
+
+    The first centre, ``star``, has met every member, so a bucket's other members alone take
+    part: one of ``m`` members gives at most ``CENTRES * (m - 2)`` rows, one of two none.
+    """
+    others = placed.filter("rep <> star")
+    member = F.struct("rep", "n", "comp")
+    tried = [
+        F.min(F.struct(F.xxhash64("rep", "key", F.lit(CENTRES * round_ + k)).alias("o"), member.alias("m"))).alias(f"c{k}")
+        for k in range(CENTRES)
+    ]
+    centres = others.groupBy(F.col("key").alias("k")).agg(*tried, F.min("comp").alias("low"), F.max("comp").alias("high"))
+    chosen = F.explode(F.array_distinct(F.array(*[F.col(f"c{k}.m") for k in range(CENTRES)]))).alias("c")
+    centres = centres.filter("low <> high").select("k", chosen)
+    centres = stage(
+        centres.select("k", F.col("c.rep").alias("centre"), F.col("c.n").alias("cn"), F.col("c.comp").alias("cc")).coalesce(files),
+        "centres",
+    )
+    met = others.join(centres, F.col("key") == F.col("k")).filter("comp <> cc").filter(_sizes_allow("n", "cn", percent))
+    return met.select(F.least("centre", "rep").alias("centre"), F.greatest("centre", "rep").alias("rep"))
+
+
 def link_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """The sketch table, and (node, component) of the class representatives that are linked.
 
@@ -316,35 +339,22 @@ def link_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     found = stage(components(links).coalesce(files), "found")
 
     def place(found: DataFrame) -> DataFrame:
-        rows = buckets.select("key", "rep", "n").join(found, F.col("rep") == F.col("node"), "left")
-        return stage(rows.select("key", "rep", "n", F.coalesce("component", "rep").alias("comp")), "placed")
+        rows = buckets.select("key", "rep", "n", "centre").join(found, F.col("rep") == F.col("node"), "left")
+        return stage(rows.select("key", "rep", "n", F.col("centre").alias("star"), F.coalesce("component", "rep").alias("comp")), "placed")
 
     placed = place(found)
     for round_ in range(1, ROUNDS + 1):
-        # Buckets that are not one component yet get other centres, each its own.
-        member = F.struct("rep", "n", "comp")
-        tried = [
-            F.min(F.struct(F.xxhash64("rep", "key", F.lit(CENTRES * round_ + k)).alias("o"), member.alias("m"))).alias(f"c{k}")
-            for k in range(CENTRES)
-        ]
-        centres = placed.groupBy(F.col("key").alias("k")).agg(*tried, F.min("comp").alias("low"), F.max("comp").alias("high"))
-        chosen = F.explode(F.array_distinct(F.array(*[F.col(f"c{k}.m") for k in range(CENTRES)]))).alias("c")
-        centres = centres.filter("low <> high").select("k", chosen)
-        centres = stage(
-            centres.select("k", F.col("c.rep").alias("centre"), F.col("c.n").alias("cn"), F.col("c.comp").alias("cc")).coalesce(files),
-            "centres",
-        )
-        again = placed.join(centres, F.col("key") == F.col("k")).filter("comp <> cc")
-        again = again.filter(_sizes_allow("n", "cn", percent))
-        again = again.select(F.least("centre", "rep").alias("centre"), F.greatest("centre", "rep").alias("rep")).distinct()
-        fresh = stage(again.join(pairs, ["centre", "rep"], "left_anti").coalesce(files), "pairs")
+        again = _again(placed, round_, percent, files)
+        fresh = stage(again.distinct().join(pairs, ["centre", "rep"], "left_anti").coalesce(files), "pairs")
         count = fresh.count()
         more = stage(_confirmed(fresh, sets, percent).coalesce(parts(count, PAIRS_EACH)), "links")
         pairs = pairs.unionByName(fresh)
-        if more.count() == 0:
+        linked = more.count()
+        if linked:
+            found = stage(joined(found, more).coalesce(files), "found")
+            placed = place(found)
+        if linked * PAIRS_A_LINK <= count:
             break
-        found = stage(joined(found, more).coalesce(files), "found")
-        placed = place(found)
     # Other members of unfinished buckets were no centres yet.
     rest = stage(_rest(placed, sets, percent, files).join(pairs, ["centre", "rep"], "left_anti").coalesce(files), "pairs")
     more = stage(_confirmed(rest, sets, percent).coalesce(parts(rest.count(), PAIRS_EACH)), "links")
