@@ -64,6 +64,26 @@ def test_held_out_labels_are_not_learned(spark, docs, model):
     assert np.array_equal(again.probabilities, model.probabilities)
 
 
+def test_full_memory_keeps_words_in_use(model, monkeypatch):
+    """Common words are scored once however many others pass through, and values never depend on what is kept."""
+    learned = []
+    score = language.word_scores
+    monkeypatch.setattr(language, "word_scores", lambda words, *rest: learned.extend(words) or score(words, *rest))
+    texts = [["the", "and", "Of"] + [f"{a}{b}{c}" for c in "abcdefghij"] for a in "klmnopqrst" for b in "uvwxyz"]
+    plenty = language.Scorer(model)
+    want = [plenty.predict(t) for t in texts]
+    monkeypatch.setattr(language, "MEMORY", 40)
+    learned.clear()
+    tight = language.Scorer(model)
+    for at in range(0, len(texts), 2):
+        tight.learn(texts[at : at + 2])
+        got = [tight.predict(t) for t in texts[at : at + 2]]
+        assert [x for x, _ in got] == [x for x, _ in want[at : at + 2]]
+        assert np.allclose([x for _, x in got], [x for _, x in want[at : at + 2]])
+        assert len(tight.known) == len(tight.rows) == len(tight.used) <= 40 + 26
+    assert learned.count(b" the") == 1 and len(learned) == 600 + 3
+
+
 def test_nulls_repeats_clashes_and_no_rows(spark, model):
     rows = [(1, None, "en", 0), (2, "12 !!", "en", 0), (3, "the and of", "de", 1), (3, "the and of", "de", 1)]
     rows += [(None, "Straße und der", None, 2), (5, "é" * 3000, None, 2), (6, "", None, 3)]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import dataclasses
 import functools
+import itertools
 import re
 from collections.abc import Iterator, Sequence
 
@@ -31,10 +32,16 @@ ROUNDS = 2
 LONGEST_PIECE, LONGEST_WORD = 16, 40
 #: Shares of the pooled and of the even distribution in each language's.
 POOLED, EVEN = 0.05, 0.01
-#: Tokens whose score is remembered per Python worker, and tokens scored at a time.
+#: Words whose score is remembered per Python worker, and words scored at a time.
 MEMORY, BLOCK = 150_000, 1 << 15
 LETTERS = re.compile(r"[^\W\d_]+")
-_BASE = np.uint64(0x100000001B3)
+_BASE, _SPREAD = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
+#: Bits of a hash looked at before it is searched for.
+LEADING = 17
+
+
+def _leading(hashes: np.ndarray) -> np.ndarray:
+    return (hashes * _SPREAD >> np.uint64(64 - LEADING)).astype(np.int64)
 
 
 class Vocabulary:
@@ -57,6 +64,12 @@ class Vocabulary:
                 hashes = hashes * _BASE + letters[:, k] + np.uint64(1)
             order = np.argsort(hashes)
             self.tables.append((hashes[order], own[order]))
+        #: For each length, which leading bits a piece's spread hash has; most places have none.
+        self.leading = []
+        for hashes, _ in self.tables:
+            there = np.zeros(1 << LEADING, dtype=bool)
+            there[_leading(hashes)] = True
+            self.leading.append(there)
 
     def spans(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(length, pieces): for words of one length, the piece that begins at each place, or -1."""
@@ -68,8 +81,12 @@ class Vocabulary:
             known, ids = self.tables[length - 1]
             if not len(known):
                 continue
-            at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-            yield length, np.where(known[at] == hashes, ids[at], -1)
+            maybe = np.flatnonzero(self.leading[length - 1][_leading(hashes.ravel())])
+            wanted = hashes.ravel()[maybe]
+            at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+            found = np.full(hashes.size, -1)
+            found[maybe] = np.where(known[at] == wanted, ids[at], -1)
+            yield length, found.reshape(hashes.shape)
 
 
 @functools.lru_cache(maxsize=2)
@@ -94,13 +111,25 @@ def by_length(words: Sequence[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]
 def forward(letters: np.ndarray, table: list[tuple[int, np.ndarray]], probabilities: np.ndarray) -> np.ndarray:
     """(word, place, language): summed probability of all segmentations of each beginning."""
     n, size = letters.shape
-    sums = np.zeros((n, size + 1, probabilities.shape[1]))
-    sums[:, 0] = 1.0
-    for end in range(1, size + 1):
-        for length, pieces in table:
-            if length <= end:
-                sums[:, end] += sums[:, end - length] * probabilities[pieces[:, end - length]]
-    return sums
+    sums = np.zeros((size + 1, n, probabilities.shape[1]))
+    sums[0] = 1.0
+    # By length, the words with a piece at each place and these pieces; long ones are few.
+    ending: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[] for _ in range(size + 1)]
+    for length, pieces in table:
+        places, words = np.nonzero(pieces.T >= 0)
+        ids = pieces[words, places]
+        cut = np.searchsorted(places, np.arange(pieces.shape[1] + 1))
+        for start in range(pieces.shape[1]):
+            low, high = cut[start], cut[start + 1]
+            if high > low:
+                ending[start + length].append((start, words[low:high], ids[low:high]))
+    for end, pieces_here in enumerate(ending):
+        for start, words, ids in pieces_here:
+            if len(words) == n:
+                sums[end] += sums[start] * probabilities.take(ids, axis=0)
+            else:
+                sums[end][words] += sums[start].take(words, axis=0) * probabilities.take(ids, axis=0)
+    return sums.transpose(1, 0, 2)
 
 
 def backward(letters: np.ndarray, table: list[tuple[int, np.ndarray]], probabilities: np.ndarray) -> np.ndarray:
@@ -213,7 +242,7 @@ def fit(docs: DataFrame, max_docs: int = MAX_DOCS, path: str | None = None, roun
 
 
 class Scorer:
-    """Scores texts with one model; the score of a token met before is looked up."""
+    """Scores texts with one model; the score of a word met before is looked up."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -223,59 +252,72 @@ class Scorer:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.rows = np.zeros((0, len(self.model.languages)))
-        self.letters = np.zeros(0, dtype=bool)
-
-    def _learn(self, tokens: list[str]) -> None:
-        words: list[bytes] = []
+        #: When each row was last looked up, in lookups.
+        self.used = np.zeros(0, dtype=np.int64)
+        self.now = 0
+
+    def _make_room(self) -> None:
+        """Keep the half of a full memory that was looked up last."""
+        if len(self.known) <= MEMORY:
+            return
+        kept = self.used >= np.sort(self.used)[-(MEMORY // 2)]
+        if kept.sum() > MEMORY:
+            kept[:] = False
+        # Rows are numbered in the order of the words.
+        self.known = {w: k for k, w in enumerate(itertools.compress(self.known, kept.tolist()))}
+        self.rows, self.used = self.rows[kept], self.used[kept]
+
+    def _learn(self, fresh: list[str]) -> None:
+        words: dict[bytes, int] = {}
         owners: list[int] = []
-        letters = np.zeros(len(tokens), dtype=bool)
-        for k, token in enumerate(tokens):
-            for run in LETTERS.findall(token):
-                letters[k] = True
-                for cut in cuts(run):
-                    words.append(cut)
-                    owners.append(k)
-        scores = np.zeros((len(tokens), len(self.model.languages)))
+        places: list[int] = []
+        for k, word in enumerate(fresh):
+            for cut in cuts(word):
+                owners.append(k)
+                places.append(words.setdefault(cut, len(words)))
+        scores = np.zeros((len(fresh), len(self.model.languages)))
         if words:
-            np.add.at(scores, owners, word_scores(words, self.vocab, self.model.probabilities))
-        self.known.update(zip(tokens, range(len(self.rows), len(self.rows) + len(tokens)), strict=True))
+            found = word_scores(list(words), self.vocab, self.model.probabilities)[places]
+            if len(owners) == len(fresh):
+                scores = found
+            else:
+                np.add.at(scores, owners, found)
+        self.known.update(zip(fresh, range(len(self.rows), len(self.rows) + len(fresh)), strict=True))
         self.rows = np.concatenate([self.rows, scores])
-        self.letters = np.concatenate([self.letters, letters])
-
-    def sums(self, text: str) -> tuple[np.ndarray, bool]:
-        """Summed log probability of a text's words in each language; whether it has letters."""
-        total, any_letters = np.zeros(len(self.model.languages)), False
-        tokens = text.split()
-        for at in range(0, len(tokens), BLOCK):
-            block = tokens[at : at + BLOCK]
+        self.used = np.concatenate([self.used, np.full(len(fresh), self.now, dtype=np.int64)])
+
+    def sums(self, words: list[str]) -> np.ndarray:
+        """Summed log probability of a text's words in each language."""
+        total = np.zeros(len(self.model.languages))
+        for at in range(0, len(words), BLOCK):
+            block = words[at : at + BLOCK]
             places = list(map(self.known.get, block))
             if None in places:
-                if len(self.known) > MEMORY:
-                    self.forget()
-                self._learn(list(dict.fromkeys(t for t in block if t not in self.known)))
+                self._make_room()
+                self._learn(list(dict.fromkeys(w for w in block if w not in self.known)))
                 places = list(map(self.known.get, block))
             index = np.array(places, dtype=np.int64)
-            total += self.rows[index].sum(axis=0)
-            any_letters = any_letters or bool(self.letters[index].any())
-        return total, any_letters
-
-    def learn(self, texts: list[str]) -> None:
-        """Meet the tokens of many texts at once, which is quicker than text by text."""
-        if len(self.known) > MEMORY:
-            self.forget()
+            self.now += 1
+            self.used[index] = self.now
+            total += np.add.reduce(self.rows.take(index, axis=0))
+        return total
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Meet the words of many texts at once, which is quicker than text by text."""
+        self._make_room()
         fresh: dict[str, None] = {}
-        for text in texts:
-            fresh.update(dict.fromkeys(t for t in text.split() if t not in self.known))
+        for words in texts:
+            fresh.update(dict.fromkeys(itertools.filterfalse(self.known.__contains__, words)))
             if len(fresh) > BLOCK:
                 self._learn(list(fresh))
                 fresh = {}
         if fresh:
             self._learn(list(fresh))
 
-    def predict(self, text: str) -> tuple[str, float]:
-        total, any_letters = self.sums(text)
-        if not any_letters or not len(total):
+    def predict(self, words: list[str]) -> tuple[str, float]:
+        if not words or not self.model.languages:
             return UNKNOWN, 0.0
+        total = self.sums(words)
         odds = np.exp(total - total.max())
         best = int(total.argmax())
         return self.model.languages[best], float(odds[best] / odds.sum())
@@ -285,7 +327,7 @@ _SCORERS: dict[bytes, Scorer] = {}
 
 
 def scorer(model: Model) -> Scorer:
-    """This worker's scorer of a model; tokens it has met stay known from task to task."""
+    """This worker's scorer of a model; words it has met stay known from task to task."""
     key = model.probabilities.tobytes()
     if key not in _SCORERS:
         _SCORERS.clear()
@@ -294,8 +336,8 @@ def scorer(model: Model) -> Scorer:
 
 
 OWN = ["held_out", "lang_pred", "score"]
-#: Texts whose new tokens are scored together.
-GROUP = 100
+#: Texts whose new words are scored together, and their bytes, about.
+GROUP, GROUP_BYTES = 100, 1 << 20
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -313,8 +355,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         hold(__name__, own, own.forget)
         found = []
         # A group of texts at a time is taken out of the batch, so that it is not held twice.
-        for at in range(0, batch.num_rows, GROUP):
-            texts = strings(batch.column("text").slice(at, GROUP))
+        group = max(1, min(GROUP, batch.num_rows * GROUP_BYTES // max(1, batch.nbytes)))
+        for at in range(0, batch.num_rows, group):
+            texts = [LETTERS.findall(t) for t in strings(batch.column("text").slice(at, group))]
             own.learn(texts)
             found += [own.predict(t) for t in texts]
         return pa.RecordBatch.from_arrays(
