@@ -98,3 +98,24 @@ def test_marks_behind_letters_are_read_as_the_pattern_reads_them():
     for _ in range(4000):
         text = "".join(rng.choices(signs, k=rng.randint(1, 12)))
         assert [m for found in parts.values(text) for m in found] == MATCHES(text), text
+
+
+def test_first_pairs_come_from_a_table_of_bytes(coder, library):
+    """A merge looks up two pairs; the pairs of a pre-token's bytes take no look-up of their own."""
+    asked = []
+
+    class Counted(dict):
+        def get(self, *key):
+            asked.append(key)
+            return super().get(*key)
+
+    merges = bpe.Merges(coder.ranks)
+    merges.joined = [Counted(x) for x in merges.joined]
+    r = random.Random(8)
+    for n in (1, 2, 9, 60, 600):
+        piece = "".join(r.choices("ab", k=n)) + "q" * n
+        asked.clear()
+        ids = merges.merge(piece.encode())
+        assert ids == library.encode_ordinary(piece)
+        assert len(asked) <= 2 * (len(piece) - len(ids))
+    assert not any(merges.words) and not any(b is not None for b in merges.buckets)

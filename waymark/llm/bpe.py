@@ -13,6 +13,7 @@ import base64
 import functools
 import hashlib
 import heapq
+import itertools
 import struct
 from collections.abc import Mapping
 
@@ -54,6 +55,8 @@ class Merges:
             for k in range(1, len(word)):
                 if word[:k] in ranks and word[k:] in ranks:
                     self.joined[ranks[word[:k]]][ranks[word[k:]]] = top - rank
+        #: The same of every two bytes, -1 for none.
+        self.first = [[self.joined[a].get(b, -1) for b in self.byte] for a in self.byte]
         #: List positions whose pair has the rank: none, one, or a heap of several.
         self.buckets: list[int | list[int] | None] = [None] * (top + 1)
         #: Which of 256 ranks have a bucket.
@@ -64,59 +67,76 @@ class Merges:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        n, joined, buckets, words = len(piece), self.joined, self.buckets, self.words
-        part = [self.byte[b] for b in piece]  # id that begins here; -1 for one merged away, and at the end
+        n, top, joined, buckets, words = len(piece), self.top, self.joined, self.buckets, self.words
+        byte, first = self.byte, self.first
+        part = [byte[b] for b in piece]  # id that begins here; -1 for one merged away, and at the end
         part.append(-1)
         after = list(range(1, n + 2))
         before = list(range(-1, n + 1))
-        fresh = [(joined[part[i]].get(part[i + 1], -1), i) for i in range(n - 1)]
-        pair = [place for place, _ in fresh]  # the queue's place of the pair that begins here, -1 for none
-        pair += (-1, -1)
+        pair = [first[b][c] for b, c in itertools.pairwise(piece)]  # the queue's place of the pair that begins here, -1 for none
         filled = 0  # which words are not empty
-        while True:
-            for place, i in fresh:
-                if place < 0:
-                    continue
+        for i, place in enumerate(pair):
+            if place >= 0:
                 bucket = buckets[place]
                 if bucket is None:
                     buckets[place] = i
                     high = place >> _BITS
-                    if not words[high]:
-                        filled |= _BIT[high]
                     words[high] |= _BIT[place & _LOW]
+                    filled |= _BIT[high]
                 elif type(bucket) is int:
-                    buckets[place] = [bucket, i] if bucket < i else [i, bucket]
+                    buckets[place] = [bucket, i]
                 else:
-                    heapq.heappush(bucket, i)
-            if not filled:
-                return [p for p in part if p >= 0]
+                    bucket.append(i)  # ascending, so a heap
+        pair += (-1, -1)
+        while filled:
             high = filled.bit_length() - 1
             word = words[high]
             low = word.bit_length() - 1
             place = high << _BITS | low
-            bucket = buckets[place]
-            if type(bucket) is list and len(bucket) > 1:
-                i = heapq.heappop(bucket)
+            i = buckets[place]
+            if type(i) is list and len(i) > 1:
+                i = heapq.heappop(i)
             else:
-                i = bucket if type(bucket) is int else bucket[0]
+                if type(i) is list:
+                    i = i[0]
                 buckets[place] = None
                 words[high] = word = word ^ _BIT[low]
                 if not word:
                     filled ^= _BIT[high]
             if pair[i] != place:
-                fresh = ()
                 continue  # stale: merged away, or the pair has changed
-            rank = self.top - place
+            rank = top - place
             middle = after[i]
             end, left = after[middle], before[i]
             part[i], part[middle], pair[middle] = rank, -1, -1
             after[i], before[end] = end, i
-            pair[i] = right = joined[rank].get(part[end], -1)
+            pair[i] = place = joined[rank].get(part[end], -1)
+            # Written out for the pairs on both sides: this is the inner loop.
+            if place >= 0:
+                bucket = buckets[place]
+                if bucket is None:
+                    buckets[place] = i
+                    high = place >> _BITS
+                    words[high] |= _BIT[place & _LOW]
+                    filled |= _BIT[high]
+                elif type(bucket) is int:
+                    buckets[place] = [bucket, i] if bucket < i else [i, bucket]
+                else:
+                    heapq.heappush(bucket, i)
             if left >= 0:
-                pair[left] = joined[part[left]].get(rank, -1)
-                fresh = ((right, i), (pair[left], left))
-            else:
-                fresh = ((right, i),)
+                pair[left] = place = joined[part[left]].get(rank, -1)
+                if place >= 0:
+                    bucket = buckets[place]
+                    if bucket is None:
+                        buckets[place] = left
+                        high = place >> _BITS
+                        words[high] |= _BIT[place & _LOW]
+                        filled |= _BIT[high]
+                    elif type(bucket) is int:
+                        buckets[place] = [bucket, left] if bucket < left else [left, bucket]
+                    else:
+                        heapq.heappush(bucket, left)
+        return [p for p in part if p >= 0]
 
 
 class Spelling:
