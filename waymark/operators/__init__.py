@@ -6,7 +6,7 @@ from waymark.operators.distinct_states import distinct_roll_up, distinct_states
 from waymark.operators.firsts import keep_first, keep_first_ties
 from waymark.operators.intervals import interval_join
 from waymark.operators.lookup import broadcast_if_small, lookup_join
-from waymark.operators.merge import full_merge
+from waymark.operators.merge import full_merge, merge_matches
 from waymark.operators.rules import first_match
 from waymark.operators.sequence import sequence
 from waymark.operators.validity import valid_at, validity_intervals
@@ -25,6 +25,7 @@ __all__ = [
     "keep_first",
     "keep_first_ties",
     "lookup_join",
+    "merge_matches",
     "sequence",
     "valid_at",
     "validity_intervals",

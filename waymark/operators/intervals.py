@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from waymark.operators.hot import HOT_ROWS
 from waymark.operators.lookup import SALTS, lookup_join
 
+#: Columns that with the keys say where :func:`interval_join` brought a left row.
+PLACE = ("__bucket", "__salt")
+
 
 def interval_join(
     left: DataFrame,
@@ -26,6 +29,7 @@ def interval_join(
     hot_from: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    keep_place: bool = False,
 ) -> DataFrame:
     """Join rows with equal ``keys`` whose times satisfy ``matches(left_at, right_at)``.
 
@@ -35,7 +39,8 @@ def interval_join(
     buckets its window touches, and the bucket is part of the join key, so rows of a key
     meet only their neighbours in time. A bucket of a key that is still too large is split
     further by :func:`lookup_join`. Put the smaller table on the right. Other column names
-    must not clash.
+    must not clash. ``keep_place`` leaves bucket and sub-key in the columns ``PLACE``: a
+    window or grouping on ``keys``, those and more needs no shuffle after the join.
     """
     width = before + after
     second = F.unix_seconds(F.col(right_at))
@@ -53,5 +58,6 @@ def interval_join(
         hot_from=None if hot_from is None else hot_from.withColumn("__bucket", bucket),
         hot_rows=hot_rows,
         salts=salts,
+        keep_salt=keep_place,
     )
-    return joined.drop("__bucket")
+    return joined if keep_place else joined.drop("__bucket")

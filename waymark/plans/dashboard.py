@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import times
-from waymark.operators import Span, full_merge, interval_join, lookup_join, window_sums
+from waymark.operators import Span, interval_join, lookup_join, merge_matches, window_sums
+from waymark.operators.intervals import PLACE
+from waymark.operators.merge import LEFT, RIGHT
 from waymark.plans.rulesets import DEFAULT, Vocabulary
 from waymark.sources.sinks import Stage, stamp, unstaged
 
@@ -18,6 +20,8 @@ NO_KEY = "Null "
 NO_LEAD = "Null"
 VISIT_DAYS = 7
 PAGE_KEYS = ["domain", "session_id", "visit_start_time", "page_visit_id", "lead_or_contact_id"]
+# Visits of a lead and time bucket above which they are spread: each may have many inquiries.
+HOT_VISITS = 100_000
 
 
 def pages_with_leads(pages: DataFrame, lead_map: DataFrame, by_source: bool = True) -> DataFrame:
@@ -30,7 +34,7 @@ def pages_with_leads(pages: DataFrame, lead_map: DataFrame, by_source: bool = Tr
     return lookup_join(pages, known, keys, row_id=["page_visit_id"]).withColumn("visit_month", times.month(F.col("visit_start_time")))
 
 
-def _around_visits(visits: DataFrame, inquiries: DataFrame, at: str, how: str) -> DataFrame:
+def _around_visits(visits: DataFrame, inquiries: DataFrame, at: str, how: str, **options) -> DataFrame:
     # A whole-day distance of n admits up to just under n + 1 days.
     reach = (VISIT_DAYS + 1) * 86400
 
@@ -48,21 +52,23 @@ def _around_visits(visits: DataFrame, inquiries: DataFrame, at: str, how: str) -
         matches=near,
         how=how,
         row_id=["page_visit_id"],
+        **options,
     )
 
 
+def _stage_distances() -> dict[str, Column]:
+    inquiry = F.col("inquiry_date_time")
+    return {
+        "delta_inqcreation_visit": times.whole_units("DAY", F.col("visit_start_time"), inquiry),
+        "delta_mql_inq": times.whole_units("DAY", inquiry, F.col("mql_date_time")),
+        "delta_sqm_inq": times.whole_units("DAY", inquiry, F.col("sqm_date_time")),
+        "delta_sao_inq": times.whole_units("DAY", inquiry, F.col("sao_date_time")),
+    }
+
+
 def visit_inquiries(visits: DataFrame, funnel: DataFrame) -> DataFrame:
     """Visits with the inquiries of their lead within a week either way, and stage distances."""
-    near = _around_visits(visits, funnel, "inquiry_date_time", "left")
-    inquiry = F.col("inquiry_date_time")
-    return near.withColumns(
-        {
-            "delta_inqcreation_visit": times.whole_units("DAY", F.col("visit_start_time"), inquiry),
-            "delta_mql_inq": times.whole_units("DAY", inquiry, F.col("mql_date_time")),
-            "delta_sqm_inq": times.whole_units("DAY", inquiry, F.col("sqm_date_time")),
-            "delta_sao_inq": times.whole_units("DAY", inquiry, F.col("sao_date_time")),
-        }
-    )
+    return _around_visits(visits, funnel, "inquiry_date_time", "left").withColumns(_stage_distances())
 
 
 def funnel_flags(df: DataFrame) -> DataFrame:
@@ -109,15 +115,16 @@ def visit_flag_counts(visits: DataFrame, funnel: DataFrame) -> DataFrame:
     return window_sums(visits, funnel, ["lead_or_contact_id"], "visit_start_time", "inquiry_date_time", spans, sums)
 
 
+def _type_flags(v: Vocabulary) -> dict[str, Column]:
+    return {
+        "flg_cloud_signup": F.when(F.col("campaign_type") == v.cloud_signup, 1).otherwise(0),
+        "flg_cp_download": F.when(F.col("campaign_type") == v.platform_download, 1).otherwise(0),
+    }
+
+
 def inquiry_type_flags(visits: DataFrame, inquiries: DataFrame, v: Vocabulary = DEFAULT, how: str = "inner") -> DataFrame:
     """Visits with near inquiries, flagged as signup or download."""
-    near = _around_visits(visits, inquiries, "inquiry_date_time", how)
-    return near.withColumns(
-        {
-            "flg_cloud_signup": F.when(F.col("campaign_type") == v.cloud_signup, 1).otherwise(0),
-            "flg_cp_download": F.when(F.col("campaign_type") == v.platform_download, 1).otherwise(0),
-        }
-    )
+    return _around_visits(visits, inquiries, "inquiry_date_time", how).withColumns(_type_flags(v))
 
 
 def web_dashboard(
@@ -135,7 +142,7 @@ def web_dashboard(
     """Page visits with their leads, inquiries and funnel stages, one row per visit, lead and member.
 
     ``funnel`` and ``inquiries`` are two views on inquiries that need not agree; a visit
-    appears with those of both. The visits are read four times: pass
+    appears with those of both. The visits are read several times: pass
     :func:`waymark.sources.sinks.stage` to compute them once.
     """
     start = times.previous_quarter_start(run_date)
@@ -151,19 +158,33 @@ def web_dashboard(
         .join(leads, "lead_or_contact_id", "left_semi")
     )
 
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumns(
-            {
-                "session_id": F.coalesce("session_id", F.lit(NO_KEY)),
-                "page_visit_id": F.coalesce("page_visit_id", F.lit(NO_KEY)),
-                "lead_or_contact_id": F.coalesce("lead_or_contact_id", F.lit(NO_LEAD)),
-            }
-        )
-
-    staged = keyed(funnel_flags(visit_inquiries(visits, in_funnel)))
-    typed = keyed(inquiry_type_flags(visits, asked, vocabulary))
-    merged = full_merge(staged, typed, [*PAGE_KEYS, "campaign_member_id"])
-    return stamp(merged.withColumns(times.calendar(F.col("visit_start_time"))).distinct(), run_date)
+    # Both views meet the visits in one join, and the merge works where that left them: the
+    # result, several rows a visit and all its columns wide, is never shuffled.
+    typed = asked.withColumns(_type_flags(vocabulary))
+    inquired = in_funnel.withColumn("__side", F.lit(LEFT)).unionByName(
+        typed.withColumn("__side", F.lit(RIGHT)), allowMissingColumns=True
+    )
+    named = visits.withColumns({c: F.coalesce(c, F.lit(NO_KEY)) for c in ("session_id", "page_visit_id")})
+    lead = "lead_or_contact_id"
+    near = _around_visits(named, inquired, "inquiry_date_time", "left", hot_rows=HOT_VISITS, keep_place=True)
+    merged = merge_matches(
+        near,
+        "__side",
+        [lead, "visit_start_time"],
+        [*PAGE_KEYS, "campaign_member_id"],
+        visits.columns,
+        [c for c in in_funnel.columns if c != lead],
+        [c for c in typed.columns if c != lead],
+        place=PLACE,
+    )
+    # Distances and flags are of the funnel's part alone; without one they stay missing.
+    known = funnel_flags(merged.withColumns(_stage_distances()))
+    of_funnel = [c for c in known.columns if c not in merged.columns]
+    known = known.withColumns({c: F.when(F.col("__side").isNotNull(), F.col(c)) for c in of_funnel})
+    order = [c for c in merged.columns if c in visits.columns or c in in_funnel.columns]
+    order += [*of_funnel, *[c for c in merged.columns if c not in order and c != "__side"]]
+    out = known.select(*order).withColumn(lead, F.coalesce(lead, F.lit(NO_LEAD)))
+    return stamp(out.withColumns(times.calendar(F.col("visit_start_time"))), run_date)
 
 
 def dashboard_milestones(report: DataFrame, lead_orgs: DataFrame, milestones: DataFrame) -> DataFrame:
