@@ -6,8 +6,10 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from waymark.operators import keep_first
 from waymark.plans import increments, web
 from waymark.sources.cells import CELL, CellTable
+from waymark.sources.sinks import stage as write_stage
 
 SCHEMA = "domain string, visitor_id string, session_id string, visit_start_time timestamp, page_visit_id string, url string"
 
@@ -154,3 +156,33 @@ def test_same_as_one_build(spark, path):
     columns = whole.columns
     found = increments.loaded_pages(spark, path).select(*columns)
     assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_cells_too_large_for_a_task_are_cut_with_the_same_rows(spark, path):
+    staged = []
+
+    def noted(df, name):
+        staged.append(name)
+        return write_stage(df, name)
+
+    rows = [page(1 + i % 3, (i * 7) % 24, f"{i:03}", f"v{i % 5}", None if i % 4 == 0 else f"s{i % 7}") for i in range(120)]
+    for n in range(3):
+        # Late and repeated rows; cells of more than nine rows go the other way.
+        load(spark, path, *[r for i, r in enumerate(rows) if i % 3 in (n, n - 1)], hot_rows=9, stage=noted)
+    whole = web.sequence_pages(spark.createDataFrame(rows, SCHEMA), increments.SESSION_KEYS)
+    found = increments.loaded_pages(spark, path).select(*whole.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+    assert "large_cells" in staged
+
+
+def test_rows_that_lie_together_are_shuffled_once(spark):
+    rows = [("c", *page(1, 9, "a")), ("c", *page(1, 9, "a")), ("c", *page(1, 10, "b"))]
+    together = spark.createDataFrame(rows, f"cell string, {SCHEMA}").repartition("cell")
+    keys = ["cell", *increments.SESSION_KEYS]
+    once = keep_first(together, [*keys, "page_visit_id"], ["visit_start_time"])
+    found = web.sequence_pages(once, keys, hot_rows=None)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted((r.page_visit_id, r.rank_from_start, r.rank_from_end, r.visit_length) for r in found.collect()) == [
+        ("a", 1, 2, 3600),
+        ("b", 2, 1, None),
+    ]

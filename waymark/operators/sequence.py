@@ -30,16 +30,29 @@ def sequence(
     total: str | None = None,
     lead: Mapping[str, str] | None = None,
     lag: Mapping[str, str] | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add rank, reverse rank, group size, and next / previous values per group.
 
     ``order`` must be a strict total order inside a group (end it with a unique id).
     ``keys`` may be empty, which numbers the whole table, always by ranges. ``lead`` /
-    ``lag`` map an output name to its source.
+    ``lag`` map an output name to its source. With ``hot_rows`` None no group is counted
+    or cut: for a caller that knows that none is too large, and has rows that lie together.
     """
     lead = dict(lead or {})
     lag = dict(lag or {})
+    if hot_rows is None:
+        group = Window.partitionBy(*keys)
+        ordered = group.orderBy(*order)
+        place, size = F.row_number().over(ordered).cast("bigint"), F.count(F.lit(1)).over(group)
+        return df.select(
+            *df.columns,
+            place.alias(rank),
+            *([(size - place + 1).alias(reverse_rank)] if reverse_rank else []),
+            *([size.alias(total)] if total else []),
+            *[F.lead(src).over(ordered).alias(name) for name, src in lead.items()],
+            *[F.lag(src).over(ordered).alias(name) for name, src in lag.items()],
+        )
     (rows,) = cut_hot([df], keys, [F.col(c) for c in order], hot_rows)
 
     first = F.struct(*order, *[F.col(c).alias(f"__v{i}") for i, c in enumerate(lead.values())])

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.operators import keep_first
+from waymark.operators.hot import HOT_ROWS
 from waymark.plans import web
 from waymark.sources.cells import CELL, CellTable
 from waymark.sources.sinks import Stage, stage as write_stage
@@ -46,6 +47,7 @@ def load_pages(
     *,
     buckets: int = BUCKETS,
     stage: Stage = write_stage,
+    hot_rows: int = HOT_ROWS,
 ) -> list[str]:
     """Add a delivery of page views, of any days, to the table at ``path``; the cells it rewrote.
 
@@ -55,6 +57,9 @@ def load_pages(
     may be repeated. Of events that repeat inside a delivery the earliest stays. Missing keys
     are a session of their own, as in :func:`web.sequence_pages`; as its ranks from the end
     change with every row, such a session is read and ranked whole by each load that adds to it.
+
+    A cell of up to ``hot_rows`` rows is brought together once, and its events are told
+    apart, ranked and written there; sessions of larger cells are counted and cut.
     """
     spark = rows.sparkSession
     table = CellTable(spark, path)
@@ -63,7 +68,7 @@ def load_pages(
 
     named = [f"__k{i}" for i in range(len(keys))]
     seen = day.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, named, strict=True)]).agg(
-        F.min("visit_start_time").alias("__first")
+        F.min("visit_start_time").alias("__first"), F.count(F.lit(1)).alias("__n")
     )
     known = table.side("sessions", latest)
     if known is None:
@@ -71,30 +76,45 @@ def load_pages(
     else:
         places = seen.join(known.withColumnRenamed(CELL, "__known"), _same(named, keys), "left").select(
             *named,
+            "__n",
             F.col("__known").isNull().alias("__new"),
             F.coalesce("__known", _cell(named, F.col("__first"), buckets)).alias("__cell_of"),
         )
     # Written once: joined below with rows that may be skewed, which a written side lets Spark split.
     places = stage(places, "sessions_seen")
-    touched = sorted(r[0] for r in places.select("__cell_of").distinct().collect())
+    sizes = dict(places.groupBy("__cell_of").agg(F.sum("__n")).collect())
+    touched = sorted(sizes)
     if not touched:
         return []
 
-    placed = day.join(places, _same(keys, named)).select(*day.columns, F.col("__cell_of").alias(CELL))
-    placed = placed.withColumn("__delivered", F.lit(1))
+    placed = day.join(places.drop("__n"), _same(keys, named)).select(*day.columns, F.col("__cell_of").alias(CELL))
+    placed = stage(placed, "events").withColumn("__delivered", F.lit(1))
     before = table.rows(latest, touched)
     if before is not None:
+        for cell, n in before.groupBy(CELL).count().collect():
+            sizes[cell] += n
         before = before.drop(*SEQUENCE_COLUMNS).withColumn("__delivered", F.lit(0))
         placed = before.unionByName(placed, allowMissingColumns=True)
     columns = [c for c in placed.columns if c not in ("__delivered", CELL)]
     order = ["__delivered", F.col("visit_start_time"), F.xxhash64(*columns)]
-    events = keep_first(placed, [CELL, *keys, "page_visit_id"], order).drop("__delivered")
-    sequenced = web.sequence_pages(stage(events, "events"), [CELL, *keys])
+
+    def unrepeated(df: DataFrame) -> DataFrame:
+        return keep_first(df, [CELL, *keys, "page_visit_id"], order).drop("__delivered")
+
+    large = [c for c in touched if sizes[c] > hot_rows]
+    in_large = F.col(CELL).isin(large)
+    # The one shuffle of these rows: all windows are over the cell and more, and the writer wants cells.
+    together = (placed.filter(~in_large) if large else placed).repartition(CELL)
+    sequenced = web.sequence_pages(unrepeated(together), [CELL, *keys], hot_rows=None)
+    cut = None
+    if large:
+        events = stage(unrepeated(placed.filter(in_large)), "large_cells")
+        cut = web.sequence_pages(events, [CELL, *keys], hot_rows=hot_rows)
 
     opened = places.filter("__new").select(
         *[F.col(n).alias(k) for n, k in zip(named, keys, strict=True)], F.col("__cell_of").alias(CELL)
     )
-    table.write(sequenced, touched, {"sessions": opened, "visitors": web.visitor_dimension(day)}, latest)
+    table.write(sequenced, touched, {"sessions": opened, "visitors": web.visitor_dimension(day)}, latest, cut)
     return touched
 
 

@@ -41,8 +41,8 @@ def deduplicate(events: DataFrame, metadata: Sequence[str] = LOAD_METADATA) -> D
     return events.drop(*metadata).distinct()
 
 
-def sequence_pages(pages: DataFrame, keys: Sequence[str] = ("visitor_id", "session_id")) -> DataFrame:
-    """Rank from both ends, next page time and visit length per visitor and session."""
+def sequence_pages(pages: DataFrame, keys: Sequence[str] = ("visitor_id", "session_id"), **options) -> DataFrame:
+    """Rank from both ends, next page time and visit length per visitor and session; ``options`` are those of ``sequence``."""
     ranked = sequence(
         pages,
         keys,
@@ -50,6 +50,7 @@ def sequence_pages(pages: DataFrame, keys: Sequence[str] = ("visitor_id", "sessi
         rank="rank_from_start",
         reverse_rank="rank_from_end",
         lead={"visit_end_time": "visit_start_time"},
+        **options,
     )
     return ranked.withColumn(
         "visit_length", times.whole_units("SECOND", F.col("visit_start_time"), F.col("visit_end_time"))

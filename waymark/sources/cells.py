@@ -67,14 +67,24 @@ class CellTable:
         parts = self.spark.read.option("basePath", f"{self.path}/{name}").parquet(f"{self.path}/{name}")
         return parts.filter(F.col(LOAD) <= done).drop(LOAD)
 
-    def write(self, rows: DataFrame, cells: Sequence[str], sides: dict[str, DataFrame], latest: dict[str, int]) -> None:
-        """Replace ``cells``, those that ``rows`` (with their cell) hold, and add to the side tables, as one load."""
+    def write(
+        self,
+        rows: DataFrame,
+        cells: Sequence[str],
+        sides: dict[str, DataFrame],
+        latest: dict[str, int],
+        scattered: DataFrame | None = None,
+    ) -> None:
+        """Replace ``cells``, those that ``rows`` (with their cell) hold, and add to the side tables, as one load.
+
+        ``rows`` lie together by cell; ``scattered`` rows, with the same columns, do not.
+        """
         load = max(latest.values(), default=0) + 1
         for name, side in sides.items():
             side.write.mode("overwrite").parquet(f"{self.path}/{name}/{LOAD}={load}")
         # Rows meet by cell, so a cell is one file; adaptive execution splits a large one.
-        by_cell = rows.hint("rebalance", F.col(CELL)).write.mode("overwrite").partitionBy(CELL)
-        by_cell.parquet(f"{self.path}/rows/{LOAD}={load}")
+        by_cell = rows if scattered is None else rows.unionByName(scattered.hint("rebalance", F.col(CELL)))
+        by_cell.write.mode("overwrite").partitionBy(CELL).parquet(f"{self.path}/rows/{LOAD}={load}")
         columns = rows.drop(CELL).schema.json()
         listed = self.spark.createDataFrame([(cell, columns) for cell in cells], f"{CELL} string, columns string")
         listed.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/cells/{LOAD}={load}")
